@@ -194,6 +194,19 @@ select org, repo, number, '{"bug_info": [[{"hunk_id": "HUNK_' || cast(number % 4
 from pulls""")
 
 
+# Lines of a dump: records, broken JSON, blank lines, a field of another type, a bare array.
+VIEWS["dump_lines"] = (["pulls"], """
+select number, case number % 10 when 0 then '{"number": ' || cast(number as string) when 1 then '   '
+ when 2 then '{"number": "x' || cast(number as string) || '", "state": "open", "title": "t"}' when 3 then '[{"number": 1}]'
+ else '{"number": ' || cast(number as string) || ', "state": "' || state || '", "title": "' || title || '"}' end as value
+from pulls""")
+
+# Repository lists as people type them: blanks around the parts, no slash, unknown names.
+VIEWS["repo_specs"] = ([], """
+select case r_regionkey when 0 then ' org0 / repo0 ' when 1 then 'org1/repo1' when 2 then 'repo2'
+ else 'org2/repo' || cast(r_regionkey as string) || '/x' end as spec from region""")
+
+
 def _needed(names: list[str]) -> list[str]:
     order: list[str] = []
     for name in names:
@@ -220,6 +233,8 @@ def _text(name: str, engine: str) -> str:
 
 def with_views(names: list[str], sql: str) -> str:
     """A DuckDB query over views: their texts as WITH clauses, then the query."""
+    if not names:
+        return sql.strip()
     clauses = [f"{n} as ({_text(n, 'duckdb')})" for n in _needed(names)]
     joined = ",\n".join(clauses)
     if sql.lstrip().lower().startswith("with "):
