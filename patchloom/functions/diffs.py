@@ -24,44 +24,61 @@ def sections(diff_text: Column) -> Column:
     return F.filter(F.split(diff_text, _FILE_START), lambda s: s.startswith("diff --git "))
 
 
+# The new path; for a deleted file, whose new side is /dev/null, the old one.
+_PATH = r'(?md)^(?:--- "?a/(?=[^\n]*\n\+\+\+ /dev/null)|\+\+\+ "?b/)([^\t\n"]+)'
+# The path in the first line, for files without hunks.
+_NAMED_PATH = r'\Adiff --git [^\n]* "?b/([^\n"]+)'
+
+
 def _head(section: Column) -> Column:
     return F.substring_index(section, "\n@@ -", 1)
 
 
 def section_path(section: Column) -> Column:
-    """New path of a file; the old one when it was deleted; the header's when there are no hunks."""
+    """New path of a file; the old one when it was deleted; the first line's when there are no hunks."""
     head = _head(section)
-    new = F.regexp_extract(head, r'(?md)^\+\+\+ "?b/([^\t\n"]+)', 1)
-    old = F.regexp_extract(head, r'(?md)^--- "?a/([^\t\n"]+)', 1)
-    named = F.regexp_extract(head, r'\Adiff --git [^\n]* "?b/([^\n"]+)', 1)
-    return F.coalesce(none_if_empty(new), none_if_empty(old), named)
+    path = F.regexp_extract(head, _PATH, 1)
+    return F.when(path != "", path).otherwise(F.regexp_extract(head, _NAMED_PATH, 1))
+
 
+def _lines_starting(text: Column, sign: str) -> Column:
+    # Dropping the sign from every line start shortens the text by one byte per line.
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n" + sign), F.lit("\n")))
 
-def _changed_lines(section: Column, sign: str) -> Column:
-    starts = F.lit(rf"(?md)^{sign}")
-    return (F.regexp_count(section, starts) - F.regexp_count(_head(section), starts)).cast("bigint")
+
+def _changed_lines(section: Column, head: Column, sign: str) -> Column:
+    return (_lines_starting(section, sign) - _lines_starting(head, sign)).cast("bigint")
 
 
 def lines_added(section: Column) -> Column:
-    return _changed_lines(section, r"\+")
+    return _changed_lines(section, _head(section), "+")
 
 
 def lines_removed(section: Column) -> Column:
-    return _changed_lines(section, "-")
+    return _changed_lines(section, _head(section), "-")
 
 
 def file_entries(diff_text: Column) -> Column:
-    """Array of (path, is_test, added, removed, file_diff), in file order."""
-    return F.transform(
-        sections(diff_text),
-        lambda s: F.struct(
-            section_path(s).alias("path"),
-            is_test_path(section_path(s)).alias("is_test"),
-            lines_added(s).alias("added"),
-            lines_removed(s).alias("removed"),
-            s.alias("file_diff"),
-        ),
-    )
+    """Array of (path, is_test, added, removed, file_diff), in file order.
+
+    Built in steps, each of which reads what the one before has worked out.
+    """
+    cut = F.transform(sections(diff_text), lambda s: F.struct(s.alias("file_diff"), _head(s).alias("head")))
+    found = F.transform(cut, lambda f: F.struct(
+        f["file_diff"].alias("file_diff"),
+        f["head"].alias("head"),
+        F.regexp_extract(f["head"], _PATH, 1).alias("path"),
+    ))
+    named = F.transform(found, lambda f: F.struct(
+        F.when(f["path"] != "", f["path"]).otherwise(F.regexp_extract(f["head"], _NAMED_PATH, 1)).alias("path"),
+        _changed_lines(f["file_diff"], f["head"], "+").alias("added"),
+        _changed_lines(f["file_diff"], f["head"], "-").alias("removed"),
+        f["file_diff"].alias("file_diff"),
+    ))
+    return F.transform(named, lambda f: F.struct(
+        f["path"].alias("path"), is_test_path(f["path"]).alias("is_test"),
+        f["added"].alias("added"), f["removed"].alias("removed"), f["file_diff"].alias("file_diff"),
+    ))
 
 
 def hunks(section: Column) -> Column:
@@ -91,9 +108,8 @@ def hunk_number(hunk: Column, group: int) -> Column:
 
 def hunk_body(hunk: Column) -> Column:
     """Array of the lines below the header, without the line break that ends the last one."""
-    below = F.regexp_replace(hunk, r"\A[^\n]*\n?", "")
-    ended = F.regexp_replace(below, r"\n\z", "")
-    return F.when(below == "", F.array().cast("array<string>")).otherwise(F.split(ended, "\n"))
+    breaks = F.octet_length(hunk) - F.octet_length(F.replace(hunk, F.lit("\n"), F.lit("")))
+    return F.slice(F.split(hunk, "\n"), 2, breaks - F.endswith(hunk, F.lit("\n")).cast("int"))
 
 
 def changed_text(patch: Column) -> Column:
