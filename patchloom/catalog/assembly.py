@@ -41,7 +41,7 @@ def attach_issues(t):
 
 @query("materials_join", "select repo, pr_id, lang, rtl_file, md5(rtl_code) as code_md5, toc from materials", uses=("materials",))
 def materials_join(t):
-    ready, _ = materials.materials_join(t.candidates(), t.repo_config(), t.repo_files())
+    ready, _ = materials.materials_join(t.stored_candidates, t.repo_config(), t.repo_files())
     return ready.select("repo", "pr_id", "lang", "rtl_file", F.md5("fixed_rtl_code").alias("code_md5"), _toc_text().alias("toc"))
 
 

@@ -16,7 +16,7 @@ def diff_files(t):
 
 
 @query("diff_hunks", f"""
-select {PR}, file_no, hunk_no, path, old_start, old_count, new_start, new_count, md5(hunk) as hunk_md5
+select {PR}, file_no, hunk_no, 'HUNK_' || cast(hunk_idx as string) as hunk_id, path, old_start, old_count, new_start, new_count, md5(hunk) as hunk_md5
 from hunk_heads join hunk_texts using ({PR}, file_no, hunk_no)""", uses=("hunk_heads", "hunk_texts"))
 def diff_hunks(t):
     return patches.diff_hunks(t.diffs()).withColumn("hunk_md5", F.md5("hunk")).drop("hunk")
@@ -26,7 +26,7 @@ def diff_hunks(t):
 select {PR}, file_no, hunk_no, path, pos, kind, case when kind <> '+' then old_at end as old_line,
  case when kind <> '-' then new_at end as new_line, text from numbered_lines""", uses=("numbered_lines",))
 def diff_lines(t):
-    return patches.diff_lines(t.diffs()).drop("old_next", "context_before")
+    return patches.diff_lines(t.diffs()).drop("old_next", "context_before", "hunk_id")
 
 
 @query("file_line_counts", f"""
@@ -44,7 +44,7 @@ def hunk_list(t):
 
 
 @query("change_blocks", f"""
-select {PR}, file_no, hunk_no, path, line_start, line_end, added, removed from blocks""", uses=("blocks",))
+select {PR}, file_no, hunk_no, 'HUNK_' || cast(hunk_idx as string) as hunk_id, path, line_start, line_end, added, removed from blocks""", uses=("blocks",))
 def change_blocks(t):
     return patches.change_blocks(t.diffs())
 
@@ -127,10 +127,7 @@ from reports r left join bugs b on {_MEETS} group by all
 union all select 'bug', b.task_id, b.bug_id, b.file, b.line_start, b.line_end, count(r.report_id)
 from bugs b left join reports r on {_MEETS} group by all""", uses=("bugs", "reports"))
 def overlap_match(t):
-    met_reports, met_bugs = scoring.overlap_match(t.view("bugs"), t.view("reports"))
-    shape = lambda rows, side, ident: rows.select(
-        F.lit(side).alias("side"), "task_id", F.col(ident).alias("id"), "file", "line_start", "line_end", "met")
-    return shape(met_reports, "report", "report_id").unionByName(shape(met_bugs, "bug", "bug_id"))
+    return scoring.overlap_match(t.view("bugs"), t.view("reports")).drop("bugs_in_file")
 
 
 _COUNTS = f"""

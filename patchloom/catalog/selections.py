@@ -85,7 +85,7 @@ def doc_files(t):
 @query("material_checks", "select repo, pr_id, rtl_file, kind, md5(case when kind is null then rtl_code end) as code_md5 from checked",
        uses=("checked",))
 def material_checks(t):
-    rows = materials.material_checks(t.candidates(), t.repo_config(), t.repo_files())
+    rows = materials.material_checks(t.stored_candidates, t.repo_config(), t.repo_files())
     return rows.select("repo", "pr_id", "rtl_file", "kind", F.when(F.col("kind").isNull(), F.md5("fixed_rtl_code")).alias("code_md5"))
 
 

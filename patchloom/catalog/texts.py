@@ -129,7 +129,7 @@ def doc_title(t):
 
 @query("format_doc_toc", "select repo, pr_id, md5(toc_text) as toc_md5 from materials", uses=("materials",))
 def format_doc_toc(t):
-    ready, _ = materials.materials_join(t.candidates(), t.repo_config(), t.repo_files())
+    ready, _ = materials.materials_join(t.stored_candidates, t.repo_config(), t.repo_files())
     return ready.select("repo", "pr_id", F.md5(titles.format_doc_toc(F.col("doc_toc"))).alias("toc_md5"))
 
 

@@ -91,6 +91,14 @@ def all_hunks(diff_text: Column) -> Column:
     return F.flatten(F.transform(sections(diff_text), hunks))
 
 
+def hunk_entries(diff_text: Column) -> Column:
+    """Array of (file_no, hunk_no, path, hunk) over a whole diff, in order; numbers start at 1."""
+    cut = F.transform(sections(diff_text), lambda s: F.struct(section_path(s).alias("path"), hunks(s).alias("hunks")))
+    number = lambda i: (i + 1).cast("bigint")
+    return F.flatten(F.transform(cut, lambda f, n: F.transform(f["hunks"], lambda h, i: F.struct(
+        number(n).alias("file_no"), number(i).alias("hunk_no"), f["path"].alias("path"), h.alias("hunk")))))
+
+
 def hunk_list(diff_text: Column) -> Column:
     """JSON array with one ``{"HUNK_n": code}`` object per hunk; numbering starts at 1."""
     named = F.transform(

@@ -9,7 +9,7 @@ from patchloom import fixed
 from patchloom.functions import answers as A
 from patchloom.functions import diffs, gates
 from patchloom.operators.materials import RECORD_KEY
-from patchloom.operators.patches import change_blocks, hunk_ids
+from patchloom.operators.patches import change_blocks, diff_hunks
 from patchloom.operators.pulls import PULL_KEY
 
 
@@ -69,7 +69,7 @@ def parse_hunk_shortlists(answers: DataFrame) -> DataFrame:
 def hunk_shortlists(answers: DataFrame, compare_diffs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Shortlist rows whose hunk exists in the diff, and the others as failures."""
     rows = parse_hunk_shortlists(answers)
-    known = hunk_ids(compare_diffs).select(*PULL_KEY, "hunk_id")
+    known = diff_hunks(compare_diffs).select(*PULL_KEY, "hunk_id")
     keys = [*PULL_KEY, "hunk_id"]
     return rows.join(known, keys, "left_semi"), rows.join(known, keys, "left_anti")
 
@@ -89,9 +89,9 @@ def parse_annotations(answers: DataFrame) -> DataFrame:
 def annotation_rows(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
     """Valid annotations with the changed line ranges of their hunk, one row each."""
     notes = bug_type_valid(parse_annotations(answers)).filter("valid").drop("valid")
+    annotated = compare_diffs.join(notes.select(*PULL_KEY), PULL_KEY, "left_semi")
     ranges = (
-        hunk_ids(compare_diffs)
-        .join(change_blocks(compare_diffs), [*PULL_KEY, "file_no", "hunk_no"], "inner")
+        change_blocks(annotated)
         .groupBy(*PULL_KEY, "hunk_id")
         .agg(F.array_sort(F.collect_list(F.struct("line_start", "line_end"))).alias("blocks"))
         .select(

@@ -66,11 +66,7 @@ def candidate_projection(patches: DataFrame) -> DataFrame:
 
 def single_rtl_candidates(patches: DataFrame) -> DataFrame:
     """Rows that change one hardware source file and nothing else outside tests, as candidates."""
-    return candidate_projection(single_rtl(patches))
-
-
-def single_rtl(rows: DataFrame) -> DataFrame:
-    return has_base_sha(single_non_test_file(single_rtl_file(rows)))
+    return candidate_projection(has_base_sha(single_non_test_file(single_rtl_file(patches))))
 
 
 def order_desc(rows: DataFrame, key: str) -> DataFrame:

@@ -46,12 +46,8 @@ def resolve_issues(linked: DataFrame, issues: DataFrame) -> DataFrame:
 
 def attach_issues(linked: DataFrame, issues: DataFrame) -> DataFrame:
     """Replace issue numbers by issue rows: numbers without a row vanish, the pull request stays."""
-    return attach_resolved(linked, resolve_issues(linked, issues))
-
-
-def attach_resolved(rows: DataFrame, resolved: DataFrame) -> DataFrame:
     none = F.array().cast(f"array<{schemas.ISSUE}>")
-    return rows.join(resolved, PULL_KEY, "left").withColumn(
+    return linked.join(resolve_issues(linked, issues), PULL_KEY, "left").withColumn(
         "resolved_issues", F.coalesce("resolved_issues", none)
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from patchloom import fixed, schemas
 from patchloom.functions import titles
-from patchloom.functions.paths import is_doc_file
+from patchloom.functions.paths import is_doc_file, rtl_lang
 from patchloom.functions.text import or_empty
 
 RECORD_KEY = ["repo", "pr_id"]
@@ -48,15 +48,16 @@ def material_checks(candidates: DataFrame, repo_config: DataFrame, repo_files: D
     commit, ``read`` for a source file missing at the merge commit, else null.
     """
     configured = repo_config.select("repo", F.lit(True).alias("_configured"))
-    sources = repo_files.select(
-        "repo", F.col("commit_sha").alias("merge_commit_sha"), F.col("path").alias("rtl_file"),
-        F.col("content").alias("fixed_rtl_code"),
-    )
-    rows = (
-        candidates.withColumn("rtl_file", F.try_element_at("rtl_files", F.lit(1)))
-        .join(configured, "repo", "left")
-        .join(sources, ["repo", "merge_commit_sha", "rtl_file"], "left")
+    rows = candidates.withColumn("rtl_file", F.try_element_at("rtl_files", F.lit(1)))
+    # File contents are cut down to the wanted paths by narrow keys before they move.
+    wanted = rows.select("repo", F.col("merge_commit_sha").alias("commit_sha"), F.col("rtl_file").alias("path"))
+    sources = (
+        repo_files.filter(rtl_lang(F.col("path")).isNotNull())
+        .join(wanted, ["repo", "commit_sha", "path"], "left_semi")
+        .select("repo", F.col("commit_sha").alias("merge_commit_sha"), F.col("path").alias("rtl_file"),
+                F.col("content").alias("fixed_rtl_code"))
     )
+    rows = rows.join(configured, "repo", "left").join(sources, ["repo", "merge_commit_sha", "rtl_file"], "left")
     reasons = [
         (F.col("_configured").isNull(), "checkout",
          F.concat(F.lit("no settings for repository "), F.col("repo"))),
@@ -78,10 +79,13 @@ def materials_join(
     """Materials rows and failure rows.
 
     A materials row carries the contents list of its merge commit, not the
-    documents' texts; those join by path once documents are selected.
+    documents' texts; those join by path once documents are selected. Candidates
+    are read several times, so they should come from a written table.
     """
     checked = material_checks(candidates, repo_config, repo_files)
-    toc = doc_toc(doc_files(repo_files, repo_config)).withColumnRenamed("commit_sha", "merge_commit_sha")
+    commits = candidates.select("repo", F.col("merge_commit_sha").alias("commit_sha"))
+    documents = doc_files(repo_files, repo_config).join(commits, ["repo", "commit_sha"], "left_semi")
+    toc = doc_toc(documents).withColumnRenamed("commit_sha", "merge_commit_sha")
     none = F.array().cast(f"array<{schemas.DOC_ENTRY}>")
     ready = (
         checked.filter("kind is null")
@@ -106,9 +110,11 @@ def official_specs(selected: DataFrame, materials: DataFrame, repo_files: DataFr
     """
     wanted = selected.select(*RECORD_KEY, F.posexplode("selected_doc_paths").alias("pos", "path"))
     commits = materials.select(*RECORD_KEY, F.col("merge_commit_sha").alias("commit_sha"))
+    wanted = wanted.join(commits, RECORD_KEY, "left")
+    file = ["repo", "commit_sha", "path"]
+    texts = repo_files.select(*file, "content").join(wanted.select(*file), file, "left_semi")
     blocks = (
-        wanted.join(commits, RECORD_KEY, "left")
-        .join(repo_files.select("repo", "commit_sha", "path", "content"), ["repo", "commit_sha", "path"], "left")
+        wanted.join(texts, file, "left")
         .select(*RECORD_KEY, "pos", titles.doc_block(F.col("path"), F.col("content")).alias("block"))
         .groupBy(*RECORD_KEY)
         .agg(F.array_sort(F.collect_list(F.struct("pos", "block"))).alias("blocks"))

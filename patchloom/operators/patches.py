@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchloom.functions import diffs
@@ -34,14 +34,17 @@ def file_line_counts(diffs_table: DataFrame) -> DataFrame:
 
 
 def diff_hunks(diffs_table: DataFrame) -> DataFrame:
-    """One row per hunk: positions and counts on both sides, and the hunk text."""
+    """One row per hunk: its running name ``HUNK_n`` within the diff, positions and counts, and its text."""
     text = F.col("hunk")
     return (
-        diff_files(diffs_table)
-        .select(*_FILE, "path", F.posexplode(diffs.hunks(F.col("file_diff"))).alias("pos", "hunk"))
+        diffs_table.select(*PULL_KEY, F.posexplode(diffs.hunk_entries(F.col("diff_text"))).alias("pos", "at"))
         .select(
-            *_FILE, "path",
-            (F.col("pos") + 1).cast("bigint").alias("hunk_no"),
+            *PULL_KEY,
+            F.concat(F.lit("HUNK_"), (F.col("pos") + 1).cast("string")).alias("hunk_id"),
+            "at.file_no", "at.hunk_no", "at.path", "at.hunk",
+        )
+        .select(
+            *_HUNK, "hunk_id", "path",
             diffs.hunk_number(text, 1).alias("old_start"),
             diffs.hunk_number(text, 2).alias("old_count"),
             diffs.hunk_number(text, 3).alias("new_start"),
@@ -59,7 +62,7 @@ def diff_lines(diffs_table: DataFrame) -> DataFrame:
     """
     rows = (
         diff_hunks(diffs_table)
-        .select(*_HUNK, "path", "old_start", "new_start", F.posexplode(diffs.hunk_body(F.col("hunk"))).alias("pos", "line"))
+        .select(*_HUNK, "hunk_id", "path", "old_start", "new_start", F.posexplode(diffs.hunk_body(F.col("hunk"))).alias("pos", "line"))
         .filter(~F.col("line").startswith("\\"))  # "\ No newline at end of file"
         .withColumn("kind", F.when(F.col("line").startswith("+"), "+").when(F.col("line").startswith("-"), "-").otherwise(" "))
     )
@@ -68,7 +71,7 @@ def diff_lines(diffs_table: DataFrame) -> DataFrame:
     old_at = F.col("old_start") + seen("-", " ")
     new_at = F.col("new_start") + seen("+", " ")
     return rows.select(
-        *_HUNK, "path",
+        *_HUNK, "hunk_id", "path",
         F.col("pos").cast("bigint").alias("pos"),
         "kind",
         F.when(F.col("kind") != "+", old_at).alias("old_line"),
@@ -86,7 +89,7 @@ def change_blocks(diffs_table: DataFrame) -> DataFrame:
     reuses the partitioning of the line window. A run that only inserts is
     anchored to the old line before it.
     """
-    keys = [*_HUNK, "path", "context_before"]
+    keys = [*_HUNK, "hunk_id", "path", "context_before"]
     return (
         diff_lines(diffs_table)
         .filter("kind <> ' '")
@@ -99,7 +102,7 @@ def change_blocks(diffs_table: DataFrame) -> DataFrame:
             F.count_if(F.col("kind") == "-").alias("removed"),
         )
         .select(
-            *_HUNK, "path",
+            *_HUNK, "hunk_id", "path",
             F.coalesce("first_old", F.greatest(F.col("next_old") - 1, F.lit(0).cast("bigint"))).alias("line_start"),
             F.coalesce("last_old", F.greatest(F.col("next_old") - 1, F.lit(0).cast("bigint"))).alias("line_end"),
             "added", "removed",
@@ -107,52 +110,43 @@ def change_blocks(diffs_table: DataFrame) -> DataFrame:
     )
 
 
-def hunk_ids(diffs_table: DataFrame) -> DataFrame:
-    """One row per hunk under its running name ``HUNK_n`` within the diff, with its file and hunk number."""
-    named = F.flatten(F.transform(
-        diffs.sections(F.col("diff_text")),
-        lambda s, f: F.transform(diffs.hunks(s), lambda h, i: F.struct(
-            (f + 1).cast("bigint").alias("file_no"), (i + 1).cast("bigint").alias("hunk_no"))),
-    ))
-    return diffs_table.select(*PULL_KEY, F.posexplode(named).alias("pos", "at")).select(
+def parse_diffs(compare_diffs: DataFrame) -> DataFrame:
+    """fix_patch, test_patch, modified_files, lines_added and lines_removed of every diff, within its row."""
+    text_of = lambda wanted: F.array_join(
+        F.transform(F.filter("_files", lambda f: wanted(f["is_test"])), lambda f: f["file_diff"]), ""
+    )
+    total = lambda name: F.aggregate(
+        "_files", F.lit(0).cast("bigint"), lambda acc, f: acc + f[name]
+    )
+    return compare_diffs.select(*PULL_KEY, diffs.file_entries(F.col("diff_text")).alias("_files")).select(
         *PULL_KEY,
-        F.concat(F.lit("HUNK_"), (F.col("pos") + 1).cast("string")).alias("hunk_id"),
-        F.col("at.file_no").alias("file_no"),
-        F.col("at.hunk_no").alias("hunk_no"),
+        text_of(lambda t: ~t).alias("fix_patch"),
+        text_of(lambda t: t).alias("test_patch"),
+        F.array_distinct(F.transform("_files", lambda f: f["path"])).alias("modified_files"),
+        total("added").alias("lines_added"),
+        total("removed").alias("lines_removed"),
     )
 
 
+def is_comparable() -> Column:
+    """Whether a pull request has a base and a head commit to compare."""
+    head = head_commit(F.col("commits"))["sha"]
+    return (F.coalesce(F.col("base.sha"), F.lit("")) != "") & (F.coalesce(head, F.lit("")) != "")
+
+
 def extract_patches(pulls: DataFrame, compare_diffs: DataFrame) -> DataFrame:
     """Add fix_patch, test_patch, modified_files, lines_added and lines_removed.
 
-    A row without a base commit, commits or a diff gets empty values. The split
-    happens inside the diff cell; the join on the pull request key is the only
-    exchange.
+    A row without a base commit, commits or a diff gets empty values. The join on
+    the pull request key is the only exchange.
     """
-    usable = (F.coalesce(F.col("base.sha"), F.lit("")) != "") & F.coalesce(
-        head_commit(F.col("commits"))["sha"] != "", F.lit(False)
-    )
-    entries = F.when(usable, diffs.file_entries(F.col("diff_text")))
-    text_of = lambda wanted: F.array_join(
-        F.transform(F.filter("_files", lambda f: wanted(f["is_test"])), lambda f: f["file_diff"]), ""
-    )
-    total = lambda name: F.aggregate(
-        "_files", F.lit(0).cast("bigint"), lambda acc, f: acc + f[name]
-    )
-    zero = F.lit(0).cast("bigint")
-    return (
-        pulls.join(compare_diffs.select(*PULL_KEY, "diff_text"), PULL_KEY, "left")
-        .withColumn("_files", entries)
-        .withColumns({
-            "fix_patch": F.coalesce(text_of(lambda t: ~t), F.lit("")),
-            "test_patch": F.coalesce(text_of(lambda t: t), F.lit("")),
-            "modified_files": F.coalesce(
-                F.array_distinct(F.transform("_files", lambda f: f["path"])), F.array().cast("array<string>")),
-            "lines_added": F.coalesce(total("added"), zero),
-            "lines_removed": F.coalesce(total("removed"), zero),
-        })
-        .drop("_files", "diff_text")
-    )
+    empty = {
+        "fix_patch": F.lit(""), "test_patch": F.lit(""), "modified_files": F.array().cast("array<string>"),
+        "lines_added": F.lit(0).cast("bigint"), "lines_removed": F.lit(0).cast("bigint"),
+    }
+    return pulls.join(parse_diffs(compare_diffs), PULL_KEY, "left").withColumns({
+        name: F.coalesce(F.when(is_comparable(), F.col(name)), none) for name, none in empty.items()
+    })
 
 
 def has_fix_patch(patches: DataFrame) -> DataFrame:

@@ -16,32 +16,43 @@ from pyspark.sql import functions as F
 from patchloom import fixed
 
 _FILE = ["task_id", "file"]
+_COUNTERS = ["bug_start", "bug_end", "report_start", "report_end", "bug_rows"]
+_ROW = ["side", "task_id", "id", "file", "line_start", "line_end"]
 
 
-def _ranges(rows: DataFrame, ident: str) -> DataFrame:
-    return rows.select(
-        *_FILE, F.col(ident), F.col("line_start").cast("bigint"), F.col("line_end").cast("bigint")
-    )
+def _points(bugs: DataFrame, reports: DataFrame) -> DataFrame:
+    """Two rows per range, one for each end, with what that end adds to the counters of its line.
 
+    A range that ends before it starts adds nothing, and so never matches.
+    """
 
-def _well_formed():
-    return F.col("line_start") <= F.col("line_end")
+    def of(rows: DataFrame, ident: str, side: str) -> DataFrame:
+        bounds = {edge: F.col(f"line_{edge}").cast("bigint") for edge in ("start", "end")}
+        sound = F.coalesce(bounds["start"] <= bounds["end"], F.lit(False)).cast("bigint")
+        adds = {f"{side}_start": ("start", sound), f"{side}_end": ("end", sound)}
+        if side == "bug":
+            adds["bug_rows"] = ("start", F.lit(1).cast("bigint"))
+        ends = [
+            F.struct(
+                F.lit(edge).alias("edge"), bounds[edge].alias("line"),
+                *[(adds[c][1] if c in adds and adds[c][0] == edge else F.lit(0).cast("bigint")).alias(c) for c in _COUNTERS],
+            )
+            for edge in ("start", "end")
+        ]
+        return rows.select(
+            F.lit(side).alias("side"), "task_id", F.col(ident).alias("id"), "file",
+            bounds["start"].alias("line_start"), bounds["end"].alias("line_end"), F.inline(F.array(*ends)),
+        )
 
+    return of(bugs, "bug_id", "bug").unionByName(of(reports, "report_id", "report"))
 
-def line_profile(bugs: DataFrame, reports: DataFrame) -> DataFrame:
-    """Per (task, file, line): how many bugs and reports start up to it, and end before it."""
-    counters = ["bug_start", "bug_end", "report_start", "report_end"]
-    parts = []
-    for rows, side in ((bugs, "bug"), (reports, "report")):
-        ends = F.array(*[
-            F.struct(F.col(f"line_{edge}").cast("bigint").alias("line"),
-                     *[F.lit(int(c == f"{side}_{edge}")).cast("bigint").alias(c) for c in counters])
-            for edge in ("start", "end")
-        ])
-        parts.append(rows.filter(_well_formed()).select(*_FILE, F.inline(ends)))
-    per_line = parts[0].unionByName(parts[1]).groupBy(*_FILE, "line").agg(*[F.sum(c).alias(c) for c in counters])
-    upto = Window.partitionBy(*_FILE).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*_FILE).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+
+def line_profile(points: DataFrame) -> DataFrame:
+    """Per (task, file, line): ranges of each side started up to it and ended before it, and bugs in the file."""
+    per_line = points.groupBy(*_FILE, "line").agg(*[F.sum(c).alias(c) for c in _COUNTERS])
+    by_file = Window.partitionBy(*_FILE)
+    upto = by_file.orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    before = by_file.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
     return per_line.select(
         *_FILE, "line",
@@ -49,56 +60,52 @@ def line_profile(bugs: DataFrame, reports: DataFrame) -> DataFrame:
         F.coalesce(F.sum("bug_end").over(before), zero).alias("bugs_ended"),
         F.sum("report_start").over(upto).alias("reports_started"),
         F.coalesce(F.sum("report_end").over(before), zero).alias("reports_ended"),
+        F.sum("bug_rows").over(by_file).alias("bugs_in_file"),
     )
 
 
-def _met(rows: DataFrame, profile: DataFrame, other: str) -> DataFrame:
-    started = profile.select(*_FILE, F.col("line").alias("line_end"), f"{other}_started")
-    ended = profile.select(*_FILE, F.col("line").alias("line_start"), f"{other}_ended")
-    met = F.when(_well_formed(), F.col(f"{other}_started") - F.col(f"{other}_ended")).otherwise(0)
+def overlap_match(bugs: DataFrame, reports: DataFrame) -> DataFrame:
+    """Every range of both sides with the number of ranges it meets on the other side.
+
+    ``side`` tells bugs from reports; ``bugs_in_file`` counts the bug ranges of
+    the same task and file. Equal rows come out once.
+    """
+    points = _points(bugs, reports).select(*_ROW, "edge", "line", *_COUNTERS)
+    profile = line_profile(points)
+    started = F.when(F.col("side") == "bug", F.col("reports_started")).otherwise(F.col("bugs_started"))
+    ended = F.when(F.col("side") == "bug", F.col("reports_ended")).otherwise(F.col("bugs_ended"))
+    sound = F.coalesce(F.col("line_start") <= F.col("line_end"), F.lit(False))
+    met = F.when(sound, F.col("started") - F.col("ended")).otherwise(F.lit(0).cast("bigint"))
     return (
-        rows.join(started, [*_FILE, "line_end"], "left")
-        .join(ended, [*_FILE, "line_start"], "left")
-        .withColumn("met", F.coalesce(met, F.lit(0).cast("bigint")))
-        .drop(f"{other}_started", f"{other}_ended")
+        points.select(*_ROW, "edge", "line")
+        .join(profile, [*_FILE, "line"], "inner")
+        .groupBy(*_ROW)
+        .agg(
+            F.max(F.when(F.col("edge") == "end", started)).alias("started"),
+            F.max(F.when(F.col("edge") == "start", ended)).alias("ended"),
+            F.max("bugs_in_file").alias("bugs_in_file"),
+        )
+        .select(*_ROW, met.alias("met"), "bugs_in_file")
     )
 
 
-def overlap_match(bugs: DataFrame, reports: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Reports with the number of bug ranges they meet, and bugs with the number of report ranges."""
-    bugs, reports = _ranges(bugs, "bug_id"), _ranges(reports, "report_id")
-    profile = line_profile(bugs, reports)
-    return _met(reports, profile, "bugs"), _met(bugs, profile, "reports")
-
-
 def score_counts(bugs: DataFrame, reports: DataFrame) -> DataFrame:
     """Per task: reports, matched reports, reports in a bug file, bugs, matched bugs.
 
     A report or bug of several ranges matches when any of them does.
     """
-    met_reports, met_bugs = overlap_match(bugs, reports)
-    bug_files = bugs.select(*_FILE).distinct().withColumn("_bug_file", F.lit(1))
     flag = lambda condition: F.max(F.when(condition, 1).otherwise(0))
-    by_report = (
-        met_reports.join(bug_files, _FILE, "left")
-        .groupBy("task_id", "report_id")
-        .agg(flag(F.col("met") > 0).alias("hit"), flag(F.col("_bug_file").isNotNull()).alias("file_hit"))
-        .select(
-            "task_id", F.lit(1).alias("reports"), F.col("hit").alias("matched_reports"),
-            F.col("file_hit").alias("file_hits"), F.lit(0).alias("bugs"), F.lit(0).alias("matched_bugs"),
-        )
+    per_id = overlap_match(bugs, reports).groupBy("task_id", "side", "id").agg(
+        flag(F.col("met") > 0).alias("hit"), flag(F.col("bugs_in_file") > 0).alias("file_hit")
     )
-    by_bug = (
-        met_bugs.groupBy("task_id", "bug_id")
-        .agg(flag(F.col("met") > 0).alias("hit"))
-        .select(
-            "task_id", F.lit(0).alias("reports"), F.lit(0).alias("matched_reports"),
-            F.lit(0).alias("file_hits"), F.lit(1).alias("bugs"), F.col("hit").alias("matched_bugs"),
-        )
+    of = lambda side, value: F.sum(F.when(F.col("side") == side, value).otherwise(0))
+    return per_id.groupBy("task_id").agg(
+        of("report", 1).alias("reports"),
+        of("report", F.col("hit")).alias("matched_reports"),
+        of("report", F.col("file_hit")).alias("file_hits"),
+        of("bug", 1).alias("bugs"),
+        of("bug", F.col("hit")).alias("matched_bugs"),
     )
-    return by_report.unionByName(by_bug).groupBy("task_id").agg(*[
-        F.sum(c).alias(c) for c in ("reports", "matched_reports", "file_hits", "bugs", "matched_bugs")
-    ])
 
 
 def with_scores(counts: DataFrame) -> DataFrame:

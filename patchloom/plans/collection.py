@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from patchloom.operators.candidates import candidate_projection, single_rtl
-from patchloom.operators.issues import attach_issues, attach_resolved, resolve_issues
-from patchloom.operators.patches import extract_patches, has_fix_patch
+from patchloom.operators.candidates import candidate_projection, single_non_test_file, single_rtl_file
+from patchloom.operators.issues import attach_issues
+from patchloom.operators.patches import has_fix_patch, is_comparable, parse_diffs
 from patchloom.operators.pulls import (
-    dedup_last_wins, drop_unfetched_merged, link_answered_issues, link_issues, merged_only,
+    PULL_KEY, dedup_last_wins, drop_unfetched_merged, link_answered_issues, link_issues, merged_only,
 )
 from patchloom.operators.incremental import resume_anti
+from patchloom.session import materialised
 
 
 def collected_pulls(dump: DataFrame, order: list[str], done: DataFrame | None = None) -> DataFrame:
@@ -23,17 +24,18 @@ def collected_pulls(dump: DataFrame, order: list[str], done: DataFrame | None =
 def candidates_plan(
     pulls: DataFrame, issues: DataFrame, compare_diffs: DataFrame, issue_answers: DataFrame | None = None,
 ) -> DataFrame:
-    """Candidates, as one lazy plan.
+    """Candidates of all repositories.
 
-    Issue references come from the text, or from parsed answers when given. Every
-    join is on the pull request key; diff text is filtered to linked, merged pull
-    requests by the join it takes part in.
+    Issue references come from the text, or from parsed answers when given. Both
+    large tables are read once: a diff is judged by its files before it is
+    shuffled, so only fitting diffs meet the linked pull requests. What is left
+    is written to the shared folder, since attaching issues reads it twice.
     """
-    merged = merged_only(pulls)
-    linked = link_issues(merged) if issue_answers is None else link_answered_issues(merged, issue_answers)
-    patches = single_rtl(has_fix_patch(extract_patches(linked, compare_diffs)))
-    # Issues are resolved from the linked rows, not from the patches: diffs are read once.
-    return candidate_projection(attach_resolved(patches, resolve_issues(linked, issues)))
+    comparable = merged_only(pulls).filter(is_comparable())
+    linked = link_issues(comparable) if issue_answers is None else link_answered_issues(comparable, issue_answers)
+    fitting = single_non_test_file(single_rtl_file(has_fix_patch(parse_diffs(compare_diffs))))
+    patches = materialised(linked.join(fitting, PULL_KEY, "inner"), "single-rtl")
+    return candidate_projection(attach_issues(patches, issues))
 
 
 def issue_linked(pulls: DataFrame, issues: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parsed(value: Column, schema: str) -> Column:
-    whole = T.StructType(T._parse_datatype_string(schema).fields + [T.StructField(_BAD, T.StringType())])
+    whole = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField(_BAD, T.StringType())])
     return F.from_json(value, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
 
 
@@ -52,7 +52,7 @@ def with_records(lines: DataFrame, schema: str) -> DataFrame:
 
 
 def _fields(schema: str) -> list[Column]:
-    return [F.col(f"_r.{name}").alias(name) for name in T._parse_datatype_string(schema).fieldNames()]
+    return [F.col(f"_r.{name}").alias(name) for name in T.StructType.fromDDL(schema).fieldNames()]
 
 
 def read_jsonl_tolerant(lines: DataFrame, schema: str) -> DataFrame:

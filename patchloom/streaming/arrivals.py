@@ -7,7 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from patchloom.sources.jsonl import read_jsonl_tolerant
 
-_STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def arriving_records(spark: SparkSession, folder: str, schema: str, keys: list[str]) -> DataFrame:
@@ -25,13 +26,17 @@ def stream_dedup(
     the checkpoint. They live in an on-disk state store, so their number is not
     bounded by memory. ``checkpoint`` and ``sink`` belong on shared storage.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_ON_DISK)
-    return (
-        arriving_records(spark, folder, schema, keys)
-        .writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    previous = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, _ON_DISK)
+    try:
+        return (
+            arriving_records(spark, folder, schema, keys)
+            .writeStream.format("parquet")
+            .option("path", sink)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(_STATE_STORE, previous)
