@@ -34,11 +34,23 @@ def _head(section: Column) -> Column:
     return F.substring_index(section, "\n@@ -", 1)
 
 
+def _paths_of(entries: Column) -> Column:
+    """Adds ``path`` to an array of (head, ...): the new path, or the old one of a deleted file, or
+    the first line's where there are no hunks."""
+    found = F.transform(entries, lambda f: f.withField("path", F.regexp_extract(f["head"], _PATH, 1)))
+    return F.transform(found, lambda f: f.withField("path", F.when(f["path"] != "", f["path"]).otherwise(
+        F.regexp_extract(f["head"], _NAMED_PATH, 1))))
+
+
 def section_path(section: Column) -> Column:
-    """New path of a file; the old one when it was deleted; the first line's when there are no hunks."""
-    head = _head(section)
-    path = F.regexp_extract(head, _PATH, 1)
-    return F.when(path != "", path).otherwise(F.regexp_extract(head, _NAMED_PATH, 1))
+    """Path of one file of a diff."""
+    return F.element_at(_paths_of(F.array(F.struct(_head(section).alias("head")))), 1)["path"]
+
+
+def paths(diff_text: Column) -> Column:
+    """Distinct paths of a diff, in order of first appearance; nothing else of the files is read."""
+    heads = F.transform(sections(diff_text), lambda s: F.struct(_head(s).alias("head")))
+    return F.array_distinct(F.transform(_paths_of(heads), lambda f: f["path"]))
 
 
 def _lines_starting(text: Column, sign: str) -> Column:
@@ -63,22 +75,14 @@ def file_entries(diff_text: Column) -> Column:
 
     Built in steps, each of which reads what the one before has worked out.
     """
-    cut = F.transform(sections(diff_text), lambda s: F.struct(s.alias("file_diff"), _head(s).alias("head")))
-    found = F.transform(cut, lambda f: F.struct(
-        f["file_diff"].alias("file_diff"),
-        f["head"].alias("head"),
-        F.regexp_extract(f["head"], _PATH, 1).alias("path"),
-    ))
-    named = F.transform(found, lambda f: F.struct(
-        F.when(f["path"] != "", f["path"]).otherwise(F.regexp_extract(f["head"], _NAMED_PATH, 1)).alias("path"),
+    cut = F.transform(sections(diff_text), lambda s: F.struct(_head(s).alias("head"), s.alias("file_diff")))
+    return F.transform(_paths_of(cut), lambda f: F.struct(
+        f["path"].alias("path"),
+        is_test_path(f["path"]).alias("is_test"),
         _changed_lines(f["file_diff"], f["head"], "+").alias("added"),
         _changed_lines(f["file_diff"], f["head"], "-").alias("removed"),
         f["file_diff"].alias("file_diff"),
     ))
-    return F.transform(named, lambda f: F.struct(
-        f["path"].alias("path"), is_test_path(f["path"]).alias("is_test"),
-        f["added"].alias("added"), f["removed"].alias("removed"), f["file_diff"].alias("file_diff"),
-    ))
 
 
 def hunks(section: Column) -> Column:

@@ -30,6 +30,15 @@ def single_non_test_file(rows: DataFrame) -> DataFrame:
     return rows.filter(F.size(non_test_files(F.col("modified_files"))) == 1)
 
 
+def changes_one_rtl_file(modified_files: Column) -> Column:
+    """Both file conditions in one expression, for a filter over paths that are costly to find.
+
+    The one-element array binds the paths, so they are worked out once per row.
+    """
+    return F.exists(F.array(modified_files), lambda paths: (F.size(rtl_files(paths)) == 1) & (
+        F.size(non_test_files(paths)) == 1))
+
+
 def has_base_sha(rows: DataFrame) -> DataFrame:
     return rows.filter(F.coalesce(F.col("base.sha"), F.lit("")) != "")
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from patchloom.operators.candidates import candidate_projection, single_non_test_file, single_rtl_file
+from patchloom.functions import diffs
+from patchloom.operators.candidates import candidate_projection, changes_one_rtl_file
 from patchloom.operators.issues import attach_issues
-from patchloom.operators.patches import has_fix_patch, is_comparable, parse_diffs
+from patchloom.operators.patches import is_comparable, parse_diffs
 from patchloom.operators.pulls import (
     PULL_KEY, dedup_last_wins, drop_unfetched_merged, link_answered_issues, link_issues, merged_only,
 )
@@ -27,13 +29,14 @@ def candidates_plan(
     """Candidates of all repositories.
 
     Issue references come from the text, or from parsed answers when given. Both
-    large tables are read once: a diff is judged by its files before it is
-    shuffled, so only fitting diffs meet the linked pull requests. What is left
+    large tables are read once: a diff is judged by its paths before it is parsed
+    and shuffled, so only fitting diffs meet the linked pull requests. What is left
     is written to the shared folder, since attaching issues reads it twice.
     """
     comparable = merged_only(pulls).filter(is_comparable())
     linked = link_issues(comparable) if issue_answers is None else link_answered_issues(comparable, issue_answers)
-    fitting = single_non_test_file(single_rtl_file(has_fix_patch(parse_diffs(compare_diffs))))
+    # A change of one source file always leaves a fix patch, so that needs no filter of its own.
+    fitting = parse_diffs(compare_diffs.filter(changes_one_rtl_file(diffs.paths(F.col("diff_text")))))
     patches = materialised(linked.join(fitting, PULL_KEY, "inner"), "single-rtl")
     return candidate_projection(attach_issues(patches, issues))
 

@@ -13,7 +13,9 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Diff and page text packs well: small partitions on disk are large once unpacked.
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
 }
 
