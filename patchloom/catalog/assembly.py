@@ -261,7 +261,7 @@ def _pure_client():
 select 'refs' as stage, org || '/' || repo as repo, number as pr_id, case when length(text) % 10 <> 9 then '{"length": ' || cast(length(text) as string) || '}' end as content,
  case when length(text) % 10 = 9 then 'request refused' end as error from texts""", uses=("texts",))
 def answer_requests(t):
-    text = pr_text(F.col("title"), F.col("body"), F.transform("commits", lambda c: c["message"]))
+    text = pr_text(F.col("title"), F.col("body"), F.col("commits.message"))
     requests = t.pulls().select(
         repo_slug(F.col("org"), F.col("repo")).alias("repo"), F.col("number").alias("pr_id"), text.alias("request"))
     return answering.answer_requests(requests, "refs", _pure_client).drop("attempt")

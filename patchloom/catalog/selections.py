@@ -20,7 +20,7 @@ def _modified(t):
 
 def _with_text(t):
     return t.pulls().withColumn("text", strip_html_comments(
-        pr_text(F.col("title"), F.col("body"), F.transform("commits", lambda c: c["message"]))))
+        pr_text(F.col("title"), F.col("body"), F.col("commits.message"))))
 
 
 @query("merged_only", f"select {PR} from merged", uses=("merged",))

@@ -15,7 +15,7 @@ _KEY = ("org", "repo", "number")
 
 def _text(t):
     return t.pulls().select(*_KEY, refs.pr_text(
-        F.col("title"), F.col("body"), F.transform("commits", lambda c: c["message"])).alias("text"))
+        F.col("title"), F.col("body"), F.col("commits.message")).alias("text"))
 
 
 @query("pr_text", f"select {PR}, md5(text) as text_md5, length(text) as characters from texts", uses=("texts",))

@@ -43,3 +43,12 @@ def iso_utc(moment: Column) -> Column:
     """A timestamp as ISO text in UTC, whatever the session's zone is."""
     utc = F.convert_timezone(None, F.lit("UTC"), moment.cast("timestamp_ntz"))
     return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+
+
+def once(name: str, value: Column) -> Column:
+    """A costly value, worked out once per row, for ``select("*", once(...))``.
+
+    A filter on a plain column is moved below the projection and works the value
+    out a second time; it cannot move below this one-row generator.
+    """
+    return F.inline(F.array(F.struct(value.alias(name))))

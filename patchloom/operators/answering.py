@@ -18,6 +18,7 @@ from patchloom.functions import answers as A
 from patchloom.functions import requests as R
 from patchloom.functions import titles
 from patchloom.functions.refs import pr_text
+from patchloom.functions.text import once
 from patchloom.operators.materials import RECORD_KEY, official_specs
 from patchloom.operators.pulls import dedup_last_wins
 
@@ -40,7 +41,7 @@ def latest_answers(answers: DataFrame, stage: str) -> DataFrame:
 
 def issue_ref_requests(pulls: DataFrame) -> DataFrame:
     """One request per pull request. The text keeps its comments."""
-    text = pr_text(F.col("title"), F.col("body"), F.transform(F.col("commits"), lambda c: c["message"]))
+    text = pr_text(F.col("title"), F.col("body"), F.col("commits.message"))
     return pulls.select("org", "repo", "number", R.fill(R.ISSUE_REFS, text=text).alias("request"))
 
 
@@ -132,7 +133,7 @@ def parse_selection_answers(answers: DataFrame, materials: DataFrame) -> tuple[D
         *RECORD_KEY, F.transform("doc_toc", lambda e: e["path"]).alias("_available")
     )
     value = A.parsed(A.unfenced(F.col("content")))
-    rows = answers.withColumn("_value", F.when(F.col("error").isNull(), value))
+    rows = answers.select("*", once("_value", F.when(F.col("error").isNull(), value)))
     good = A.is_object(F.col("_value"))
     selected = rows.filter(good).join(available, RECORD_KEY, "left").select(
         *RECORD_KEY,
@@ -152,7 +153,7 @@ def parse_spec_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_review_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Reviews with plain booleans and text; and failure rows."""
     value = A.parsed(A.unfenced(F.col("content")))
-    rows = answers.withColumn("_value", F.when(F.col("error").isNull(), value))
+    rows = answers.select("*", once("_value", F.when(F.col("error").isNull(), value)))
     good = A.review_is_readable(F.col("_value"))
     reviews = rows.filter(good).select(
         *RECORD_KEY,

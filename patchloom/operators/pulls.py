@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchloom.functions import refs
-from patchloom.functions.text import or_empty
+from patchloom.functions.text import once, or_empty
 
 PULL_KEY = ["org", "repo", "number"]
 
@@ -57,10 +57,10 @@ def with_head_commit(pulls: DataFrame) -> DataFrame:
 def link_issues(pulls: DataFrame, own_repository_only: bool = False) -> DataFrame:
     """Add ``issue_numbers``, the issues a pull request names; drop rows that name none."""
     text = refs.strip_html_comments(
-        refs.pr_text(F.col("title"), F.col("body"), F.transform(F.col("commits"), lambda c: c["message"]))
+        refs.pr_text(F.col("title"), F.col("body"), F.col("commits.message"))
     )
     own = (F.col("org"), F.col("repo")) if own_repository_only else (None, None)
-    return has_issue_ref(pulls.withColumn("issue_numbers", refs.ref_union(text, *own)))
+    return has_issue_ref(pulls.select("*", once("issue_numbers", refs.ref_union(text, *own))))
 
 
 def link_answered_issues(pulls: DataFrame, answers: DataFrame) -> DataFrame:

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 def repo_files_scan(spark: SparkSession, root: str) -> DataFrame:
     """Rows (repo, commit_sha, path, content) of an exported tree ``root/<org>/<repo>/<commit>/<path>``.
 
-    Each file is one whole text. A landed table of the same columns serves as well.
+    Each file is one whole text; one that is not UTF-8 has null content, and is
+    passed over by whoever needs its text. File scans leave out files of no
+    bytes, so these give no row. A landed table of the same columns serves as
+    well, and keeps them.
     """
-    below = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+/[^/]+/[0-9a-f]{7,64}/.+)\z", 1)
-    parts = F.split(F.url_decode(below), "/", 4)
+    below = F.regexp_extract("path", r"/([^/]+/[^/]+/[0-9a-f]{7,64}/.+)\z", 1)
+    parts = F.split(below, "/", 4)
     return (
-        spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(root)
-        .select(parts.alias("p"), F.col("value").alias("content"))
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        .select(parts.alias("p"), F.try_validate_utf8(F.col("content").cast("string")).alias("content"))
         .select(
             F.concat_ws("/", F.get("p", 0), F.get("p", 1)).alias("repo"),
             F.get("p", 2).alias("commit_sha"), F.get("p", 3).alias("path"), "content",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.functions import answers as A
-from patchloom.functions.text import strip
+from patchloom.functions.text import once, strip
 
 _BAD = "_bad_line"
 
@@ -45,7 +45,7 @@ def with_records(lines: DataFrame, schema: str) -> DataFrame:
     the first one stumbled over.
     """
     value = strip(F.col("value"))
-    rows = lines.withColumn("value", value).filter(F.col("value") != "").withColumn("_r", _parsed(F.col("value"), schema))
+    rows = lines.withColumn("value", value).filter(F.col("value") != "").select("*", once("_r", _parsed(F.col("value"), schema)))
     odd = F.col("_r").isNull() | F.col(f"_r.{_BAD}").isNotNull() | ~F.col("value").startswith("{")
     broken = F.when(odd, _broken(F.col("value"))).otherwise(F.lit(False))
     return rows.withColumn("broken", broken).withColumn("mistyped", odd & ~F.col("broken"))
