@@ -7,6 +7,7 @@ from patchloom.catalog.parts import PR
 from patchloom.catalog.registry import joined, query
 from patchloom.functions import answers, refs, titles
 from patchloom.functions import requests as R
+from patchloom.functions.text import once
 from patchloom.operators import answering, candidates, materials
 from patchloom.operators.pulls import link_answered_issues
 
@@ -91,7 +92,7 @@ select a.stage, a.repo, a.pr_id, a.attempt, coalesce(json_type(v) = 'OBJECT', fa
 from s2_json a left join (select stage, repo, pr_id, attempt, string_agg(p, ',' order by k) as paths from parsed_paths group by all) p
  on p.stage = a.stage and p.repo = a.repo and p.pr_id = a.pr_id and p.attempt = a.attempt""", uses=("s2_json", "parsed_paths"))
 def parse_selection_answer(t):
-    rows = t.view("model_answers").withColumn("v", answers.parsed(answers.unfenced(F.col("content"))))
+    rows = t.view("model_answers").select("*", once("v", answers.parsed(answers.unfenced(F.col("content")))))
     good = answers.is_object(F.col("v"))
     return rows.select(
         "stage", "repo", "pr_id", "attempt", good.alias("readable"),
@@ -103,7 +104,7 @@ def parse_selection_answer(t):
 select repo, pr_id, attempt, passed, {", ".join(fixed.REVIEW_CHECKS)}, reasoning from parsed_reviews where stage = 'review' and ok""",
        uses=("parsed_reviews",))
 def parse_review_answer(t):
-    rows = t.view("model_answers").filter("stage = 'review'").withColumn("v", answers.parsed(answers.unfenced(F.col("content"))))
+    rows = t.view("model_answers").filter("stage = 'review'").select("*", once("v", answers.parsed(answers.unfenced(F.col("content")))))
     v = F.col("v")
     return rows.filter(F.col("error").isNull() & answers.review_is_readable(v)).select(
         "repo", "pr_id", "attempt", answers.truthy(answers.at(v, "$.passed")).alias("passed"),
@@ -146,7 +147,7 @@ select repo, pr_id, coalesce(md5(case when spec like '### %' then spec end), md5
 from ({_SELECTED}) x""", uses=("s2_json", "parsed_paths", "pulls", "repo_files"))
 def format_official_spec(t):
     value = answers.parsed(answers.unfenced(F.col("content")))
-    chosen = t.view("model_answers").filter("attempt = 1").withColumn("v", value).filter(answers.is_object(F.col("v"))).select(
+    chosen = t.view("model_answers").filter("attempt = 1").select("*", once("v", value)).filter(answers.is_object(F.col("v"))).select(
         "repo", "pr_id", F.array_distinct(answers.selected_paths(F.col("v"))).alias("selected_doc_paths"))
     commits = t.view("pulls").select(
         candidates.repo_slug(F.col("org"), F.col("repo")).alias("repo"), F.col("number").alias("pr_id"), "merge_commit_sha")

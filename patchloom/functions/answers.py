@@ -64,16 +64,20 @@ def is_whole_number(value: Column) -> Column:
     return F.coalesce(shape(value).rlike(r"\A(?:BIGINT|DECIMAL\([0-9]+,0\))\z"), F.lit(False))
 
 
+def _when_string(value: Column) -> Column:
+    """The text of a variant that is a string; null for any other kind."""
+    # A one-element array binds the value: it is looked up once, not once per use.
+    return F.try_variant_get(F.get(F.filter(F.array(value), is_string), 0), "$", "string")
+
+
 def string_at(value: Column, path: str) -> Column:
     """A member that is a string; null for any other kind."""
-    member = at(value, path)
-    return F.when(is_string(member), F.try_variant_get(member, "$", "string"))
+    return _when_string(at(value, path))
 
 
-def items(value: Column) -> Column:
+def items(value: Column, path: str = "$") -> Column:
     """Elements of an array; an empty array for any other kind."""
-    elements = F.try_variant_get(value, "$", "array<variant>")
-    return F.when(is_array(value), elements).otherwise(F.array().cast("array<variant>"))
+    return F.coalesce(F.try_variant_get(value, path, "array<variant>"), F.array().cast("array<variant>"))
 
 
 def plain_text(value: Column) -> Column:
@@ -88,13 +92,13 @@ def truthy(value: Column) -> Column:
 
     The text ``"false"`` therefore counts as true.
     """
-    empty = F.to_json(value).isin("null", "false", '""', "[]", "{}")
-    zero = F.coalesce(
-        shape(value).rlike(r"\A(?:BIGINT|DOUBLE|FLOAT|DECIMAL.*)\z")
-        & (F.try_variant_get(value, "$", "double") == 0.0),
-        F.lit(False),
-    )
-    return F.coalesce(~empty & ~zero, F.lit(False))
+
+    def counts(v: Column) -> Column:
+        empty = F.to_json(v).isin("null", "false", '""', "[]", "{}")
+        zero = shape(v).rlike(r"\A(?:BIGINT|DOUBLE|FLOAT|DECIMAL.*)\z") & (F.try_variant_get(v, "$", "double") == 0.0)
+        return F.coalesce(~empty & ~F.coalesce(zero, F.lit(False)), F.lit(False))
+
+    return F.exists(F.array(value), counts)
 
 
 def issue_numbers(value: Column) -> Column:
@@ -104,7 +108,7 @@ def issue_numbers(value: Column) -> Column:
     strings and positive whole numbers count, all else is passed over. Null for
     an answer of another shape.
     """
-    listed = F.when(is_object(value), items(at(value, "$.issues"))).when(is_array(value), items(value))
+    listed = F.when(is_object(value), items(value, "$.issues")).when(is_array(value), items(value))
     texts = F.transform(
         listed,
         lambda v: F.when(is_string(v), strip(F.try_variant_get(v, "$", "string"))).when(
@@ -117,11 +121,8 @@ def issue_numbers(value: Column) -> Column:
 
 def selected_paths(value: Column) -> Column:
     """Text elements of ``selected_doc_paths``, in order; empty when it is no array."""
-    texts = F.transform(
-        items(at(value, "$.selected_doc_paths")),
-        lambda v: F.when(is_string(v), F.try_variant_get(v, "$", "string")),
-    )
-    return F.filter(texts, lambda t: t.isNotNull())
+    strings = F.filter(items(value, "$.selected_doc_paths"), is_string)
+    return F.transform(strings, lambda v: F.try_variant_get(v, "$", "string"))
 
 
 def selection_reason(value: Column) -> Column:

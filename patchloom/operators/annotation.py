@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from patchloom import fixed
 from patchloom.functions import answers as A
 from patchloom.functions import diffs, gates
+from patchloom.functions.text import once
 from patchloom.operators.materials import RECORD_KEY
 from patchloom.operators.patches import change_blocks, diff_hunks
 from patchloom.operators.pulls import PULL_KEY
@@ -44,26 +45,26 @@ def bug_type_valid(rows: DataFrame) -> DataFrame:
 
 def parse_hunk_shortlists(answers: DataFrame) -> DataFrame:
     """One row per hunk named in a shortlist answer: verdict, hunk_id, reason."""
-    value = A.parsed(A.unfenced(F.col("content")))
+    rows = answers.select(*PULL_KEY, once("_value", A.parsed(A.unfenced(F.col("content")))))
 
     def entries(path: str, verdict: str):
-        return F.transform(A.items(A.at(value, path)), lambda e: F.struct(F.lit(verdict).alias("verdict"), e.alias("entry")))
+        return F.transform(A.items(F.col("_value"), path), lambda e: F.struct(F.lit(verdict).alias("verdict"), e.alias("entry")))
 
     listed = F.concat(
         entries("$.candidate_root_cause_hunks", "candidate"),
         entries("$.filtered_non_root_cause_hunks", "filtered"),
     )
     named = F.flatten(F.transform(listed, lambda e: F.transform(
-        A.items(A.at(e["entry"], "$.hunk_ids")),
+        F.filter(A.items(e["entry"], "$.hunk_ids"), A.is_string),
         lambda h: F.struct(
             e["verdict"].alias("verdict"),
-            F.when(A.is_string(h), F.try_variant_get(h, "$", "string")).alias("hunk_id"),
+            F.try_variant_get(h, "$", "string").alias("hunk_id"),
             A.string_at(e["entry"], "$.reason").alias("reason"),
         ),
     )))
-    return answers.select(*PULL_KEY, F.explode(named).alias("h")).select(
+    return rows.select(*PULL_KEY, F.explode(named).alias("h")).select(
         *PULL_KEY, "h.verdict", "h.hunk_id", "h.reason"
-    ).filter(F.col("hunk_id").isNotNull())
+    )
 
 
 def hunk_shortlists(answers: DataFrame, compare_diffs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,19 +78,22 @@ def hunk_shortlists(answers: DataFrame, compare_diffs: DataFrame) -> tuple[DataF
 def parse_annotations(answers: DataFrame) -> DataFrame:
     """One row per annotated hunk: position, hunk_id, level1, level2, bug_desc, fix_hint."""
     value = A.parsed(A.unfenced(F.col("content")))
-    blocks = F.flatten(F.transform(A.items(A.at(value, "$.bug_info")), A.items))
+    blocks = F.flatten(F.transform(A.items(value, "$.bug_info"), lambda b: A.items(b)))
     fields = {
         "hunk_id": "$.hunk_id", "level1": "$.bug_type.level1", "level2": "$.bug_type.level2",
         "bug_desc": "$.bug_desc", "fix_hint": "$.fix_hint",
     }
-    named = F.transform(blocks, lambda b: F.struct(*[A.string_at(b, p).alias(n) for n, p in fields.items()]))
-    return answers.select(*PULL_KEY, F.posexplode(named).alias("pos", "b")).select(*PULL_KEY, "pos", "b.*")
+    texts = [A.string_at(F.col("_block"), path).alias(name) for name, path in fields.items()]
+    return answers.select(*PULL_KEY, F.posexplode(blocks).alias("pos", "_block")).select(
+        *PULL_KEY, "pos", once("_note", F.struct(*texts))
+    ).select(*PULL_KEY, "pos", "_note.*")
 
 
 def annotation_rows(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
     """Valid annotations with the changed line ranges of their hunk, one row each."""
     notes = bug_type_valid(parse_annotations(answers)).filter("valid").drop("valid")
-    annotated = compare_diffs.join(notes.select(*PULL_KEY), PULL_KEY, "left_semi")
+    # Only keys of answers are needed to leave out the other diffs; the answers are parsed once.
+    annotated = compare_diffs.join(answers.select(*PULL_KEY), PULL_KEY, "left_semi")
     ranges = (
         change_blocks(annotated)
         .groupBy(*PULL_KEY, "hunk_id")

@@ -124,7 +124,8 @@ def _failed_answers(rows: DataFrame, stage: str) -> DataFrame:
 
 def parse_issue_answers(answers: DataFrame) -> DataFrame:
     """Adds ``issues``: numbers as text; null where the answer has another shape."""
-    return answers.withColumn("issues", A.issue_numbers(A.parsed(A.fenced_block(F.col("content")))))
+    rows = answers.select("*", once("_value", A.parsed(A.fenced_block(F.col("content")))))
+    return rows.withColumn("issues", A.issue_numbers(F.col("_value"))).drop("_value")
 
 
 def parse_selection_answers(answers: DataFrame, materials: DataFrame) -> tuple[DataFrame, DataFrame]:
