@@ -55,10 +55,10 @@ class Tables:
         )
 
     def pulls(self) -> DataFrame:
-        """Pull requests with base and commits; commits are null where none landed."""
+        """Pull requests with base and commits; commits are null where none landed. Times are UTC."""
         return (
             self.view("pulls").withColumn("base", F.struct(F.col("base_sha").alias("sha"))).drop("base_sha")
-            .withColumn("merged_at", F.col("merged_at").cast("timestamp"))
+            .withColumn("merged_at", F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("merged_at")).cast("timestamp"))
             .join(self.commits(), PULL_KEY, "left")
         )
 
