@@ -64,7 +64,7 @@ def banned_words(t):
     return t.view("specs").select("repo", "pr_id", gates.banned_word_count(F.col("spec")).alias("banned"))
 
 
-_LANGUAGE_WORDS = ", ".join(f"'{w}'" for w in gates._LANGUAGE_WORDS)
+_WORDS_SQL = ", ".join(f"'{w}'" for w in gates.LANGUAGE_WORDS)
 
 
 @query("patch_leakage", f"""
@@ -72,7 +72,7 @@ select s.repo, s.pr_id, coalesce(string_agg(distinct w.tok, ',' order by w.tok),
 from specs s join candidates c using (repo, pr_id) left join (
  select org || '/' || repo as repo, number as pr_id, unnest(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_$]*')) as tok
  from numbered_lines where kind <> ' ' and path not like '%test%' and path not like '%tb%') w
- on w.repo = s.repo and w.pr_id = s.pr_id and w.tok not in ({_LANGUAGE_WORDS})
+ on w.repo = s.repo and w.pr_id = s.pr_id and w.tok not in ({_WORDS_SQL})
  and list_contains(regexp_extract_all(s.spec, '[A-Za-z_][A-Za-z0-9_$]*'), w.tok)
 group by s.repo, s.pr_id""", uses=("specs", "candidates", "numbered_lines"))
 def patch_leakage(t):

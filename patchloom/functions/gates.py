@@ -12,7 +12,7 @@ _BANNED = r"(?i)\b(?:" + "|".join(fixed.BANNED_WORDS) + r")\b"
 _IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_$]*"
 
 # Words of the hardware language itself, which leak nothing when they recur in prose.
-_LANGUAGE_WORDS = [
+LANGUAGE_WORDS = [
     "always", "always_comb", "always_ff", "always_latch", "and", "assign", "begin", "bit", "case", "default",
     "else", "end", "endcase", "endfunction", "endmodule", "endtask", "enum", "for", "function", "generate",
     "genvar", "if", "initial", "inout", "input", "int", "integer", "localparam", "logic", "module", "negedge",
@@ -32,4 +32,4 @@ def banned_word_count(spec: Column) -> Column:
 def identifiers(text: Column) -> Column:
     """Distinct identifiers of a text, language words left out."""
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(_IDENTIFIER), F.lit(0)))
-    return F.array_except(found, F.array(*[F.lit(w) for w in _LANGUAGE_WORDS]))
+    return F.array_except(found, F.array(*[F.lit(w) for w in LANGUAGE_WORDS]))
