@@ -4,11 +4,10 @@ import duckdb
 import pytest
 from helpers import canonical
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from patchloom.catalog import QUERIES, TWINS
 from patchloom.catalog.views import DRIVER_TABLES, VIEWS, view, with_views
 
-QUERIES, TWINS = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
