@@ -54,7 +54,7 @@ _CLOSED_BY = {
 }
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 _NAME = re.compile(r"""(?<![^\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?<![^\s"'/])hidden(?![^\s=/>])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -93,13 +93,29 @@ def _is_cut(tag: str, attributes: str, inside_article: bool) -> bool:
 def tree(page: str) -> Node:
     """The element tree of a page, forgiving of unclosed and misnested tags."""
     root = node = Node("#root", None, False)
-    at, depth_of_article, size = 0, 0, len(page)
+    at, size = 0, len(page)
+    open_now: dict[str, int] = {}
+    last_close = page.rfind(">")
     lower = None
+
+    def leave(up: Node) -> Node:
+        """The node above ``up``, all elements down from it being closed."""
+        nonlocal node
+        while node is not up:
+            open_now[node.tag] -= 1
+            node = node.parent
+        open_now[up.tag] -= 1
+        return up.parent
+
     while at < size:
         open_at = page.find("<", at)
         if open_at < 0:
             node.parts.append(page[at:])
             break
+        if open_at > last_close and not page.startswith("<!", open_at) and not page.startswith("<?", open_at):
+            node.parts.append(page[at: open_at + 1])
+            at = open_at + 1
+            continue
         if open_at > at:
             node.parts.append(page[at:open_at])
         m = _TOKEN.match(page, open_at)
@@ -114,30 +130,24 @@ def tree(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            up = node
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                while node is not up:
-                    depth_of_article -= node.tag == "article"
-                    node = node.parent
-                depth_of_article -= node.tag == "article"
-                node = node.parent
+            if open_now.get(tag):
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                node = leave(up)
             elif tag == "br" or tag == "p":
                 node.parts.append(Node(tag, node, False))
             continue
         if tag in _CLOSES_P or tag in _CLOSED_BY:
             ends, walls = _CLOSED_BY.get(tag, (frozenset(["p"]), frozenset()))
-            last, up = None, node
+            last, up = None, node if any(open_now.get(e) for e in ends) else root
             while up is not root and up.tag not in walls and not (ends == frozenset(["p"]) and up.tag in _BLOCK and up.tag != "p"):
                 if up.tag in ends:
                     last = up
                 up = up.parent
             if last is not None:
-                while node is not last.parent:
-                    depth_of_article -= node.tag == "article"
-                    node = node.parent
-        child = Node(tag, node, _is_cut(tag, m[3], depth_of_article > 0))
+                node = leave(last)
+        child = Node(tag, node, _is_cut(tag, m[3], open_now.get("article", 0) > 0))
         node.parts.append(child)
         if tag in _VOID:
             continue
@@ -154,7 +164,7 @@ def tree(page: str) -> Node:
             continue
         if m[3].endswith("/") and tag in ("svg", "path"):
             continue
-        depth_of_article += tag == "article"
+        open_now[tag] = open_now.get(tag, 0) + 1
         node = child
     return root
 

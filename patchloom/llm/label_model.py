@@ -67,13 +67,14 @@ def fitted(patterns: np.ndarray, counts: np.ndarray, rules: Sequence[str], prior
         chance[truth, :, truth] = accuracy * (1 - silent)
         chance[truth, :, 1 - truth] = (1 - accuracy) * (1 - silent)
         chance[truth, :, 2] = silent
+    start = smoothing * chance
     if len(counts):
         hot = np.stack([patterns == v for v in range(3)], axis=2).astype(float)  # pattern, rule, vote
         for _ in range(rounds):
             like = [np.log(p) + np.einsum("prv,rv->p", hot, np.log(chance[t])) for t, p in ((0, 1 - prior), (1, prior))]
             good = 1 / (1 + np.exp(np.clip(like[0] - like[1], -700, 700)))
             weight = np.stack([counts * (1 - good), counts * good])
-            after = np.einsum("tp,prv->trv", weight, hot) + smoothing * chance
+            after = np.einsum("tp,prv->trv", weight, hot) + start
             after /= after.sum(axis=2, keepdims=True)
             share = (weight[1].sum() + smoothing) / (counts.sum() + 2 * smoothing)
             moved = max(np.abs(after - chance).max(), abs(share - prior))

@@ -182,14 +182,14 @@ def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> Dat
     sizes = entries.groupBy("anchor").agg(F.count("*").alias("n"))
     crowded = materialised(sizes.filter(F.col("n") > block).select("anchor", F.ceil(F.col("n") / block).alias("blocks")), "crowded")
     if crowded.isEmpty():
-        dealt = entries.select("anchor", F.lit(0).alias("pair"), "f")
+        dealt = entries.select("anchor", F.lit(0).cast("long").alias("pair"), "f")
     else:
         # with B blocks, a fingerprint of block i goes to the pairs (i, j) of every j, so each two blocks meet once
         many = entries.join(crowded, "anchor", "left")
         i = F.pmod(F.xxhash64("f"), F.col("blocks"))
         pairs = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(
             F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(i, j) * F.col("blocks") + F.greatest(i, j)))
-        dealt = many.select("anchor", F.explode(pairs).cast("int").alias("pair"), "f")
+        dealt = many.select("anchor", F.explode(pairs).alias("pair"), "f")
     return (
         dealt.repartition("anchor", "pair").sortWithinPartitions("anchor", "pair", "f")
         .mapInArrow(_linked(distance), _EDGE).distinct()

@@ -162,7 +162,7 @@ def _masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def personal_data(df: DataFrame, keep: list[str], text: str = "text", threshold: float = 0.7, mask: bool = False) -> DataFrame:
     """Every row's kept columns as ``row`` and its ``base`` spans and all ``spans`` (kind, start, end; code points, end exclusive);
-    with ``mask``, also the ``masked`` text, each span replaced by its kind in brackets (overlaps are replaced once).
+    with ``mask``, also the ``masked`` text, each span replaced by its kind in brackets (of one that overlaps another, the rest).
 
     A null or empty text has no spans (masked: null stays null). Repeated rows give repeated results.
     """

@@ -22,12 +22,12 @@ from pyspark.sql import types as T
 
 from patchloom.llm.hashing import mixed
 from patchloom.llm.label_model import LabelModel, fitted, pattern_counts
-from patchloom.llm.quality_rules import MEASURES, measures
+from patchloom.llm.quality_rules import MEASURES, measures, rules, vote
 from patchloom.llm.rows import col, utf8, with_text_columns
 from patchloom.session import materialised
 
 #: Buckets of the scorer, shapes in an n-gram, and rows it is fitted on (about).
-BUCKETS, GRAM, SAMPLE = 1 << 12, 4, 4000
+BUCKETS, GRAM, SAMPLE = 1 << 10, 4, 4000
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[48:58] = ord("0")
@@ -36,25 +36,11 @@ _SHAPE[97:123] = _SHAPE[128:] = ord("a")
 
 
 def labellers() -> dict[str, F.Column]:
-    """Votes over the measures: 1 good, 0 bad, null abstains. Several look at the same trait in different ways."""
-    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-    symbols, marked = F.col("n_symbols") / n, F.col("n_marked") / n
-    shouted, capitals = F.col("n_exclaimed") / n, F.col("n_capitals") / n
-    repeats, lines = F.col("n_repeat_words") / n, F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))
-    mean = F.col("word_chars") / n
-
-    def vote(bad, good):
-        return F.when(F.col("n_words") == 0, None).when(bad, 0).when(good, 1)
-
-    return {
-        "few_symbols": vote(symbols > 0.1, symbols < 0.02),
-        "few_marked_words": vote(marked > 0.2, marked < 0.02),
-        "calm": vote((shouted > 0.1) | (capitals > 0.5), (shouted < 0.02) & (capitals < 0.1)),
-        "few_capitals": vote(capitals > 0.3, capitals < 0.05),
-        "little_repeated": vote(repeats > 0.2, (repeats < 0.02) & (n >= 20)),
-        "lines_differ": vote(lines > 0.3, (lines < 0.05) & (F.col("n_lines") > 2)),
-        "plain_words": vote((mean < 3) | (mean > 12), mean.between(4, 9) & (symbols < 0.05)),
-        "long_enough": vote(n < 20, (n >= 50) & (repeats < 0.1)),
+    """The quality rules, and second looks at the same faults: their votes overlap."""
+    return rules() | {
+        "symbol_share": vote(bad=F.col("n_symbols") * 20 > F.col("word_chars")),
+        "much_repeated": vote(bad=F.col("n_repeat_words") * 2 > F.col("n_words")),
+        "shouting": vote(bad=(F.col("n_capitals") + F.col("n_exclaimed")) * 2 > F.col("n_words")),
     }
 
 
@@ -93,25 +79,29 @@ class LinearScorer:
         return np.where(n > 0, 1 / (1 + np.exp(-np.clip(self.bias + mean, -500, 500))), 0.0)
 
 
-def fit_scorer(shares: np.ndarray, labels: np.ndarray, rounds: int = 300, penalty: float = 1e-3) -> LinearScorer:
-    """Logistic regression of soft labels on n-gram shares (a row per text), by gradient steps with momentum on scaled shares.
+def fit_scorer(shares: np.ndarray, labels: np.ndarray, rounds: int = 12, penalty: float = 1e-2) -> LinearScorer:
+    """Ridge logistic regression of soft labels on n-gram shares (a row per text), by Newton steps on scaled shares.
     Rows of the rarer side weigh more, so that both sides count alike. Without rows every score is even."""
     if not len(labels):
         return LinearScorer(np.zeros(shares.shape[1]), 0.0)
-    scale = 1 / np.maximum(shares.std(axis=0), 1e-3)
-    middle = shares.mean(axis=0)
-    x = (shares - middle) * scale
+    scale = 1 / np.maximum(shares.std(axis=0, dtype=np.float64), 1e-3)
+    middle = shares.mean(axis=0, dtype=np.float64)
+    x = np.concatenate([(shares - middle) * scale, np.ones((len(shares), 1))], axis=1)
     good = np.clip(labels.mean(), 0.02, 0.98)
     weight = labels / good + (1 - labels) / (1 - good)
     weight /= weight.sum()
-    w, b, v, vb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
-    step = 1.0 / (1.0 + 0.25 * (x * x).sum(axis=1).max())
-    step = max(step, 0.05 / np.sqrt(x.shape[1]))
+    ridge = np.full(x.shape[1], penalty)
+    ridge[-1] = 1e-6  # the bias is free
+    w = np.zeros(x.shape[1])
     for _ in range(rounds):
-        off = weight * (1 / (1 + np.exp(-np.clip(x @ w + b, -500, 500))) - labels)
-        v, vb = 0.9 * v - step * (x.T @ off + penalty * w), 0.9 * vb - step * off.sum()
-        w, b = w + v, b + vb
-    return LinearScorer(w * scale, float(b - middle @ (w * scale)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        curve = weight * np.maximum(p * (1 - p), 1e-6)
+        step = np.linalg.solve((x * curve[:, None]).T @ x + np.diag(ridge), x.T @ (weight * (p - labels)) + ridge * w)
+        w = w - step
+        if np.abs(step).max() < 1e-6:
+            break
+    w, bias = w[:-1] * scale, w[-1]
+    return LinearScorer(w, float(bias - middle @ w))
 
 
 def _measured(df: DataFrame, keep: list[str], text: str, scorer: LinearScorer | None = None) -> DataFrame:

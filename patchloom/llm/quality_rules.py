@@ -68,23 +68,30 @@ def measures(text: str | None) -> tuple[int, ...]:
     )
 
 
-def rules() -> dict[str, F.Column]:
-    """Votes over the measures: 1 good, 0 bad, null abstains."""
-    n = F.greatest(F.col("n_words"), F.lit(1))
-    mean = F.col("word_chars") / n
+def vote(bad: F.Column | None = None, good: F.Column | None = None) -> F.Column:
+    """1 where ``good`` holds or 0 where ``bad`` does; null, an abstention, elsewhere and for texts without words."""
+    empty = F.when(F.col("n_words") == 0, None)
+    return empty.when(bad, 0) if good is None else empty.when(good, 1)
 
-    def vote(bad, good):
-        return F.when(F.col("n_words") == 0, None).when(bad, 0).when(good, 1)
 
+def rules() -> dict[str, F.Column]:
+    """Votes over the measures. Most rules look for one fault and abstain without it; two vouch for texts with few signs and
+    capitals, or with little repeated."""
+    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    symbols, marked = F.col("n_symbols") / n, F.col("n_marked") / n
+    shouted, capitals = F.col("n_exclaimed") / n, F.col("n_capitals") / n
+    repeats, lines = F.col("n_repeat_words") / n, F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))
+    mean = F.col("word_chars") / n
     return {
-        "length": vote(n < 30, n >= 60),
-        "word_length": vote((mean < 2.5) | (mean > 14), mean.between(3.5, 10)),
-        "symbols": vote(F.col("n_symbols") * 10 > n, F.col("n_symbols") * 50 <= n),
-        "marked_words": vote(F.col("n_marked") * 5 > n, F.col("n_marked") * 50 <= n),
-        "capitals": vote(F.col("n_capitals") * 10 > n * 3, F.col("n_capitals") * 20 <= n),
-        "exclamation": vote(F.col("n_exclaimed") * 10 > n, F.col("n_exclaimed") * 50 <= n),
-        "lines": vote(F.col("n_dup_lines") * 10 > F.col("n_lines") * 3, (F.col("n_dup_lines") == 0) & (F.col("n_lines") > 1)),
-        "repeats": vote(F.col("n_repeat_words") * 5 > n, (F.col("n_repeat_words") == 0) & (n >= 2 * WINDOW)),
+        "symbols": vote(bad=symbols > 0.1),
+        "marked_words": vote(bad=marked > 0.2),
+        "exclamation": vote(bad=shouted > 0.1),
+        "capitals": vote(bad=capitals > 0.3),
+        "repeats": vote(bad=repeats > 0.2),
+        "repeated_lines": vote(bad=lines > 0.3),
+        "odd_words": vote(bad=(mean < 3) | (mean > 12)),
+        "plain_prose": vote(good=(symbols < 0.02) & (capitals < 0.05)),
+        "varied_prose": vote(good=(repeats < 0.05) & (shouted < 0.02)),
     }
 
 
