@@ -14,6 +14,7 @@ from patchloom.operators.candidates import repo_slug
 from patchloom.operators.incremental import refresh_latest, resume_anti
 from patchloom.operators.patches import extract_patches, file_line_counts
 from patchloom.plans.collection import collected_pulls
+from patchloom.plans.construction import construct
 from patchloom.session import fresh_path, materialised
 from patchloom.sources import sinks
 from patchloom.streaming.arrivals import stream_dedup
@@ -26,8 +27,8 @@ def _toc_text(column="doc_toc"):
 
 
 def _selected(t, ready):
-    """Selections of the first attempt, from answers of every stage."""
-    return answering.parse_selection_answers(t.view("model_answers").filter("attempt = 1"), ready)
+    """The last selection of every record."""
+    return answering.parse_selection_answers(answering.latest_answers(t.view("model_answers"), "select"), ready)
 
 
 @query("attach_issues", f"""
@@ -46,8 +47,8 @@ def materials_join(t):
 
 
 @query("spec_request_join", """
-select a.repo, a.pr_id, m.rtl_file, case when m.repo is null then 'Missing materials record' end as error from s2_json a
-left join materials m using (repo, pr_id) where a.attempt = 1 and json_type(a.v) = 'OBJECT'""", uses=("s2_json", "materials"))
+select a.repo, a.pr_id, m.rtl_file, case when m.repo is null then 'Missing materials record' end as error from s2_latest a
+left join materials m using (repo, pr_id) where a.stage = 'select' and json_type(a.v) = 'OBJECT'""", uses=("s2_latest", "materials"))
 def spec_request_join(t):
     selected, _ = _selected(t, t.stored_materials)
     good, failed = answering.spec_request_join(selected, t.stored_materials)
@@ -74,10 +75,10 @@ select r.repo, r.pr_id, r.passed, r.reasoning, r.describes_correct_behavior and
  md5(c.fix_patch) as fix_md5, md5(coalesce(m.rtl_code, '')) as code_md5, coalesce(p.paths, '') as selected
 from (select *, row_number() over (partition by repo, pr_id order by seq desc) as k from reviews) r
 join candidates c using (repo, pr_id) join specs s using (repo, pr_id) left join materials m using (repo, pr_id)
-left join (select pp.repo, pp.pr_id, string_agg(pp.p, ',' order by pp.k) as paths from parsed_paths pp join materials mm
+left join (select pp.repo, pp.pr_id, string_agg(pp.p, ',' order by pp.k) as paths from last_paths pp join materials mm
   on mm.repo = pp.repo and mm.pr_id = pp.pr_id join docs d on d.repo = mm.repo and d.commit_sha = mm.merge_commit_sha and d.path = pp.p
-  where pp.attempt = 1 group by pp.repo, pp.pr_id) p using (repo, pr_id) where r.k = 1"""
-_ASSEMBLED_USES = ("reviews", "candidates", "specs", "materials", "parsed_paths", "docs")
+  group by pp.repo, pp.pr_id) p using (repo, pr_id) where r.k = 1"""
+_ASSEMBLED_USES = ("reviews", "candidates", "specs", "materials", "last_paths", "docs")
 
 
 def _assembled(t):
@@ -112,6 +113,23 @@ def route_by_review(t):
     return one.unionByName(two)
 
 
+@query("construct", """
+select c.repo, c.pr_id, case when s.repo is null or r.repo is null then 'failed' when r.passed then 'input' else 'queue' end as route
+from candidates c
+left join (select l.repo, l.pr_id from latest l where l.stage = 'spec' and l.error is null and l.content is not null) s using (repo, pr_id)
+left join (select repo, pr_id, passed from last_reviews where ok) r using (repo, pr_id)""", uses=("candidates", "latest", "last_reviews"))
+def constructed(t):
+    """Every candidate landed twice: where does the whole run put it?"""
+    found = t.stored_candidates.withColumn("landed", F.lit(1))
+    twice = found.unionByName(found.withColumn("landed", F.lit(2)))
+    run = construct(twice, t.repo_config(), t.repo_files(), t.view("model_answers"), candidate_order=["landed"])
+    done = run.inputs.select("input.repo", "input.pr_id", F.lit("input").alias("route")).unionByName(
+        run.manual_review_queue.select("repo", "pr_id", F.lit("queue").alias("route")))
+    failed = run.failures.select("repo", "pr_id").distinct().join(found.select("repo", "pr_id"), ["repo", "pr_id"], "left_semi").join(
+        done, ["repo", "pr_id"], "left_anti")
+    return done.unionByName(failed.withColumn("route", F.lit("failed")))
+
+
 @query("final_structs", f"""
 select repo, pr_id, lang, spec, timestamp, 0 as bugs, merge_commit_sha, selected, code_md5 from ({_ASSEMBLED}) x where passed""",
        uses=_ASSEMBLED_USES)
@@ -143,9 +161,10 @@ def line_totals(t):
 
 
 @query("fix_test_split", f"""
-select {PR}, md5(fix_patch) as fix_md5, md5(test_patch) as test_md5, lines_added, lines_removed from pr_patches""", uses=("pr_patches",))
+select p.org, p.repo, p.number, md5(coalesce(fix_patch, '')) as fix_md5, md5(coalesce(test_patch, '')) as test_md5,
+ coalesce(lines_added, 0) as lines_added, coalesce(lines_removed, 0) as lines_removed from pulls p left join pr_patches using ({PR})""", uses=("pulls", "pr_patches"))
 def fix_test_split(t):
-    rows = extract_patches(t.pulls().filter("base.sha is not null and size(commits) > 0"), t.diffs())
+    rows = extract_patches(t.pulls(), t.diffs())
     return rows.select(*_KEY, F.md5("fix_patch").alias("fix_md5"), F.md5("test_patch").alias("test_md5"), "lines_added", "lines_removed")
 
 
@@ -161,16 +180,16 @@ def doc_toc(t):
 
 @query("stage_funnel", """
 select 'materials' as stage, count(*) filter (where kind is null) as written, count(*) filter (where kind is not null) as failed from checked
-union all select 'review', count(*) filter (where ok), count(*) filter (where not ok) from parsed_reviews where stage = 'review' and attempt = 1
+union all select 'review', count(*) filter (where ok), count(*) filter (where not ok) from last_reviews
 union all select 'select', count(*) filter (where json_type(v) = 'OBJECT'), count(*) filter (where v is null or json_type(v) <> 'OBJECT')
-from s2_json where stage = 'select' and attempt = 1""", uses=("checked", "parsed_reviews", "s2_json"))
+from s2_latest where stage = 'select'""", uses=("checked", "last_reviews", "s2_latest"))
 def stage_funnel(t):
     ready, failed = materials.materials_join(t.stored_candidates, t.repo_config(), t.repo_files())
-    first = t.view("model_answers").filter("attempt = 1")
+    answers = t.view("model_answers")
     return summaries.stage_funnel({
         "materials": (ready, failed),
-        "select": answering.parse_selection_answers(first.filter("stage = 'select'"), ready),
-        "review": answering.parse_review_answers(first.filter("stage = 'review'")),
+        "select": answering.parse_selection_answers(answering.latest_answers(answers, "select"), ready),
+        "review": answering.parse_review_answers(answering.latest_answers(answers, "review")),
     })
 
 

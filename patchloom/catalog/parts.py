@@ -171,6 +171,9 @@ select *, case when error is null and json_valid(j) then j::json end as v from (
  when regexp_matches({_T}, '(?is)^```(json)?\s*\n(.*?)\n```$') then {strip(rf"regexp_extract({_T}, '(?is)^```(?:json)?\s*\n(.*?)\n```$', 1)")}
  else {_T} end as j from model_answers) x""")
 
+part("s2_latest", ["s2_json", "latest"], """
+select s.* from s2_json s join (select stage, repo, pr_id, attempt from latest) l using (stage, repo, pr_id, attempt)""")
+
 
 def truthy(value: str) -> str:
     """Truth of a JSON value as SQL; absent and null are false."""
@@ -188,6 +191,8 @@ select stage, repo, pr_id, attempt, error,
  {", ".join(truthy(f"(v->'$.checks.{c}')") + f" as {c}" for c in fixed.REVIEW_CHECKS)},
  coalesce(v->>'$.reasoning', '') as reasoning
 from s2_json""")
+part("last_reviews", ["parsed_reviews", "latest"], """
+select p.* from parsed_reviews p join (select stage, repo, pr_id, attempt from latest where stage = 'review') l using (stage, repo, pr_id, attempt)""")
 part("parsed_paths", ["s2_json"], """
 select distinct on (stage, repo, pr_id, attempt, p) stage, repo, pr_id, attempt, p, k
 from (select stage, repo, pr_id, attempt, e->>'$' as p, json_type(e) as kind, k
@@ -195,3 +200,6 @@ from (select stage, repo, pr_id, attempt, e->>'$' as p, json_type(e) as kind, k
    generate_subscripts(v->'$.selected_doc_paths[*]', 1) as k
   from s2_json where json_type(v, '$.selected_doc_paths') = 'ARRAY') x) y
 where kind = 'VARCHAR' order by stage, repo, pr_id, attempt, p, k""")
+part("last_paths", ["parsed_paths", "latest"], """
+select p.repo, p.pr_id, p.p, p.k from parsed_paths p
+join (select stage, repo, pr_id, attempt from latest where stage = 'select') l using (stage, repo, pr_id, attempt)""")

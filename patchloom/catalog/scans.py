@@ -151,18 +151,18 @@ _FAILURES = """
 select 'materials' as stage, kind, repo, pr_id, case when kind = 'read' then rtl_file end as rtl_file,
  case when kind = 'checkout' then 'no settings for repository ' || repo else 'source file missing at the merge commit: ' || rtl_file end as error
 from checked where kind is not null
-union all select stage, 'llm', repo, pr_id, null, coalesce(error, 'answer has the wrong shape') from s2_json
-where stage = 'select' and attempt = 1 and (v is null or json_type(v) <> 'OBJECT')
-union all select stage, 'llm', repo, pr_id, null, coalesce(error, 'answer has the wrong shape') from parsed_reviews
-where stage = 'review' and attempt = 1 and not ok"""
+union all select stage, 'llm', repo, pr_id, null, coalesce(error, 'answer has the wrong shape') from s2_latest
+where stage = 'select' and (v is null or json_type(v) <> 'OBJECT')
+union all select stage, 'llm', repo, pr_id, null, coalesce(error, 'answer has the wrong shape') from last_reviews
+where not ok"""
 
 
-@query("failures_sink", _FAILURES, uses=("checked", "s2_json", "parsed_reviews"))
+@query("failures_sink", _FAILURES, uses=("checked", "s2_latest", "last_reviews"))
 def failures_sink(t):
     materials, failed = materials_join(t.stored_candidates, t.repo_config(), t.repo_files())
-    first = t.view("model_answers").filter("attempt = 1")
-    _, unselected = answering.parse_selection_answers(first.filter("stage = 'select'"), materials)
-    _, unreviewed = answering.parse_review_answers(first.filter("stage = 'review'"))
+    answers = t.view("model_answers")
+    _, unselected = answering.parse_selection_answers(answering.latest_answers(answers, "select"), materials)
+    _, unreviewed = answering.parse_review_answers(answering.latest_answers(answers, "review"))
     path = fresh_path(t.spark, "failures")
     for part in (failed, unselected, unreviewed):
         sinks.append_failures(part, path)

@@ -6,7 +6,9 @@ from patchloom.catalog.parts import IS_TEST, LANG, PR
 from patchloom.catalog.registry import joined, query
 from patchloom.functions import answers, paths
 from patchloom.functions.refs import pr_text, ref_union, strip_html_comments
+from patchloom.functions.text import once
 from patchloom.operators import candidates, issues, materials, patches, pulls
+from patchloom.operators.answering import latest_answers
 from patchloom.operators.incremental import resume_anti
 
 _FILES_BY_PR = f"(select org, repo, number, string_agg(path, ',' order by pos) filter (where {{0}}) as files, count(*) filter (where {{0}}) as n from pull_files group by {PR}) x"
@@ -124,24 +126,24 @@ def order_desc(t):
 
 @query("ref_union", f"select {PR}, string_agg(cast(ref as string), ',' order by ref) as issue_numbers from refs group by {PR}", uses=("refs",))
 def refs_of_all(t):
-    rows = pulls.has_issue_ref(_with_text(t).withColumn("issue_numbers", ref_union(F.col("text"))))
+    rows = pulls.has_issue_ref(_with_text(t).select("*", once("issue_numbers", ref_union(F.col("text")))))
     return rows.select("org", "repo", "number", joined("issue_numbers").alias("issue_numbers"))
 
 
 @query("selected_paths_valid", """
-select a.repo, a.pr_id, coalesce(p.paths, '') as paths from s2_json a left join
- (select pp.repo, pp.pr_id, pp.attempt, pp.stage, string_agg(pp.p, ',' order by pp.k) as paths from parsed_paths pp
+select a.repo, a.pr_id, coalesce(p.paths, '') as paths from s2_latest a left join
+ (select pp.repo, pp.pr_id, string_agg(pp.p, ',' order by pp.k) as paths from last_paths pp
   join pulls u on u.org || '/' || u.repo = pp.repo and u.number = pp.pr_id
   join docs d on d.repo = pp.repo and d.commit_sha = u.merge_commit_sha and d.path = pp.p group by all) p
- on p.repo = a.repo and p.pr_id = a.pr_id and p.attempt = a.attempt and p.stage = a.stage
-where a.attempt = 1""", uses=("s2_json", "parsed_paths", "pulls", "docs"))
+ on p.repo = a.repo and p.pr_id = a.pr_id
+where a.stage = 'select'""", uses=("s2_latest", "last_paths", "pulls", "docs"))
 def selected_paths_valid(t):
     commits = t.view("pulls").select(
         candidates.repo_slug(F.col("org"), F.col("repo")).alias("repo"), F.col("number").alias("pr_id"),
         F.col("merge_commit_sha").alias("commit_sha"))
     tocs = materials.doc_toc(materials.doc_files(t.repo_files(), t.repo_config()))
     value = answers.parsed(answers.unfenced(F.col("content")))
-    rows = t.view("model_answers").filter("attempt = 1").join(commits, ["repo", "pr_id"]).join(tocs, ["repo", "commit_sha"], "left")
+    rows = latest_answers(t.view("model_answers"), "select").join(commits, ["repo", "pr_id"]).join(tocs, ["repo", "commit_sha"], "left")
     chosen = answers.valid_paths(answers.selected_paths(value), F.transform("doc_toc", lambda e: e["path"]))
     return rows.select("repo", "pr_id", joined(chosen).alias("paths"))
 

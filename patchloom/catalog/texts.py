@@ -38,14 +38,14 @@ select {PR}, string_agg(cast(ref as string), ',' order by seq) as refs from keyw
        uses=("keyword_refs",))
 def keyword_issue_refs(t):
     found = refs.keyword_issue_refs(refs.strip_html_comments(F.col("text")))
-    return _text(t).withColumn("r", found).filter(F.size("r") > 0).select(*_KEY, joined("r").alias("refs"))
+    return _text(t).select("*", once("r", found)).filter(F.size("r") > 0).select(*_KEY, joined("r").alias("refs"))
 
 
 @query("url_issue_refs", f"""
 select {PR}, string_agg(cast(ref as string), ',') as refs from url_refs where ref > 0 group by {PR}""", uses=("url_refs",))
 def url_issue_refs(t):
     found = refs.url_issue_refs(refs.strip_html_comments(F.col("text")))
-    return _text(t).withColumn("r", found).filter(F.size("r") > 0).select(*_KEY, joined("r").alias("refs"))
+    return _text(t).select("*", once("r", found)).filter(F.size("r") > 0).select(*_KEY, joined("r").alias("refs"))
 
 
 @query("parse_issue_answer", """
@@ -65,11 +65,12 @@ def parse_issue_answer(t):
 @query("link_answered_issues", """
 select p.org, p.repo, p.number, string_agg(cast(n as string), ',' order by n) as issue_numbers from merged p join (
  select distinct repo, pr_id, cast(trim(e->>'$') as bigint) as n from (
-  select repo, pr_id, unnest(case json_type(v) when 'ARRAY' then v->'$[*]' else v->'$.issues[*]' end) as e from s1_json where attempt = 1) y
+  select repo, pr_id, unnest(case json_type(v) when 'ARRAY' then v->'$[*]' else v->'$.issues[*]' end) as e from s1_json
+   join (select stage, repo, pr_id, attempt from latest where stage = 'refs') l using (stage, repo, pr_id, attempt)) y
  where json_type(e) in ('VARCHAR', 'UBIGINT', 'BIGINT') and regexp_matches(trim(e->>'$'), '^0*[1-9][0-9]*$')) a
- on a.repo = p.org || '/' || p.repo and a.pr_id = p.number group by all""", uses=("merged", "s1_json"))
+ on a.repo = p.org || '/' || p.repo and a.pr_id = p.number group by all""", uses=("merged", "s1_json", "latest"))
 def answered(t):
-    rows = answering.parse_issue_answers(t.view("model_answers").filter("attempt = 1"))
+    rows = answering.parse_issue_answers(answering.latest_answers(t.view("model_answers"), "refs"))
     slug = F.split("repo", "/", 2)
     keyed = rows.select(slug[0].alias("org"), slug[1].alias("repo"), F.col("pr_id").alias("number"), "issues")
     merged = t.view("pulls").filter("state = 'closed' and merged_at is not null").select(*_KEY)
@@ -136,18 +137,18 @@ def format_doc_toc(t):
 
 _SELECTED = """
 select a.repo, a.pr_id, string_agg('### ' || p.p || chr(10) || chr(10) || coalesce(f.content, ''), chr(10) || chr(10) order by p.k) as spec
-from s2_json a left join parsed_paths p on p.repo = a.repo and p.pr_id = a.pr_id and p.attempt = a.attempt and p.stage = a.stage
+from s2_latest a left join last_paths p on p.repo = a.repo and p.pr_id = a.pr_id
 left join pulls u on u.org || '/' || u.repo = a.repo and u.number = a.pr_id
 left join repo_files f on f.repo = a.repo and f.commit_sha = u.merge_commit_sha and f.path = p.p
-where a.attempt = 1 and json_type(v) = 'OBJECT' group by a.repo, a.pr_id, u.merge_commit_sha"""
+where a.stage = 'select' and json_type(v) = 'OBJECT' group by a.repo, a.pr_id, u.merge_commit_sha"""
 
 
 @query("format_official_spec", f"""
 select repo, pr_id, coalesce(md5(case when spec like '### %' then spec end), md5('None')) as spec_md5, coalesce(length(case when spec like '### %' then spec end), 4) as characters
-from ({_SELECTED}) x""", uses=("s2_json", "parsed_paths", "pulls", "repo_files"))
+from ({_SELECTED}) x""", uses=("s2_latest", "last_paths", "pulls", "repo_files"))
 def format_official_spec(t):
     value = answers.parsed(answers.unfenced(F.col("content")))
-    chosen = t.view("model_answers").filter("attempt = 1").select("*", once("v", value)).filter(answers.is_object(F.col("v"))).select(
+    chosen = answering.latest_answers(t.view("model_answers"), "select").select("*", once("v", value)).filter(answers.is_object(F.col("v"))).select(
         "repo", "pr_id", F.array_distinct(answers.selected_paths(F.col("v"))).alias("selected_doc_paths"))
     commits = t.view("pulls").select(
         candidates.repo_slug(F.col("org"), F.col("repo")).alias("repo"), F.col("number").alias("pr_id"), "merge_commit_sha")

@@ -140,12 +140,12 @@ from (select o_orderkey, 1 as seq from orders where o_orderpriority <> '5-LOW'
 
 _FENCE = "chr(96) || chr(96) || chr(96)"
 
-# Answers per record, asked again for urgent ones: broken JSON, a bare array, fences, text
-# booleans, duplicates, wrong types, and calls that failed.
+# Answers of every step for every record, asked again for urgent ones: broken JSON, a bare array,
+# fences, text booleans, duplicates, wrong types, calls that failed, and steps never answered.
 VIEWS["model_answers"] = ([], f"""
-select case o_orderkey % 3 when 0 then 'refs' when 1 then 'select' else 'review' end as stage,
- {_slug(_ORDER_COMMIT)}, o_orderkey as pr_id, attempt,
- case when error is not null then null else case (o_orderkey + attempt) % 11
+select stage, {_slug(_ORDER_COMMIT)}, o_orderkey as pr_id, attempt,
+ case when error is not null then null when stage = 'spec' then 'The unit must do step ' || cast(o_orderkey + attempt as string)
+ else case (o_orderkey + attempt + step) % 11
   when 0 then 'not json' when 1 then '[1, 2]'
   when 2 then {_FENCE} || 'json' || chr(10) || '{{"passed": true, "issues": ["31"], "reason": "f"}}' || chr(10) || {_FENCE}
   when 3 then '{{"passed": "false", "checks": {{"no_patch_leakage": true}}}}'
@@ -161,21 +161,25 @@ select case o_orderkey % 3 when 0 then 'refs' when 1 then 'select' else 'review'
 from (select o_orderkey, o_custkey, cast(1 as bigint) as attempt,
   case when o_orderpriority = '1-URGENT' then 'timeout' end as error from orders
  union all select o_orderkey, o_custkey, cast(2 as bigint), case when o_orderstatus = 'P' then 'refused' end
-  from orders where o_orderpriority = '1-URGENT') x""")
+  from orders where o_orderpriority = '1-URGENT') x
+join (select 'refs' as stage, 0 as step union all select 'select', 1 union all select 'spec', 2 union all select 'review', 3) y
+ on (o_orderkey + step) % 29 <> 0""")
 
-# True bug ranges: tasks hold many bugs, and some bugs of two ranges.
+# True bug ranges: tasks hold many bugs, some bugs of two ranges, some without a file or a line.
 VIEWS["bugs"] = ([], """
 select cast(floor(o_custkey / 10) as bigint) as task_id, o_orderkey as bug_id,
- 'f' || cast(o_orderkey % 2 as string) || '.sv' as file,
- (o_orderkey * 37) % 20000 as line_start, (o_orderkey * 37) % 20000 + o_orderkey % 13 as line_end from orders
+ case when o_orderkey % 101 <> 0 then 'f' || cast(o_orderkey % 2 as string) || '.sv' end as file,
+ case when o_orderkey % 103 <> 0 then (o_orderkey * 37) % 20000 end as line_start,
+ case when o_orderkey % 107 > 1 then (o_orderkey * 37) % 20000 + o_orderkey % 13 end as line_end from orders
 union all
 select cast(floor(o_custkey / 10) as bigint), o_orderkey, 'f' || cast(o_orderkey % 2 as string) || '.sv',
  (o_orderkey * 37) % 20000 + 40, (o_orderkey * 37) % 20000 + 43 from orders where o_orderpriority = '1-URGENT'""")
 
-# Predicted ranges, some in files without bugs and some ending before they start.
+# Predicted ranges, some in files without bugs, some ending before they start, some without a file or a line.
 VIEWS["reports"] = ([], """
-select user_id as task_id, event_id as report_id, 'f' || cast(event_id % 3 as string) || '.sv' as file,
- (event_id * 53) % 20100 as line_start, (event_id * 53) % 20100 + event_id % 41 - 1 as line_end from events""")
+select user_id as task_id, event_id as report_id, case when event_id % 97 <> 0 then 'f' || cast(event_id % 3 as string) || '.sv' end as file,
+ case when event_id % 89 > 1 then (event_id * 53) % 20100 end as line_start,
+ case when event_id % 83 <> 0 then (event_id * 53) % 20100 + event_id % 41 - 1 end as line_end from events""")
 
 # Hunk shortlist answers: named hunks exist or not.
 VIEWS["shortlist_answers"] = (["pulls"], """

@@ -172,7 +172,9 @@ def answer_requests(
 
     ``make_client`` is called once per partition and returns the function that
     answers one request. A request that raises yields a row with its error; the
-    others go on. Filter before this step: nothing is pushed through it.
+    others go on. Filter before this step: nothing is pushed through it. Requests
+    sent again carry their ``attempt``, so that the later answer counts; without
+    that column all are first attempts.
     """
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,9 +189,10 @@ def answer_requests(
                     content.append(None)
                     error.append(str(problem))
             yield pd.DataFrame({
-                "stage": stage, "repo": batch["repo"], "pr_id": batch["pr_id"], "attempt": 1,
+                "stage": stage, "repo": batch["repo"], "pr_id": batch["pr_id"], "attempt": batch["attempt"],
                 "content": pd.Series(content, index=batch.index, dtype=object),
                 "error": pd.Series(error, index=batch.index, dtype=object),
             })
 
-    return requests.select(*RECORD_KEY, "request").mapInPandas(answer, schemas.MODEL_ANSWERS)
+    attempt = F.coalesce("attempt", F.lit(1)) if "attempt" in requests.columns else F.lit(1)
+    return requests.select(*RECORD_KEY, "request", attempt.cast("bigint").alias("attempt")).mapInPandas(answer, schemas.MODEL_ANSWERS)

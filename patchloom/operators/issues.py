@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from patchloom import schemas
 from patchloom.functions.text import or_empty
-from patchloom.operators.pulls import PULL_KEY
+from patchloom.operators.pulls import PULL_KEY, dedup_last_wins
 
 _ISSUE_FIELDS = ["org", "repo", "number", "state", "title", "body"]
 
@@ -44,8 +44,14 @@ def resolve_issues(linked: DataFrame, issues: DataFrame) -> DataFrame:
     )
 
 
-def attach_issues(linked: DataFrame, issues: DataFrame) -> DataFrame:
-    """Replace issue numbers by issue rows: numbers without a row vanish, the pull request stays."""
+def attach_issues(linked: DataFrame, issues: DataFrame, issue_order: list[str] | None = None) -> DataFrame:
+    """Replace issue numbers by issue rows: numbers without a row vanish, the pull request stays.
+
+    Given ``issue_order``, an issue that landed several times counts with its last
+    row; without it, issue keys are taken to be unique.
+    """
+    if issue_order:
+        issues = dedup_last_wins(issues, ["org", "repo", "number"], issue_order)
     none = F.array().cast(f"array<{schemas.ISSUE}>")
     return linked.join(resolve_issues(linked, issues), PULL_KEY, "left").withColumn(
         "resolved_issues", F.coalesce("resolved_issues", none)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from patchloom import fixed, schemas
 from patchloom.functions import titles
-from patchloom.functions.paths import is_doc_file, rtl_lang
-from patchloom.functions.text import or_empty
+from patchloom.functions.paths import is_doc_file, rtl_lang, suffix
+from patchloom.functions.text import once, or_empty
 
 RECORD_KEY = ["repo", "pr_id"]
 
@@ -30,14 +30,34 @@ def doc_toc(docs: DataFrame, with_texts: bool = False) -> DataFrame:
     rows: titles are found before the grouping, so only short columns move.
     ``with_texts`` adds the path -> text map, for a final output only.
     """
-    entry = F.struct("path", titles.doc_title(F.col("path"), F.col("content")).alias("title"))
-    aggregates = [F.array_sort(F.collect_list("entry")).alias("doc_toc")]
-    if with_texts:
-        aggregates.append(F.map_from_entries(F.collect_list(F.struct("path", "content"))).alias("doc_full_texts"))
-    narrow = docs.filter(F.col("content").isNotNull()).select(
-        "repo", "commit_sha", entry.alias("entry"), *(["path", "content"] if with_texts else [])
+    narrow = docs.filter(F.col("content").isNotNull())
+    title = titles.doc_title(F.col("path"), F.col("content")).alias("title")
+    if not with_texts:
+        return contents_lists(narrow.select("repo", "commit_sha", "path", title))
+    return narrow.groupBy("repo", "commit_sha").agg(
+        F.array_sort(F.collect_list(F.struct("path", title))).alias("doc_toc"),
+        F.map_from_entries(F.collect_list(F.struct("path", "content"))).alias("doc_full_texts"))
+
+
+def doc_entries(repo_files: DataFrame, repo_config: DataFrame) -> DataFrame:
+    """Path and title of the documentation files of configured repositories.
+
+    Titles are found in the scan, so no text takes part in the join with the
+    settings or in any join after it.
+    """
+    title = titles.doc_title(F.col("path"), F.col("content"))
+    return (
+        repo_files.filter(F.col("content").isNotNull() & suffix(F.col("path")).isin(fixed.DOC_SUFFIXES))
+        .select("repo", "commit_sha", "path", once("title", title))
+        .join(repo_config.select("repo", "doc_dirs"), "repo", "inner")
+        .filter(is_doc_file(F.col("path"), F.col("doc_dirs")))
+        .select("repo", "commit_sha", "path", "title")
     )
-    return narrow.groupBy("repo", "commit_sha").agg(*aggregates)
+
+
+def contents_lists(entries: DataFrame) -> DataFrame:
+    """Entries (path, title) gathered per commit, in path order."""
+    return entries.groupBy("repo", "commit_sha").agg(F.array_sort(F.collect_list(F.struct("path", "title"))).alias("doc_toc"))
 
 
 def material_checks(candidates: DataFrame, repo_config: DataFrame, repo_files: DataFrame) -> DataFrame:
@@ -84,8 +104,8 @@ def materials_join(
     """
     checked = material_checks(candidates, repo_config, repo_files)
     commits = candidates.select("repo", F.col("merge_commit_sha").alias("commit_sha"))
-    documents = doc_files(repo_files, repo_config).join(commits, ["repo", "commit_sha"], "left_semi")
-    toc = doc_toc(documents).withColumnRenamed("commit_sha", "merge_commit_sha")
+    entries = doc_entries(repo_files, repo_config).join(commits, ["repo", "commit_sha"], "left_semi")
+    toc = contents_lists(entries).withColumnRenamed("commit_sha", "merge_commit_sha")
     none = F.array().cast(f"array<{schemas.DOC_ENTRY}>")
     ready = (
         checked.filter("kind is null")

@@ -10,7 +10,9 @@ more than it has lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchloom import fixed
@@ -68,24 +70,29 @@ def overlap_match(bugs: DataFrame, reports: DataFrame) -> DataFrame:
     """Every range of both sides with the number of ranges it meets on the other side.
 
     ``side`` tells bugs from reports; ``bugs_in_file`` counts the bug ranges of
-    the same task and file. Equal rows come out once.
+    the same task and file. Equal rows come out once. A range without a line, a
+    file or a task meets nothing, but is counted all the same.
     """
     points = _points(bugs, reports).select(*_ROW, "edge", "line", *_COUNTERS)
     profile = line_profile(points)
     started = F.when(F.col("side") == "bug", F.col("reports_started")).otherwise(F.col("bugs_started"))
     ended = F.when(F.col("side") == "bug", F.col("reports_ended")).otherwise(F.col("bugs_ended"))
-    sound = F.coalesce(F.col("line_start") <= F.col("line_end"), F.lit(False))
+    placed = F.col("task_id").isNotNull() & F.col("file").isNotNull()
+    sound = placed & F.coalesce(F.col("line_start") <= F.col("line_end"), F.lit(False))
     met = F.when(sound, F.col("started") - F.col("ended")).otherwise(F.lit(0).cast("bigint"))
+    place = [*_FILE, "line"]
+    profile = profile.withColumnsRenamed({c: f"at_{c}" for c in place})
+    same = [F.col(c).eqNullSafe(F.col(f"at_{c}")) for c in place]
     return (
         points.select(*_ROW, "edge", "line")
-        .join(profile, [*_FILE, "line"], "inner")
+        .join(profile, reduce(Column.__and__, same), "inner")
         .groupBy(*_ROW)
         .agg(
             F.max(F.when(F.col("edge") == "end", started)).alias("started"),
             F.max(F.when(F.col("edge") == "start", ended)).alias("ended"),
             F.max("bugs_in_file").alias("bugs_in_file"),
         )
-        .select(*_ROW, met.alias("met"), "bugs_in_file")
+        .select(*_ROW, met.alias("met"), F.when(placed, F.col("bugs_in_file")).otherwise(0).alias("bugs_in_file"))
     )
 
 

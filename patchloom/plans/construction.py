@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from patchloom.operators import answering
-from patchloom.operators.materials import materials_join
+from patchloom.operators.materials import RECORD_KEY, materials_join
 from patchloom.operators.outputs import assemble_outputs, route_by_review
+from patchloom.operators.pulls import dedup_last_wins
 from patchloom.session import materialised
 from patchloom.sources.sinks import all_failures
 
@@ -27,14 +29,23 @@ class Construction:
 
 
 def construct(
-    candidates: DataFrame, repo_config: DataFrame, repo_files: DataFrame, answers: DataFrame
+    candidates: DataFrame, repo_config: DataFrame, repo_files: DataFrame, answers: DataFrame,
+    candidate_order: list[str] | None = None,
 ) -> Construction:
     """Run all steps over an answer table (stages ``select``, ``spec``, ``review``).
 
+    Every candidate ends up among the inputs, in the queue or among the failures:
+    selected records without materials and records that some step never answered
+    give failure rows too. Of several answers of one step the last attempt counts;
+    given ``candidate_order``, so does the last of several rows of a candidate
+    (without it, candidate keys are taken to be unique).
+
     Materials and the assembled records are each read by several later tables,
     so they are written once to the shared folder instead of being worked out
     again.
     """
+    if candidate_order:
+        candidates = materialised(dedup_last_wins(candidates, RECORD_KEY, candidate_order), "candidates")
     ready, material_failures = materials_join(candidates, repo_config, repo_files)
     materials = materialised(ready, "materials")
     selected, select_failures = answering.parse_selection_answers(
@@ -42,10 +53,15 @@ def construct(
     )
     specs, spec_failures = answering.parse_spec_answers(answering.latest_answers(answers, "spec"))
     reviews, review_failures = answering.parse_review_answers(answering.latest_answers(answers, "review"))
+    _, without_materials = answering.spec_request_join(selected, materials)
     _, orphans = answering.review_request_join(specs, candidates, materials)
     assembled = materialised(
         assemble_outputs(reviews, candidates, specs, materials, selected), "assembled"
     )
     inputs, queue = route_by_review(assembled)
-    failures = all_failures([material_failures, select_failures, spec_failures, orphans, review_failures])
+    known = materialised(all_failures(
+        [material_failures, select_failures, without_materials, spec_failures, orphans, review_failures]), "failures")
+    accounted = assembled.select(*RECORD_KEY).unionByName(known.select(*RECORD_KEY))
+    silent = candidates.select(*RECORD_KEY).join(accounted, RECORD_KEY, "left_anti")
+    failures = known.unionByName(answering.failure_rows(silent, "spec", "llm", F.lit("a step was never answered")))
     return Construction(materials, selected, specs, reviews, inputs, queue, failures)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +14,27 @@ def repo_files_scan(spark: SparkSession, root: str) -> DataFrame:
     Each file is one whole text; one that is not UTF-8 has null content, and is
     passed over by whoever needs its text. File scans leave out files of no
     bytes, so these give no row. A landed table of the same columns serves as
-    well, and keeps them.
+    well, and keeps them. Files that lie less deep are listed by
+    ``misplaced_files``; what the folders are called does not matter.
     """
-    below = F.regexp_extract("path", r"/([^/]+/[^/]+/[0-9a-f]{7,64}/.+)\z", 1)
-    parts = F.split(below, "/", 4)
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        .select(parts.alias("p"), F.try_validate_utf8(F.col("content").cast("string")).alias("content"))
+        _below(spark, root).filter(F.size("p") == 4)
         .select(
-            F.concat_ws("/", F.get("p", 0), F.get("p", 1)).alias("repo"),
-            F.get("p", 2).alias("commit_sha"), F.get("p", 3).alias("path"), "content",
+            F.concat_ws("/", F.get("p", 0), F.get("p", 1)).alias("repo"), F.get("p", 2).alias("commit_sha"),
+            F.get("p", 3).alias("path"), F.try_validate_utf8(F.col("content").cast("string")).alias("content"),
         )
     )
+
+
+def misplaced_files(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of files under ``root`` that belong to no commit folder."""
+    return _below(spark, root).filter(F.size("p") < 4).select(F.array_join("p", "/").alias("path"))
+
+
+def _below(spark: SparkSession, root: str) -> DataFrame:
+    """The parts of each file's path below ``root``, the last one holding the rest, and its bytes."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    after = F.locate(bare, F.col("path")) + len(bare)
+    below = F.substring(F.col("path"), after, F.length("path"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select(F.split(below, "/", 4).alias("p"), "content")

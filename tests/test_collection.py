@@ -192,3 +192,10 @@ def test_resuming_twice_changes_nothing(spark):
     newer = rows.withColumn("state", F.lit("closed")).filter("number = 1").withColumn("at", F.lit(2))
     merged = refresh_latest(done.withColumn("at", F.lit(1)), newer, pulls.PULL_KEY, ["at"])
     assert {r.number: r.state for r in merged.collect()} == {0: "open", 1: "closed", 2: "open", 3: "open"}
+
+
+def test_an_issue_that_landed_twice_counts_once(spark):
+    linked = spark.createDataFrame([("o", "r", 1, [3])], "org string, repo string, number bigint, issue_numbers array<bigint>")
+    found = spark.createDataFrame([("o", "r", 3, "open", t, None, k) for k, t in enumerate(["old", "new"])], schemas.ISSUES + ", landed int")
+    row = issues.attach_issues(linked, found, ["landed"]).first()
+    assert [i.title for i in row.resolved_issues] == ["new"]

@@ -106,6 +106,18 @@ def test_whole_construction(spark, found, config, files):
     assert len(accepted) + len(queue) + 1 == run.reviews.count()
     assert {(r.stage, r.pr_id) for r in run.failures.collect()} == {
         ("materials", 2), ("materials", 3), ("materials", 4), ("materials", 5), ("select", 6), ("spec", 6), ("review", 9)}
+    # every candidate is accounted for
+    seen = {r["input"]["pr_id"] for r in accepted} | {r["pr_id"] for r in queue} | {r.pr_id for r in run.failures.collect()}
+    assert seen >= {r.pr_id for r in found.collect()}
+
+
+def test_repeated_and_unanswered_candidates(spark, found, config, files):
+    ok = json.dumps({"passed": True, "checks": {c: True for c in fixed.REVIEW_CHECKS}})
+    answers = [("spec", "o/r", 1, 1, "Spec 1", None), ("review", "o/r", 1, 1, ok, None), ("spec", "o/r", 6, 1, "Spec 6", None)]
+    twice = found.withColumn("landed", F.lit(1)).unionByName(found.withColumn("landed", F.lit(2)).withColumn("pr_title", F.lit("later")))
+    run = construct(twice, config, files, spark.createDataFrame(answers, schemas.MODEL_ANSWERS), candidate_order=["landed"])
+    assert [(r.input.pr_id, r.aux.pr_title) for r in run.inputs.collect()] == [(1, "later")]
+    assert ("spec", 6, "a step was never answered") in {(r.stage, r.pr_id, r.error) for r in run.failures.collect()}
 
 
 def test_consistency(spark):

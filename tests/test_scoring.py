@@ -10,7 +10,7 @@ from patchloom.operators import scoring
 
 def _brute(bugs, reports):
     meets = lambda b, r: (
-        b[0] == r[0] and b[2] == r[2] and None not in b[3:] + r[3:] and b[3] <= b[4] and r[3] <= r[4] and b[3] <= r[4] and b[4] >= r[3])
+        None not in (*b, *r) and b[0] == r[0] and b[2] == r[2] and b[3] <= b[4] and r[3] <= r[4] and b[3] <= r[4] and b[4] >= r[3])
     met = {("report", *r): sum(meets(b, r) for b in bugs) for r in reports}
     met |= {("bug", *b): sum(meets(b, r) for r in reports) for b in bugs}
     counts = defaultdict(lambda: [set(), set(), set(), set(), set()])
@@ -19,7 +19,7 @@ def _brute(bugs, reports):
         c[0].add(r[1])
         if met[("report", *r)]:
             c[1].add(r[1])
-        if any(b[0] == r[0] and b[2] == r[2] for b in bugs):
+        if any(None not in (r[0], r[2]) and b[0] == r[0] and b[2] == r[2] for b in bugs):
             c[2].add(r[1])
     for b in bugs:
         c = counts[b[0]]
@@ -36,8 +36,11 @@ def _random_rows(seed, n, hot):
         # A third of all rows belongs to one task and file.
         task, file = (0, "hot.sv") if rng.random() < hot else (rng.randrange(6), f"f{rng.randrange(3)}.sv")
         start = rng.randrange(60)
-        rows.add((task, i // 2, file, start, start + rng.randrange(-2, 9)))
-    return sorted(rows)
+        end = start + rng.randrange(-2, 9)
+        missing = rng.randrange(20)
+        rows.add((None if missing == 0 else task, i // 2, None if missing == 1 else file,
+                  None if missing in (2, 3) else start, None if missing in (3, 4) else end))
+    return sorted(rows, key=str)
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -65,3 +68,12 @@ def test_scores(spark):
     assert (two.line_precision, two.file_accuracy, two.recall, two.f1, two.weighted_score) == (None, None, 0.0, None, 0.0)
     assert (three.line_precision, three.recall, three.f1) == (0.0, None, None)
     assert (pooled.line_precision, pooled.recall) == (0.4, pytest.approx(1 / 3))
+
+
+def test_reports_without_a_place_count_as_reports(spark):
+    bugs = [(1, 1, "a", 5, 9)]
+    reports = [(1, 1, "a", 6, 7), (1, 2, "a", None, None), (1, 3, None, 5, 9), (1, 4, "a", 5, None)]
+    b = spark.createDataFrame(bugs, "task_id int, bug_id int, file string, line_start bigint, line_end bigint")
+    r = spark.createDataFrame(reports, "task_id int, report_id int, file string, line_start bigint, line_end bigint")
+    row = scoring.score(b, r).filter("scope = 'task'").first()
+    assert (row.reports, row.line_precision, row.file_accuracy, row.recall) == (4, 0.25, 0.75, 1.0)

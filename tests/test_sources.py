@@ -88,6 +88,15 @@ def test_exported_tree(spark, tmp_path):
     assert rows == {("o/r", sha, "doc/my dir/a b.md", "# T\nx\n"), ("o/r", sha, "top.v", "module t;"), ("o/r", sha, "bin.dat", None)}
 
 
+def test_folder_names_do_not_matter(spark, tmp_path):
+    root = tmp_path / "aa" / "bb" / "1234567" / "tree"
+    _write(root / "org" / "rp" / "v1.0" / "doc", "x.md", "# T")
+    _write(root / "org" / "rp", "loose.md", "# L")
+    for given in (str(root), f"file://{root}/"):
+        assert [tuple(r) for r in files.repo_files_scan(spark, given).collect()] == [("org/rp", "v1.0", "doc/x.md", "# T")]
+        assert [r.path for r in files.misplaced_files(spark, given).collect()] == ["org/rp/loose.md"]
+
+
 def test_repository_lists(spark):
     specs = spark.createDataFrame([(x,) for x in ("o/r", " o / q ", "none", "a/b/c")], "spec string")
     rows = {r.spec: (r.valid, r.org, r.repo) for r in repos.parse_repo_specs(specs).collect()}
