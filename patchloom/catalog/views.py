@@ -140,6 +140,13 @@ from (select o_orderkey, 1 as seq from orders where o_orderpriority <> '5-LOW'
 
 _FENCE = "chr(96) || chr(96) || chr(96)"
 
+_ASKED = " union all ".join(f"""
+select o_orderkey, o_custkey, cast({attempt} as bigint) as attempt, '{stage}' as stage, {step} as step,
+ case when {failed} end as error from orders where (o_orderkey + {step}) % 29 <> 0 and {who}"""
+    for step, stage in enumerate(("refs", "select", "spec", "review"))
+    for attempt, failed, who in ((1, "o_orderpriority = '1-URGENT' then 'timeout'", "true"),
+                                 (2, "o_orderstatus = 'P' then 'refused'", "o_orderpriority = '1-URGENT'")))
+
 # Answers of every step for every record, asked again for urgent ones: broken JSON, a bare array,
 # fences, text booleans, duplicates, wrong types, calls that failed, and steps never answered.
 VIEWS["model_answers"] = ([], f"""
@@ -158,12 +165,7 @@ select stage, {_slug(_ORDER_COMMIT)}, o_orderkey as pr_id, attempt,
   when 9 then '{{"passed": true, "checks": "all"}}'
   else '{{"passed": ' || case when o_custkey % 2 = 0 then 'true' else 'false' end
     || ', "checks": {{"describes_correct_behavior": true}}, "reasoning": "ok"}}' end end as content, error
-from (select o_orderkey, o_custkey, cast(1 as bigint) as attempt,
-  case when o_orderpriority = '1-URGENT' then 'timeout' end as error from orders
- union all select o_orderkey, o_custkey, cast(2 as bigint), case when o_orderstatus = 'P' then 'refused' end
-  from orders where o_orderpriority = '1-URGENT') x
-join (select 'refs' as stage, 0 as step union all select 'select', 1 union all select 'spec', 2 union all select 'review', 3) y
- on (o_orderkey + step) % 29 <> 0""")
+from ({_ASKED}) x""")
 
 # True bug ranges: tasks hold many bugs, some bugs of two ranges, some without a file or a line.
 VIEWS["bugs"] = ([], """

@@ -103,9 +103,9 @@ def materials_join(
     are read several times, so they should come from a written table.
     """
     checked = material_checks(candidates, repo_config, repo_files)
-    commits = candidates.select("repo", F.col("merge_commit_sha").alias("commit_sha"))
-    entries = doc_entries(repo_files, repo_config).join(commits, ["repo", "commit_sha"], "left_semi")
-    toc = contents_lists(entries).withColumnRenamed("commit_sha", "merge_commit_sha")
+    # A semi-join with the wanted commits would be moved below the titles, and whole texts into its
+    # shuffle; lists of other commits are short, and the left join below leaves them out.
+    toc = contents_lists(doc_entries(repo_files, repo_config)).withColumnRenamed("commit_sha", "merge_commit_sha")
     none = F.array().cast(f"array<{schemas.DOC_ENTRY}>")
     ready = (
         checked.filter("kind is null")

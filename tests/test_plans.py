@@ -84,11 +84,11 @@ def test_file_contents_are_cut_down_before_they_move(spark, landed):
 
 
 def test_documents_move_without_their_text(spark, landed, no_broadcast):
-    entries = materials.doc_entries(landed["REPO_FILES"], landed["REPO_CONFIG"])
-    plan = _formatted(materials.contents_lists(entries.join(
-        landed["CANDIDATES"].select("repo", F.col("merge_commit_sha").alias("commit_sha")), ["repo", "commit_sha"], "left_semi")))
+    ready, _ = materials.materials_join(landed["CANDIDATES"], landed["REPO_CONFIG"], landed["REPO_FILES"])
+    plan = _formatted(ready.select("repo", "pr_id", "doc_toc"))
     moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
-    assert len(moved) >= 3 and "content#" in plan and not any("content#" in x for x in moved)
+    # the one exchange with a text is that of the source files
+    assert len(moved) >= 5 and sum("content#" in x for x in moved) == 1
 
 
 def test_scores_read_each_table_twice_at_most(spark, no_broadcast):
