@@ -15,6 +15,11 @@ compared. No link is missed, and the anchors stay small however many fingerprint
 An anchor with very many fingerprints (a crowd of near copies) is dealt out in blocks, every pair
 of blocks to a bucket of its own, so a task holds two blocks at most at a time. Buckets hand on
 only what connects their members (a root for each), never all their pairs.
+
+Three bits of 64 see near copies that share nearly all shingles. Where copies from a given share of
+common shingles on are wanted (``similarity``), sampled fingerprints go along: of fixed pseudo-random
+orders of all shingles a document keeps the least shingle each, and equal runs of four of these bring
+two documents together. Whether they link is then judged on all samples.
 """
 
 from __future__ import annotations
@@ -38,11 +43,18 @@ BLOCK = 2048
 _HELD = 1 << 19
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The 64-bit fingerprint of a text; 0 without words."""
+#: Sampled orders, and how many of them make a meeting point: at a similarity of 0.8 nearly every pair meets, at 0.3 few do.
+SAMPLES, RUN = 128, 4
+#: How far the sampled share may fall below the wanted similarity (its standard error is 0.035).
+_SLACK = 0.03
+_ORDERS = np.random.default_rng(20).integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of the shingles of a text, repeats included; empty without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     n = max(len(words) - shingle + 1, 1)
     if n == 1:
@@ -52,7 +64,28 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         ends = np.cumsum(sizes)
         spans = zip((ends - sizes)[:n].tolist(), (ends[shingle - 1:] - 1).tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], 42) for s, e in spans], dtype="<u8")
+    return np.array([digest(joined[s:e], 42) for s, e in spans], dtype="<u8")
+
+
+def samples(hashes: np.ndarray) -> np.ndarray | None:
+    """The least shingle in each order, as 32 bits; none without shingles."""
+    if not len(hashes):
+        return None
+    least = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(hashes), 2048):
+        np.minimum(least, (hashes[i: i + 2048, None] * _ORDERS).min(axis=0), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The 64-bit fingerprint of a text; 0 without words."""
+    return _majority(shingle_hashes(text, shingle))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for i in range(0, n, 1 << 16):  # bounded memory for very long texts
         bits = np.unpackbits(hashes[i: i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -60,14 +93,36 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def _fingerprint_column(shingle: int):
+def _fingerprint_column(shingle: int, sampled: bool = False):
     def work(texts: pa.Array) -> list:
-        values = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], dtype=np.uint64)
-        return [pa.array(values.view(np.int64))]
+        values, least = [], []
+        for t in texts.to_pylist():
+            hashes = shingle_hashes(t, shingle)
+            values.append(_majority(hashes))
+            if sampled:
+                least.append(samples(hashes))
+        values = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
+        return [values, least] if sampled else [values]
 
     return lambda: work
 
 
+def sampled_links(sampled: DataFrame, similarity: float) -> DataFrame:
+    """Edges ``a``, ``b`` between values ``f`` whose samples ``m`` agree in about ``similarity`` of all places.
+
+    Values with an equal run of samples are held against the least of them only, so a crowd of near copies gives a star
+    and not all its pairs; every pair has many runs to meet in.
+    """
+    runs = [F.xxhash64(F.lit(i), *[F.get("m", i + j) for j in range(RUN)]) for i in range(0, SAMPLES, RUN)]
+    entries = sampled.filter("m is not null").select("f", F.explode(F.array(*runs)).alias("run"))
+    first = entries.groupBy("run").agg(F.min("f").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    pairs = entries.join(first, "run").filter("f <> b").select(F.col("f").alias("a"), "b").distinct()
+    one = sampled.select(F.col("f").alias("a"), F.col("m").alias("m_a"))
+    two = sampled.select(F.col("f").alias("b"), F.col("m").alias("m_b"))
+    equal = F.size(F.filter(F.zip_with("m_a", "m_b", lambda x, y: x == y), lambda x: x))
+    return pairs.join(one, "a").join(two, "b").filter(equal >= (similarity - _SLACK) * SAMPLES).select("a", "b")
+
+
 # The Hamming code on 31 bits: position p (1 to 31) adds p to the syndrome; code words have syndrome 0.
 def _syndrome(x: np.ndarray) -> np.ndarray:
     s = np.zeros(len(x), dtype=np.int64)
@@ -198,18 +253,28 @@ def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> Dat
 
 def groups(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3, block: int = BLOCK,
+    similarity: float | None = None,
 ) -> DataFrame:
     """``doc_id``, fingerprint ``f`` (signed long), ``root`` (the least fingerprint of the component) and ``component_id``
     (the smallest id in it) of every row.
 
+    With ``similarity``, texts that share about that part of their shingles (as sets) link as well.
     Null and empty texts have fingerprint 0 and link like any other. Repeated rows come out as often as they stand.
     A null id never becomes a component id unless its component has no other. Ids keep their type. An empty table gives none.
     """
-    marked = with_text_columns(
-        documents, text, [doc_id], [T.StructField("f", T.LongType())], _fingerprint_column(shingle)).select("row.*", "f")
-    marked = materialised(marked.select(col(doc_id).alias("doc_id"), "f"), "fingerprints")
-    distinct = materialised(marked.groupBy("f").agg(F.min("doc_id").alias("least")), "distinct")
-    of = components(links(distinct, distance, block)).withColumnRenamed("node", "f")
+    fields = [T.StructField("f", T.LongType())]
+    if similarity is not None:
+        fields.append(T.StructField("m", T.ArrayType(T.IntegerType())))
+    marked = with_text_columns(documents, text, [doc_id], fields, _fingerprint_column(shingle, similarity is not None))
+    marked = materialised(marked.select(F.col("row")[doc_id].alias("doc_id"), *[f.name for f in fields]), "fingerprints")
+    distinct = materialised(marked.groupBy("f").agg(
+        F.min("doc_id").alias("least"), *[F.min(f.name).alias(f.name) for f in fields[1:]]), "distinct")
+    edges = links(distinct, distance, block)
+    if similarity is not None:
+        edges = edges.unionByName(sampled_links(distinct, similarity))
+    of = components(edges).withColumnRenamed("node", "f")
+    distinct = distinct.select("f", "least")
+    marked = marked.select("doc_id", "f")
     rooted = distinct.join(of, "f", "left").withColumn("root", F.coalesce("root", "f"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(rooted.select("f", "root").join(least, "root"), "f").select("doc_id", "f", "root", "component_id")

@@ -142,3 +142,25 @@ def test_one_row_of_each_component_stays(spark):
     out = nd.kept_documents(spark.createDataFrame(odd, df.schema), shingle=5).collect()
     assert sorted(roots[plain_fingerprint(r.text, 5)] for r in out) == sorted(set(roots.values()))
     assert not any(r.doc_id is None and r.text == rows[2][1] for r in out)
+
+
+def test_similar_texts_link_by_samples(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows, expected = [], {}
+    for g in range(40):
+        base = [word() for _ in range(rng.choice([60, 300, 1500]))]
+        for k in range(3):
+            w = list(base)
+            for _ in range(len(w) // 100 * k):  # up to two words in a hundred: a similarity of 0.81 at least
+                w[rng.randrange(len(w))] = word()
+            rows.append((3 * g + k, " ".join(w)))
+            expected[3 * g + k] = 3 * g
+    rows += [(1000, None), (1001, ""), (1002, "one two")]
+    expected |= {1000: 1000, 1001: 1000, 1002: 1002}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.component_id for r in nd.groups(df, shingle=5, similarity=0.8).collect()}
+    assert sum(out[i] == expected[i] for i in expected) >= len(expected) - 8
+    assert all(out[i] // 3 == i // 3 for i in range(120))  # nothing else links
+    plain = {r.doc_id: r.component_id for r in nd.groups(df, shingle=5).collect()}
+    assert sum(plain[i] == expected[i] for i in expected) < len(expected) - 20

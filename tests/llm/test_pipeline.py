@@ -46,7 +46,7 @@ def test_run(spark):
     left = {r.doc_id for r in out}
     lettered = {i for i, r in docs.items() if r.text and re.search(r"[^\W\d_]", r.text)}
     assert left <= lettered
-    groups = near_duplicates.groups(table(spark, sf, "documents"), shingle=5).collect()
+    groups = near_duplicates.groups(table(spark, sf, "documents"), shingle=5, similarity=0.8).collect()
     first = {}
     for r in sorted(groups, key=lambda r: r.doc_id):
         if r.doc_id in lettered:
