@@ -36,6 +36,8 @@ from patchloom.session import materialised
 UNDETERMINED = "und"
 #: Labelled documents per language that the model learns from, about.
 MOST_DOCUMENTS = 1500
+#: Labels beyond this number are taken for a mistake in the table.
+MOST_LANGUAGES = 500
 #: Distinct words a task remembers the scores of, and words scored in one go.
 REMEMBERED, AT_ONCE = 1_500_000, 20_000
 _LIFT = 2.5
@@ -210,14 +212,19 @@ def identified(df: DataFrame, model: LanguageModel, keep: list[str], text: str =
 
 
 def training_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", language: str = "lang",
-                  most_documents: int = MOST_DOCUMENTS) -> DataFrame:
+                  most_documents: int = MOST_DOCUMENTS, most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """``language`` and ``text`` of about ``most_documents`` rows per language, chosen by a hash of the row, so that the choice is
     the same every time. Rows without text or language are left out."""
     rows = df.select(col(language).cast("string").alias("language"), col(text).cast("string").alias("text"),
                      F.xxhash64(col(doc_id).cast("string"), F.length(col(text))).alias("h")).filter("language is not null and text is not null")
-    sizes = rows.groupBy("language").agg(F.count("*").alias("n"))
-    share = F.lit(float(most_documents)) / F.col("n")
-    return rows.join(sizes, "language").filter((F.shiftrightunsigned("h", 12) / float(1 << 52)) < share).select("language", "text")
+    # one number per language comes to the driver, so that texts are chosen in the scan and never move by their language
+    sizes = rows.groupBy("language").count().limit(most_languages + 1).collect()
+    if len(sizes) > most_languages:
+        raise ValueError("too many languages for one model")
+    share = F.lit(0.0)
+    for name, n in sorted(sizes):
+        share = F.when(F.col("language") == name, most_documents / n).otherwise(share)
+    return rows.filter((F.shiftrightunsigned("h", 12) / float(1 << 52)) < share).select("language", "text")
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
@@ -261,7 +268,7 @@ def _expected(model: LanguageModel):
 
 
 def learned(rows: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, rounds: int = 3, smoothing: float = 0.1,
-            most_languages: int = 500) -> LanguageModel:
+            most_languages: int = MOST_LANGUAGES) -> LanguageModel:
     """A model from rows of ``language`` and ``text``. Every piece keeps a little probability (``smoothing`` counts), so no
     text is impossible in any language. What comes to the driver is one number per language and piece. No rows: no languages."""
     pieces = load_vocabulary(vocabulary)
