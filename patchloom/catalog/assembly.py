@@ -12,7 +12,7 @@ from patchloom.functions.refs import pr_text
 from patchloom.operators import answering, issues, materials, outputs, pulls, summaries
 from patchloom.operators.candidates import repo_slug
 from patchloom.operators.incremental import refresh_latest, resume_anti
-from patchloom.operators.patches import extract_patches, file_line_counts
+from patchloom.operators.patches import extract_patches, parse_diffs
 from patchloom.plans.collection import collected_pulls
 from patchloom.plans.construction import construct
 from patchloom.session import fresh_path, materialised
@@ -156,8 +156,7 @@ def modified_files(t):
 select {PR}, count(*) filter (where kind = '+') as lines_added, count(*) filter (where kind = '-') as lines_removed
 from numbered_lines group by {PR}""", uses=("numbered_lines",))
 def line_totals(t):
-    return file_line_counts(t.diffs()).groupBy(*_KEY).agg(
-        F.sum("added").alias("lines_added"), F.sum("removed").alias("lines_removed"))
+    return parse_diffs(t.diffs()).select(*_KEY, "lines_added", "lines_removed")
 
 
 @query("fix_test_split", f"""
