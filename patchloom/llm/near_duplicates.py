@@ -19,7 +19,7 @@ only what connects their members (a root for each), never all their pairs.
 Three bits of 64 see near copies that share nearly all shingles. Where copies from a given share of
 common shingles on are wanted (``similarity``), sampled fingerprints go along: of fixed pseudo-random
 orders of all shingles a document keeps the least shingle each, and equal runs of four of these bring
-two documents together. Whether they link is then judged on all samples.
+documents together. All that meet are compared with each other, on all samples.
 """
 
 from __future__ import annotations
@@ -29,11 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.llm.components import components
+from patchloom.llm.hashing import mixed
 from patchloom.llm.rows import col, with_text_columns
 from patchloom.session import materialised
 
@@ -41,6 +42,8 @@ from patchloom.session import materialised
 BLOCK = 2048
 #: Links held before they are folded into roots.
 _HELD = 1 << 19
+#: Members of a bucket up to which all its pairs are compared at a stroke with those of other buckets.
+_FEW = 64
 
 
 #: Sampled orders, and how many of them make a meeting point: at a similarity of 0.8 nearly every pair meets, at 0.3 few do.
@@ -77,6 +80,20 @@ def samples(hashes: np.ndarray) -> np.ndarray | None:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def _meeting(least: np.ndarray) -> np.ndarray:
+    """A hash of every run of samples."""
+    runs = least.view(np.uint32).astype(np.uint64).reshape(-1, RUN)
+    out = np.arange(len(runs), dtype=np.uint64)
+    for i in range(RUN):
+        out = mixed(out + runs[:, i])
+    return out.view(np.int64)
+
+
+def _short(least: np.ndarray) -> bytes:
+    """The low byte of every sample: unequal samples pass for equal once in 256."""
+    return least.view(np.uint8)[::4].tobytes()
+
+
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """The 64-bit fingerprint of a text; 0 without words."""
     return _majority(shingle_hashes(text, shingle))
@@ -95,34 +112,20 @@ def _majority(hashes: np.ndarray) -> int:
 
 def _fingerprint_column(shingle: int, sampled: bool = False):
     def work(texts: pa.Array) -> list:
-        values, least = [], []
+        values, runs, short = [], [], []
         for t in texts.to_pylist():
             hashes = shingle_hashes(t, shingle)
             values.append(_majority(hashes))
             if sampled:
-                least.append(samples(hashes))
+                least = samples(hashes)
+                runs.append(None if least is None else _meeting(least))
+                short.append(None if least is None else _short(least))
         values = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
-        return [values, least] if sampled else [values]
+        return [values, runs, short] if sampled else [values]
 
     return lambda: work
 
 
-def sampled_links(sampled: DataFrame, similarity: float) -> DataFrame:
-    """Edges ``a``, ``b`` between values ``f`` whose samples ``m`` agree in about ``similarity`` of all places.
-
-    Values with an equal run of samples are held against the least of them only, so a crowd of near copies gives a star
-    and not all its pairs; every pair has many runs to meet in.
-    """
-    runs = [F.xxhash64(F.lit(i), *[F.get("m", i + j) for j in range(RUN)]) for i in range(0, SAMPLES, RUN)]
-    entries = sampled.filter("m is not null").select("f", F.explode(F.array(*runs)).alias("run"))
-    first = entries.groupBy("run").agg(F.min("f").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    pairs = entries.join(first, "run").filter("f <> b").select(F.col("f").alias("a"), "b").distinct()
-    one = sampled.select(F.col("f").alias("a"), F.col("m").alias("m_a"))
-    two = sampled.select(F.col("f").alias("b"), F.col("m").alias("m_b"))
-    equal = F.size(F.filter(F.zip_with("m_a", "m_b", lambda x, y: x == y), lambda x: x))
-    return pairs.join(one, "a").join(two, "b").filter(equal >= (similarity - _SLACK) * SAMPLES).select("a", "b")
-
-
 # The Hamming code on 31 bits: position p (1 to 31) adds p to the syndrome; code words have syndrome 0.
 def _syndrome(x: np.ndarray) -> np.ndarray:
     s = np.zeros(len(x), dtype=np.int64)
@@ -185,30 +188,13 @@ def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[own], names[root[own]]
 
 
-def _linked(distance: int):
-    """Links inside runs of equal (anchor, block pair), read in order; a run may go on in the next batch."""
-
-    def within(key: np.ndarray, f: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        end = np.repeat(np.r_[start[1:], len(key)], np.diff(np.r_[start, len(key)]))
-        at, lag, held = np.arange(len(key)), 0, []
-        while True:
-            lag += 1
-            at = at[at + lag < end[at]]
-            if not len(at):
-                break
-            near = np.bitwise_count((f[at] ^ f[at + lag]).view(np.uint64)) <= distance
-            pair = at[near]
-            held.append((f[pair], f[pair + lag]))
-            if sum(len(x) for x, _ in held) > _HELD:
-                held = [_roots(*(np.concatenate(x) for x in zip(*held)))]
-        if held:
-            yield _roots(*(np.concatenate(x) for x in zip(*held)))
+def _buckets(within, read=lambda batch: [batch.column(i).to_numpy() for i in range(3)]):
+    """Links of ``within`` for runs of equal (anchor, block pair), read in order; a run may go on in the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(3)]
+            columns = read(batch)
             if left is not None:
                 columns = [np.concatenate(x) for x in zip(left, columns)]
             change = np.flatnonzero((columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])) + 1
@@ -216,17 +202,110 @@ def _linked(distance: int):
             key[change] = 1
             key = np.cumsum(key)  # a number for each run
             cut = int(change[-1]) if len(change) else 0
-            left = [c[cut:] for c in columns]
             if cut:
-                for a, b in within(key[:cut], columns[2][:cut]):
+                for a, b in within(key[:cut], *[c[:cut] for c in columns[2:]]):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            left = [c[cut:] for c in columns]
         if left is not None and len(left[0]):
-            for a, b in within(np.zeros(len(left[0]), dtype=np.int64), left[2]):
+            for a, b in within(np.zeros(len(left[0]), dtype=np.int64), *left[2:]):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
 
+def _linked(near):
+    """Roots of the links inside runs of equal ``key``, every two members being held against each other by ``near``."""
+
+    def within(key: np.ndarray, f: np.ndarray, *more: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        end = np.repeat(np.r_[start[1:], len(key)], np.diff(np.r_[start, len(key)]))
+        at, lag, held = np.arange(len(key)), 0, []
+        while True:
+            lag += 1
+            at = at[at + lag < end[at]]
+            if not len(at):
+                break
+            pair = at[near(at, at + lag, f, *more)]
+            held.append((f[pair], f[pair + lag]))
+            if sum(len(x) for x, _ in held) > _HELD:
+                held = [_roots(*(np.concatenate(x) for x in zip(*held)))]
+        if held:
+            yield _roots(*(np.concatenate(x) for x in zip(*held)))
+
+    return within
+
+
+def _few_bits(distance: int):
+    return lambda i, j, f: np.bitwise_count((f[i] ^ f[j]).view(np.uint64)) <= distance
+
+
+def _reached(size: int, near) -> Iterator[tuple[int, np.ndarray]]:
+    """Links (one, others) that connect what all pairs connect: from each member reached, those not yet reached are tried."""
+    left = np.arange(size)
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            one = queue.pop()
+            hit = near(one, left)
+            if hit.any():
+                queue.extend(left[hit].tolist())
+                yield one, left[hit]
+                left = left[~hit]
+
+
+def _alike(least: float):
+    """Roots of the links between members that share at least ``least`` samples."""
+
+    def agree(i, j, f, short):
+        out = np.empty(len(i), dtype=bool)
+        for k in range(0, len(i), 1 << 14):
+            out[k: k + (1 << 14)] = (short[i[k: k + (1 << 14)]] == short[j[k: k + (1 << 14)]]).sum(axis=1) >= least
+        return out
+
+    few = _linked(agree)
+
+    def within(key: np.ndarray, f: np.ndarray, short: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[start, len(key)])
+        small = np.repeat(size <= _FEW, size)
+        if small.any():
+            yield from few(key[small], f[small], short[small])
+        for s, n in zip(start[size > _FEW].tolist(), size[size > _FEW].tolist()):
+            own, mine = short[s: s + n], f[s: s + n]
+            for one, others in _reached(n, lambda x, y: (own[y] == own[x]).sum(axis=1) >= least):
+                yield np.full(len(others), mine[one]), mine[others]
+
+    return within
+
+
+def _with_samples(batch: pa.RecordBatch) -> list[np.ndarray]:
+    short = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, SAMPLES)
+    return [*(batch.column(i).to_numpy() for i in range(3)), short]
+
+
+def _pairs_of_blocks(blocks: Column) -> Column:
+    """The buckets of value ``f`` in a crowd dealt out in ``blocks``: the pairs (i, j) of its block i and every j, so each two blocks meet once."""
+    i = F.pmod(F.xxhash64("f"), blocks)
+    return F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.least(i, j) * blocks + F.greatest(i, j))
+
+
+def sampled_links(sampled: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """Edges ``a``, ``b`` that connect the values ``f`` which meet in a run of samples (``runs``) and whose samples (``short``)
+    agree in about ``similarity`` of all places.
+
+    All values of a run are compared with each other; a crowd is dealt out in block pairs. A run hands on only what connects
+    its members, never all their pairs.
+    """
+    entries = sampled.filter("runs is not null").select("f", F.explode("runs").alias("run"))
+    shared = entries.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select("run", F.ceil(F.col("n") / block).alias("blocks"))
+    members = entries.join(shared, "run").join(sampled.select("f", "short"), "f")
+    return (
+        members.select("run", F.explode(_pairs_of_blocks(F.col("blocks"))).alias("pair"), "f", "short")
+        .repartition("run", "pair").sortWithinPartitions("run", "pair", "f")
+        .mapInArrow(_buckets(_alike((similarity - _SLACK) * SAMPLES), _with_samples), _EDGE).distinct()
+    )
+
+
 def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFrame:
     """Edges ``a``, ``b`` between distinct 64-bit values (column ``f``, as signed longs) that connect exactly what pairs
     with at most ``distance`` (3 or fewer) differing bits connect. Not all pairs are listed."""
@@ -239,15 +318,12 @@ def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> Dat
     if crowded.isEmpty():
         dealt = entries.select("anchor", F.lit(0).cast("long").alias("pair"), "f")
     else:
-        # with B blocks, a fingerprint of block i goes to the pairs (i, j) of every j, so each two blocks meet once
         many = entries.join(crowded, "anchor", "left")
-        i = F.pmod(F.xxhash64("f"), F.col("blocks"))
-        pairs = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(
-            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(i, j) * F.col("blocks") + F.greatest(i, j)))
+        pairs = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(_pairs_of_blocks(F.col("blocks")))
         dealt = many.select("anchor", F.explode(pairs).alias("pair"), "f")
     return (
         dealt.repartition("anchor", "pair").sortWithinPartitions("anchor", "pair", "f")
-        .mapInArrow(_linked(distance), _EDGE).distinct()
+        .mapInArrow(_buckets(_linked(_few_bits(distance))), _EDGE).distinct()
     )
 
 
@@ -264,14 +340,14 @@ def groups(
     """
     fields = [T.StructField("f", T.LongType())]
     if similarity is not None:
-        fields.append(T.StructField("m", T.ArrayType(T.IntegerType())))
+        fields += [T.StructField("runs", T.ArrayType(T.LongType())), T.StructField("short", T.BinaryType())]
     marked = with_text_columns(documents, text, [doc_id], fields, _fingerprint_column(shingle, similarity is not None))
     marked = materialised(marked.select(F.col("row")[doc_id].alias("doc_id"), *[f.name for f in fields]), "fingerprints")
     distinct = materialised(marked.groupBy("f").agg(
         F.min("doc_id").alias("least"), *[F.min(f.name).alias(f.name) for f in fields[1:]]), "distinct")
     edges = links(distinct, distance, block)
     if similarity is not None:
-        edges = edges.unionByName(sampled_links(distinct, similarity))
+        edges = edges.unionByName(sampled_links(distinct, similarity, block))
     of = components(edges).withColumnRenamed("node", "f")
     distinct = distinct.select("f", "least")
     marked = marked.select("doc_id", "f")

@@ -164,3 +164,24 @@ def test_similar_texts_link_by_samples(spark):
     assert all(out[i] // 3 == i // 3 for i in range(120))  # nothing else links
     plain = {r.doc_id: r.component_id for r in nd.groups(df, shingle=5).collect()}
     assert sum(plain[i] == expected[i] for i in expected) < len(expected) - 20
+
+
+def passages(rng, n, pairs, share):
+    """Texts of 42 of 60 common passages of eight words; the first ``pairs`` of them have a near copy, ``n + i``, with a ``share`` of the words changed."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    common = [[word() for _ in range(8)] for _ in range(60)]
+    rows = [(i, [w for p in rng.sample(common, 42) for w in p]) for i in range(n)]
+    for i in range(pairs):
+        w = list(rows[i][1])
+        for at in rng.sample(range(len(w)), int(len(w) * share)):
+            w[at] = word()
+        rows.append((n + i, w))
+    return [(i, " ".join(w)) for i, w in rows]
+
+
+@pytest.mark.parametrize("block", [2048, 30])
+def test_pairs_in_a_crowd_of_common_passages_link(spark, block):
+    rows = passages(random.Random(12), 1000, 150, 0.05)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    out = {r.doc_id: r.root for r in nd.groups(df, shingle=1, similarity=0.8, block=block).collect()}
+    assert sum(out[i] == out[1000 + i] for i in range(150)) == 150
