@@ -17,9 +17,12 @@ of blocks to a bucket of its own, so a task holds two blocks at most at a time.
 only what connects their members (a root for each), never all their pairs.
 
 Three bits of 64 see near copies that share nearly all shingles. Where copies from a given share of
-common shingles on are wanted (``similarity``), sampled fingerprints go along: of fixed pseudo-random
-orders of all shingles a document keeps the least shingle each, and equal runs of four of these bring
-documents together. All that meet are compared with each other, on all samples.
+common shingles on are wanted (``similarity``), the whole sets of shingles decide, and samples find the
+candidates: of fixed pseudo-random orders of all shingles a document keeps the least shingle each, and
+equal runs of four of these bring documents together. All that meet are compared with each other on all
+samples, under a loose bound: a pair at 0.8 fails to meet, or to pass, about once in ten million. The groups
+this makes get the shingle sets of their members, each set moved once (of a crowd, once for each other
+block), and link where the sets are similar enough.
 """
 
 from __future__ import annotations
@@ -48,8 +51,10 @@ _FEW = 64
 
 #: Sampled orders, and how many of them make a meeting point: at a similarity of 0.8 nearly every pair meets, at 0.3 few do.
 SAMPLES, RUN = 128, 4
-#: How far the sampled share may fall below the wanted similarity (its standard error is 0.035).
-_SLACK = 0.03
+#: How far the sampled share may fall below the wanted similarity (its standard error is 0.035 at 0.8).
+_SLACK = 0.22
+#: Shingles of a group that are compared in one place; more are dealt out in blocks.
+_SHINGLES = 1 << 21
 _ORDERS = np.random.default_rng(20).integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -110,22 +115,36 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def _fingerprint_column(shingle: int, sampled: bool = False):
+def _fingerprint_column(shingle: int):
     def work(texts: pa.Array) -> list:
-        values, runs, short = [], [], []
+        return [pa.array(np.array([fingerprint(t, shingle) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64))]
+
+    return lambda: work
+
+
+def _set_column(shingle: int, sampled: bool = False):
+    """A hash of the set of shingles; with ``sampled``, also runs of samples, short samples and the size of the set."""
+
+    def work(texts: pa.Array) -> list:
+        values, runs, short, sizes = [], [], [], []
         for t in texts.to_pylist():
-            hashes = shingle_hashes(t, shingle)
-            values.append(_majority(hashes))
+            hashes = np.unique(shingle_hashes(t, shingle))
+            values.append(xxhash.xxh64_intdigest(hashes.tobytes(), 42))
             if sampled:
                 least = samples(hashes)
                 runs.append(None if least is None else _meeting(least))
                 short.append(None if least is None else _short(least))
+                sizes.append(len(hashes))
         values = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
-        return [values, runs, short] if sampled else [values]
+        return [values, runs, short, sizes] if sampled else [values]
 
     return lambda: work
 
 
+def _shingles_column(shingle: int):
+    return lambda: lambda texts: [[np.unique(shingle_hashes(t, shingle)).tobytes() for t in texts.to_pylist()]]
+
+
 # The Hamming code on 31 bits: position p (1 to 31) adds p to the syndrome; code words have syndrome 0.
 def _syndrome(x: np.ndarray) -> np.ndarray:
     s = np.zeros(len(x), dtype=np.int64)
@@ -289,9 +308,43 @@ def _pairs_of_blocks(blocks: Column) -> Column:
     return F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.least(i, j) * blocks + F.greatest(i, j))
 
 
+def _with_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
+    sets = np.empty(len(batch), dtype=object)
+    for i, x in enumerate(batch.column(4).to_pylist()):
+        sets[i] = np.frombuffer(x, dtype="<u8")
+    return [*_with_samples(batch), sets]
+
+
+def _similar(similarity: float):
+    """Links that connect the members whose shingle sets have at least ``similarity`` of their union in common."""
+
+    def within(key: np.ndarray, f: np.ndarray, short: np.ndarray, sets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for s, n in zip(start.tolist(), np.diff(np.r_[start, len(key)]).tolist()):
+            def near(one: int, others: np.ndarray) -> np.ndarray:
+                x, at = sets[s + one], s + others
+                hit = np.minimum(sizes[at], len(x)) >= similarity * np.maximum(sizes[at], len(x)) * (1 - 1e-9)
+                hit[hit] = (short[at[hit]] == short[s + one]).sum(axis=1) >= (similarity - _SLACK) * SAMPLES
+                tried = np.flatnonzero(hit)
+                for k in range(0, len(tried), 256):
+                    part = tried[k: k + 256]
+                    every, own = np.concatenate(sets[at[part]]), sizes[at[part]]
+                    place = np.searchsorted(x, every)
+                    place[place == len(x)] = 0
+                    common = np.add.reduceat((x[place] == every).astype(np.int64), np.cumsum(own) - own)
+                    hit[part] = common / (own + len(x) - common) >= similarity
+                return hit
+
+            for one, others in _reached(n, near):
+                yield np.full(len(others), f[s + one]), f[s + others]
+
+    return within
+
+
 def sampled_links(sampled: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
-    """Edges ``a``, ``b`` that connect the values ``f`` which meet in a run of samples (``runs``) and whose samples (``short``)
-    agree in about ``similarity`` of all places.
+    """Edges ``a``, ``b`` that connect the candidates: values ``f`` which meet in a run of samples (``runs``) and whose samples
+    (``short``) do not speak against ``similarity``.
 
     All values of a run are compared with each other; a crowd is dealt out in block pairs. A run hands on only what connects
     its members, never all their pairs.
@@ -306,6 +359,26 @@ def sampled_links(sampled: DataFrame, similarity: float, block: int = BLOCK) ->
     )
 
 
+def similar_links(documents: DataFrame, sampled: DataFrame, similarity: float, shingle: int, block: int = BLOCK) -> DataFrame:
+    """Edges ``a``, ``b`` that connect the values ``f`` whose sets of shingles have at least ``similarity`` of their union in common.
+
+    ``documents`` has ``doc_id``, ``text`` and ``h``; ``sampled`` names one of them for every value (``one``: h, doc_id). Sets are
+    made of the texts that have a candidate, and compared inside each group of candidates.
+    """
+    of = components(sampled_links(sampled, similarity, block)).withColumnRenamed("node", "f")
+    some = materialised(sampled.select("f", "one", "short", "n").join(of, "f"), "candidates")
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / _SHINGLES)).alias("blocks")
+    some = some.join(some.groupBy("root").agg(blocks), "root").select(
+        F.col("one.h").alias("__h"), F.col("one.doc_id").alias("__id"), "root", "blocks", "f", "short")
+    texts = documents.join(some, (F.col("h") == F.col("__h")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    sets = with_text_columns(texts, "text", ["root", "blocks", "f", "short"], [T.StructField("s", T.BinaryType())], _shingles_column(shingle))
+    return (
+        sets.select("row.*", "s").select("root", F.explode(_pairs_of_blocks(F.col("blocks"))).alias("pair"), "f", "short", "s")
+        .repartition("root", "pair").sortWithinPartitions("root", "pair", "f")
+        .mapInArrow(_buckets(_similar(similarity), _with_sets), _EDGE).distinct()
+    )
+
+
 def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFrame:
     """Edges ``a``, ``b`` between distinct 64-bit values (column ``f``, as signed longs) that connect exactly what pairs
     with at most ``distance`` (3 or fewer) differing bits connect. Not all pairs are listed."""
@@ -334,20 +407,26 @@ def groups(
     """``doc_id``, fingerprint ``f`` (signed long), ``root`` (the least fingerprint of the component) and ``component_id``
     (the smallest id in it) of every row.
 
-    With ``similarity``, texts that share about that part of their shingles (as sets) link as well.
-    Null and empty texts have fingerprint 0 and link like any other. Repeated rows come out as often as they stand.
+    With ``similarity``, texts link where the sets of their shingles have at least that part of their union in common, whatever
+    their fingerprints; ``f`` is then a hash of the set.
+    Null and empty texts have fingerprint 0 (one empty set) and link like any other. Repeated rows come out as often as they stand.
     A null id never becomes a component id unless its component has no other. Ids keep their type. An empty table gives none.
     """
-    fields = [T.StructField("f", T.LongType())]
-    if similarity is not None:
-        fields += [T.StructField("runs", T.ArrayType(T.LongType())), T.StructField("short", T.BinaryType())]
-    marked = with_text_columns(documents, text, [doc_id], fields, _fingerprint_column(shingle, similarity is not None))
-    marked = materialised(marked.select(F.col("row")[doc_id].alias("doc_id"), *[f.name for f in fields]), "fingerprints")
-    distinct = materialised(marked.groupBy("f").agg(
-        F.min("doc_id").alias("least"), *[F.min(f.name).alias(f.name) for f in fields[1:]]), "distinct")
-    edges = links(distinct, distance, block)
-    if similarity is not None:
-        edges = edges.unionByName(sampled_links(distinct, similarity, block))
+    if similarity is None:
+        marked = with_text_columns(documents, text, [doc_id], [T.StructField("f", T.LongType())], _fingerprint_column(shingle))
+        marked = materialised(marked.select(F.col("row")[doc_id].alias("doc_id"), "f"), "fingerprints")
+        distinct = materialised(marked.groupBy("f").agg(F.min("doc_id").alias("least")), "distinct")
+        edges = links(distinct, distance, block)
+    else:
+        source = documents.select(col(doc_id).alias("doc_id"), col(text).cast("string").alias("text"))
+        source = source.withColumn("h", F.xxhash64("text"))
+        fields = [T.StructField("f", T.LongType()), T.StructField("runs", T.ArrayType(T.LongType())),
+                  T.StructField("short", T.BinaryType()), T.StructField("n", T.LongType())]
+        marked = with_text_columns(source, "text", ["doc_id", "h"], fields, _set_column(shingle, sampled=True))
+        marked = materialised(marked.select("row.*", *[f.name for f in fields]), "fingerprints")
+        distinct = materialised(marked.groupBy("f").agg(
+            F.min("doc_id").alias("least"), F.min(F.struct("h", "doc_id")).alias("one"), *[F.min(x).alias(x) for x in ("runs", "short", "n")]), "distinct")
+        edges = similar_links(source, distinct, similarity, shingle, block)
     of = components(edges).withColumnRenamed("node", "f")
     distinct = distinct.select("f", "least")
     marked = marked.select("doc_id", "f")
@@ -369,6 +448,7 @@ def kept_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     fingerprint as well; of equal ones any single row stays.
     """
     shingle = settings.get("shingle", 3)
+    column = _fingerprint_column(shingle) if settings.get("similarity") is None else _set_column(shingle)
     rows = materialised(groups(documents, doc_id, text, **settings), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "f")
     kept = rows.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.f")
@@ -380,7 +460,7 @@ def kept_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         return out
     odd = odd.withColumnRenamed("doc_id", "__odd")
     some = documents.join(odd, col(doc_id).eqNullSafe(F.col("__odd")), "left_semi")
-    some = with_text_columns(some, text, documents.columns, [T.StructField("f", T.LongType())], _fingerprint_column(shingle))
+    some = with_text_columns(some, text, documents.columns, [T.StructField("f", T.LongType())], column)
     kept = kept.select(F.col("doc_id").alias("__id"), F.col("f").alias("__f"))
     some = some.withColumn("__key", F.col("row")[doc_id]).join(
         kept, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("f") == F.col("__f")), "left_semi")

@@ -185,3 +185,38 @@ def test_pairs_in_a_crowd_of_common_passages_link(spark, block):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     out = {r.doc_id: r.root for r in nd.groups(df, shingle=1, similarity=0.8, block=block).collect()}
     assert sum(out[i] == out[1000 + i] for i in range(150)) == 150
+
+
+@pytest.mark.parametrize("block", [2048, 20])
+def test_similar_texts_equal_brute_force(spark, block):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for g in range(60):
+        base = [word() for _ in range(rng.choice([8, 40, 120, 300]))]
+        for _ in range(6):
+            w = list(base)
+            for _ in range(int(len(w) * rng.choice([0, 0.01, 0.02, 0.03, 0.04]))):
+                w[rng.randrange(len(w))] = word()
+            rows.append((len(rows), " ".join(w + [word()] * rng.randrange(3))))
+    rows += [(i + 2000, t) for i, t in passages(rng, 60, 20, 0.02)]
+    rows += [(5000, None), (5001, ""), (5002, "one two"), (5003, "ONE  two"), rows[7], (None, rows[9][1]), (3, "a text under a used id")]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return frozenset(" ".join(w[i: i + 5]) for i in range(max(len(w) - 4, 1))) if w else frozenset()
+
+    sets = {shingles(t) for _, t in rows}
+    pairs = [(a, b) for a in sets for b in sets if a is not b and a and b and len(a & b) / len(a | b) >= 0.8]
+    number = {s: i for i, s in enumerate(sets)}
+    roots = plain_components([(number[a], number[b]) for a, b in pairs], range(len(sets)))
+    least = {}
+    for i, t in rows:
+        r = roots[number[shingles(t)]]
+        least[r] = min(i if i is not None else 1 << 60, least.get(r, 1 << 60))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(((r.doc_id, r.component_id) for r in nd.groups(df, shingle=5, similarity=0.8, block=block).collect()), key=str)
+    assert out == sorted(((i, least[roots[number[shingles(t)]]]) for i, t in rows), key=str)
+    assert 60 < len(least) < len(sets)
+    kept = [r.text for r in nd.kept_documents(df, shingle=5, similarity=0.8, block=block).collect()]
+    assert sorted(roots[number[shingles(t)]] for t in kept) == sorted(set(roots.values()))
