@@ -3,8 +3,8 @@
 Every element of the page gets a composite density: its characters per tag, adjusted for how much
 of them is link text (a menu is nearly all links, an article nearly none). An element's density
 sum adds up the densities of its children; the subtree with the largest sum is the article's body.
-The smallest density on its path to the body element is the threshold under which a part inside it
-is no content. Elements that are no article by their meaning (menus, headers and footers of the
+The smallest density on its path to the body element is the threshold of content: parts of the page
+beside the article that reach it belong to it, link-heavy parts inside it that do not are left out. Elements that are no article by their meaning (menus, headers and footers of the
 page, sidebars, forms, scripts, notices, adverts, reader comments) are cut before.
 
 One pass over the rows, no shuffle; a page is one cell.
@@ -209,6 +209,22 @@ def _score(nodes: list[Node], body: Node) -> None:
         n.sum = sum(p.density for p in n.parts if not isinstance(p, str) and not p.cut)
 
 
+def _contents(best: Node, body: Node, least: float) -> list[Node]:
+    """The best subtree and every other one of the body whose density reaches ``least``, in page order."""
+    path, up = set(), best
+    while up is not body and up.parent is not None:
+        up = up.parent
+        path.add(id(up))
+    out, stack = [], [body]
+    while stack:
+        n = stack.pop()
+        if n is best or id(n) not in path and n.chars and n.density >= least:
+            out.append(n)
+        else:
+            stack.extend(p for p in reversed(n.parts) if not isinstance(p, str) and not p.cut)
+    return out
+
+
 def _write(node: Node, least: float, out: list[str]) -> None:
     """The text of a subtree, block by block; link-heavy parts under the threshold are left out."""
     stack: list[Node | str | None] = [node]
@@ -250,7 +266,9 @@ def main_text(page: str | None) -> str:
         up = up.parent
         path.append(up.density)
     out: list[str] = []
-    _write(best, min(path), out)
+    for n in [best] if marked else _contents(best, body, min(path)):
+        out.append("\0")
+        _write(n, min(path), out)
     blocks = (_SPACE.sub(" ", entities.unescape(x)).strip() for x in "".join(out).split("\0"))
     return " ".join(b for b in blocks if b)
 

@@ -28,6 +28,16 @@ def test_pages_without_an_article_element():
     assert text == f"Title {LONG} {LONG}"
 
 
+def test_an_article_in_parts_is_whole():
+    links = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(12))
+    parts = [[f"Paragraph {i} of part {k}. {LONG}" for i in range(10)] for k in range(3)]
+    blocks = ["".join(f"<p>{p}</p>" for p in part) for part in parts]
+    whole = " ".join(p for part in parts for p in part)
+    assert main_text(page(f"<div><ul>{links}</ul></div><div class='content'>{''.join(f'<section>{b}</section>' for b in blocks)}</div><div>{links}</div>")) == whole
+    nested = f"<div>{blocks[0]}</div><div><div>{blocks[1]}</div><div>{blocks[2]}</div></div>"
+    assert main_text(page(f"<ul>{links}</ul>{nested}<div>Small print</div>")) == whole
+
+
 def test_broken_markup():
     assert main_text("<p>One<p>Two <b>three<br><p>four</article> 1 < 2") == "One Two three four 1 < 2"
     assert main_text("<article><p>a<!-- <p>no --> b <![CDATA[x]]> c<?php ?> d") == "a b c d"
