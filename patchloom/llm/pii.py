@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -67,22 +67,53 @@ _MAIL_REST = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _HAS_DIGIT = re.compile("[0-9]")
 
 
+#: Characters of an account number by country.
+_IBAN_SIZES = {k: int(n) for n, ks in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FK,FI,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for k in ks.split(",")}
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
+_ALNUM = re.compile("[A-Za-z0-9]")
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers whose checksum holds: as long as the country's are; of unknown countries, up to the last word's end that fits."""
+    for m in _IBAN_HEAD.finditer(text):
+        rest = _IBAN_REST.match(text, m.end())
+        if rest is None:
+            continue
+        size, ends, n = _IBAN_SIZES.get(m[0][:2]), [], 4
+        for at in range(m.end(), rest.end()):
+            n += text[at] != " "
+            if text[at] != " " and n >= 15 and size in (None, n) and not _ALNUM.match(text, at + 1):
+                ends.append(at + 1)
+        for e in reversed(ends):
+            if mod97(text[m.start(): e].replace(" ", "")):
+                yield m.start(), e
+                break
+
+
+def _matches(pattern: re.Pattern) -> Callable[[str], Iterator[tuple[int, int]]]:
+    return lambda text: (m.span() for m in pattern.finditer(text))
+
+
 @dataclass(frozen=True)
 class Added:
-    """A kind found by score: what the pattern alone is worth, what a checksum or a word nearby adds."""
+    """A kind found by score: what a candidate alone is worth, what a checksum or a word nearby adds."""
 
-    pattern: re.Pattern
+    candidates: Callable[[str], Iterator[tuple[int, int]]]
     base: float
     check: Callable[[str], bool] | None
     words: frozenset[str]
 
 
 ADDED: dict[str, Added] = {
-    "iban": Added(re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), 0.2,
+    "iban": Added(_ibans, 0.2,
                   lambda x: mod97(x.replace(" ", "")), frozenset({"iban", "bank", "account", "konto", "compte", "cuenta", "bic"})),
-    "ssn": Added(re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"), 0.4,
+    "ssn": Added(_matches(re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")), 0.4,
                  None, frozenset({"ssn", "social", "security", "taxpayer"})),
-    "secret": Added(re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[A-Za-z0-9_]{2,6}_[A-Za-z0-9]{30,64})(?![A-Za-z0-9])"), 0.4,
+    "secret": Added(_matches(re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[A-Za-z0-9_]{2,6}_[A-Za-z0-9]{30,64})(?![A-Za-z0-9])")), 0.4,
                     None, frozenset({"token", "secret", "password", "passwd", "key", "apikey", "api_key", "credential", "bearer"})),
 }
 _WORD = re.compile(r"[^\W\d_]+(?:_[^\W\d_]+)*")
@@ -126,13 +157,12 @@ def added_spans(text: str, taken: list[tuple[str, int, int]], threshold: float)
         return []
     found = []
     for kind, rule in ADDED.items():
-        for m in rule.pattern.finditer(text):
-            s, e = m.span()
+        for s, e in rule.candidates(text):
             if any(s < b and a < e for _, a, b in taken) or any(s < b and a < e for _, a, b in found):
                 continue
             score = rule.base
             if rule.check is not None:
-                score += CHECKED if rule.check(m[0]) else -CHECKED
+                score += CHECKED if rule.check(text[s:e]) else -CHECKED
             near = text[max(0, s - WINDOW): s] + " " + text[e: e + WINDOW]
             if any(w in rule.words for w in _WORD.findall(near.lower())):
                 score += NEARBY

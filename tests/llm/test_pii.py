@@ -78,3 +78,16 @@ def test_masking_keeps_columns_and_sets_the_length(spark):
     assert rows == [(1, "mail [EMAIL] now", 16, "b"), (2, None, None, "c"), (3, "clean", 5, None)]
     # a phone number can lie over a card number: what the second adds is masked as well
     assert pii._masked("abcdef", [("phone", 1, 4), ("card", 2, 5)]) == "a[PHONE][CARD]f"
+
+
+def test_account_numbers_end_where_their_country_says():
+    found = lambda t: [t[s:e] for k, s, e in pii.added_spans(t, [], 0.7) if k == "iban"]
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    assert found("DE89370400440532013000 BIC COBADEFFXXX") == ["DE89370400440532013000"]
+    assert found(f"{british} BIC NWBKGB2L") == [british]
+    assert found(f"{german} I will") == found(f"{german} 12 May") == [german]
+    assert found(f"{german} {british} OK") == [german, british]
+    assert found("DE8937040044053201300012") == found("DE89 3704 0044 0532 0130 01 BIC") == []
+    body = "1234567890123"  # no country of the table
+    check = 98 - int(body + "".join(str(int(c, 36)) for c in "ZZ") + "00") % 97
+    assert found(f"ZZ{check:02d}{body} AND MORE") == [f"ZZ{check:02d}{body}"]
