@@ -5,7 +5,8 @@ of them is link text (a menu is nearly all links, an article nearly none). An el
 sum adds up the densities of its children; the subtree with the largest sum is the article's body.
 The smallest density on its path to the body element is the threshold of content: parts of the page
 beside the article that reach it belong to it, link-heavy parts inside it that do not are left out. Elements that are no article by their meaning (menus, headers and footers of the
-page, sidebars, forms, scripts, notices, adverts, reader comments) are cut before.
+page, sidebars, forms, scripts, notices, adverts, reader comments) are cut before; where only a class,
+id or role says so, not if the element carries the page: an article or most of the unlinked text.
 
 One pass over the rows, no shuffle; a page is one cell.
 """
@@ -44,6 +45,8 @@ _REMARKS = frozenset("has no with without is js".split())
 #: Elements that names do not cut, and the names that cut an article all the same.
 _KEEP = frozenset(["html", "body", "main"])
 _CUT_ARTICLE = frozenset("comment comments reply replies ad advert advertisement sponsored promo related recommended".split())
+#: Names of headers, which inside an article are its own.
+_HEADERS = frozenset(["header", "masthead"])
 _CLOSES_P = _BLOCK - frozenset(["br", "li", "dd", "dt", "tr", "td", "th", "tbody", "thead", "tfoot", "option", "optgroup", "html", "head", "body"])
 _CLOSED_BY = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir"])),
@@ -63,10 +66,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "parts", "cut", "names", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool):
-        self.tag, self.parent, self.cut = tag, parent, cut
+        self.tag, self.parent, self.cut, self.names = tag, parent, cut, frozenset()
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
@@ -77,17 +80,20 @@ def _is_cut(tag: str, attributes: str, inside_article: bool) -> bool:
         return True
     if tag == "header":
         return not inside_article
-    if not attributes or tag in _KEEP:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    names = _CUT_ARTICLE if tag == "article" else _CUT_WORDS
+    return bool(attributes) and tag not in _KEEP and _HIDDEN.search(attributes) is not None
+
+
+def _cut_names(tag: str, attributes: str, inside_article: bool) -> frozenset[str]:
+    """The parts of names for which an element is cut."""
+    if not attributes or tag in _KEEP or tag == "header":
+        return frozenset()
+    names, hit = _CUT_ARTICLE if tag == "article" else _CUT_WORDS, set()
     for a, b, c in _NAME.findall(attributes):
         for name in (a or b or c).lower().split():
             words = _SPLIT.split(name)
-            if words[0] not in _REMARKS and any(w in names for w in words):
-                return True
-    return False
+            if words[0] not in _REMARKS:
+                hit |= names.intersection(words)
+    return frozenset(hit - _HEADERS if inside_article else hit)
 
 
 def tree(page: str) -> Node:
@@ -147,7 +153,11 @@ def tree(page: str) -> Node:
                 up = up.parent
             if last is not None:
                 node = leave(last)
-        child = Node(tag, node, _is_cut(tag, m[3], open_now.get("article", 0) > 0))
+        inside_article = open_now.get("article", 0) > 0
+        child = Node(tag, node, _is_cut(tag, m[3], inside_article))
+        if not child.cut:
+            child.names = _cut_names(tag, m[3], inside_article)
+            child.cut = bool(child.names)
         node.parts.append(child)
         if tag in _VOID:
             continue
@@ -169,6 +179,31 @@ def tree(page: str) -> Node:
     return root
 
 
+def _keep_carriers(root: Node) -> None:
+    """Takes back cuts by name of elements that hold an article or main element or most of the unlinked text; never of comments,
+    adverts and lists of other pages."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, linked = stack.pop()
+        linked = linked or node.tag == "a"
+        order.append((node, linked))
+        stack.extend((p, linked) for p in node.parts if not isinstance(p, str) and (not p.cut or p.names))
+    held: dict[int, tuple[int, bool]] = {}
+    for node, linked in reversed(order):
+        chars, carrier = 0, False
+        for p in node.parts:
+            if isinstance(p, str):
+                chars += 0 if linked else len(p) - p.count(" ") - p.count("\n")
+            elif (inner := held.get(id(p))) and not p.names & _CUT_ARTICLE:
+                chars += inner[0]
+                carrier = carrier or inner[1]
+        held[id(node)] = chars, carrier or node.tag in ("article", "main") and chars > 0
+    for node, _ in order:
+        chars, carrier = held[id(node)]
+        if node.names and not node.names & _CUT_ARTICLE and (carrier or chars * 2 > held[id(root)][0]):
+            node.cut = False
+
+
 def _measure(root: Node) -> list[Node]:
     """Counts of every kept element, children first; returns them in page order."""
     order, stack = [], [(root, False)]
@@ -251,6 +286,7 @@ def main_text(page: str | None) -> str:
         return ""
     page = page.replace("\0", " ")
     root = tree(page)
+    _keep_carriers(root)
     nodes = _measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     inside = [n for n in _within(body)]

@@ -38,6 +38,15 @@ def test_an_article_in_parts_is_whole():
     assert main_text(page(f"<ul>{links}</ul>{nested}<div>Small print</div>")) == whole
 
 
+def test_names_do_not_cut_what_carries_the_page():
+    aside = "<div class='sidebar'><p>Other things</p></div><div class='comments'><article class='comment'>Nice</article></div>"
+    inner = f"<div class='entry-header'><h1>Title</h1></div><p>{LONG}</p><p>{LONG}</p>"
+    for name in ("class='content-sidebar-wrap'", "id='main-sidebar-layout'", "class='search social'"):
+        assert main_text(page(f"<div {name}><article>{inner}</article>{aside}</div>")) == f"Title {LONG} {LONG}", name
+        assert main_text(page(f"<div {name}><div><p>{LONG}</p><p>{LONG}</p></div>{aside}</div>")) == f"{LONG} {LONG}", name
+    assert main_text(page(f"<div class='page-header'>Site</div><article><p>{LONG}</p></article><div class='comments'><p>{LONG} {LONG}</p></div>")) == LONG
+
+
 def test_broken_markup():
     assert main_text("<p>One<p>Two <b>three<br><p>four</article> 1 < 2") == "One Two three four 1 < 2"
     assert main_text("<article><p>a<!-- <p>no --> b <![CDATA[x]]> c<?php ?> d") == "a b c d"
