@@ -63,10 +63,9 @@ def _copies(rows: DataFrame, limit: int) -> DataFrame:
 
     Documents whose preference asks for more than the limit stay at it, and the rest of their source is scaled up again, as sources are.
     """
-    plain = rows.filter(F.col("preference") != 1).isEmpty()
-    scaled = rows.withColumn("scale", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    if plain:
-        return scaled.withColumn("copies", F.col("scale"))
+    if rows.filter(F.col("preference") != 1).isEmpty():
+        return rows.withColumn("copies", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+    scaled = rows.withColumn("scale", F.lit(0.0))
     while True:
         over = F.col("preference") * F.col("scale") >= limit
         sums = scaled.groupBy("number").agg(
