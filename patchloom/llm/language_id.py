@@ -27,19 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchloom.llm.hashing import run_hashes
 from patchloom.llm.lattice import Lattice, code_points, hashed
 from patchloom.llm.rows import col, with_text_columns
 from patchloom.llm.vocabulary import DEFAULT_VOCABULARY, SPACE, Vocabulary, load_vocabulary, plain_pieces
+from patchloom.llm.words import CACHE_BYTES, kept, told_apart, word_bytes
 from patchloom.session import materialised
 
 UNDETERMINED = "und"
 #: Labelled documents per language that the model learns from, about.
 MOST_DOCUMENTS = 1500
-#: Labels beyond this number are taken for a mistake in the table.
+#: The languages a model learns: of more labels the commonest ones, of equally common ones the first by name.
 MOST_LANGUAGES = 500
-#: Distinct words a task remembers the scores of, and words scored in one go.
-REMEMBERED, AT_ONCE = 1_500_000, 20_000
+#: Words scored in one go (fewer where languages are many), and bytes of their scores at every character.
+AT_ONCE, AT_ONCE_BYTES = 20_000, 32 << 20
 _LIFT = 2.5
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -127,55 +127,50 @@ def _is_letter() -> np.ndarray:
 
 
 class _Scores:
-    """Log probabilities of words under every language, remembered by a hash of the word."""
+    """Log probabilities of words under every language, remembered within ``room`` bytes."""
 
-    def __init__(self, model: LanguageModel):
-        self.vocabulary = model.vocabulary
+    def __init__(self, model: LanguageModel, room: int = CACHE_BYTES):
+        self.vocabulary, self.room = model.vocabulary, room
         self.logs = np.ascontiguousarray(model.logs.T)
         lengths = np.fromiter(map(len, model.vocabulary.pieces), np.int64, len(model.vocabulary.pieces))
         self.lifted = np.exp(self.logs + (_LIFT * lengths)[:, None])
-        nothing = np.zeros(0, np.uint64), np.zeros((0, len(model.languages)))
-        self.shelves = [nothing, nothing]  # many, seldom changed; few, changed at each call
-
-    def of(self, keys: np.ndarray, word) -> np.ndarray:
-        """The rows of some distinct sorted keys; ``word(i)`` gives the word of key i where it is new."""
-        out = np.empty((len(keys), self.logs.shape[1]))
-        new = np.ones(len(keys), dtype=bool)
-        for names, values in self.shelves:
-            if len(names):
-                at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
-                known = names[at] == keys
-                out[known] = values[at[known]]
-                new &= ~known
-        new = np.flatnonzero(new)
-        for i in range(0, len(new), AT_ONCE):
-            part = new[i: i + AT_ONCE]
-            out[part] = LanguageLattice([word(j) for j in part.tolist()], self.vocabulary).chances(self.logs, self.lifted)
-        if len(new):
-            many, few = self.shelves
-            few = self._merged(few, (keys[new], out[new]))
-            if len(few[0]) * 8 > len(many[0]):
-                many, few = self._merged(many, few), (few[0][:0], few[1][:0])
-            if len(many[0]) > REMEMBERED:
-                many = many[0][:0], many[1][:0]
-            self.shelves = [many, few]
+        self.at_once = max(min(AT_ONCE, AT_ONCE_BYTES // (64 * max(len(model.languages), 1))), 64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.rows, self.held = np.empty((1024, self.logs.shape[1])), 0
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """A row for each of some distinct words."""
+        out = np.empty((len(words), self.logs.shape[1]))
+        places = list(map(self.places.get, words))
+        known = [i for i, p in enumerate(places) if p is not None]
+        out[known] = self.rows[[places[i] for i in known]]
+        new = [i for i, p in enumerate(places) if p is None]
+        for i in range(0, len(new), self.at_once):
+            part = new[i: i + self.at_once]
+            some = [words[j] for j in part]
+            out[part] = LanguageLattice(some, self.vocabulary).chances(self.logs, self.lifted)
+            self._remember(some, out[part])
         return out
 
-    @staticmethod
-    def _merged(one: tuple, other: tuple) -> tuple:
-        keys = np.concatenate([one[0], other[0]])
-        order = np.argsort(keys, kind="stable")
-        return keys[order], np.concatenate([one[1], other[1]])[order]
-
-
-_remembered: dict[str, _Scores] = {}
+    def _remember(self, words: list[str], rows: np.ndarray) -> None:
+        size = sum(map(word_bytes, words)) + 2 * rows.nbytes  # the table grows by doubling
+        if self.held + size > self.room:
+            self._forget()
+            if size > self.room:
+                return
+        n = len(self.places)
+        while len(self.rows) < n + len(words):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+        self.rows[n: n + len(words)] = rows
+        self.places.update(zip(words, range(n, n + len(words))))
+        self.held += size
 
 
 def _scored(model: LanguageModel):
-    if model.name not in _remembered:  # tasks that follow each other in a worker share what they remember
-        _remembered.clear()
-        _remembered[model.name] = _Scores(model)
-    scores = _remembered[model.name]
+    scores = kept(f"language {model.name}", lambda: _Scores(model))
 
     def work(texts: pa.Array) -> list:
         lowered = [t.lower() if t else "" for t in texts.to_pylist()]
@@ -189,8 +184,8 @@ def _scored(model: LanguageModel):
         row_ends = np.searchsorted(start, ends)
         names, values = [UNDETERMINED] * len(lowered), [0.0] * len(lowered)
         if len(start) and model.languages:
-            keys, first, at = np.unique(run_hashes(points, start, end), return_index=True, return_inverse=True)
-            table = scores.of(keys, lambda i: joined[start[first[i]]: end[first[i]]])
+            first, at = told_apart(points, start, end)
+            table = scores.of([joined[s:e] for s, e in zip(start[first].tolist(), end[first].tolist())])
             lo = 0
             for row, hi in enumerate(row_ends.tolist()):
                 if hi > lo:
@@ -206,7 +201,8 @@ def _scored(model: LanguageModel):
 def identified(df: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
     """Every row's kept columns as ``row``, its ``language`` and ``score`` (the posterior of that language, all being equally
     likely before, 0 to 1). Null texts, texts without a letter, and all texts of a model without languages are ``und`` with
-    score 0. Of equal languages the first by name wins. Repeated rows give repeated results."""
+    score 0. Of equal languages the first by name wins. Repeated rows give repeated results, an empty table an empty one. A text is scored whole,
+    however long."""
     return with_text_columns(
         df, text, keep, [T.StructField("language", T.StringType()), T.StructField("score", T.DoubleType())], lambda: _scored(model))
 
@@ -214,13 +210,12 @@ def identified(df: DataFrame, model: LanguageModel, keep: list[str], text: str =
 def training_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", language: str = "lang",
                   most_documents: int = MOST_DOCUMENTS, most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """``language`` and ``text`` of about ``most_documents`` rows per language, chosen by a hash of the row, so that the choice is
-    the same every time. Rows without text or language are left out."""
+    the same every time. Rows without text or language are left out, as are those of all but the ``most_languages`` commonest languages
+    (of equally common ones the first by name count)."""
     rows = df.select(col(language).cast("string").alias("language"), col(text).cast("string").alias("text"),
                      F.xxhash64(col(doc_id).cast("string"), F.length(col(text))).alias("h")).filter("language is not null and text is not null")
     # one number per language comes to the driver, so that texts are chosen in the scan and never move by their language
-    sizes = rows.groupBy("language").count().limit(most_languages + 1).collect()
-    if len(sizes) > most_languages:
-        raise ValueError("too many languages for one model")
+    sizes = rows.groupBy("language").count().orderBy(F.desc("count"), "language").limit(most_languages).collect()
     share = F.lit(0.0)
     for name, n in sorted(sizes):
         share = F.when(F.col("language") == name, most_documents / n).otherwise(share)
@@ -270,14 +265,13 @@ def _expected(model: LanguageModel):
 def learned(rows: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, rounds: int = 3, smoothing: float = 0.1,
             most_languages: int = MOST_LANGUAGES) -> LanguageModel:
     """A model from rows of ``language`` and ``text``. Every piece keeps a little probability (``smoothing`` counts), so no
-    text is impossible in any language. What comes to the driver is one number per language and piece. No rows: no languages."""
+    text is impossible in any language. Of more than ``most_languages`` labels those with most words are learned. What comes to the driver is one number per language and piece. No rows: no languages."""
     pieces = load_vocabulary(vocabulary)
     if not pieces.words_part:
         raise ValueError("a piece runs over the end of a word")
     counts = materialised(_word_counts(rows), "words")
-    languages = tuple(r[0] for r in sorted(counts.select("language").distinct().limit(most_languages + 1).collect()))
-    if len(languages) > most_languages:
-        raise ValueError("too many languages for one model")
+    languages = tuple(sorted(r[0] for r in counts.groupBy("language").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "language").limit(most_languages).collect()))
+    counts = counts.join(F.broadcast(counts.sparkSession.createDataFrame([(x,) for x in languages], "language string")), "language", "left_semi")
     used = np.zeros(len(pieces.pieces), dtype=bool)
     used[list(pieces.plain) + list(pieces.bytes)] = True
     logs = np.where(used, -np.log(used.sum()), -np.inf) + np.zeros((len(languages), 1))

@@ -15,14 +15,6 @@ compared. No link is missed, and the anchors stay small however many fingerprint
 An anchor with very many fingerprints (a crowd of near copies) is dealt out in blocks, every pair
 of blocks to a bucket of its own, so a task holds two blocks at most at a time. Buckets hand on
 only what connects their members (a root for each), never all their pairs.
-
-Three bits of 64 see near copies that share nearly all shingles. Where copies from a given share of
-common shingles on are wanted (``similarity``), the whole sets of shingles decide, and samples find the
-candidates: of fixed pseudo-random orders of all shingles a document keeps the least shingle each, and
-equal runs of four of these bring documents together. All that meet are compared with each other on all
-samples, under a loose bound: a pair at 0.8 fails to meet, or to pass, about once in ten million. The groups
-this makes get the shingle sets of their members, each set moved once (of a crowd, once for each other
-block), and link where the sets are similar enough.
 """
 
 from __future__ import annotations
@@ -37,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.llm.components import components
-from patchloom.llm.hashing import mixed
 from patchloom.llm.rows import col, with_text_columns
 from patchloom.session import materialised
 
@@ -45,17 +36,6 @@ from patchloom.session import materialised
 BLOCK = 2048
 #: Links held before they are folded into roots.
 _HELD = 1 << 19
-#: Members of a bucket up to which all its pairs are compared at a stroke with those of other buckets.
-_FEW = 64
-
-
-#: Sampled orders, and how many of them make a meeting point: at a similarity of 0.8 nearly every pair meets, at 0.3 few do.
-SAMPLES, RUN = 128, 4
-#: How far the sampled share may fall below the wanted similarity (its standard error is 0.035 at 0.8).
-_SLACK = 0.22
-#: Shingles of a group that are compared in one place; more are dealt out in blocks.
-_SHINGLES = 1 << 21
-_ORDERS = np.random.default_rng(20).integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -75,30 +55,6 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.array([digest(joined[s:e], 42) for s, e in spans], dtype="<u8")
 
 
-def samples(hashes: np.ndarray) -> np.ndarray | None:
-    """The least shingle in each order, as 32 bits; none without shingles."""
-    if not len(hashes):
-        return None
-    least = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(hashes), 2048):
-        np.minimum(least, (hashes[i: i + 2048, None] * _ORDERS).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
-
-
-def _meeting(least: np.ndarray) -> np.ndarray:
-    """A hash of every run of samples."""
-    runs = least.view(np.uint32).astype(np.uint64).reshape(-1, RUN)
-    out = np.arange(len(runs), dtype=np.uint64)
-    for i in range(RUN):
-        out = mixed(out + runs[:, i])
-    return out.view(np.int64)
-
-
-def _short(least: np.ndarray) -> bytes:
-    """The low byte of every sample: unequal samples pass for equal once in 256."""
-    return least.view(np.uint8)[::4].tobytes()
-
-
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """The 64-bit fingerprint of a text; 0 without words."""
     return _majority(shingle_hashes(text, shingle))
@@ -122,29 +78,6 @@ def _fingerprint_column(shingle: int):
     return lambda: work
 
 
-def _set_column(shingle: int, sampled: bool = False):
-    """A hash of the set of shingles; with ``sampled``, also runs of samples, short samples and the size of the set."""
-
-    def work(texts: pa.Array) -> list:
-        values, runs, short, sizes = [], [], [], []
-        for t in texts.to_pylist():
-            hashes = np.unique(shingle_hashes(t, shingle))
-            values.append(xxhash.xxh64_intdigest(hashes.tobytes(), 42))
-            if sampled:
-                least = samples(hashes)
-                runs.append(None if least is None else _meeting(least))
-                short.append(None if least is None else _short(least))
-                sizes.append(len(hashes))
-        values = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
-        return [values, runs, short, sizes] if sampled else [values]
-
-    return lambda: work
-
-
-def _shingles_column(shingle: int):
-    return lambda: lambda texts: [[np.unique(shingle_hashes(t, shingle)).tobytes() for t in texts.to_pylist()]]
-
-
 # The Hamming code on 31 bits: position p (1 to 31) adds p to the syndrome; code words have syndrome 0.
 def _syndrome(x: np.ndarray) -> np.ndarray:
     s = np.zeros(len(x), dtype=np.int64)
@@ -207,13 +140,13 @@ def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[own], names[root[own]]
 
 
-def _buckets(within, read=lambda batch: [batch.column(i).to_numpy() for i in range(3)]):
+def _buckets(within):
     """Links of ``within`` for runs of equal (anchor, block pair), read in order; a run may go on in the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for batch in batches:
-            columns = read(batch)
+            columns = [batch.column(i).to_numpy() for i in range(3)]
             if left is not None:
                 columns = [np.concatenate(x) for x in zip(left, columns)]
             change = np.flatnonzero((columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])) + 1
@@ -258,127 +191,12 @@ def _few_bits(distance: int):
     return lambda i, j, f: np.bitwise_count((f[i] ^ f[j]).view(np.uint64)) <= distance
 
 
-def _reached(size: int, near) -> Iterator[tuple[int, np.ndarray]]:
-    """Links (one, others) that connect what all pairs connect: from each member reached, those not yet reached are tried."""
-    left = np.arange(size)
-    while len(left):
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
-            one = queue.pop()
-            hit = near(one, left)
-            if hit.any():
-                queue.extend(left[hit].tolist())
-                yield one, left[hit]
-                left = left[~hit]
-
-
-def _alike(least: float):
-    """Roots of the links between members that share at least ``least`` samples."""
-
-    def agree(i, j, f, short):
-        out = np.empty(len(i), dtype=bool)
-        for k in range(0, len(i), 1 << 14):
-            out[k: k + (1 << 14)] = (short[i[k: k + (1 << 14)]] == short[j[k: k + (1 << 14)]]).sum(axis=1) >= least
-        return out
-
-    few = _linked(agree)
-
-    def within(key: np.ndarray, f: np.ndarray, short: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        small = np.repeat(size <= _FEW, size)
-        if small.any():
-            yield from few(key[small], f[small], short[small])
-        for s, n in zip(start[size > _FEW].tolist(), size[size > _FEW].tolist()):
-            own, mine = short[s: s + n], f[s: s + n]
-            for one, others in _reached(n, lambda x, y: (own[y] == own[x]).sum(axis=1) >= least):
-                yield np.full(len(others), mine[one]), mine[others]
-
-    return within
-
-
-def _with_samples(batch: pa.RecordBatch) -> list[np.ndarray]:
-    short = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, SAMPLES)
-    return [*(batch.column(i).to_numpy() for i in range(3)), short]
-
-
 def _pairs_of_blocks(blocks: Column) -> Column:
     """The buckets of value ``f`` in a crowd dealt out in ``blocks``: the pairs (i, j) of its block i and every j, so each two blocks meet once."""
     i = F.pmod(F.xxhash64("f"), blocks)
     return F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.least(i, j) * blocks + F.greatest(i, j))
 
 
-def _with_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
-    sets = np.empty(len(batch), dtype=object)
-    for i, x in enumerate(batch.column(4).to_pylist()):
-        sets[i] = np.frombuffer(x, dtype="<u8")
-    return [*_with_samples(batch), sets]
-
-
-def _similar(similarity: float):
-    """Links that connect the members whose shingle sets have at least ``similarity`` of their union in common."""
-
-    def within(key: np.ndarray, f: np.ndarray, short: np.ndarray, sets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        for s, n in zip(start.tolist(), np.diff(np.r_[start, len(key)]).tolist()):
-            def near(one: int, others: np.ndarray) -> np.ndarray:
-                x, at = sets[s + one], s + others
-                hit = np.minimum(sizes[at], len(x)) >= similarity * np.maximum(sizes[at], len(x)) * (1 - 1e-9)
-                hit[hit] = (short[at[hit]] == short[s + one]).sum(axis=1) >= (similarity - _SLACK) * SAMPLES
-                tried = np.flatnonzero(hit)
-                for k in range(0, len(tried), 256):
-                    part = tried[k: k + 256]
-                    every, own = np.concatenate(sets[at[part]]), sizes[at[part]]
-                    place = np.searchsorted(x, every)
-                    place[place == len(x)] = 0
-                    common = np.add.reduceat((x[place] == every).astype(np.int64), np.cumsum(own) - own)
-                    hit[part] = common / (own + len(x) - common) >= similarity
-                return hit
-
-            for one, others in _reached(n, near):
-                yield np.full(len(others), f[s + one]), f[s + others]
-
-    return within
-
-
-def sampled_links(sampled: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
-    """Edges ``a``, ``b`` that connect the candidates: values ``f`` which meet in a run of samples (``runs``) and whose samples
-    (``short``) do not speak against ``similarity``.
-
-    All values of a run are compared with each other; a crowd is dealt out in block pairs. A run hands on only what connects
-    its members, never all their pairs.
-    """
-    entries = sampled.filter("runs is not null").select("f", F.explode("runs").alias("run"))
-    shared = entries.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select("run", F.ceil(F.col("n") / block).alias("blocks"))
-    members = entries.join(shared, "run").join(sampled.select("f", "short"), "f")
-    return (
-        members.select("run", F.explode(_pairs_of_blocks(F.col("blocks"))).alias("pair"), "f", "short")
-        .repartition("run", "pair").sortWithinPartitions("run", "pair", "f")
-        .mapInArrow(_buckets(_alike((similarity - _SLACK) * SAMPLES), _with_samples), _EDGE).distinct()
-    )
-
-
-def similar_links(documents: DataFrame, sampled: DataFrame, similarity: float, shingle: int, block: int = BLOCK) -> DataFrame:
-    """Edges ``a``, ``b`` that connect the values ``f`` whose sets of shingles have at least ``similarity`` of their union in common.
-
-    ``documents`` has ``doc_id``, ``text`` and ``h``; ``sampled`` names one of them for every value (``one``: h, doc_id). Sets are
-    made of the texts that have a candidate, and compared inside each group of candidates.
-    """
-    of = components(sampled_links(sampled, similarity, block)).withColumnRenamed("node", "f")
-    some = materialised(sampled.select("f", "one", "short", "n").join(of, "f"), "candidates")
-    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / _SHINGLES)).alias("blocks")
-    some = some.join(some.groupBy("root").agg(blocks), "root").select(
-        F.col("one.h").alias("__h"), F.col("one.doc_id").alias("__id"), "root", "blocks", "f", "short")
-    texts = documents.join(some, (F.col("h") == F.col("__h")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    sets = with_text_columns(texts, "text", ["root", "blocks", "f", "short"], [T.StructField("s", T.BinaryType())], _shingles_column(shingle))
-    return (
-        sets.select("row.*", "s").select("root", F.explode(_pairs_of_blocks(F.col("blocks"))).alias("pair"), "f", "short", "s")
-        .repartition("root", "pair").sortWithinPartitions("root", "pair", "f")
-        .mapInArrow(_buckets(_similar(similarity), _with_sets), _EDGE).distinct()
-    )
-
-
 def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFrame:
     """Edges ``a``, ``b`` between distinct 64-bit values (column ``f``, as signed longs) that connect exactly what pairs
     with at most ``distance`` (3 or fewer) differing bits connect. Not all pairs are listed."""
@@ -402,34 +220,17 @@ def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> Dat
 
 def groups(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3, block: int = BLOCK,
-    similarity: float | None = None,
 ) -> DataFrame:
     """``doc_id``, fingerprint ``f`` (signed long), ``root`` (the least fingerprint of the component) and ``component_id``
     (the smallest id in it) of every row.
 
-    With ``similarity``, texts link where the sets of their shingles have at least that part of their union in common, whatever
-    their fingerprints; ``f`` is then a hash of the set.
-    Null and empty texts have fingerprint 0 (one empty set) and link like any other. Repeated rows come out as often as they stand.
-    A null id never becomes a component id unless its component has no other. Ids keep their type. An empty table gives none.
+    Null and empty texts have fingerprint 0 and link like any other. A text is read whole, however long. Repeated rows come out as often as they
+    stand. A null id never becomes a component id unless its component has no other. Ids keep their type. An empty table gives none.
     """
-    if similarity is None:
-        marked = with_text_columns(documents, text, [doc_id], [T.StructField("f", T.LongType())], _fingerprint_column(shingle))
-        marked = materialised(marked.select(F.col("row")[doc_id].alias("doc_id"), "f"), "fingerprints")
-        distinct = materialised(marked.groupBy("f").agg(F.min("doc_id").alias("least")), "distinct")
-        edges = links(distinct, distance, block)
-    else:
-        source = documents.select(col(doc_id).alias("doc_id"), col(text).cast("string").alias("text"))
-        source = source.withColumn("h", F.xxhash64("text"))
-        fields = [T.StructField("f", T.LongType()), T.StructField("runs", T.ArrayType(T.LongType())),
-                  T.StructField("short", T.BinaryType()), T.StructField("n", T.LongType())]
-        marked = with_text_columns(source, "text", ["doc_id", "h"], fields, _set_column(shingle, sampled=True))
-        marked = materialised(marked.select("row.*", *[f.name for f in fields]), "fingerprints")
-        distinct = materialised(marked.groupBy("f").agg(
-            F.min("doc_id").alias("least"), F.min(F.struct("h", "doc_id")).alias("one"), *[F.min(x).alias(x) for x in ("runs", "short", "n")]), "distinct")
-        edges = similar_links(source, distinct, similarity, shingle, block)
-    of = components(edges).withColumnRenamed("node", "f")
-    distinct = distinct.select("f", "least")
-    marked = marked.select("doc_id", "f")
+    marked = with_text_columns(documents, text, [doc_id], [T.StructField("f", T.LongType())], _fingerprint_column(shingle))
+    marked = materialised(marked.select(F.col("row")[doc_id].alias("doc_id"), "f"), "fingerprints")
+    distinct = materialised(marked.groupBy("f").agg(F.min("doc_id").alias("least")), "distinct")
+    of = components(links(distinct, distance, block)).withColumnRenamed("node", "f")
     rooted = distinct.join(of, "f", "left").withColumn("root", F.coalesce("root", "f"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(rooted.select("f", "root").join(least, "root"), "f").select("doc_id", "f", "root", "component_id")
@@ -442,26 +243,25 @@ def near_duplicates(documents: DataFrame, **settings) -> DataFrame:
 
 
 def kept_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """One row of each component, that of the smallest id (null last), all columns as they were.
+    """One row of each component, that of the smallest id (null last), all columns as they were, whatever their names.
 
     Where ids are unique, rows leave by their id alone. Rows that share an id, or have none, are told apart by their
-    fingerprint as well; of equal ones any single row stays.
+    fingerprint as well; of equal ones any single row stays. Null and empty texts are one component. An empty table stays empty.
     """
-    shingle = settings.get("shingle", 3)
-    column = _fingerprint_column(shingle) if settings.get("similarity") is None else _set_column(shingle)
     rows = materialised(groups(documents, doc_id, text, **settings), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "f")
     kept = rows.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.f")
     odd = materialised(rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select("doc_id"), "odd")
-    gone = rows.filter("doc_id <> component_id").select("doc_id")
-    gone = gone.unionAll(odd).select(F.col("doc_id").alias("__gone")).distinct()
-    out = documents.join(gone, col(doc_id).eqNullSafe(F.col("__gone")), "left_anti")
+    gone = rows.filter("doc_id <> component_id").select("doc_id").unionAll(odd).distinct()
+    # the documents ride in a struct, so that none of their names meets one of these
+    own = documents.select(F.struct(*[col(c).alias(c) for c in documents.columns]).alias("row"))
+    key = F.col("row").getField(doc_id)
+    out = own.join(gone, key.eqNullSafe(F.col("doc_id")), "left_anti").select("row.*")
     if odd.isEmpty():
         return out
-    odd = odd.withColumnRenamed("doc_id", "__odd")
-    some = documents.join(odd, col(doc_id).eqNullSafe(F.col("__odd")), "left_semi")
-    some = with_text_columns(some, text, documents.columns, [T.StructField("f", T.LongType())], column)
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("f").alias("__f"))
-    some = some.withColumn("__key", F.col("row")[doc_id]).join(
-        kept, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("f") == F.col("__f")), "left_semi")
-    return out.unionAll(some.dropDuplicates(["__key", "f"]).select("row.*"))
+    some = own.join(odd, key.eqNullSafe(F.col("doc_id")), "left_semi").select("row.*")
+    some = with_text_columns(some, text, documents.columns, [T.StructField("f", T.LongType())], _fingerprint_column(settings.get("shingle", 3)))
+    some = some.select("row", "f", F.col("row").getField(doc_id).alias("key"))
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("f").alias("kept_f"))
+    some = some.join(kept, F.col("key").eqNullSafe(F.col("kept_id")) & (F.col("f") == F.col("kept_f")), "left_semi")
+    return out.unionAll(some.dropDuplicates(["key", "f"]).select("row.*"))

@@ -16,7 +16,6 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +26,11 @@ from pyspark.sql import types as T
 from patchloom.llm.lattice import Lattice, hashed
 from patchloom.llm.rows import with_text_columns
 from patchloom.llm.vocabulary import DEFAULT_VOCABULARY, PIECE_BITS, SPACE, UNKNOWN_PENALTY, Vocabulary, load_vocabulary, matcher, plain_pieces
-from patchloom.llm.words import CutTexts, Remembered
+from patchloom.llm.words import CACHE_BYTES, CutTexts, Remembered, kept
 
-#: Words whose best segmentation a task remembers.
-REMEMBERED = 400_000
 _LENGTH = (1 << PIECE_BITS) - 1
+#: What is remembered of a word before its ids.
+_HEAD = np.dtype([("score", "<f8"), ("gap", "<f8"), ("spelled", "<i4")])
 
 
 @dataclass
@@ -57,8 +56,8 @@ class Segmenter:
         self.automaton = matcher(plain_pieces(vocabulary))
         # the score of an unknown character comes from ordinary pieces; reserved ones carry no score of their own
         self.unknown = min(s for i in vocabulary.plain if (s := vocabulary.scores[i]) > -1e8) - UNKNOWN_PENALTY
-        self.known = Remembered(self.learn, REMEMBERED)
-        self.ways: dict[tuple[str, int], list] = {}
+        self.known = Remembered(self.learn, lambda found: 33 + len(found), CACHE_BYTES * 3 // 4)
+        self.ways = {}
         self.plain = {i: p for i, p in zip(vocabulary.plain, (vocabulary.pieces[i] for i in vocabulary.plain))}
         self.byte_of = {i: b for b, i in enumerate(vocabulary.bytes)}
 
@@ -83,9 +82,9 @@ class Segmenter:
                 out.append(i)
         return tuple(out)
 
-    def learn(self, words: list[str]) -> list[tuple[float, float, list[int], bool]]:
-        """Of some words: best score, how much worse the second best is, ids of the best (of equals, with the longest last piece),
-        and whether the ids spell the word."""
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Of some words, packed: best score, how much worse the second best is, whether the ids spell the word (``_HEAD``), and the ids
+        of the best (of equals, with the longest last piece)."""
         lattice = Lattice(words, hashed(plain_pieces(self.v)))
         score = self.scores[lattice.piece]
         score[lattice.bare] = self.unknown
@@ -93,24 +92,27 @@ class Segmenter:
         edges, sizes = lattice.paths(via)
         ids = lattice.piece[edges].tolist()
         ends = np.cumsum(sizes)
-        paths = [ids[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+        packed = np.array(ids, dtype="<i4").tobytes()
+        paths = [packed[4 * a: 4 * b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
         spelled = [True] * len(words)
         if len(lattice.bare) or "".join(map(self.v.pieces.__getitem__, ids)) != lattice.text:
             for w in np.unique(lattice.word[lattice.bare]).tolist():
                 place = int(ends[w] - sizes[w])
                 path = [(int(lattice.start[e]), int(lattice.end[e]), int(lattice.piece[e])) for e in edges[place: int(ends[w])]]
-                paths[w] = list(self._ids(lattice.text, path))
-            spelled = [self.spelled(p) == w for p, w in zip(paths, words)]
+                paths[w] = np.array(self._ids(lattice.text, path), dtype="<i4").tobytes()
+            spelled = [self.spelled(np.frombuffer(p, "<i4").tolist()) == w for p, w in zip(paths, words)]
         best = top[lattice.last]
-        return list(zip(best.tolist(), (best - second[lattice.last]).tolist(), paths, spelled))
+        heads = np.empty(len(words), dtype=_HEAD)
+        heads["score"], heads["gap"], heads["spelled"] = best, best - second[lattice.last], spelled
+        heads, size = heads.tobytes(), _HEAD.itemsize
+        return [heads[size * i: size * (i + 1)] + p for i, p in enumerate(paths)]
 
     def remembered_ways(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """``n_best`` of a word, remembered."""
-        if (word, n) not in self.ways:
-            if len(self.ways) > REMEMBERED // 8:
-                self.ways.clear()
-            self.ways[word, n] = self.n_best(word, n)
-        return self.ways[word, n]
+        if n not in self.ways:
+            cost = lambda ways: sum(180 + 40 * len(ids) for _, ids in ways)
+            self.ways = {n: Remembered(lambda words: [self.n_best(w, n) for w in words], cost, CACHE_BYTES // 4)}
+        return self.ways[n].of([word])[0]
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations of a word, best first; of equals, longer last pieces first. Fewer if there are fewer."""
@@ -139,18 +141,18 @@ class Segmenter:
     def encode(self, texts: list[str], n: int = 1) -> Encoded:
         """The best segmentations of some texts, and the 2nd to n-th best ones."""
         cut = CutTexts(texts, always=True, runs=True)
-        known = self.known.of(cut)
-        scores, gaps, ids, exact = zip(*known) if known else ((),) * 4
-        size, at = np.fromiter(map(len, ids), np.int64, len(ids)), cut.at
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
+        known, head = self.known.of(cut.words), _HEAD.itemsize
+        heads = np.frombuffer(b"".join(found[:head] for found in known), dtype=_HEAD)
+        flat = np.frombuffer(b"".join(found[head:] for found in known), dtype="<i4")
+        size, at = (np.fromiter(map(len, known), np.int64, len(known)) - head) // 4, cut.at
         begin = np.cumsum(size) - size
         # the ids of every word in place: its run in ``flat``, one after the other
         sizes_in_place = size[at]
         run_end = np.cumsum(sizes_in_place)
         place = np.arange(int(run_end[-1]) if len(run_end) else 0)
         place += np.repeat(begin[at] - (run_end - sizes_in_place), sizes_in_place)
-        score, gap = np.array(scores, dtype=float), np.array(gaps, dtype=float)[at]
-        spelled = cut.totals((~np.array(exact, dtype=bool)[at]).astype(np.int64)) == 0
+        score, gap = heads["score"], heads["gap"][at]
+        spelled = cut.totals((heads["spelled"][at] == 0).astype(np.int64)) == 0
         totals, n_ids = cut.totals(score[at]), cut.totals(sizes_in_place)
         ways, lo = [], 0
         for row, hi in enumerate(cut.row_ends.tolist()):
@@ -165,7 +167,7 @@ class Segmenter:
             near = near[np.argsort(gap[near], kind="stable")][: n - 1]
         else:
             near = np.argsort(gap, kind="stable")
-        options = [(k, self.remembered_ways(cut.word(at[k]), n)) for k in near.tolist() if gap[k] < np.inf]
+        options = [(k, self.remembered_ways(cut.words[at[k]], n)) for k in near.tolist() if gap[k] < np.inf]
         return [{
             "score": s, "n_pieces": n_ids + sum(len(x) - int(size[at[k]]) for k, x in changes),
             "changes": [{"word": k, "ids": list(x)} for k, x in changes]} for s, changes in self._combined(score, options, n)]
@@ -212,17 +214,6 @@ class Segmenter:
         return text[1:] if text.startswith(" ") else text
 
 
-_segmenters: dict[str, Segmenter] = {}
-
-
-def segmenter_of(name: str, vocabulary: Vocabulary) -> Segmenter:
-    """The segmenter of this worker, so that tasks that follow each other share what it remembers."""
-    if name not in _segmenters:
-        _segmenters.clear()
-        _segmenters[name] = Segmenter(vocabulary)
-    return _segmenters[name]
-
-
 _ALTERNATIVE = T.StructType([
     T.StructField("score", T.DoubleType()), T.StructField("n_pieces", T.LongType()),
     T.StructField("changes", T.ArrayType(T.StructType([
@@ -234,13 +225,14 @@ def encoded(df: DataFrame, keep: list[str], text: str = "text", vocabulary: str
     """Every row's kept columns as ``row``; ``ids`` and ``score`` of its best segmentation; ``alternatives``, the next ones up to
     ``n_best`` (score, number of pieces, and the words that differ, by place); and ``exact``, whether decoding the ids gives the
     text back. A null text has null ids and score and no alternatives and is exact; an empty one has no ids. A text that holds the
-    space mark itself, which decoding turns into a space, is not exact. Repeated rows give repeated results."""
+    space mark itself, which decoding turns into a space, is not exact. Repeated rows give repeated results, an empty table an empty one. A
+    text is cut whole, however long; what is remembered of its words stays within ``CACHE_BYTES``."""
     pieces = load_vocabulary(vocabulary)
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("score", T.DoubleType()),
               T.StructField("alternatives", T.ArrayType(_ALTERNATIVE)), T.StructField("exact", T.BooleanType())]
 
     def make():
-        segmenter = segmenter_of(vocabulary, pieces)
+        segmenter = kept(f"segmenter {vocabulary}", lambda: Segmenter(pieces))
 
         def work(texts: pa.Array) -> list:
             values = texts.to_pylist()
@@ -262,7 +254,7 @@ def decoded(df: DataFrame, keep: list[str], ids: str = "ids", vocabulary: str =
     schema = T.StructType([source.schema["row"], T.StructField("text", T.StringType())])
 
     def run(batches):
-        segmenter = segmenter_of(vocabulary, pieces)
+        segmenter = kept(f"segmenter {vocabulary}", lambda: Segmenter(pieces))
         for batch in batches:
             texts = [None if x is None else segmenter.decode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])

@@ -20,10 +20,7 @@ from pyspark.sql import types as T
 from patchloom.llm.lattice import Automaton, Lattice
 from patchloom.llm.rows import with_text_columns
 from patchloom.llm.vocabulary import DEFAULT_VOCABULARY, UNKNOWN_PENALTY, Vocabulary, load_vocabulary
-from patchloom.llm.words import CutTexts, Remembered
-
-#: Words whose counts a worker remembers at once (about 100 bytes each).
-REMEMBERED = 1_000_000
+from patchloom.llm.words import CutTexts, Remembered, kept
 
 
 class TokenCounter:
@@ -34,7 +31,7 @@ class TokenCounter:
         self.fallback = bool(vocabulary.bytes)
         self.unknown = min(vocabulary.scores) - UNKNOWN_PENALTY
         self.finder = Automaton(tuple((p, i) for i, p in enumerate(vocabulary.pieces) if p))
-        self.known = Remembered(self.learn, REMEMBERED)
+        self.known = Remembered(self.learn, lambda n: 32)
 
     def learn(self, words: list[str]) -> list[int]:
         """Tokens of some words, their space marks included."""
@@ -64,26 +61,16 @@ class TokenCounter:
     def counts(self, texts: list[str | None]) -> np.ndarray:
         """Tokens of each text; none in a null or empty one."""
         cut = CutTexts([t or "" for t in texts], always=False, runs=False)
-        return cut.totals(np.array(self.known.of(cut), dtype=np.int64)[cut.at])
-
-
-_counters: dict[str, TokenCounter] = {}
-
-
-def counter_of(name: str, vocabulary: Vocabulary) -> TokenCounter:
-    """The counter of this worker, so that tasks that follow each other share what it remembers."""
-    if name not in _counters:
-        _counters.clear()
-        _counters[name] = TokenCounter(vocabulary)
-    return _counters[name]
+        return cut.totals(np.array(self.known.of(cut.words), dtype=np.int64)[cut.at])
 
 
 def token_counts(df: DataFrame, keep: list[str], text: str = "text", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """Every row's kept columns as ``row`` and ``n_tokens``: null and empty texts have 0; repeated rows give repeated results."""
+    """Every row's kept columns as ``row`` and ``n_tokens``: null and empty texts have 0; repeated rows give repeated results; an empty
+    table gives an empty one. A text is counted whole, however long. Equal scores are settled by the tokenizer's own rule (see above)."""
     pieces = load_vocabulary(vocabulary)
 
     def make():
-        counter = counter_of(vocabulary, pieces)
+        counter = kept(f"counter {vocabulary}", lambda: TokenCounter(pieces))
         return lambda texts: [pa.array(counter.counts(texts.to_pylist()))]
 
     return with_text_columns(df, text, keep, [T.StructField("n_tokens", T.LongType())], make)

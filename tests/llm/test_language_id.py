@@ -46,11 +46,33 @@ def test_remembered_scores_are_the_same(pieces, monkeypatch):
     logs = np.log(np.random.default_rng(1).dirichlet(np.ones(len(pieces.pieces)), size=2))
     texts = pa.array(["the thing", "étréé the", None, "42 !", "the thing thonre", "other words and more"] * 3)
     once = li._scored(li.LanguageModel(("a", "b"), logs, pieces))(texts)
-    monkeypatch.setattr(li, "REMEMBERED", 3)
+    few = li._Scores(li.LanguageModel(("a", "b"), logs, pieces), room=900)
+    monkeypatch.setattr(li, "kept", lambda name, make: few)
     many = li._scored(li.LanguageModel(("a", "b"), logs, pieces))
     parts = [many(texts.slice(i, 2)) for i in range(0, len(texts), 2)]
     assert sum((p[0] for p in parts), []) == once[0] and np.allclose(sum((p[1] for p in parts), []), once[1])
     assert once[0][2:4] == ["und", "und"] and once[1][2:4] == [0.0, 0.0]
+    assert few.held <= 900 and len(few.places) <= 3
+
+
+def test_words_with_one_hash_stay_apart(pieces):
+    import pyarrow as pa
+
+    signs = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = ("".join(x[i] for i in signs) for x in ("th", "ht"))
+    logs = np.log(np.random.default_rng(3).dirichlet(np.ones(len(pieces.pieces)), size=2))
+    model = lambda: li._scored(li.LanguageModel(("a", "b"), logs, pieces))
+    alone = [model()(pa.array([t])) for t in (one, other)]
+    both = model()(pa.array([one, other]))
+    assert both[1] == [alone[0][1][0], alone[1][1][0]] and both[0] == [alone[0][0][0], alone[1][0][0]]
+
+
+def test_commonest_of_many_languages(spark):
+    rows = [(i, "the thing and more", f"l{i % 7}" if i < 70 else "noise") for i in range(72)] + [(100, "der und von", "l6")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    some = li.training_rows(df, most_languages=3)
+    assert {r.language for r in some.select("language").distinct().collect()} == {"l0", "l1", "l6"}
+    assert li.learned(li.training_rows(df), rounds=1, most_languages=2).languages == ("l0", "l6")
 
 
 def test_learning_raises_the_likelihood(spark, pieces):

@@ -92,7 +92,7 @@ def test_alternatives_rebuild(pieces):
     text = "the thing here  there\nand on"
     e = segmenter.encode([text], 6)
     cut = segmentation.CutTexts([text], always=True, runs=True)
-    words = [cut.word(i) for i in cut.at]
+    words = [cut.words[i] for i in cut.at]
     for way in e.alternatives[0]:
         parts = [segmenter.n_best(w, 1)[0][1] for w in words]
         for change in way["changes"]:
@@ -130,3 +130,42 @@ def F_col(table, name):
     from pyspark.sql import functions as F
 
     return F.col(f"row.{name}").alias(name)
+
+
+def colliding(a, b):
+    """Two words of 1,024 characters with one hash modulo 2 ** 64, whatever the base: the Thue-Morse word and its complement."""
+    signs = [bin(i).count("1") & 1 for i in range(1024)]
+    return "".join((a, b)[x] for x in signs), "".join((b, a)[x] for x in signs)
+
+
+def test_words_with_one_hash_stay_apart(pieces):
+    import numpy as np
+
+    from patchloom.llm.hashing import run_hashes
+    from patchloom.llm.lattice import code_points
+
+    one, other = colliding("t", "h")
+    points = code_points(one + other)
+    hashes = run_hashes(points, np.array([0, 1024]), np.array([1024, 2048]))
+    assert hashes[0] == hashes[1]
+    counter, segmenter = token_counts.TokenCounter(pieces), segmentation.Segmenter(pieces)
+    alone = [token_counts.TokenCounter(pieces).counts([t])[0] for t in (one, other)]
+    assert alone[0] != alone[1]
+    for texts in ([one, other], [f"{one} {other}", other], [other], [one, "the", one]):
+        assert counter.counts(texts).tolist() == [token_counts.TokenCounter(pieces).counts([t])[0] for t in texts]
+        e = segmenter.encode(texts)
+        ids = [e.ids[a:b].tolist() for a, b in zip(e.bounds[:-1], e.bounds[1:])]
+        assert [segmenter.decode(i) for i in ids] == texts and e.spelled.all()
+        assert ids == [x.ids for x in library(pieces, True).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_memory_is_bounded_in_bytes(pieces):
+    counter = token_counts.TokenCounter(pieces)
+    counter.known.room = 40_000
+    segmenter = segmentation.Segmenter(pieces)
+    segmenter.known.room = 40_000
+    for k in range(6):
+        texts = [" ".join(f"word{k}x{i}" for i in range(300)), "q" * 30_000, f"w{k}"]
+        assert counter.counts(texts).tolist() == token_counts.TokenCounter(pieces).counts(texts).tolist()
+        assert segmenter.encode(texts).ids.tolist() == segmentation.Segmenter(pieces).encode(texts).ids.tolist()
+        assert counter.known.held <= 40_000 and segmenter.known.held <= 40_000 and len(segmenter.known) < 400
