@@ -28,23 +28,25 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group: at least 0.8 of the union of their
-    shingles of five words in common."""
-    return near_duplicates.kept_documents(docs, shingle=5, similarity=0.8)
+    """Keeps the document with the smallest id of each group of documents whose SimHash fingerprints over shingles of three words link
+    at three or fewer differing bits. Null and empty texts are one group; an empty table stays empty."""
+    return near_duplicates.kept_documents(docs, shingle=3, distance=3)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of ten words of a benchmark item."""
+    """Drops documents that hold a window of ten words of a benchmark item (of an item of fewer words, all of them). Null and empty
+    texts stay, repeated rows share their fate, and without benchmark items all documents stay."""
     return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts the kind in brackets in place of personal data."""
+    """Puts the kind in brackets in place of personal data; ``n_chars`` follows where it stood. Null and empty texts stay as they are."""
     return pii.masked_documents(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of each document, and its two best alternatives."""
+    """The piece ids of each document, and its two best alternatives. A null text has null ids, an empty one none; repeated rows are encoded
+    alike, and an empty table gives an empty one."""
     found = segmentation.encoded(docs, ["doc_id", "lang", "source"], n_best=3)
     return found.select("row.*", F.size("ids").cast("long").alias("n_pieces"), "ids", "score", "alternatives", "exact")
 
