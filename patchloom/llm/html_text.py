@@ -3,10 +3,13 @@
 Every element of the page gets a composite density: its characters per tag, adjusted for how much
 of them is link text (a menu is nearly all links, an article nearly none). An element's density
 sum adds up the densities of its children; the subtree with the largest sum is the article's body.
-The smallest density on its path to the body element is the threshold of content: parts of the page
-beside the article that reach it belong to it, link-heavy parts inside it that do not are left out. Elements that are no article by their meaning (menus, headers and footers of the
-page, sidebars, forms, scripts, notices, adverts, reader comments) are cut before; where only a class,
-id or role says so, not if the element carries the page: an article or most of the unlinked text.
+An ``article`` or ``main`` element counts for more, but a short one beside the real text loses. The smallest density on the
+path from the best subtree to the body element is the threshold of content: other parts of the page that reach it (other articles, where
+the best one is an article) belong to the text too.
+
+Elements that are no article by their meaning (menus, headers and footers of the page, sidebars, forms, scripts, notices, adverts,
+reader comments) are cut before. Where only a class, id or role says so, an element stays if it carries the page (an article or most
+of the unlinked text); and names that also occur on parts of an article (notice, legal, discussion) do not cut what lies inside the content, unless it is mostly links.
 
 One pass over the rows, no shuffle; a page is one cell.
 """
@@ -38,13 +41,19 @@ _CUT_WORDS = frozenset(
     "ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion banner popup modal overlay "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidenav aside widget widgets toolbar "
     "header masthead footer cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login "
-    "comment comments commentlist disqus respond reply replies discussion related recommended recommendations share sharing social "
+    "comment comments commentlist disqus respond reply replies discussion related recommended recommendations teaser teasers share sharing social "
     "pagination pager copyright legal disclaimer complementary contentinfo search form skip tags".split())
 #: First parts that turn a name into a remark on the layout (``has-sidebar``).
 _REMARKS = frozenset("has no with without is js".split())
 #: Elements that names do not cut, and the names that cut an article all the same.
 _KEEP = frozenset(["html", "body", "main"])
-_CUT_ARTICLE = frozenset("comment comments reply replies ad advert advertisement sponsored promo related recommended".split())
+_CUT_ARTICLE = frozenset("comment comments reply replies ad advert advertisement sponsored promo related recommended teaser teasers".split())
+#: Names that parts of an article bear as well.
+_LOOSE_WORDS = frozenset(
+    "discussion legal notice notices widget widgets form alert notification tags search skip copyright disclaimer banner toolbar overlay".split())
+#: Elements that say they hold the text, and how much more they count.
+_MARKED, _STANDING = frozenset(["article", "main"]), 3
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Names of headers, which inside an article are its own.
 _HEADERS = frozenset(["header", "masthead"])
 _CLOSES_P = _BLOCK - frozenset(["br", "li", "dd", "dt", "tr", "td", "th", "tbody", "thead", "tfoot", "option", "optgroup", "html", "head", "body"])
@@ -244,8 +253,12 @@ def _score(nodes: list[Node], body: Node) -> None:
         n.sum = sum(p.density for p in n.parts if not isinstance(p, str) and not p.cut)
 
 
+def _standing(n: Node) -> float:
+    return _STANDING * max(n.sum, n.density) if n.tag in _MARKED else n.sum
+
+
 def _contents(best: Node, body: Node, least: float) -> list[Node]:
-    """The best subtree and every other one of the body whose density reaches ``least``, in page order."""
+    """The best subtree and every other one of the body whose density reaches ``least`` (beside an article, other articles), in page order."""
     path, up = set(), best
     while up is not body and up.parent is not None:
         up = up.parent
@@ -253,15 +266,48 @@ def _contents(best: Node, body: Node, least: float) -> list[Node]:
     out, stack = [], [body]
     while stack:
         n = stack.pop()
-        if n is best or id(n) not in path and n.chars and n.density >= least:
+        fits = n.density > 0 and n.density >= least and (best.tag not in _MARKED or n.tag in _MARKED)
+        if n is best or fits and id(n) not in path:
             out.append(n)
         else:
             stack.extend(p for p in reversed(n.parts) if not isinstance(p, str) and not p.cut)
     return out
 
 
-def _write(node: Node, least: float, out: list[str]) -> None:
-    """The text of a subtree, block by block; link-heavy parts under the threshold are left out."""
+def _keep_parts(content: Node) -> None:
+    """Takes back cuts by loose names inside the content of what is not mostly links."""
+    stack = [content]
+    while stack:
+        n = stack.pop()
+        if n.cut:
+            _measure(n)
+            if n.link_chars * 2 > n.chars:
+                continue
+            n.cut = False
+        stack.extend(p for p in n.parts if not isinstance(p, str) and (not p.cut or p.names and p.names <= _LOOSE_WORDS))
+
+
+def _menus(body: Node, least: float) -> set[int]:
+    """Lists of links that stand in the body itself, where that is the frame of the text; not those under a heading, nor paragraphs."""
+    out, stack = set(), [body]
+    while stack:
+        n = stack.pop()
+        heading = False
+        for p in n.parts:
+            if isinstance(p, str):
+                heading = heading and not p.strip()
+            elif not p.cut and p.chars:
+                if p.tag in _BLOCK and p.tag != "p" and p.link_chars * 2 > p.chars and p.density < least:
+                    if not heading:
+                        out.add(id(p))
+                else:
+                    stack.append(p)
+                heading = p.tag in _HEADINGS
+    return out
+
+
+def _write(node: Node, left_out: set[int], out: list[str]) -> None:
+    """The text of a subtree, block by block."""
     stack: list[Node | str | None] = [node]
     while stack:
         p = stack.pop()
@@ -269,12 +315,10 @@ def _write(node: Node, least: float, out: list[str]) -> None:
             out.append("\0")
         elif isinstance(p, str):
             out.append(p)
+        elif id(p) in left_out:
+            out.append("\0")
         elif not p.cut:
-            block = p.tag in _BLOCK
-            if block and p is not node and p.link_chars * 2 > p.chars and p.density < least:
-                out.append("\0")
-                continue
-            if block:
+            if p.tag in _BLOCK:
                 out.append("\0")
                 stack.append(None)
             stack.extend(reversed(p.parts))
@@ -289,22 +333,21 @@ def main_text(page: str | None) -> str:
     _keep_carriers(root)
     nodes = _measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
-    inside = [n for n in _within(body)]
+    inside = list(_within(body))
     _score(inside, body)
-    marked = [n for n in inside if n.tag in ("article", "main") and n.chars]
-    best = max(marked or inside, key=lambda n: n.sum, default=None)
-    if best is None or not best.chars:
+    best = max((n for n in inside if n.chars), key=_standing, default=body)
+    if best.tag not in _MARKED and (best.sum == 0.0 or best.tag == "p"):  # text that stands alone: the whole body is its frame
         best = body
-    if best.sum == 0.0 or best.tag == "p":  # text that stands alone: the whole body is its frame
-        best = best if marked else body
-    path, up = [best.density], best
+    least, up = best.density, best
     while up is not body and up.parent is not None:
         up = up.parent
-        path.append(up.density)
+        least = min(least, up.density)
     out: list[str] = []
-    for n in [best] if marked else _contents(best, body, min(path)):
+    for n in _contents(best, body, least):
+        if n is not body:
+            _keep_parts(n)
         out.append("\0")
-        _write(n, min(path), out)
+        _write(n, _menus(body, least) if n is body else set(), out)
     blocks = (_SPACE.sub(" ", entities.unescape(x)).strip() for x in "".join(out).split("\0"))
     return " ".join(b for b in blocks if b)
 
@@ -319,7 +362,8 @@ def _within(node: Node):
 
 def extracted(df: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """Every row's kept columns as ``row``, its main ``text`` and ``n_chars`` (code points). A null or empty page has an empty
-    text; repeated rows give repeated results; page and text are whole."""
+    text; repeated rows give repeated results, an empty table an empty one; of equally good subtrees the first counts; page and text are whole,
+    however long."""
 
     def work(pages: pa.Array) -> list:
         texts = [main_text(p) for p in pages.to_pylist()]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -67,11 +68,27 @@ _MAIL_REST = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _HAS_DIGIT = re.compile("[0-9]")
 
 
-#: Characters of an account number by country.
-_IBAN_SIZES = {k: int(n) for n, ks in (x.split(":") for x in (
-    "15:NO 16:BE 18:DK,FK,FI,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
-    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
-    "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for k in ks.split(",")}
+# Characters of an account number by country, a line per length.
+_IBAN_SIZES = {country: size for size, countries in {
+    15: "NO",
+    16: "BE",
+    18: "DK FK FI FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}.items() for country in countries.split()}
 _IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
 _IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
 _ALNUM = re.compile("[A-Za-z0-9]")
@@ -151,14 +168,30 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(kind, s, e) for s, _, kind, e in sorted(found)]
 
 
+def _union(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that some spans cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, e in sorted((s, e) for _, s, e in spans):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def added_spans(text: str, taken: list[tuple[str, int, int]], threshold: float) -> list[tuple[str, int, int]]:
     """Spans of the added kinds that reach the threshold and overlap nothing taken."""
     if _HAS_DIGIT.search(text) is None:
         return []
-    found = []
+    found: list[tuple[str, int, int]] = []
     for kind, rule in ADDED.items():
+        starts, ends = _union(taken + found)
+        last = 0
         for s, e in rule.candidates(text):
-            if any(s < b and a < e for _, a, b in taken) or any(s < b and a < e for _, a, b in found):
+            at = bisect_right(starts, s)
+            if s < last or at and ends[at - 1] > s or at < len(starts) and starts[at] < e:
                 continue
             score = rule.base
             if rule.check is not None:
@@ -168,6 +201,7 @@ def added_spans(text: str, taken: list[tuple[str, int, int]], threshold: float)
                 score += NEARBY
             if score >= threshold:
                 found.append((kind, s, e))
+                last = e
     return found
 
 
@@ -194,7 +228,8 @@ def personal_data(df: DataFrame, keep: list[str], text: str = "text", threshold:
     """Every row's kept columns as ``row`` and its ``base`` spans and all ``spans`` (kind, start, end; code points, end exclusive);
     with ``mask``, also the ``masked`` text, each span replaced by its kind in brackets (of one that overlaps another, the rest).
 
-    A null or empty text has no spans (masked: null stays null). Repeated rows give repeated results.
+    A null or empty text has no spans (masked: null stays null). A text is searched whole, however long. Of candidates that overlap, base kinds
+    come first, then added kinds as listed, then the one that starts first. Repeated rows give repeated results, an empty table an empty one.
     """
     fields = [T.StructField("base", T.ArrayType(_SPAN)), T.StructField("spans", T.ArrayType(_SPAN))]
     if mask:

@@ -47,6 +47,99 @@ def test_names_do_not_cut_what_carries_the_page():
     assert main_text(page(f"<div class='page-header'>Site</div><article><p>{LONG}</p></article><div class='comments'><p>{LONG} {LONG}</p></div>")) == LONG
 
 
+def test_a_short_article_beside_the_text_loses():
+    teaser = "<article class='teaser'><h2>Other story</h2><p>Two words of it.</p></article>"
+    story = f"<div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(page(teaser + story)) == f"Title {LONG} {LONG} {LONG}"
+    plain = teaser.replace(" class='teaser'", "")
+    assert f"Title {LONG} {LONG} {LONG}" in main_text(page(plain + story))
+
+
+def test_several_articles_are_all_there():
+    first, second = (f"<article><h2>Part {i}</h2><p>{LONG}</p></article>" for i in (1, 2))
+    whole = f"Part 1 {LONG} Part 2 {LONG}"
+    menu = "<div><a href='/'>Home</a> <a href='/a'>About</a></div><div>Small print</div>"
+    assert main_text(page(menu + first + second)) == main_text(page(f"<main>{first}{second}</main>" + menu)) == whole
+
+
+def test_links_inside_the_content_stay():
+    link = "<p><a href='/r'>Read the full report here</a></p>"
+    sources = "<h2>Sources</h2><ul><li><a href='/1'>Source one</a></li><li><a href='/2'>Source two</a></li></ul>"
+    whole = f"{LONG} Read the full report here {LONG} Sources Source one Source two"
+    for tag in ("article", "div", "main"):
+        assert main_text(page(f"<ul><li><a href='/'>Home</a><li><a href='/b'>B</a></ul><{tag}><p>{LONG}</p>{link}<p>{LONG}</p>{sources}</{tag}>")) == whole, tag
+    # without any container, lists of links are menus unless a heading stands over them
+    assert main_text(page(f"<ul><li><a href='/'>Home</a><li><a href='/b'>B</a></ul><p>{LONG}</p>{link}<p>{LONG}</p>{sources}")) == whole
+
+
+def test_loose_names_do_not_cut_parts_of_the_content():
+    parts = ["<section class='discussion'><p>What follows from it.</p></section>", "<p class='legal'>The law says so.</p>", "<p class='notice'>Mind this.</p>",
+             "<div class='widget'>A part of the text.</div>", "<div class='form'>The form it took.</div>"]
+    for tag in ("article", "div"):
+        for part in parts:
+            inner = re.sub("<[^>]*>", "", part)
+            assert main_text(page(f"<{tag}><p>{LONG}</p>{part}<p>{LONG}</p></{tag}>")) == f"{LONG} {inner} {LONG}", part
+    widget = "<div class='widget'><ul><li><a href='/1'>One</a></li><li><a href='/2'>Two</a></li></ul></div>"
+    shares = "<div class='share'>Share this</div><div class='comments'><p>First!</p></div><div class='ad'>Buy</div><form>Mail</form>"
+    assert main_text(page(f"<article><p>{LONG}</p>{widget}{shares}</article><p class='notice'>Cookies</p>")) == LONG
+
+
+def test_densities_equal_a_plain_version():
+    import math
+    import random
+
+    from patchloom.llm import html_text
+
+    rng = random.Random(9)
+
+    def made(depth):
+        tag = rng.choice(["div", "a", "b", "section"]) if depth else "body"
+        inner = [made(depth + 1) if depth < 4 and rng.random() < 0.5 else "w" * rng.randrange(1, 60) for _ in range(rng.randrange(1, 5))]
+        return tag, inner
+
+    def source(n):
+        return n if isinstance(n, str) else f"<{n[0]}>" + "".join(map(source, n[1])) + f"</{n[0]}>"
+
+    def counts(n, linked=False):
+        if isinstance(n, str):
+            return len(n), 0, len(n) if linked else 0, 0
+        linked = linked or n[0] == "a"
+        inner = [counts(x, linked) for x in n[1]]
+        kids = [x for x in n[1] if not isinstance(x, str)]
+        return (sum(i[0] for i in inner), sum(i[1] for i in inner) + len(kids), sum(i[2] for i in inner),
+                sum(i[3] for i in inner) + sum(k[0] == "a" for k in kids))
+
+    def density(n, share, linked):
+        c, t, lc, lt = counts(n, linked)
+        base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+        return c / max(t, 1) * max(math.log(c * max(t, 1) / (max(lc, 1) * max(lt, 1))), 0) / base
+
+    def walk(n, linked=False):
+        yield n, linked
+        for x in n[1]:
+            if not isinstance(x, str):
+                yield from walk(x, linked or n[0] == "a")
+
+    def unnested(n, inside=False):
+        return all(unnested(x, inside or n[0] == "a") for x in n[1] if not isinstance(x, str)) and not (inside and n[0] == "a")
+
+    tried = 0
+    while tried < 60:
+        want = made(0)
+        if not unnested(want):
+            continue
+        tried += 1
+        root = html_text.tree(source(want))
+        nodes = html_text._measure(root)
+        body = next(n for n in nodes if n.tag == "body")
+        html_text._score(list(html_text._within(body)), body)
+        c = counts(want)
+        share = c[2] / c[0]
+        plain = [(n[0], density(n, share, linked)) for n, linked in walk(want)]
+        assert [(n.tag, n.density) for n in html_text._within(body)] == [(t, d) for t, d in plain]
+        assert body.sum == sum(density(x, share, False) for x in want[1] if not isinstance(x, str))
+
+
 def test_broken_markup():
     assert main_text("<p>One<p>Two <b>three<br><p>four</article> 1 < 2") == "One Two three four 1 < 2"
     assert main_text("<article><p>a<!-- <p>no --> b <![CDATA[x]]> c<?php ?> d") == "a b c d"

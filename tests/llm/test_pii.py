@@ -44,6 +44,38 @@ def test_long_texts_take_linear_time():
         pii.added_spans(text, [], 0.7)
 
 
+def test_many_spans_take_linear_time():
+    import time
+
+    text = "".join(f"u{i}@mail.example.com 24be64439e3e49cf46b2d7c90f3602a{i:09x} token ssn 123-45-{1 + i % 9999:04d} " for i in range(34_000))
+    base = pii.base_spans(text)
+    start = time.perf_counter()
+    added = pii.added_spans(text, base, 0.7)
+    assert len(base) == 34_000 and len(added) == 68_000 and time.perf_counter() - start < 3
+
+
+def test_added_spans_equal_a_plain_search():
+    rng = random.Random(5)
+    bits = ["a@b.co", "123-45-6789", "ssn", "4111 1111 1111 1111", "DE89370400440532013000", "key_" + "a1" * 16, "token", "+49 30 123-45-6789", " ", " ", "x"]
+
+    def plain_added(text, taken):
+        out = []
+        for kind, rule in pii.ADDED.items():
+            for s, e in rule.candidates(text):
+                if any(s < b and a < e for _, a, b in [*taken, *out]):
+                    continue
+                score = rule.base + (0 if rule.check is None else pii.CHECKED if rule.check(text[s:e]) else -pii.CHECKED)
+                near = (text[max(0, s - pii.WINDOW): s] + " " + text[e: e + pii.WINDOW]).lower()
+                score += pii.NEARBY * any(w in rule.words for w in pii._WORD.findall(near))
+                out += [(kind, s, e)] * (score >= 0.7)
+        return out
+
+    for _ in range(5000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(14)))
+        base = pii.base_spans(text)
+        assert pii.added_spans(text, base, 0.7) == plain_added(text, base), text
+
+
 def test_checksums():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
     assert pii.mod97("DE89370400440532013000") and not pii.mod97("DE89370400440532013001")
