@@ -79,16 +79,17 @@ class LinearScorer:
         return np.where(n > 0, 1 / (1 + np.exp(-np.clip(self.bias + mean, -500, 500))), 0.0)
 
 
-def fit_scorer(shares: np.ndarray, labels: np.ndarray, rounds: int = 12, penalty: float = 1e-2) -> LinearScorer:
-    """Ridge logistic regression of soft labels on n-gram shares (a row per text), by Newton steps on scaled shares.
-    Rows of the rarer side weigh more, so that both sides count alike. Without rows every score is even."""
+def fit_scorer(shares: np.ndarray, labels: np.ndarray, copies: np.ndarray, rounds: int = 12, penalty: float = 1e-2) -> LinearScorer:
+    """Ridge logistic regression of soft labels on n-gram shares (a row per text, which stands for ``copies``), by Newton steps on scaled
+    shares. Rows of the rarer side weigh more, so that both sides count alike. Without rows every score is even."""
     if not len(labels):
         return LinearScorer(np.zeros(shares.shape[1]), 0.0)
-    scale = 1 / np.maximum(shares.std(axis=0, dtype=np.float64), 1e-3)
-    middle = shares.mean(axis=0, dtype=np.float64)
+    part = copies / copies.sum()
+    middle = part @ shares
+    scale = 1 / np.maximum(np.sqrt(part @ (shares - middle) ** 2), 1e-3)
     x = np.concatenate([(shares - middle) * scale, np.ones((len(shares), 1))], axis=1)
-    good = np.clip(labels.mean(), 0.02, 0.98)
-    weight = labels / good + (1 - labels) / (1 - good)
+    good = np.clip(part @ labels, 0.02, 0.98)
+    weight = (labels / good + (1 - labels) / (1 - good)) * part
     weight /= weight.sum()
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-6  # the bias is free
@@ -115,9 +116,12 @@ def _measured(df: DataFrame, keep: list[str], text: str, scorer: LinearScorer |
     return with_text_columns(df, text, keep, fields, lambda: work)
 
 
-def _training(df: DataFrame, text: str, sample: int, buckets: int, model: LabelModel) -> tuple[np.ndarray, np.ndarray]:
+def _training(df: DataFrame, text: str, sample: int, buckets: int, model: LabelModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares, posteriors and numbers of copies of about ``sample`` texts at most, drawn by a hash of the text. Copies fall together before they are
+    collected, and a text that has many comes with their number."""
     total = df.count()
-    chosen = df.filter(F.shiftrightunsigned(F.xxhash64(col(text)), 12) / float(1 << 52) < float(sample) / max(total, 1))
+    texts_ = df.select(col(text).cast("string").alias("text")).select("text", F.xxhash64("text").alias("h"), F.xxhash64(F.reverse("text")).alias("g"))
+    chosen = texts_.filter(F.shiftrightunsigned("h", 12) / float(1 << 52) < float(sample) / max(total, 1))
 
     def work(texts: pa.Array) -> list:
         grams, bounds = shape_grams(texts, buckets)
@@ -126,13 +130,14 @@ def _training(df: DataFrame, text: str, sample: int, buckets: int, model: LabelM
 
     fields = [T.StructField("bucket", T.ArrayType(T.LongType())), T.StructField("n", T.ArrayType(T.LongType())),
               *[T.StructField(m, T.LongType()) for m in MEASURES]]
-    rows = with_text_columns(chosen, text, [text], fields, lambda: work) \
-        .filter(F.size("bucket") > 0).select("bucket", "n", model.posterior(list(labellers().values())).alias("p")).collect()
-    rows.sort(key=lambda r: (r["p"], r["n"]))
+    made = with_text_columns(chosen, "text", ["h", "g"], fields, lambda: work).filter(F.size("bucket") > 0)
+    made = made.select("row.*", "bucket", "n", model.posterior(list(labellers().values())).alias("p"))
+    rows = made.groupBy("h", "g").agg(*[F.first(c).alias(c) for c in ("bucket", "n", "p")], F.count("*").alias("copies")).collect()
+    rows.sort(key=lambda r: (r["p"], r["h"], r["g"]))
     shares = np.zeros((len(rows), buckets), dtype=np.float32)
     for i, r in enumerate(rows):
         shares[i, r["bucket"]] = np.array(r["n"], dtype=np.float32) / sum(r["n"])
-    return shares, np.array([r["p"] for r in rows])
+    return shares, np.array([r["p"] for r in rows]), np.array([r["copies"] for r in rows], dtype=float)
 
 
 def classified(df: DataFrame, keep: list[str], text: str = "text", sample: int = SAMPLE, buckets: int = BUCKETS,

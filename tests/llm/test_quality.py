@@ -75,6 +75,36 @@ def test_classifier_on_labelled_documents(spark):
     assert good > 0.97 and bad < 0.35
 
 
+def test_the_sample_is_bounded_under_copies(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("text")
+    _, model, _ = quality_classifier.classified(docs, ["text"])
+    seen = quality_classifier._training(docs, "text", 400, 64, model)
+    assert 250 < len(seen[1]) < 550 and seen[2].sum() >= len(seen[1])
+    # every chosen text copied a hundred times: no more rows come, and the fit is that of all copies
+    chosen = docs.filter(F.shiftrightunsigned(F.xxhash64("text"), 12) / float(1 << 52) < 400 / 1000.0)
+    copied = docs.unionAll(chosen.select(F.explode(F.array_repeat("text", 99)).alias("text")))
+    many = quality_classifier._training(copied, "text", 400 * copied.count() // 1000, 64, model)
+    assert len(many[1]) == len(seen[1]) and (many[2] == 100 * seen[2]).all() and (many[0] == seen[0]).all()
+    one, other = quality_classifier.fit_scorer(*seen), quality_classifier.fit_scorer(*many)
+    assert np.allclose(one.weights, other.weights) and np.isclose(one.bias, other.bias)
+    literal = quality_classifier.fit_scorer(*(np.repeat(x, seen[2].astype(int), axis=0) for x in seen[:2]), np.ones(int(seen[2].sum())))
+    assert np.allclose(one.weights, literal.weights) and np.isclose(one.bias, literal.bias)
+
+
+def test_classifier_equals_a_plain_scorer(spark):
+    """Scores of whole texts, row by row."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows, _, scorer = quality_classifier.classified(docs, ["doc_id", "text"])
+    import pyarrow as pa
+
+    for r in rows.limit(40).collect():
+        grams = quality_classifier.shape_grams(pa.array([r.row.text]), len(scorer.weights))[0].tolist()
+        plain = 1 / (1 + np.exp(-(scorer.bias + sum(scorer.weights[g] for g in grams) / len(grams)))) if grams else 0.0
+        assert np.isclose(r.score, plain) and r.good == (r.score >= 0.5)
+
+
 def test_classifier_rows(spark):
     rows = [(1, "plain words in a row " * 5, "a"), (2, None, "b"), (3, "", "c"), (4, "ab", "d"), (1, "plain words in a row " * 5, "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string, score string")
