@@ -5,18 +5,20 @@ import json
 from pyspark.sql import functions as F
 
 from patchloom import schemas
+from patchloom.catalog.changes import NOTES_SQL
 from patchloom.catalog.parts import PR
 from patchloom.catalog.registry import joined, query
 from patchloom.functions.diffs import file_entries
 from patchloom.functions.refs import pr_text
-from patchloom.operators import answering, issues, materials, outputs, pulls, summaries
+from patchloom.operators import annotation, answering, issues, materials, outputs, pulls, summaries
 from patchloom.operators.candidates import repo_slug
 from patchloom.operators.incremental import refresh_latest, resume_anti
 from patchloom.operators.patches import extract_patches, parse_diffs
+from patchloom.plans import collection
 from patchloom.plans.collection import collected_pulls
 from patchloom.plans.construction import construct
 from patchloom.session import fresh_path, materialised
-from patchloom.sources import sinks
+from patchloom.sources import jsonl, sinks
 from patchloom.streaming.arrivals import stream_dedup
 
 _KEY = ("org", "repo", "number")
@@ -35,7 +37,11 @@ def _selected(t, ready):
 select l.org, l.repo, l.number, l.issue_numbers, coalesce(r.resolved, '') as resolved from linked l left join resolved r using ({PR})""",
        uses=("linked", "resolved"))
 def attach_issues(t):
-    rows = issues.attach_issues(pulls.link_issues(pulls.merged_only(t.pulls())), t.issues())
+    """Every issue landed twice: the later row counts. What is linked is found once, for its two uses."""
+    landed = t.issues().withColumn("landed", F.lit(2))
+    landed = landed.unionByName(landed.withColumn("title", F.lit("earlier")).withColumn("landed", F.lit(1)))
+    linked = materialised(pulls.link_issues(pulls.merged_only(t.pulls())), "linked")
+    rows = issues.attach_issues(linked, landed, ["landed"])
     return rows.select(*_KEY, joined("issue_numbers").alias("issue_numbers"),
                        joined(F.transform("resolved_issues", lambda i: i["number"])).alias("resolved"))
 
@@ -47,7 +53,7 @@ def materials_join(t):
 
 
 @query("spec_request_join", """
-select a.repo, a.pr_id, m.rtl_file, case when m.repo is null then 'Missing materials record' end as error from s2_latest a
+select a.repo, a.pr_id, m.rtl_file, case when m.repo is null then 'no materials for this record' end as error from s2_latest a
 left join materials m using (repo, pr_id) where a.stage = 'select' and json_type(a.v) = 'OBJECT'""", uses=("s2_latest", "materials"))
 def spec_request_join(t):
     selected, _ = _selected(t, t.stored_materials)
@@ -58,7 +64,7 @@ def spec_request_join(t):
 
 @query("review_request_join", """
 select s.repo, s.pr_id, case when c.repo is not null then s.spec end as spec, md5(c.fix_patch) as fix_md5,
- case when c.repo is not null then md5(coalesce(m.rtl_code, '')) end as code_md5, case when c.repo is null then 'Missing S1.6 PR record' end as error
+ case when c.repo is not null then md5(coalesce(m.rtl_code, '')) end as code_md5, case when c.repo is null then 'no candidate for this spec' end as error
 from specs s left join candidates c using (repo, pr_id) left join materials m using (repo, pr_id)""",
        uses=("specs", "candidates", "materials"))
 def review_request_join(t):
@@ -131,13 +137,20 @@ def constructed(t):
 
 
 @query("final_structs", f"""
-select repo, pr_id, lang, spec, timestamp, 0 as bugs, merge_commit_sha, selected, code_md5 from ({_ASSEMBLED}) x where passed""",
-       uses=_ASSEMBLED_USES)
+select x.repo, x.pr_id, lang, spec, timestamp, coalesce(n.bugs, 0) as bugs, merge_commit_sha, selected, code_md5 from ({_ASSEMBLED}) x
+left join (select org || '/' || repo as repo, number as pr_id, count(*) as bugs from ({NOTES_SQL}) f where error is null group by all) n
+ on n.repo = x.repo and n.pr_id = x.pr_id where passed""", uses=(*_ASSEMBLED_USES, "annotation_answers", "blocks", "hunk_heads"))
 def final_structs(t):
+    """Final records with the annotations of their pull requests; each annotation came twice, and the later one counts."""
+    notes = materialised(annotation.annotation_notes(t.view("annotation_answers"), t.diffs()), "notes")
+    infos = annotation.annotation_join(notes).select(
+        repo_slug(F.col("org"), F.col("repo")).alias("repo"), F.col("number").alias("pr_id"), "bug_info", F.lit(2).alias("attempt"))
+    twice = infos.unionByName(infos.withColumn("bug_info", F.slice("bug_info", 1, 0)).withColumn("attempt", F.lit(1)))
     path = fresh_path(t.spark, "inputs")
-    outputs.accepted_inputs(_assembled(t)).write.option("ignoreNullFields", "false").json(path)
+    records = outputs.with_bug_infos(outputs.accepted_inputs(_assembled(t)), twice, ["attempt"])
+    records.write.option("ignoreNullFields", "false").json(path)
     return t.spark.read.schema(schemas.INPUTS).json(path).select(
-        "input.repo", "input.pr_id", "input.lang", "input.spec", "input.timestamp", F.size("bug_info").alias("bugs"),
+        "input.repo", "input.pr_id", "input.lang", "input.spec", "input.timestamp", F.size("bug_info").cast("bigint").alias("bugs"),
         "aux.merge_commit_sha", joined("aux.selected_doc_paths").alias("selected"), F.md5("aux.fixed_rtl_code").alias("code_md5"))
 
 
@@ -178,18 +191,21 @@ def doc_toc(t):
 
 
 @query("stage_funnel", """
-select 'materials' as stage, count(*) filter (where kind is null) as written, count(*) filter (where kind is not null) as failed from checked
-union all select 'review', count(*) filter (where ok), count(*) filter (where not ok) from last_reviews
-union all select 'select', count(*) filter (where json_type(v) = 'OBJECT'), count(*) filter (where v is null or json_type(v) <> 'OBJECT')
-from s2_latest where stage = 'select'""", uses=("checked", "last_reviews", "s2_latest"))
+select 'pulls' as stage, count(*) filter (where json_valid(value) and left(value, 1) <> '[') as loaded,
+ count(*) filter (where not json_valid(value) or left(value, 1) = '[') as bad,
+ count(*) filter (where json_valid(value) and left(value, 1) <> '[') as written, 0 as failed from dump_lines where trim(value) <> ''
+union all select 'materials', count(*), 0, count(*) filter (where kind is null), count(*) filter (where kind is not null) from checked
+union all select 'review', count(*), 0, count(*) filter (where ok), count(*) filter (where not ok) from last_reviews
+union all select 'select', count(*), 0, count(*) filter (where json_type(v) = 'OBJECT'), count(*) filter (where v is null or json_type(v) <> 'OBJECT')
+from s2_latest where stage = 'select'""", uses=("dump_lines", "checked", "last_reviews", "s2_latest"))
 def stage_funnel(t):
-    ready, failed = materials.materials_join(t.stored_candidates, t.repo_config(), t.repo_files())
-    answers = t.view("model_answers")
-    return summaries.stage_funnel({
-        "materials": (ready, failed),
-        "select": answering.parse_selection_answers(answering.latest_answers(answers, "select"), ready),
-        "review": answering.parse_review_answers(answering.latest_answers(answers, "review")),
-    })
+    """Four stages, each written once; their numbers are taken from the writes."""
+    counts = summaries.StageCounts()
+    lines = jsonl.with_records(t.view("dump_lines").select("value"), "number bigint, state string, title string")
+    lines = counts.seen("pulls", lines, loaded=~F.col("broken"), bad=F.col("broken"), written=~F.col("broken"))
+    materialised(lines.filter(~F.col("broken")).select("_r.number", "_r.state", "_r.title"), "pulls")
+    t.stored_stages(counts)
+    return counts.table(t.spark)
 
 
 @query("run_summary", """
@@ -235,6 +251,16 @@ def resume_append(t):
     return t.spark.read.schema(schema).parquet(path).select(*_KEY, "run")
 
 
+@query("resumed_candidates", """
+select repo, pr_id, lang, issue_title, md5(fix_patch) as fix_md5, lines_added from candidates""", uses=("candidates",))
+def resumed_candidates(t):
+    """Three runs over what has landed: pull requests with a body, all, all again; together they give what one run gives."""
+    folder, found = fresh_path(t.spark, "candidates"), materialised(t.pulls(), "pulls")
+    for run, landed in (("1", found.filter("body is not null")), ("2", found), ("3", found)):
+        rows = collection.resumed_candidates(landed, t.issues(), t.diffs(), folder, run)
+    return rows.select("repo", "pr_id", "lang", "issue_title", F.md5("fix_patch").alias("fix_md5"), "lines_added")
+
+
 @query("refresh_latest", f"select {PR}, case when state = 'open' then 'merged' else state end as state from pulls", uses=("pulls",))
 def refresh(t):
     rows = t.view("pulls").select(*_KEY, "state", F.lit(1).alias("updated_at"))

@@ -6,6 +6,7 @@ from patchloom.catalog.parts import PR
 from patchloom.catalog.registry import joined, query
 from patchloom.functions import diffs, gates
 from patchloom.operators import annotation, patches, scoring
+from patchloom.session import materialised
 
 _KEY = ("org", "repo", "number")
 
@@ -26,7 +27,7 @@ def diff_hunks(t):
 select {PR}, file_no, hunk_no, path, pos, kind, case when kind <> '+' then old_at end as old_line,
  case when kind <> '-' then new_at end as new_line, text from numbered_lines""", uses=("numbered_lines",))
 def diff_lines(t):
-    return patches.diff_lines(t.diffs()).drop("old_next", "context_before", "hunk_id")
+    return patches.diff_lines(t.diffs()).drop("hunk_id")
 
 
 @query("file_line_counts", f"""
@@ -83,37 +84,59 @@ _NOTES = """
 select org, repo, number, k - 1 as pos, e->>'$.hunk_id' as hunk_id, case when json_type(e, '$.bug_type.level1') = 'VARCHAR' then e->>'$.bug_type.level1' end as level1,
  e->>'$.bug_type.level2' as level2, e->>'$.bug_desc' as bug_desc, e->>'$.fix_hint' as fix_hint
 from (select org, repo, number, unnest(content::json->'$.bug_info[*][*]') as e, generate_subscripts(content::json->'$.bug_info[*][*]', 1) as k
- from annotation_answers) x"""
+ from annotation_answers where json_valid(content)) x"""
 _VALID = """coalesce((level1 = 'Functional Bug' and level2 in ('Logic Operation Bug', 'State Machine Bug', 'Control Flow Bug', 'Data Flow Bug',
  'Boundary Condition Bug', 'Exception Scenario Bug')) or (level1 = 'Non-functional Bug' and level2 in ('Configuration Bug', 'Syntax Error')), false)"""
 
 
 @query("bug_type_valid", f"select org, repo, number, pos, hunk_id, level1, level2, {_VALID} as valid from ({_NOTES}) n", uses=("annotation_answers",))
 def bug_type_valid(t):
-    rows = annotation.bug_type_valid(annotation.parse_annotations(t.view("annotation_answers")))
+    rows = annotation.bug_type_valid(annotation.parse_annotations(t.view("annotation_answers"))).filter("problem is null")
     return rows.select(*_KEY, F.col("pos").cast("bigint").alias("pos"), "hunk_id", "level1", "level2", "valid")
 
 
+_COUNTED = f"(select {PR}, max(hunk_idx) as hunks from hunk_heads group by all)"
+_HUNK_NO = "try_cast(regexp_extract(hunk_id, '^HUNK_([1-9][0-9]*)$', 1) as bigint)"
+
+
 @query("hunk_shortlist_parse", f"""
-select s.org, s.repo, s.number, s.verdict, s.hunk_id, s.reason, h.hunk_idx is not null as known from (
- select org, repo, number, 'candidate' as verdict, unnest(content::json->'$.candidate_root_cause_hunks[0].hunk_ids[*]')->>'$' as hunk_id, 'logic' as reason from shortlist_answers
- union all select org, repo, number, 'filtered', unnest(content::json->'$.filtered_non_root_cause_hunks[0].hunk_ids[*]')->>'$', 'comment' from shortlist_answers) s
-left join hunk_heads h on h.org = s.org and h.repo = s.repo and h.number = s.number and s.hunk_id = 'HUNK_' || cast(h.hunk_idx as string)""",
-       uses=("shortlist_answers", "hunk_heads"))
+select s.org, s.repo, s.number, s.verdict, s.hunk_id, s.reason,
+ case when s.verdict is null then 'answer has the wrong shape' when coalesce({_HUNK_NO} <= hunks, false) then null else 'hunk not in the diff' end as error from (
+ select org, repo, number, 'candidate' as verdict, unnest(content::json->'$.candidate_root_cause_hunks[0].hunk_ids[*]')->>'$' as hunk_id, 'logic' as reason
+  from shortlist_answers where json_valid(content)
+ union all select org, repo, number, 'filtered', unnest(content::json->'$.filtered_non_root_cause_hunks[0].hunk_ids[*]')->>'$', 'comment'
+  from shortlist_answers where json_valid(content)
+ union all select org, repo, number, null, null, null from shortlist_answers where not json_valid(content)) s
+left join {_COUNTED} h using ({PR})""", uses=("shortlist_answers", "hunk_heads"))
 def hunk_shortlist_parse(t):
-    known, unknown = annotation.hunk_shortlists(t.view("shortlist_answers"), t.diffs())
-    return known.withColumn("known", F.lit(True)).unionByName(unknown.withColumn("known", F.lit(False)))
+    return annotation.hunk_shortlists(t.view("shortlist_answers"), t.diffs())
+
+
+NOTES_SQL = f"""
+select n.*, {_VALID} as valid, r.ranges, case when not {_VALID} then 'bug type not allowed'
+ when not coalesce({_HUNK_NO} <= c.hunks, false) then 'hunk not in the diff' when r.ranges is null then 'hunk changes no line' end as error
+from ({_NOTES}) n left join {_COUNTED} c using ({PR})
+left join (select {PR}, hunk_idx, string_agg(cast(line_start as string) || ',' || cast(line_end as string), ',' order by line_start, line_end) as ranges
+ from blocks group by all) r on r.org = n.org and r.repo = n.repo and r.number = n.number and n.hunk_id = 'HUNK_' || cast(r.hunk_idx as string)"""
 
 
 @query("annotation_join", f"""
-select n.org, n.repo, n.number, string_agg(r.ranges || ' ' || level1 || '::' || level2 || ' ' || bug_desc || ' ' || fix_hint, ';' order by pos) as bug_info
-from ({_NOTES}) n join (select {PR}, hunk_idx, string_agg(cast(line_start as string) || ',' || cast(line_end as string), ',' order by line_start, line_end) as ranges
- from blocks group by all) r on r.org = n.org and r.repo = n.repo and r.number = n.number and n.hunk_id = 'HUNK_' || cast(r.hunk_idx as string)
-where {_VALID} group by n.org, n.repo, n.number""", uses=("annotation_answers", "blocks"))
+with flagged as ({NOTES_SQL})
+select org, repo, number, string_agg(ranges || ' ' || level1 || '::' || level2 || ' ' || bug_desc || ' ' || fix_hint, ';' order by pos) as bug_info, null as error
+from flagged where error is null group by org, repo, number
+union all select org, repo, number, null, hunk_id || ': ' || error from flagged where error is not null
+union all select org, repo, number, null, 'answer has the wrong shape' from annotation_answers where not json_valid(content)""",
+       uses=("annotation_answers", "blocks", "hunk_heads"))
 def annotation_join(t):
+    """The notes of every pull request, and every note or answer that is no use."""
+    notes = materialised(annotation.annotation_notes(t.view("annotation_answers"), t.diffs()), "notes")
     text = F.transform("bug_info", lambda b: F.concat_ws(
         " ", joined(b["bug_lineno"]), F.concat_ws("::", b["bug_type"]["level1"], b["bug_type"]["level2"]), b["bug_desc"], b["fix_hint"]))
-    return annotation.annotation_join(t.view("annotation_answers"), t.diffs()).select(*_KEY, F.array_join(text, ";").alias("bug_info"))
+    good = annotation.annotation_join(notes).select(*_KEY, F.array_join(text, ";").alias("bug_info"), F.lit(None).cast("string").alias("error"))
+    failed = annotation.annotation_failures(notes).select(
+        F.split_part("repo", F.lit("/"), F.lit(1)).alias("org"), F.split_part("repo", F.lit("/"), F.lit(2)).alias("repo"),
+        F.col("pr_id").alias("number"), F.lit(None).cast("string").alias("bug_info"), "error")
+    return good.unionByName(failed)
 
 
 # --- scores

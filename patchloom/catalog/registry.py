@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patchloom.catalog import views
-from patchloom.operators.materials import materials_join
+from patchloom.operators import answering
+from patchloom.operators.materials import material_checks, materials_join
 from patchloom.operators.pulls import PULL_KEY
+from patchloom.operators.summaries import StageCounts
 from patchloom.plans.collection import candidates_plan
 from patchloom.session import materialised
 from patchloom.sources.repos import repo_config_dim
@@ -76,6 +78,19 @@ class Tables:
         ready, _ = materials_join(self.stored_candidates, self.repo_config(), self.repo_files())
         return materialised(ready, "materials")
 
+    def stored_stages(self, counts: StageCounts | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Checked candidates, parsed selections and parsed reviews, each written once with its good and failed rows; counted as they are written."""
+        answers = self.view("model_answers")
+        counts = counts or StageCounts()
+        stages = {
+            "materials": (material_checks(self.stored_candidates, self.repo_config(), self.repo_files()), F.col("kind")),
+            "select": (answering.selection_answers(answering.latest_answers(answers, "select")), F.col("error")),
+            "review": (answering.review_answers(answering.latest_answers(answers, "review")), F.col("error")),
+        }
+        return tuple(
+            materialised(counts.seen(name, rows, loaded=F.lit(True), written=reason.isNull(), failed=reason.isNotNull()), name)
+            for name, (rows, reason) in stages.items())
+
     def diffs(self) -> DataFrame:
         return self.view("pull_diffs")
 

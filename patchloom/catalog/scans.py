@@ -2,15 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from patchloom import schemas
 from patchloom.catalog.parts import PR
 from patchloom.catalog.registry import joined, query
 from patchloom.functions.text import iso_utc
 from patchloom.operators import answering
-from patchloom.operators.materials import materials_join
+from patchloom.operators.materials import parted_materials
 from patchloom.operators.pulls import drop_unfetched_merged
 from patchloom.session import fresh_path
-from patchloom.sources import dumps, jsonl, repos, sinks
+from patchloom.sources import dumps, files, jsonl, repos, sinks
 
 _LINE = "number bigint, state string, title string"
 
@@ -107,10 +106,23 @@ def issues_from_dump(t):
 
 @query("repo_files_scan", """
 select repo, commit_sha, count(*) as files, cast(sum(length(content)) as bigint) as characters,
- min(path) as first_path from repo_files group by repo, commit_sha""", uses=("repo_files",))
+ min(path) as first_path from repo_files group by repo, commit_sha
+union all select null, null, count(distinct repo), null, min(split_part(repo, '/', 1) || '/loose/' || split_part(repo, '/', 2) || '.md') from repo_files""",
+       uses=("repo_files",))
 def repo_files_scan(t):
-    return t.repo_files().groupBy("repo", "commit_sha").agg(
+    """All files as an exported tree with one file too high up in each organisation; the row without a repository is for these."""
+    root = fresh_path(t.spark, "tree")
+    files.write_tree(t.repo_files(), root)
+    org, repo = (F.split_part("repo", F.lit("/"), F.lit(i)) for i in (1, 2))
+    loose = t.repo_files().select("repo").distinct().select(
+        org.alias("repo"), F.lit("loose").alias("commit_sha"), F.concat(repo, F.lit(".md")).alias("path"), F.lit("x").alias("content"))
+    files.write_tree(loose, root)
+    found = files.repo_files_scan(t.spark, root).groupBy("repo", "commit_sha").agg(
         F.count(F.lit(1)).alias("files"), F.sum(F.length("content")).alias("characters"), F.min("path").alias("first_path"))
+    none = F.lit(None).cast("string")
+    misplaced = files.misplaced_files(t.spark, root).agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("first_path"))
+    return found.unionByName(misplaced.select(
+        none.alias("repo"), none.alias("commit_sha"), "files", F.lit(None).cast("bigint").alias("characters"), "first_path"))
 
 
 @query("repo_config_dim", """
@@ -159,14 +171,14 @@ where not ok"""
 
 @query("failures_sink", _FAILURES, uses=("checked", "s2_latest", "last_reviews"))
 def failures_sink(t):
-    materials, failed = materials_join(t.stored_candidates, t.repo_config(), t.repo_files())
-    answers = t.view("model_answers")
-    _, unselected = answering.parse_selection_answers(answering.latest_answers(answers, "select"), materials)
-    _, unreviewed = answering.parse_review_answers(answering.latest_answers(answers, "review"))
+    """Every stage is written once, good and failed rows alike; its failures are put down twice, as by a run that is done again."""
+    checked, selections, reviews = t.stored_stages()
+    ready, failed = parted_materials(checked, t.repo_config(), t.repo_files())
+    parts = {"materials": failed, "select": answering.parted_selections(selections, ready)[1], "review": answering.parted_reviews(reviews)[1]}
     path = fresh_path(t.spark, "failures")
-    for part in (failed, unselected, unreviewed):
-        sinks.append_failures(part, path)
-    return t.spark.read.schema(schemas.FAILURES).parquet(path)
+    for stage, part in [*parts.items(), *parts.items()]:
+        sinks.append_failures(part, path, "first", stage)
+    return sinks.read_failures(t.spark, path).drop("run")
 
 
 @query("model_answers_scan", "select stage, repo, pr_id, attempt, content, error from latest where stage = 'review'",

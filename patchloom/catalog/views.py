@@ -183,20 +183,20 @@ select user_id as task_id, event_id as report_id, case when event_id % 97 <> 0 t
  case when event_id % 89 > 1 then (event_id * 53) % 20100 end as line_start,
  case when event_id % 83 <> 0 then (event_id * 53) % 20100 + event_id % 41 - 1 end as line_end from events""")
 
-# Hunk shortlist answers: named hunks exist or not.
+# Hunk shortlist answers: named hunks exist or not; some answers are no JSON.
 VIEWS["shortlist_answers"] = (["pulls"], """
-select org, repo, number, '{"candidate_root_cause_hunks": [{"hunk_ids": ["HUNK_1", "HUNK_' || cast(number % 7 + 2 as string)
- || '"], "reason": "logic"}], "filtered_non_root_cause_hunks": [{"hunk_ids": ["HUNK_3"], "reason": "comment"}]}' as content
+select org, repo, number, case when number % 13 = 0 then 'no hunk stands out' else '{"candidate_root_cause_hunks": [{"hunk_ids": ["HUNK_1", "HUNK_' || cast(number % 7 + 2 as string)
+ || '"], "reason": "logic"}], "filtered_non_root_cause_hunks": [{"hunk_ids": ["HUNK_3"], "reason": "comment"}]}' end as content
 from pulls""")
 
-# Annotation answers: allowed and misspelt bug types, hunks that do not exist.
+# Annotation answers: allowed and misspelt bug types, hunks that do not exist, answers that are no JSON.
 VIEWS["annotation_answers"] = (["pulls"], """
-select org, repo, number, '{"bug_info": [[{"hunk_id": "HUNK_' || cast(number % 4 + 1 as string)
+select org, repo, number, case when number % 17 = 0 then 'sorry' else '{"bug_info": [[{"hunk_id": "HUNK_' || cast(number % 4 + 1 as string)
  || '", "bug_type": {"level1": "Functional Bug", "level2": "' || case number % 3 when 0 then 'Control Flow Bug'
    when 1 then 'control flow bug' else 'State Machine Bug' end
  || '"}, "bug_desc": "d' || cast(number as string) || '", "fix_hint": "h"}, {"hunk_id": "HUNK_1", "bug_type": {"level1": '
  || case when number % 2 = 0 then '"Non-functional Bug"' else '7' end
- || ', "level2": "Syntax Error"}, "bug_desc": "e", "fix_hint": "g"}]]}' as content
+ || ', "level2": "Syntax Error"}, "bug_desc": "e", "fix_hint": "g"}]]}' end as content
 from pulls""")
 
 

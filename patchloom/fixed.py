@@ -40,9 +40,9 @@ PR_CONTEXT_SECTIONS = [
 # Boolean checks of one review, in order.
 REVIEW_CHECKS = ["describes_correct_behavior", "no_patch_leakage", "sufficient_for_diagnosis"]
 
-# Error texts of the two join failures.
-MISSING_MATERIALS = "Missing materials record"
-MISSING_CANDIDATE = "Missing S1.6 PR record"
+# Error texts of the two join failures (our own words).
+MISSING_MATERIALS = "no materials for this record"
+MISSING_CANDIDATE = "no candidate for this spec"
 
 # Words a spec should use, and words it must not use.
 NORMATIVE_WORDS = ["must", "shall", "should"]

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchloom import fixed
 from patchloom.functions import answers as A
 from patchloom.functions import diffs, gates
 from patchloom.functions.text import once
+from patchloom.operators.candidates import repo_slug
 from patchloom.operators.materials import RECORD_KEY
-from patchloom.operators.patches import change_blocks, diff_hunks
+from patchloom.operators.patches import change_blocks, hunk_counts
 from patchloom.operators.pulls import PULL_KEY
+from patchloom.operators.sketch import key_sketch
 
 
 def patch_leakage(specs: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -43,57 +45,90 @@ def bug_type_valid(rows: DataFrame) -> DataFrame:
     return rows.withColumn("valid", known & pair.isin(allowed))
 
 
+_NO_OBJECT, _NO_LIST, _NO_TYPE, _NO_HUNK, _NO_LINE = (
+    "answer has the wrong shape", "answer lists nothing", "bug type not allowed", "hunk not in the diff", "hunk changes no line")
+
+
+def _hunk_number(hunk_id: Column) -> Column:
+    return F.regexp_extract(hunk_id, r"\AHUNK_([1-9][0-9]*)\z", 1).try_cast("bigint")
+
+
+def _exists(hunk_id: Column, hunks: Column) -> Column:
+    """Whether a hunk name lies between the first and the last of a diff of so many hunks."""
+    return F.coalesce(_hunk_number(hunk_id) <= hunks, F.lit(False))
+
+
+def _asked_diffs(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
+    """Diffs of the answered pull requests, and next to no others: told in their scan, so no diff moves."""
+    asked = key_sketch(answers.select(*PULL_KEY), PULL_KEY)
+    return compare_diffs.filter(asked(*map(F.col, PULL_KEY)))
+
+
+def _name_of(value: Column) -> Column:
+    """A hunk name as it stands; one that is no text as its JSON."""
+    return F.when(A.is_string(value), F.try_variant_get(value, "$", "string")).otherwise(F.to_json(value))
+
+
 def parse_hunk_shortlists(answers: DataFrame) -> DataFrame:
-    """One row per hunk named in a shortlist answer: verdict, hunk_id, reason."""
+    """One row per hunk named in a shortlist answer: verdict, hunk_id, reason; and one row with a ``problem`` per unreadable answer.
+
+    An answer with a list that names no hunk gives no row.
+    """
     rows = answers.select(*PULL_KEY, once("_value", A.parsed(A.unfenced(F.col("content")))))
 
     def entries(path: str, verdict: str):
         return F.transform(A.items(F.col("_value"), path), lambda e: F.struct(F.lit(verdict).alias("verdict"), e.alias("entry")))
 
-    listed = F.concat(
-        entries("$.candidate_root_cause_hunks", "candidate"),
-        entries("$.filtered_non_root_cause_hunks", "filtered"),
-    )
-    named = F.flatten(F.transform(listed, lambda e: F.transform(
-        F.filter(A.items(e["entry"], "$.hunk_ids"), A.is_string),
-        lambda h: F.struct(
-            e["verdict"].alias("verdict"),
-            F.try_variant_get(h, "$", "string").alias("hunk_id"),
-            A.string_at(e["entry"], "$.reason").alias("reason"),
-        ),
+    def listed(path: str):
+        return A.is_array(A.at(F.col("_value"), path))
+
+    kept, left = "$.candidate_root_cause_hunks", "$.filtered_non_root_cause_hunks"
+    named = F.flatten(F.transform(F.concat(entries(kept, "candidate"), entries(left, "filtered")), lambda e: F.transform(
+        A.items(e["entry"], "$.hunk_ids"),
+        lambda h: F.struct(e["verdict"].alias("verdict"), _name_of(h).alias("hunk_id"), A.string_at(e["entry"], "$.reason").alias("reason")),
     )))
-    return rows.select(*PULL_KEY, F.explode(named).alias("h")).select(
-        *PULL_KEY, "h.verdict", "h.hunk_id", "h.reason"
-    )
+    problem = F.when(~F.coalesce(A.is_object(F.col("_value")), F.lit(False)), _NO_OBJECT).when(~listed(kept) & ~listed(left), _NO_LIST)
+    return rows.select(*PULL_KEY, problem.alias("problem"), F.explode_outer(named).alias("h")).filter(
+        "h is not null or problem is not null").select(*PULL_KEY, "h.verdict", "h.hunk_id", "h.reason", "problem")
+
 
+def hunk_shortlists(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
+    """Every row of the shortlists with ``error``: null where the hunk exists in the diff, else why it is no use.
 
-def hunk_shortlists(answers: DataFrame, compare_diffs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Shortlist rows whose hunk exists in the diff, and the others as failures."""
-    rows = parse_hunk_shortlists(answers)
-    known = diff_hunks(compare_diffs).select(*PULL_KEY, "hunk_id")
-    keys = [*PULL_KEY, "hunk_id"]
-    return rows.join(known, keys, "left_semi"), rows.join(known, keys, "left_anti")
+    A name is tested against the number of hunks, one narrow row per diff. Good rows and failures are one table, to be written once and
+    then parted.
+    """
+    counts = hunk_counts(_asked_diffs(answers, compare_diffs))
+    error = F.coalesce("problem", F.when(~_exists(F.col("hunk_id"), F.col("hunks")), _NO_HUNK))
+    return parse_hunk_shortlists(answers).join(counts, PULL_KEY, "left").withColumn("error", error).drop("problem", "hunks")
 
 
 def parse_annotations(answers: DataFrame) -> DataFrame:
-    """One row per annotated hunk: position, hunk_id, level1, level2, bug_desc, fix_hint."""
-    value = A.parsed(A.unfenced(F.col("content")))
-    blocks = F.flatten(F.transform(A.items(value, "$.bug_info"), lambda b: A.items(b)))
+    """One row per annotated hunk: position, hunk_id, level1, level2, bug_desc, fix_hint; and one row with a ``problem`` per unreadable answer.
+
+    An answer with a list that holds no note gives no row.
+    """
+    rows = answers.select(*PULL_KEY, once("_value", A.parsed(A.unfenced(F.col("content")))))
+    blocks = F.flatten(F.transform(A.items(F.col("_value"), "$.bug_info"), lambda b: F.when(A.is_array(b), A.items(b)).otherwise(F.array(b))))
     fields = {
         "hunk_id": "$.hunk_id", "level1": "$.bug_type.level1", "level2": "$.bug_type.level2",
         "bug_desc": "$.bug_desc", "fix_hint": "$.fix_hint",
     }
     texts = [A.string_at(F.col("_block"), path).alias(name) for name, path in fields.items()]
-    return answers.select(*PULL_KEY, F.posexplode(blocks).alias("pos", "_block")).select(
-        *PULL_KEY, "pos", once("_note", F.struct(*texts))
-    ).select(*PULL_KEY, "pos", "_note.*")
+    listed = A.is_array(A.at(F.col("_value"), "$.bug_info"))
+    problem = F.when(~F.coalesce(A.is_object(F.col("_value")), F.lit(False)), _NO_OBJECT).when(~listed, _NO_LIST)
+    return rows.select(*PULL_KEY, problem.alias("problem"), F.posexplode_outer(blocks).alias("pos", "_block")).filter(
+        "pos is not null or problem is not null").select(*PULL_KEY, "pos", "problem", once("_note", F.struct(*texts))).select(
+        *PULL_KEY, "pos", "_note.*", "problem")
+
 
+def annotation_notes(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
+    """Every note of the annotation answers with the changed line ranges of its hunk (``bug_lineno``) and ``error``: null where it can be
+    used, else why not. Good notes and failures are one table, to be written once and then parted.
 
-def annotation_rows(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
-    """Valid annotations with the changed line ranges of their hunk, one row each."""
-    notes = bug_type_valid(parse_annotations(answers)).filter("valid").drop("valid")
-    # Only keys of answers are needed to leave out the other diffs; the answers are parsed once.
-    annotated = compare_diffs.join(answers.select(*PULL_KEY), PULL_KEY, "left_semi")
+    Diffs are cut down in their scan and parsed in place; only hunk counts and line ranges move.
+    """
+    annotated = _asked_diffs(answers, compare_diffs)
     ranges = (
         change_blocks(annotated)
         .groupBy(*PULL_KEY, "hunk_id")
@@ -103,17 +138,32 @@ def annotation_rows(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
             F.flatten(F.transform("blocks", lambda b: F.array(b["line_start"], b["line_end"]))).alias("bug_lineno"),
         )
     )
-    return notes.join(ranges, [*PULL_KEY, "hunk_id"], "inner")
+    error = (
+        F.when(F.col("problem").isNotNull(), F.col("problem")).when(~F.col("valid"), _NO_TYPE)
+        .when(~_exists(F.col("hunk_id"), F.col("hunks")), _NO_HUNK).when(F.col("bug_lineno").isNull(), _NO_LINE)
+    )
+    return (
+        bug_type_valid(parse_annotations(answers)).join(hunk_counts(annotated), PULL_KEY, "left")
+        .join(ranges, [*PULL_KEY, "hunk_id"], "left").withColumn("error", error).drop("problem", "valid", "hunks")
+    )
 
 
-def annotation_join(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
-    """``bug_info`` per pull request: one entry per annotated hunk, in answer order."""
+def annotation_join(notes: DataFrame) -> DataFrame:
+    """``bug_info`` per pull request from usable notes: one entry per annotated hunk, in answer order."""
     entry = F.struct(
         "bug_lineno", F.struct("level1", "level2").alias("bug_type"), "bug_desc", "fix_hint"
     )
     return (
-        annotation_rows(answers, compare_diffs)
+        notes.filter("error is null")
         .groupBy(*PULL_KEY)
         .agg(F.array_sort(F.collect_list(F.struct("pos", entry.alias("entry")))).alias("entries"))
         .select(*PULL_KEY, F.transform("entries", lambda e: e["entry"]).alias("bug_info"))
     )
+
+
+def annotation_failures(notes: DataFrame) -> DataFrame:
+    """The notes and answers that could not be used, as rows of the shared failures table."""
+    named = F.when(F.col("hunk_id").isNotNull(), F.concat(F.col("hunk_id"), F.lit(": "))).otherwise("")
+    return notes.filter("error is not null").select(
+        F.lit("annotation").alias("stage"), F.lit("llm").alias("kind"), repo_slug(F.col("org"), F.col("repo")).alias("repo"),
+        F.col("number").alias("pr_id"), F.lit(None).cast("string").alias("rtl_file"), F.concat(named, F.col("error")).alias("error"))

@@ -119,7 +119,7 @@ def review_requests(
 
 
 def _failed_answers(rows: DataFrame, stage: str) -> DataFrame:
-    return failure_rows(rows, stage, "llm", F.coalesce("error", F.lit("answer has the wrong shape")))
+    return failure_rows(rows, stage, "llm", F.coalesce("error", F.lit(_WRONG_SHAPE)))
 
 
 def parse_issue_answers(answers: DataFrame) -> DataFrame:
@@ -128,20 +128,34 @@ def parse_issue_answers(answers: DataFrame) -> DataFrame:
     return rows.withColumn("issues", A.issue_numbers(F.col("_value"))).drop("_value")
 
 
-def parse_selection_answers(answers: DataFrame, materials: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Selected paths that exist in the record's contents list, with the reason; and failure rows."""
-    available = materials.select(
-        *RECORD_KEY, F.transform("doc_toc", lambda e: e["path"]).alias("_available")
-    )
+_WRONG_SHAPE = "answer has the wrong shape"
+
+
+def selection_answers(answers: DataFrame) -> DataFrame:
+    """Every answer with the paths it selects and its reason, or with ``error``: good and failed ones in one table."""
     value = A.parsed(A.unfenced(F.col("content")))
     rows = answers.select("*", once("_value", F.when(F.col("error").isNull(), value)))
-    good = A.is_object(F.col("_value"))
-    selected = rows.filter(good).join(available, RECORD_KEY, "left").select(
+    good = F.coalesce(A.is_object(F.col("_value")), F.lit(False))
+    return rows.select(
         *RECORD_KEY,
-        A.valid_paths(A.selected_paths(F.col("_value")), F.col("_available")).alias("selected_doc_paths"),
-        A.selection_reason(F.col("_value")).alias("reason"),
+        F.when(good, A.selected_paths(F.col("_value"))).alias("paths"),
+        F.when(good, A.selection_reason(F.col("_value"))).alias("reason"),
+        F.when(~good, F.coalesce("error", F.lit(_WRONG_SHAPE))).alias("error"),
+    )
+
+
+def parted_selections(parsed: DataFrame, materials: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Selected paths that exist in the record's contents list, with the reason; and failure rows."""
+    available = materials.select(
+        *RECORD_KEY, F.transform("doc_toc", lambda e: e["path"]).alias("_available")
     )
-    return selected, _failed_answers(rows.filter(~good), "select")
+    selected = parsed.filter("error is null").join(available, RECORD_KEY, "left").select(
+        *RECORD_KEY, A.valid_paths(F.col("paths"), F.col("_available")).alias("selected_doc_paths"), "reason")
+    return selected, failure_rows(parsed.filter("error is not null"), "select", "llm", F.col("error"))
+
+
+def parse_selection_answers(answers: DataFrame, materials: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return parted_selections(selection_answers(answers), materials)
 
 
 def parse_spec_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -151,18 +165,27 @@ def parse_spec_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
     return specs, _failed_answers(answers.filter(~good), "spec")
 
 
-def parse_review_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Reviews with plain booleans and text; and failure rows."""
+def review_answers(answers: DataFrame) -> DataFrame:
+    """Every answer as a review with plain booleans and text, or with ``error``: good and failed ones in one table."""
     value = A.parsed(A.unfenced(F.col("content")))
     rows = answers.select("*", once("_value", F.when(F.col("error").isNull(), value)))
-    good = A.review_is_readable(F.col("_value"))
-    reviews = rows.filter(good).select(
+    good = F.coalesce(A.review_is_readable(F.col("_value")), F.lit(False))
+    return rows.select(
         *RECORD_KEY,
-        A.truthy(A.at(F.col("_value"), "$.passed")).alias("passed"),
-        A.review_checks(F.col("_value")).alias("checks"),
-        A.review_reasoning(F.col("_value")).alias("reasoning"),
+        F.when(good, A.truthy(A.at(F.col("_value"), "$.passed"))).alias("passed"),
+        F.when(good, A.review_checks(F.col("_value"))).alias("checks"),
+        F.when(good, A.review_reasoning(F.col("_value"))).alias("reasoning"),
+        F.when(~good, F.coalesce("error", F.lit(_WRONG_SHAPE))).alias("error"),
     )
-    return reviews, _failed_answers(rows.filter(~good), "review")
+
+
+def parted_reviews(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reviews, and failure rows."""
+    return parsed.filter("error is null").drop("error"), failure_rows(parsed.filter("error is not null"), "review", "llm", F.col("error"))
+
+
+def parse_review_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return parted_reviews(review_answers(answers))
 
 
 def answer_requests(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from patchloom.operators.pulls import dedup_last_wins
 
@@ -18,3 +19,9 @@ def refresh_latest(done: DataFrame, rows: DataFrame, keys: list[str], order: lis
     ``resume_anti`` never refreshes a key that is already there; this does.
     """
     return dedup_last_wins(done.unionByName(rows), keys, order)
+
+
+def unexamined(rows: DataFrame, ledger: DataFrame, keys: list[str], version: Column) -> DataFrame:
+    """Rows that no ledger row (keys, ``version``) names as they are now: new ones, and those whose version has changed since."""
+    known = ledger.select(*keys, F.col("version").alias("_version")).distinct()
+    return rows.withColumn("_version", version).join(known, [*keys, "_version"], "left_anti").drop("_version")

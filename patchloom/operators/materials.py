@@ -9,6 +9,7 @@ from patchloom import fixed, schemas
 from patchloom.functions import titles
 from patchloom.functions.paths import is_doc_file, rtl_lang, suffix
 from patchloom.functions.text import once, or_empty
+from patchloom.operators.sketch import key_sketch
 
 RECORD_KEY = ["repo", "pr_id"]
 
@@ -39,15 +40,21 @@ def doc_toc(docs: DataFrame, with_texts: bool = False) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("path", "content"))).alias("doc_full_texts"))
 
 
-def doc_entries(repo_files: DataFrame, repo_config: DataFrame) -> DataFrame:
+def doc_entries(repo_files: DataFrame, repo_config: DataFrame, commits: DataFrame | None = None) -> DataFrame:
     """Path and title of the documentation files of configured repositories.
 
     Titles are found in the scan, so no text takes part in the join with the
-    settings or in any join after it.
+    settings or in any join after it. Given ``commits`` (repo, commit_sha), a sketch of
+    them goes before the titles, so that next to none are made for other commits; the few
+    that pass all the same stay in the result.
     """
     title = titles.doc_title(F.col("path"), F.col("content"))
+    documents = repo_files.filter(F.col("content").isNotNull() & suffix(F.col("path")).isin(fixed.DOC_SUFFIXES))
+    if commits is not None:
+        wanted = key_sketch(commits, ["repo", "commit_sha"])
+        documents = documents.filter(wanted(F.col("repo"), F.col("commit_sha")))
     return (
-        repo_files.filter(F.col("content").isNotNull() & suffix(F.col("path")).isin(fixed.DOC_SUFFIXES))
+        documents
         .select("repo", "commit_sha", "path", once("title", title))
         .join(repo_config.select("repo", "doc_dirs"), "repo", "inner")
         .filter(is_doc_file(F.col("path"), F.col("doc_dirs")))
@@ -69,11 +76,11 @@ def material_checks(candidates: DataFrame, repo_config: DataFrame, repo_files: D
     """
     configured = repo_config.select("repo", F.lit(True).alias("_configured"))
     rows = candidates.withColumn("rtl_file", F.try_element_at("rtl_files", F.lit(1)))
-    # File contents are cut down to the wanted paths by narrow keys before they move.
-    wanted = rows.select("repo", F.col("merge_commit_sha").alias("commit_sha"), F.col("rtl_file").alias("path"))
+    # File contents are cut down to the wanted paths in their scan, before they move.
+    file = ["repo", "commit_sha", "path"]
+    wanted = key_sketch(rows.select("repo", F.col("merge_commit_sha").alias("commit_sha"), F.col("rtl_file").alias("path")), file)
     sources = (
-        repo_files.filter(rtl_lang(F.col("path")).isNotNull())
-        .join(wanted, ["repo", "commit_sha", "path"], "left_semi")
+        repo_files.filter(rtl_lang(F.col("path")).isNotNull()).filter(wanted(*map(F.col, file)))
         .select("repo", F.col("commit_sha").alias("merge_commit_sha"), F.col("path").alias("rtl_file"),
                 F.col("content").alias("fixed_rtl_code"))
     )
@@ -102,10 +109,13 @@ def materials_join(
     documents' texts; those join by path once documents are selected. Candidates
     are read several times, so they should come from a written table.
     """
-    checked = material_checks(candidates, repo_config, repo_files)
-    # A semi-join with the wanted commits would be moved below the titles, and whole texts into its
-    # shuffle; lists of other commits are short, and the left join below leaves them out.
-    toc = contents_lists(doc_entries(repo_files, repo_config)).withColumnRenamed("commit_sha", "merge_commit_sha")
+    return parted_materials(material_checks(candidates, repo_config, repo_files), repo_config, repo_files)
+
+
+def parted_materials(checked: DataFrame, repo_config: DataFrame, repo_files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Materials rows and failure rows of checked candidates; written once, the checks serve both."""
+    commits = checked.filter("kind is null").select("repo", F.col("merge_commit_sha").alias("commit_sha"))
+    toc = contents_lists(doc_entries(repo_files, repo_config, commits)).withColumnRenamed("commit_sha", "merge_commit_sha")
     none = F.array().cast(f"array<{schemas.DOC_ENTRY}>")
     ready = (
         checked.filter("kind is null")
@@ -132,7 +142,8 @@ def official_specs(selected: DataFrame, materials: DataFrame, repo_files: DataFr
     commits = materials.select(*RECORD_KEY, F.col("merge_commit_sha").alias("commit_sha"))
     wanted = wanted.join(commits, RECORD_KEY, "left")
     file = ["repo", "commit_sha", "path"]
-    texts = repo_files.select(*file, "content").join(wanted.select(*file), file, "left_semi")
+    chosen = key_sketch(wanted.filter(F.col("commit_sha").isNotNull()), file)
+    texts = repo_files.select(*file, "content").filter(chosen(*map(F.col, file)))
     blocks = (
         wanted.join(texts, file, "left")
         .select(*RECORD_KEY, "pos", titles.doc_block(F.col("path"), F.col("content")).alias("block"))

@@ -52,6 +52,21 @@ def accepted_inputs(assembled: DataFrame) -> DataFrame:
     )
 
 
+def with_bug_infos(inputs: DataFrame, bug_infos: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Final records with the annotations of their pull request (repo, pr_id, bug_info) merged in.
+
+    An annotation replaces what a record held before; a record without one keeps its own. Given ``order``, the last of several
+    annotations of a record counts; without it, their keys are taken to be unique. The records meet narrow rows on their key.
+    """
+    if order:
+        bug_infos = dedup_last_wins(bug_infos, RECORD_KEY, order)
+    found = bug_infos.select(
+        F.col("repo").alias("_repo"), F.col("pr_id").alias("_pr_id"), F.col("bug_info").cast(f"array<{schemas.BUG_INFO}>").alias("_found"))
+    none = F.array().cast(f"array<{schemas.BUG_INFO}>")
+    return inputs.join(found, (F.col("input.repo") == F.col("_repo")) & (F.col("input.pr_id") == F.col("_pr_id")), "left").select(
+        "input", F.coalesce("_found", "bug_info", none).alias("bug_info"), "aux")
+
+
 def manual_review_queue(assembled: DataFrame) -> DataFrame:
     """Records of the failed reviews, with what a person needs to decide."""
     return assembled.filter("not passed").select(

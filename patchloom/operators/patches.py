@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchloom.functions import diffs
+from patchloom.functions.text import once
 from patchloom.operators.pulls import PULL_KEY, head_commit
 
 _FILE = [*PULL_KEY, "file_no"]
@@ -54,60 +55,40 @@ def diff_hunks(diffs_table: DataFrame) -> DataFrame:
     )
 
 
+def _hunk_runs(diffs_table: DataFrame, *columns: str) -> DataFrame:
+    """Hunks with ``_lines`` and their placed runs of one kind (``_runs``), all within the row."""
+    keys = [*_HUNK, "hunk_id", "path", *columns]
+    rows = diff_hunks(diffs_table).select(*keys, once("_lines", diffs.hunk_body(F.col("hunk"))))
+    rows = rows.select("*", once("_starts", diffs.run_starts(F.col("_lines"))))
+    rows = rows.select(*keys, "_lines", once("_cut", diffs.line_runs(F.col("_lines"), F.col("_starts"))))
+    return rows.select(*keys, "_lines", once("_runs", diffs.placed_runs(F.col("_cut"))))
+
+
 def diff_lines(diffs_table: DataFrame) -> DataFrame:
     """One row per hunk line: kind (``+``, ``-`` or blank for context) and its line numbers.
 
-    Line numbers are running counts inside a hunk. The window is keyed by the
-    whole hunk, so even one huge diff spreads over tasks by its hunks.
+    A hunk is cut into runs of lines of one kind, whose places on either side are added up inside
+    the cell; lines are unfolded from their runs. Nothing is shuffled or sorted.
     """
-    rows = (
-        diff_hunks(diffs_table)
-        .select(*_HUNK, "hunk_id", "path", "old_start", "new_start", F.posexplode(diffs.hunk_body(F.col("hunk"))).alias("pos", "line"))
-        .filter(~F.col("line").startswith("\\"))  # "\ No newline at end of file"
-        .withColumn("kind", F.when(F.col("line").startswith("+"), "+").when(F.col("line").startswith("-"), "-").otherwise(" "))
-    )
-    before = Window.partitionBy(*_HUNK).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    seen = lambda *kinds: F.coalesce(F.count_if(F.col("kind").isin(*kinds)).over(before), F.lit(0))
-    old_at = F.col("old_start") + seen("-", " ")
-    new_at = F.col("new_start") + seen("+", " ")
-    return rows.select(
-        *_HUNK, "hunk_id", "path",
-        F.col("pos").cast("bigint").alias("pos"),
-        "kind",
-        F.when(F.col("kind") != "+", old_at).alias("old_line"),
-        F.when(F.col("kind") != "-", new_at).alias("new_line"),
-        old_at.alias("old_next"),
-        seen(" ").alias("context_before"),
-        F.substring("line", 2, 2147483647).alias("text"),
-    )
+    rows = _hunk_runs(diffs_table, "old_start", "new_start")
+    lines = diffs.run_lines(F.col("_lines"), F.col("_runs"), F.col("old_start"), F.col("new_start"))
+    return rows.select(*_HUNK, "hunk_id", "path", F.inline(lines))
 
 
 def change_blocks(diffs_table: DataFrame) -> DataFrame:
     """Maximal runs of changed lines, as line ranges on the old side.
 
-    A run is told by the number of context lines before it, so the grouping
-    reuses the partitioning of the line window. A run that only inserts is
-    anchored to the old line before it.
+    They fall out of the runs of a hunk inside the cell; lines are not unfolded. A block that only
+    inserts is anchored to the old line before it.
     """
-    keys = [*_HUNK, "hunk_id", "path", "context_before"]
-    return (
-        diff_lines(diffs_table)
-        .filter("kind <> ' '")
-        .groupBy(*keys)
-        .agg(
-            F.min("old_line").alias("first_old"),
-            F.max("old_line").alias("last_old"),
-            F.min("old_next").alias("next_old"),
-            F.count_if(F.col("kind") == "+").alias("added"),
-            F.count_if(F.col("kind") == "-").alias("removed"),
-        )
-        .select(
-            *_HUNK, "hunk_id", "path",
-            F.coalesce("first_old", F.greatest(F.col("next_old") - 1, F.lit(0).cast("bigint"))).alias("line_start"),
-            F.coalesce("last_old", F.greatest(F.col("next_old") - 1, F.lit(0).cast("bigint"))).alias("line_end"),
-            "added", "removed",
-        )
-    )
+    told = F.filter("_runs", lambda r: r["kind"] != "\\")  # remarks part no block
+    rows = _hunk_runs(diffs_table, "old_start").select(*_HUNK, "hunk_id", "path", "old_start", once("_told", told))
+    return rows.select(*_HUNK, "hunk_id", "path", F.inline(diffs.changed_blocks(F.col("_told"), F.col("old_start"))))
+
+
+def hunk_counts(diffs_table: DataFrame) -> DataFrame:
+    """The number of hunks of every diff: hunk names run from 1 to it."""
+    return diffs_table.select(*PULL_KEY, F.size(diffs.all_hunks(F.col("diff_text"))).alias("hunks"))
 
 
 def parse_diffs(compare_diffs: DataFrame) -> DataFrame:

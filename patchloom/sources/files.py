@@ -2,23 +2,67 @@
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def repo_files_scan(spark: SparkSession, root: str) -> DataFrame:
+def write_tree(files: DataFrame, root: str) -> int:
+    """Export files (repo, commit_sha, path, content) as a tree ``root/<org>/<repo>/<commit>/<path>``; gives their number.
+
+    ``root`` is a folder that all executors see under the same name. A file is written under another name and then named, so a task that
+    is done again, or twice at once, leaves whole files. Rows with a null in any column give no file; a path that leads out of its commit is an error.
+    """
+    top = re.sub(r"^file:(//)?", "", root)
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", top):
+        raise ValueError("a tree is written to a folder that is mounted everywhere")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for repo, commit, path, content in zip(*(column.to_pylist() for column in batch.columns)):
+                folder = os.path.join(top, repo, commit)
+                target = os.path.normpath(os.path.join(folder, path))
+                if not target.startswith(os.path.normpath(folder) + os.sep):
+                    raise ValueError(f"not below its commit: {path}")
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                part = f"{target}.{uuid.uuid4().hex}"
+                with open(part, "wb") as out:
+                    out.write(content.encode("utf-8"))
+                os.replace(part, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = files.select("repo", "commit_sha", "path", "content").dropna()
+    return rows.mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def _existing(spark: SparkSession, folders: list[str]) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    settings = spark._jsc.hadoopConfiguration()
+    return [f for f in folders if (p := path(f)).getFileSystem(settings).exists(p)]
+
+
+def repo_files_scan(spark: SparkSession, root: str, commits: list[tuple[str, str]] | None = None) -> DataFrame:
     """Rows (repo, commit_sha, path, content) of an exported tree ``root/<org>/<repo>/<commit>/<path>``.
 
+    Given ``commits`` (repo, commit), only their folders are listed and read; of a long list of commits in a table, join the landed
+    files instead. Commits that are not there give no row.
+
     Each file is one whole text; one that is not UTF-8 has null content, and is
     passed over by whoever needs its text. File scans leave out files of no
     bytes, so these give no row. A landed table of the same columns serves as
     well, and keeps them. Files that lie less deep are listed by
     ``misplaced_files``; what the folders are called does not matter.
     """
+    wanted = None if commits is None else _existing(spark, [f"{root.rstrip('/')}/{repo}/{commit}" for repo, commit in dict.fromkeys(commits)])
+    if wanted is not None and not wanted:
+        return spark.createDataFrame([], "repo string, commit_sha string, path string, content string")
     return (
-        _below(spark, root).filter(F.size("p") == 4)
+        _below(spark, root, wanted).filter(F.size("p") == 4)
         .select(
             F.concat_ws("/", F.get("p", 0), F.get("p", 1)).alias("repo"), F.get("p", 2).alias("commit_sha"),
             F.get("p", 3).alias("path"), F.try_validate_utf8(F.col("content").cast("string")).alias("content"),
@@ -31,10 +75,10 @@ def misplaced_files(spark: SparkSession, root: str) -> DataFrame:
     return _below(spark, root).filter(F.size("p") < 4).select(F.array_join("p", "/").alias("path"))
 
 
-def _below(spark: SparkSession, root: str) -> DataFrame:
-    """The parts of each file's path below ``root``, the last one holding the rest, and its bytes."""
+def _below(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
+    """The parts of each file's path below ``root``, the last one holding the rest, and its bytes; of some folders only, if given."""
     bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
     after = F.locate(bare, F.col("path")) + len(bare)
     below = F.substring(F.col("path"), after, F.length("path"))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders or root)
     return files.select(F.split(below, "/", 4).alias("p"), "content")
