@@ -187,7 +187,8 @@ def target_issues(t):
 
 @query("doc_toc", "select repo, commit_sha, toc from tocs", uses=("tocs",))
 def doc_toc(t):
-    return materials.doc_toc(materials.doc_files(t.repo_files(), t.repo_config())).select("repo", "commit_sha", _toc_text().alias("toc"))
+    """Titles are found once for each content of a document."""
+    return materials.contents_lists(materials.doc_entries(t.repo_files(), t.repo_config())).select("repo", "commit_sha", _toc_text().alias("toc"))
 
 
 @query("stage_funnel", """

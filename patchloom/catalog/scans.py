@@ -173,7 +173,7 @@ where not ok"""
 def failures_sink(t):
     """Every stage is written once, good and failed rows alike; its failures are put down twice, as by a run that is done again."""
     checked, selections, reviews = t.stored_stages()
-    ready, failed = parted_materials(checked, t.repo_config(), t.repo_files())
+    ready, failed = parted_materials(checked, t.stored_candidates, t.repo_config(), t.repo_files())
     parts = {"materials": failed, "select": answering.parted_selections(selections, ready)[1], "review": answering.parted_reviews(reviews)[1]}
     path = fresh_path(t.spark, "failures")
     for stage, part in [*parts.items(), *parts.items()]:

@@ -1,14 +1,17 @@
 """Registered queries: text, regex, JSON and document functions."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchloom import fixed
-from patchloom.catalog.parts import PR
+from patchloom.catalog.parts import IS_TEST, PR
 from patchloom.catalog.registry import joined, query
 from patchloom.functions import answers, refs, titles
 from patchloom.functions import requests as R
 from patchloom.functions.text import once
-from patchloom.operators import answering, candidates, materials
+from patchloom.operators import annotation, answering, candidates, materials
 from patchloom.operators.pulls import link_answered_issues
 
 _KEY = ("org", "repo", "number")
@@ -176,31 +179,65 @@ def _sql_fill(template: str, **slots: str) -> str:
     return f"md5('{template}')"
 
 
+_CONTEXTS = (
+    "concat_ws(chr(10) || chr(10), '#### PR Title' || chr(10) || c.pr_title, case when c.pr_body <> '' then '#### PR Body' || chr(10) || c.pr_body end,"
+    " case when c.issue_title <> '' then '#### Issue Title' || chr(10) || c.issue_title end, case when c.issue_body <> '' then '#### Issue Body' || chr(10) || c.issue_body end,"
+    " '#### Commit Message' || chr(10) || c.commit_message)")
+_TYPES = "'" + "\n".join(f"- {a} / {b}" for a, b in fixed.BUG_TYPES) + "'"
+
+
 @query("build_requests", f"""
+with fix_hunks as (
+ select org || '/' || repo as repo, number as pr_id, hunk, row_number() over (partition by org, repo, number order by file_no, hunk_no) as k
+ from hunk_heads join hunk_texts using ({PR}, file_no, hunk_no) where not {IS_TEST}),
+listed as (select repo, pr_id, '[' || string_agg('{{"HUNK_' || cast(k as string) || '":' || cast(to_json(hunk) as string) || '}}', ',' order by k) || ']' as hunks
+ from fix_hunks group by all),
+confirmed as (
+ select f.repo, f.pr_id, '[' || string_agg('{{"hunk_id":"HUNK_' || cast(k as string) || '","root_cause_code":' || cast(to_json(hunk) as string) || '}}', ',' order by k) || ']' as hunks
+ from fix_hunks f join shortlist_answers a on a.org || '/' || a.repo = f.repo and a.number = f.pr_id
+ where json_valid(a.content) and (f.k = 1 or f.k = a.number % 7 + 2) group by f.repo, f.pr_id),
+before as (select c.repo, c.pr_id, coalesce(b.content, '') as code from candidates c left join base_files b
+ on b.repo = c.repo and b.commit_sha = c.commit_id and b.path = c.rtl_file)
 select 'issue_refs' as kind, org || '/' || repo as repo, number as pr_id, {_sql_fill(R.ISSUE_REFS, text="text")} as request_md5 from texts
 union all select 'selection', repo, pr_id, {_sql_fill(R.DOC_SELECTION, repo="repo", rtl_file="rtl_file", fixed_rtl_code="rtl_code", doc_toc="toc_text")} from materials
 union all select 'spec', m.repo, m.pr_id, {_sql_fill(
     R.SPEC, repo="m.repo", lang="m.lang", rtl_files="'[\"' || m.rtl_file || '\"]'", rtl_code="m.rtl_code",
-    official_spec="coalesce(d.spec, 'None')", banned_words="'" + ", ".join(fixed.BANNED_WORDS) + "'")} from materials m
- left join (select repo, commit_sha, string_agg('### ' || path || chr(10) || chr(10) || content, chr(10) || chr(10) order by path) as spec from docs group by all) d
-  on d.repo = m.repo and d.commit_sha = m.merge_commit_sha
+    official_spec="coalesce(d.spec, 'None')", banned_words="'" + ", ".join(fixed.BANNED_WORDS) + "'")}
+ from s2_latest a join materials m using (repo, pr_id)
+ left join (select pp.repo, pp.pr_id, string_agg('### ' || pp.p || chr(10) || chr(10) || x.content, chr(10) || chr(10) order by pp.k) as spec
+  from last_paths pp join materials mm on mm.repo = pp.repo and mm.pr_id = pp.pr_id
+  join docs x on x.repo = mm.repo and x.commit_sha = mm.merge_commit_sha and x.path = pp.p group by pp.repo, pp.pr_id) d
+  on d.repo = m.repo and d.pr_id = m.pr_id where a.stage = 'select' and json_type(a.v) = 'OBJECT'
 union all select 'review', s.repo, s.pr_id, {_sql_fill(
-    R.REVIEW, pr_contexts="concat_ws(chr(10) || chr(10), '#### PR Title' || chr(10) || c.pr_title, case when c.pr_body <> '' then '#### PR Body' || chr(10) || c.pr_body end,"
-    " case when c.issue_title <> '' then '#### Issue Title' || chr(10) || c.issue_title end, case when c.issue_body <> '' then '#### Issue Body' || chr(10) || c.issue_body end,"
-    " '#### Commit Message' || chr(10) || c.commit_message)", fix_patch="c.fix_patch",
+    R.REVIEW, pr_contexts=_CONTEXTS, fix_patch="c.fix_patch",
     rtl_code="coalesce(m.rtl_code, '')", generated_spec="s.spec")}
-from specs s join candidates c using (repo, pr_id) left join materials m using (repo, pr_id)""",
-       uses=("texts", "materials", "docs", "specs", "candidates"))
+from specs s join candidates c using (repo, pr_id) left join materials m using (repo, pr_id)
+union all select 'hunk_shortlist', c.repo, c.pr_id, {_sql_fill(
+    R.HUNK_SHORTLIST, repo="c.repo", lang="c.lang", pr_contexts=_CONTEXTS, rtl_code="b.code", hunks="coalesce(l.hunks, '[]')")}
+from candidates c join before b using (repo, pr_id) left join listed l using (repo, pr_id)
+union all select 'annotation', c.repo, c.pr_id, {_sql_fill(
+    R.ANNOTATION, repo="c.repo", lang="c.lang", spec="s.spec", root_cause_hunks="f.hunks", rtl_code="b.code", pr_contexts=_CONTEXTS, bug_types=_TYPES)}
+from candidates c join before b using (repo, pr_id) join specs s using (repo, pr_id) join confirmed f using (repo, pr_id)""",
+       uses=("texts", "materials", "docs", "specs", "candidates", "s2_latest", "last_paths", "hunk_heads", "hunk_texts", "shortlist_answers", "base_files"))
 def build_requests(t):
     found, ready = t.stored_candidates, t.stored_materials
-    everything = ready.select("repo", "pr_id", F.transform("doc_toc", lambda e: e["path"]).alias("selected_doc_paths"))
-    spec, _ = answering.spec_requests(everything, ready, t.repo_files())
+    selected, _ = answering.parse_selection_answers(answering.latest_answers(t.view("model_answers"), "select"), ready)
+    spec, _ = answering.spec_requests(selected, ready, t.repo_files())
     review, _ = answering.review_requests(t.view("specs"), found, ready)
     of_refs = answering.issue_ref_requests(t.pulls()).select(
         candidates.repo_slug(F.col("org"), F.col("repo")).alias("repo"), F.col("number").alias("pr_id"), "request")
-    kinds = {"issue_refs": of_refs, "selection": answering.selection_requests(ready), "spec": spec, "review": review}
+    patches = found.select(
+        F.split_part("repo", F.lit("/"), F.lit(1)).alias("org"), F.split_part("repo", F.lit("/"), F.lit(2)).alias("repo"),
+        F.col("pr_id").alias("number"), F.col("fix_patch").alias("diff_text"))
+    kept = annotation.shortlisted_hunks(annotation.hunk_shortlists(t.view("shortlist_answers"), patches)).select(
+        candidates.repo_slug(F.col("org"), F.col("repo")).alias("repo"), F.col("number").alias("pr_id"), "hunk_no")
+    kinds = {
+        "issue_refs": of_refs, "selection": answering.selection_requests(ready), "spec": spec, "review": review,
+        "hunk_shortlist": answering.shortlist_requests(found, t.view("base_files")),
+        "annotation": answering.annotation_requests(kept, found, t.view("specs"), t.view("base_files")),
+    }
     parts = [d.select(F.lit(k).alias("kind"), "repo", "pr_id", F.md5("request").alias("request_md5")) for k, d in kinds.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("candidate_projection", """

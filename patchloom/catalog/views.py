@@ -101,6 +101,7 @@ from pull_files group by org, repo, number""")
 
 # Files at a commit: documents of four kinds with their whole text, and hardware sources.
 VIEWS["repo_files"] = ([], f"""
+select *, md5(content) as blob_sha from (
 select {_slug(_commit('doc_id', 8))}, md5(cast({_commit('doc_id', 8)} as string)) as commit_sha,
  case when doc_id % 7 = 0 then 'src/' when doc_id % 7 = 1 then 'docs/' else 'doc/' end || 'n_' || cast(doc_id as string)
   || case doc_id % 4 when 0 then '.md' when 1 then '.rst' when 2 then '.RST' else '.txt' end as path,
@@ -114,7 +115,12 @@ select {_slug(_commit('p_partkey', 16))}, md5(cast({_commit('p_partkey', 16)} as
  case p_partkey % 16 when 0 then 'rtl/alu.V' when 1 then 'rtl/defs.svh'
   else 'rtl/core_' || cast(p_partkey % 40 as string) || '.sv' end as path,
  'module ' || replace(p_name, ' ', '_') || ';' || chr(10) || '// ' || p_brand || chr(10) || 'endmodule' as content
-from part""")
+from part) f""")
+
+# The hardware sources of every pull request before its change.
+VIEWS["base_files"] = (["pulls", "pull_files"], """
+select p.org || '/' || p.repo as repo, p.base_sha as commit_sha, f.path, 'module before_' || cast(p.number as string) || ';' as content
+from pulls p join pull_files f on f.number = p.number where p.base_sha is not null and f.path like 'rtl/%'""")
 
 # Documentation roots, one with a trailing slash; the third repository has none.
 VIEWS["doc_dirs"] = ([], """

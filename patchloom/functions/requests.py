@@ -77,6 +77,52 @@ Answer with one JSON object and nothing else: "passed" (boolean), "checks" (obje
 with the three names above) and "reasoning" (one sentence).
 """
 
+HUNK_SHORTLIST = """Sort the hunks of a repair into those that may hold the cause of the defect and those that do not.
+
+Repository: {repo}
+Language: {lang}
+
+Evidence:
+{pr_contexts}
+
+Source before the change:
+{rtl_code}
+
+Hunks, each under its name:
+{hunks}
+
+Keep every hunk that may hold the cause; leave out only what is plainly layout, comment,
+renaming, clean-up, test or adaptation. Answer with one JSON object and nothing else:
+"candidate_root_cause_hunks" and "filtered_non_root_cause_hunks" are arrays of objects
+with "hunk_ids" (array of names from above) and "reason" (one sentence).
+"""
+
+ANNOTATION = """Describe the defect behind each confirmed hunk of a repair.
+
+Repository: {repo}
+Language: {lang}
+
+Required behaviour:
+{spec}
+
+Confirmed hunks:
+{root_cause_hunks}
+
+Source before the change:
+{rtl_code}
+
+Evidence:
+{pr_contexts}
+
+Allowed types, as level1 / level2:
+{bug_types}
+
+Answer with one JSON object and nothing else: "bug_info" is an array that holds one
+array with an object per hunk: "hunk_id" as given, "bug_type" (object of "level1" and
+"level2", spelt as above), "bug_desc" (when it shows, how, and where the cause lies) and
+"fix_hint" (the direction of a repair, without code of the change).
+"""
+
 
 def fill(template: str, **slots: Column) -> Column:
     """Put columns into the ``{name}`` slots of a template; a null slot reads as empty."""

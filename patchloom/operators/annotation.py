@@ -103,6 +103,11 @@ def hunk_shortlists(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
     return parse_hunk_shortlists(answers).join(counts, PULL_KEY, "left").withColumn("error", error).drop("problem", "hunks")
 
 
+def shortlisted_hunks(rows: DataFrame) -> DataFrame:
+    """The numbers of the hunks that usable shortlist rows keep: org, repo, number, hunk_no."""
+    return rows.filter("error is null and verdict = 'candidate'").select(*PULL_KEY, _hunk_number(F.col("hunk_id")).alias("hunk_no")).distinct()
+
+
 def parse_annotations(answers: DataFrame) -> DataFrame:
     """One row per annotated hunk: position, hunk_id, level1, level2, bug_desc, fix_hint; and one row with a ``problem`` per unreadable answer.
 

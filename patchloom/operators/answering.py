@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from patchloom import fixed, schemas
 from patchloom.functions import answers as A
+from patchloom.functions import diffs
 from patchloom.functions import requests as R
 from patchloom.functions import titles
 from patchloom.functions.refs import pr_text
 from patchloom.functions.text import once
-from patchloom.operators.materials import RECORD_KEY, official_specs
+from patchloom.operators.materials import RECORD_KEY, official_spec, selected_texts, sources_before
 from patchloom.operators.pulls import dedup_last_wins
 
 
@@ -68,13 +69,14 @@ def spec_requests(
     selected: DataFrame, materials: DataFrame, repo_files: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     ready, failed = spec_request_join(selected, materials)
-    texts = official_specs(ready, ready, repo_files)
-    requests = ready.join(texts, RECORD_KEY, "inner").select(
+    ready = ready.withColumn("commit_sha", F.col("merge_commit_sha"))
+    texts = selected_texts(ready, repo_files)
+    requests = ready.join(texts, ["repo", "commit_sha"], "left").select(
         *RECORD_KEY,
         R.fill(
             R.SPEC,
             repo=F.col("repo"), lang=F.col("lang"), rtl_files=F.to_json("rtl_files"),
-            rtl_code=F.col("fixed_rtl_code"), official_spec=F.col("official_spec"),
+            rtl_code=F.col("fixed_rtl_code"), official_spec=official_spec(F.col("selected_doc_paths"), F.col("texts")),
             banned_words=F.lit(", ".join(fixed.BANNED_WORDS)),
         ).alias("request"),
     )
@@ -115,6 +117,41 @@ def review_requests(
     return requests, failed
 
 
+def _evidence() -> Column:
+    return R.pr_contexts({name: F.col(name) for _, name in fixed.PR_CONTEXT_SECTIONS})
+
+
+def shortlist_requests(candidates: DataFrame, base_files: DataFrame) -> DataFrame:
+    """Which hunks of the fix patch may hold the cause? Hunk names count over the fix patch, so its answers are read against it."""
+    return candidates.join(sources_before(candidates, base_files), RECORD_KEY, "inner").select(
+        *RECORD_KEY,
+        R.fill(
+            R.HUNK_SHORTLIST, repo=F.col("repo"), lang=F.col("lang"), pr_contexts=_evidence(), rtl_code=F.col("rtl_code"),
+            hunks=diffs.hunk_list(F.col("fix_patch")),
+        ).alias("request"),
+    )
+
+
+def annotation_requests(confirmed: DataFrame, candidates: DataFrame, specs: DataFrame, base_files: DataFrame) -> DataFrame:
+    """What is wrong in each confirmed hunk (repo, pr_id, hunk_no, over the fix patch)? Asked of records that have a spec and a confirmed hunk."""
+    hunks = diffs.all_hunks(F.col("fix_patch"))
+    named = confirmed.groupBy(*RECORD_KEY).agg(F.array_sort(F.collect_set("hunk_no")).alias("hunk_nos"))
+    rows = (
+        candidates.join(named, RECORD_KEY, "inner").join(specs.select(*RECORD_KEY, "spec"), RECORD_KEY, "inner")
+        .join(sources_before(candidates, base_files), RECORD_KEY, "inner").select("*", once("_hunks", hunks))
+    )
+    code = F.transform("hunk_nos", lambda n: F.struct(
+        F.concat(F.lit("HUNK_"), n.cast("string")).alias("hunk_id"), F.get("_hunks", (n - 1).cast("int")).alias("root_cause_code")))
+    types = "\n".join(f"- {a} / {b}" for a, b in fixed.BUG_TYPES)
+    return rows.select(
+        *RECORD_KEY,
+        R.fill(
+            R.ANNOTATION, repo=F.col("repo"), lang=F.col("lang"), spec=F.col("spec"), root_cause_hunks=F.to_json(code),
+            rtl_code=F.col("rtl_code"), pr_contexts=_evidence(), bug_types=F.lit(types),
+        ).alias("request"),
+    )
+
+
 # --- answers ----------------------------------------------------------------------------------
 
 

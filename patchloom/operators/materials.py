@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchloom import fixed, schemas
@@ -47,14 +47,19 @@ def doc_entries(repo_files: DataFrame, repo_config: DataFrame, commits: DataFram
     settings or in any join after it. Given ``commits`` (repo, commit_sha), a sketch of
     them goes before the titles, so that next to none are made for other commits; the few
     that pass all the same stay in the result.
+
+    Where the landed files carry ``blob_sha``, a name of their content, a document that does not change is
+    read for its title at one commit only, the least (``_titles_by_content``).
     """
-    title = titles.doc_title(F.col("path"), F.col("content"))
-    documents = repo_files.filter(F.col("content").isNotNull() & suffix(F.col("path")).isin(fixed.DOC_SUFFIXES))
+    documents = repo_files.filter(suffix(F.col("path")).isin(fixed.DOC_SUFFIXES))
     if commits is not None:
         wanted = key_sketch(commits, ["repo", "commit_sha"])
         documents = documents.filter(wanted(F.col("repo"), F.col("commit_sha")))
+    if "blob_sha" in repo_files.columns:
+        return _titles_by_content(documents, repo_config)
+    title = titles.doc_title(F.col("path"), F.col("content"))
     return (
-        documents
+        documents.filter(F.col("content").isNotNull())
         .select("repo", "commit_sha", "path", once("title", title))
         .join(repo_config.select("repo", "doc_dirs"), "repo", "inner")
         .filter(is_doc_file(F.col("path"), F.col("doc_dirs")))
@@ -62,6 +67,27 @@ def doc_entries(repo_files: DataFrame, repo_config: DataFrame, commits: DataFram
     )
 
 
+def _titles_by_content(documents: DataFrame, repo_config: DataFrame) -> DataFrame:
+    """Entries of documents with ``blob_sha`` (null where there is no text).
+
+    A narrow table says which commits hold which content, and picks one of them; a sketch of these picks runs in a second scan, the only one
+    that reads texts. Titles join back by content, so no text moves.
+    """
+    named = (
+        documents.filter(F.col("blob_sha").isNotNull()).select("repo", "commit_sha", "path", "blob_sha")
+        .join(repo_config.select("repo", "doc_dirs"), "repo", "inner")
+        .filter(is_doc_file(F.col("path"), F.col("doc_dirs"))).drop("doc_dirs")
+    )
+    content = ["repo", "path", "blob_sha"]
+    picked = key_sketch(named.groupBy(*content).agg(F.min("commit_sha").alias("commit_sha")), ["repo", "commit_sha", "path"])
+    title = titles.doc_title(F.col("path"), F.col("content"))
+    titled = (
+        documents.filter(F.col("content").isNotNull() & picked(F.col("repo"), F.col("commit_sha"), F.col("path")))
+        .select(*content, once("title", title)).dropDuplicates(content)
+    )
+    return named.join(titled, content, "inner").select("repo", "commit_sha", "path", "title")
+
+
 def contents_lists(entries: DataFrame) -> DataFrame:
     """Entries (path, title) gathered per commit, in path order."""
     return entries.groupBy("repo", "commit_sha").agg(F.array_sort(F.collect_list(F.struct("path", "title"))).alias("doc_toc"))
@@ -109,12 +135,13 @@ def materials_join(
     documents' texts; those join by path once documents are selected. Candidates
     are read several times, so they should come from a written table.
     """
-    return parted_materials(material_checks(candidates, repo_config, repo_files), repo_config, repo_files)
+    checked = material_checks(candidates, repo_config, repo_files)
+    return parted_materials(checked, candidates, repo_config, repo_files)
 
 
-def parted_materials(checked: DataFrame, repo_config: DataFrame, repo_files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parted_materials(checked: DataFrame, candidates: DataFrame, repo_config: DataFrame, repo_files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Materials rows and failure rows of checked candidates; written once, the checks serve both."""
-    commits = checked.filter("kind is null").select("repo", F.col("merge_commit_sha").alias("commit_sha"))
+    commits = candidates.select("repo", F.col("merge_commit_sha").alias("commit_sha"))
     toc = contents_lists(doc_entries(repo_files, repo_config, commits)).withColumnRenamed("commit_sha", "merge_commit_sha")
     none = F.array().cast(f"array<{schemas.DOC_ENTRY}>")
     ready = (
@@ -132,25 +159,43 @@ def parted_materials(checked: DataFrame, repo_config: DataFrame, repo_files: Dat
     return ready, failed
 
 
-def official_specs(selected: DataFrame, materials: DataFrame, repo_files: DataFrame) -> DataFrame:
-    """The text of the selected documents per record, in the order of selection.
+def selected_texts(wanted: DataFrame, repo_files: DataFrame) -> DataFrame:
+    """The texts that ``wanted`` (repo, commit_sha, selected_doc_paths) asks for, gathered per commit: ``texts``, an array of (path, content).
 
-    Only the selected paths are joined with texts. A path without text gives an
-    empty section; a record without paths gives a fixed word.
+    Other files are left out in the scan, and a text moves once, to its commit; whoever needs it meets it there by narrow rows.
     """
-    wanted = selected.select(*RECORD_KEY, F.posexplode("selected_doc_paths").alias("pos", "path"))
-    commits = materials.select(*RECORD_KEY, F.col("merge_commit_sha").alias("commit_sha"))
-    wanted = wanted.join(commits, RECORD_KEY, "left")
     file = ["repo", "commit_sha", "path"]
-    chosen = key_sketch(wanted.filter(F.col("commit_sha").isNotNull()), file)
-    texts = repo_files.select(*file, "content").filter(chosen(*map(F.col, file)))
-    blocks = (
-        wanted.join(texts, file, "left")
-        .select(*RECORD_KEY, "pos", titles.doc_block(F.col("path"), F.col("content")).alias("block"))
-        .groupBy(*RECORD_KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "block"))).alias("blocks"))
-        .select(*RECORD_KEY, F.array_join(F.transform("blocks", lambda b: b["block"]), "\n\n").alias("official_spec"))
-    )
-    return selected.select(*RECORD_KEY).join(blocks, RECORD_KEY, "left").withColumn(
-        "official_spec", F.coalesce("official_spec", F.lit(fixed.EMPTY_OFFICIAL_SPEC))
+    asked = wanted.filter(F.col("commit_sha").isNotNull()).select("repo", "commit_sha", F.explode("selected_doc_paths").alias("path"))
+    chosen = key_sketch(asked, file)
+    return (
+        repo_files.select(*file, "content").filter(F.col("content").isNotNull() & chosen(*map(F.col, file)))
+        .groupBy("repo", "commit_sha").agg(F.collect_list(F.struct("path", "content")).alias("texts"))
     )
+
+
+def official_spec(paths: Column, texts: Column) -> Column:
+    """The selected documents as one text, in the order of selection. A path without text gives an empty section; no paths give a fixed word."""
+    text = lambda p: F.get(F.filter(texts, lambda t: t["path"] == p), F.lit(0))["content"]
+    blocks = F.array_join(F.transform(paths, lambda p: titles.doc_block(p, text(p))), "\n\n")
+    return F.when(F.size(paths) > 0, blocks).otherwise(fixed.EMPTY_OFFICIAL_SPEC)
+
+
+def official_specs(selected: DataFrame, materials: DataFrame, repo_files: DataFrame) -> DataFrame:
+    """The text of the selected documents per record, in the order of selection."""
+    commits = materials.select(*RECORD_KEY, F.col("merge_commit_sha").alias("commit_sha"))
+    wanted = selected.select(*RECORD_KEY, "selected_doc_paths").join(commits, RECORD_KEY, "left")
+    return wanted.join(selected_texts(wanted, repo_files), ["repo", "commit_sha"], "left").select(
+        *RECORD_KEY, official_spec(F.col("selected_doc_paths"), F.col("texts")).alias("official_spec"))
+
+
+def sources_before(candidates: DataFrame, base_files: DataFrame) -> DataFrame:
+    """The source file of every candidate as it was before the change: repo, pr_id, rtl_code (empty where it is not there).
+
+    ``base_files`` holds files (repo, commit_sha, path, content) at base commits; other files are left out in the scan.
+    """
+    file = ["repo", "commit_sha", "path"]
+    wanted = candidates.select(
+        *RECORD_KEY, F.col("commit_id").alias("commit_sha"), F.try_element_at("rtl_files", F.lit(1)).alias("path"))
+    chosen = key_sketch(wanted, file)
+    found = base_files.select(*file, "content").filter(chosen(*map(F.col, file)))
+    return wanted.join(found, file, "left").select(*RECORD_KEY, or_empty(F.col("content")).alias("rtl_code"))

@@ -30,9 +30,9 @@ def key_sketch(keys: DataFrame, columns: list[str], words: int = WORDS) -> Calla
     has to follow. A key with a null is never met by an equi-join and may be reported or not.
     """
     place, mask = _place([F.col(c) for c in columns], words)
-    masks = keys.select(place.alias("id"), mask.alias("mask")).groupBy("id").agg(F.bit_or("mask").alias("word"))
-    places = keys.sparkSession.range(words).join(masks, "id", "left")
-    whole = places.agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0).cast("bigint")).alias("word")))).alias("w"))
+    every = keys.sparkSession.range(words).select("id", F.lit(0).cast("bigint").alias("mask"))
+    masks = keys.select(place.alias("id"), mask.alias("mask")).unionAll(every).groupBy("id").agg(F.bit_or("mask").alias("word"))
+    whole = masks.agg(F.array_sort(F.collect_list(F.struct("id", "word"))).alias("w"))
     held = whole.select(F.transform("w", lambda x: x["word"])).scalar()
 
     def may_hold(*key: Column) -> Column:

@@ -54,7 +54,7 @@ def construct(
         candidates = materialised(resume_anti(candidates, done, RECORD_KEY), "candidates")
         answers = answers.join(done.select(*RECORD_KEY), RECORD_KEY, "left_anti")
     checked = materialised(material_checks(candidates, repo_config, repo_files), "checked")
-    ready, material_failures = parted_materials(checked, repo_config, repo_files)
+    ready, material_failures = parted_materials(checked, candidates, repo_config, repo_files)
     materials = materialised(ready, "materials")
     selected, select_failures = answering.parse_selection_answers(
         answering.latest_answers(answers, "select"), materials

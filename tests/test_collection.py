@@ -194,6 +194,68 @@ def test_resuming_twice_changes_nothing(spark):
     assert {r.number: r.state for r in merged.collect()} == {0: "open", 1: "closed", 2: "open", 3: "open"}
 
 
+def test_long_hunks_with_very_many_runs(spark):
+    """More runs than are placed at once, against counting line by line."""
+    import random
+
+    rng = random.Random(6)
+    lines = [rng.choice(["+a", "-b", " c", "", "\\ No newline"]) for _ in range(3000)]
+    text = "diff --git a/x.v b/x.v\n--- a/x.v\n+++ b/x.v\n@@ -7,9 +9,9 @@\n" + "".join(x + "\n" for x in lines)
+    table = spark.createDataFrame([("o", "r", 1, text), ("o", "r", 2, None)], schemas.COMPARE_DIFFS)
+    old, new, want, blocks, block = 7, 9, [], [], None
+    for pos, line in enumerate(lines):
+        kind = line[:1] if line[:1] in ("+", "-", "\\") else " "
+        if kind == " " and block:
+            blocks.append(block)
+            block = None
+        if kind in "+-":
+            block = block or [old, 0, 0]
+            block[1 if kind == "+" else 2] += 1
+        if kind != "\\":
+            want.append((pos, kind, old if kind != "+" else None, new if kind != "-" else None, line[1:]))
+        old += kind in " -"
+        new += kind in " +"
+    blocks += [block] if block else []
+    rows = patches.diff_lines(table).orderBy("pos").collect()
+    assert [(r.pos, r.kind, r.old_line, r.new_line, r.text) for r in rows] == want
+    found = patches.change_blocks(table).collect()
+    assert [(r.line_start, r.line_end, r.added, r.removed) for r in found] == [
+        (at, at + gone - 1, more, gone) if gone else (max(at - 1, 0), max(at - 1, 0), more, 0) for at, more, gone in blocks]
+
+
+def test_a_later_run_examines_what_is_new(spark, diff_table):
+    from patchloom.plans import collection
+    from patchloom.session import fresh_path
+    from patchloom.sources.sinks import stored_table
+
+    folder = fresh_path(spark, "resumed")
+    none = spark.createDataFrame([], schemas.ISSUES)
+    text = lambda *numbers: spark.createDataFrame([("o", "r", n, DIFF) for n in numbers], schemas.COMPARE_DIFFS)
+    first = _pulls(spark, _pull(1), _pull(2, title="none", commits=[("c", [], "x")]), _pull(3), _pull(4, draft=True))
+    run = lambda pulls_, diffs_, name: {(r.pr_id, r.pr_title) for r in collection.resumed_candidates(pulls_, none, diffs_, folder, name).collect()}
+    assert run(first, text(1, 2), "1") == {(1, "Fixes #2")}
+    ledger = lambda: stored_table(spark, f"{folder}/ledger", "org string, repo string, number bigint, version bigint, run string")
+    # rejects are examined; the one whose diff is still to come is not
+    assert {r.number for r in ledger().collect()} == {1, 2, 4}
+    pending = collection.unexamined(first, ledger(), pulls.PULL_KEY, collection.pull_version())
+    assert [r.number for r in pending.collect()] == [3]
+    assert [r.number for r in collection.pending_diffs(text(*range(1, 60)), pending).collect()] == [3]
+    second = _pulls(spark, _pull(1), _pull(2, title="Fixes #2"), _pull(3), _pull(4, draft=True), _pull(5))
+    for _ in range(2):  # a run that is done again ends in the same tables
+        assert run(second, text(1, 2, 3, 5), "2") == {(n, "Fixes #2") for n in (1, 2, 3, 5)}
+        assert sorted(r.number for r in ledger().filter("run = '2'").collect()) == [2, 3, 5]
+    assert run(second, text(1, 2, 3, 5), "3") == {(n, "Fixes #2") for n in (1, 2, 3, 5)}
+    assert ledger().filter("run = '3'").count() == 0
+    whole = candidates_plan(second, none, text(1, 2, 3, 5))
+    assert {(r.pr_id, r.pr_title) for r in whole.collect()} == {(n, "Fixes #2") for n in (1, 2, 3, 5)}
+
+
+def test_candidates_take_the_last_row_of_an_issue(spark, diff_table):
+    found = spark.createDataFrame([("o", "r", 1, "open", t, None, k) for k, t in enumerate(["old", "new"])], schemas.ISSUES + ", landed int")
+    rows = candidates_plan(_pulls(spark, _pull(1)), found, diff_table, issue_order=["landed"]).collect()
+    assert [r.issue_title for r in rows] == ["new"]
+
+
 def test_an_issue_that_landed_twice_counts_once(spark):
     linked = spark.createDataFrame([("o", "r", 1, [3])], "org string, repo string, number bigint, issue_numbers array<bigint>")
     found = spark.createDataFrame([("o", "r", 3, "open", t, None, k) for k, t in enumerate(["old", "new"])], schemas.ISSUES + ", landed int")

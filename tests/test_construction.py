@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from patchloom import fixed, schemas
 from patchloom.operators import annotation, answering, materials, outputs
-from patchloom.plans.construction import construct
+from patchloom.plans.construction import construct, finished
 
 SHA = "c" * 40
 
@@ -143,10 +143,21 @@ def test_annotation(spark):
     content = _notes(_note("HUNK_2", *fixed.BUG_TYPES[7], desc="late"), _note("HUNK_1", *fixed.BUG_TYPES[2]), _note("HUNK_9", *fixed.BUG_TYPES[0]),
                      _note("HUNK_1", "Functional Bug", "Syntax Error"), _note("HUNK_1", 3, "Syntax Error"))
     answers = spark.createDataFrame([("o", "r", 1, content)], "org string, repo string, number bigint, content string")
-    row = annotation.annotation_join(answers, diffs).first()
+    answers = answers.unionByName(spark.createDataFrame(
+        [("o", "r", 2, "no json"), ("o", "r", 3, "[1]"), ("o", "r", 4, '{"bug_info": 3}'), ("o", "r", 5, '{"bug_info": []}'), ("o", "r", 6, None)], answers.schema))
+    notes = annotation.annotation_notes(answers, diffs).cache()
+    row = annotation.annotation_join(notes).first()
     assert [(b.bug_lineno, tuple(b.bug_type), b.bug_desc) for b in row.bug_info] == [
         ([30, 30], fixed.BUG_TYPES[7], "late"), ([6, 6, 7, 7], fixed.BUG_TYPES[2], "d")]
-    valid = annotation.bug_type_valid(annotation.parse_annotations(answers)).orderBy("pos").collect()
+    # every note and every answer is either used or has its reason
+    assert sorted((r.number, r.pos, r.error) for r in notes.filter("number = 1").collect()) == [
+        (1, 0, None), (1, 1, None), (1, 2, "hunk not in the diff"), (1, 3, "bug type not allowed"), (1, 4, "bug type not allowed")]
+    assert {(r.number, r.error) for r in notes.filter("number > 1").collect()} == {
+        (2, "answer has the wrong shape"), (3, "answer has the wrong shape"), (4, "answer lists nothing"), (6, "answer has the wrong shape")}
+    failed = annotation.annotation_failures(notes)
+    assert notes.count() == 2 + failed.count() and failed.columns == [c.split()[0] for c in schemas.FAILURES.split(", ")]
+    assert ("o/r", 1, "HUNK_9: hunk not in the diff") in {(r.repo, r.pr_id, r.error) for r in failed.collect()}
+    valid = annotation.bug_type_valid(annotation.parse_annotations(answers)).filter("problem is null").orderBy("pos").collect()
     assert [r.valid for r in valid] == [True, True, True, False, False]
 
 
@@ -154,9 +165,60 @@ def test_shortlists(spark):
     diffs = spark.createDataFrame([("o", "r", 1, DIFF)], schemas.COMPARE_DIFFS)
     content = json.dumps({"candidate_root_cause_hunks": [{"hunk_ids": ["HUNK_1", 4, "HUNK_7"], "reason": "a"}], "filtered_non_root_cause_hunks": [{"hunk_ids": ["HUNK_2"]}]})
     answers = spark.createDataFrame([("o", "r", 1, content), ("o", "r", 2, "oops")], "org string, repo string, number bigint, content string")
-    known, unknown = annotation.hunk_shortlists(answers, diffs)
-    assert {(r.verdict, r.hunk_id, r.reason) for r in known.collect()} == {("candidate", "HUNK_1", "a"), ("filtered", "HUNK_2", None)}
-    assert {(r.verdict, r.hunk_id) for r in unknown.collect()} == {("candidate", "HUNK_7")}
+    rows = annotation.hunk_shortlists(answers, diffs)
+    assert {(r.number, r.verdict, r.hunk_id, r.reason, r.error) for r in rows.collect()} == {
+        (1, "candidate", "HUNK_1", "a", None), (1, "filtered", "HUNK_2", None, None), (1, "candidate", "HUNK_7", "a", "hunk not in the diff"),
+        (1, "candidate", "4", "a", "hunk not in the diff"), (2, None, None, None, "answer has the wrong shape")}
+    assert [(r.number, r.hunk_no) for r in annotation.shortlisted_hunks(rows).collect()] == [(1, 1)]
+
+
+def test_notes_on_a_hunk_without_changes(spark):
+    diffs = spark.createDataFrame([("o", "r", 1, "diff --git a/a.v b/a.v\n--- a/a.v\n+++ b/a.v\n@@ -5 +5 @@\n x\n")], schemas.COMPARE_DIFFS)
+    answers = spark.createDataFrame([("o", "r", 1, _notes(_note("HUNK_1", *fixed.BUG_TYPES[0])))], "org string, repo string, number bigint, content string")
+    assert [r.error for r in annotation.annotation_notes(answers, diffs).collect()] == ["hunk changes no line"]
+
+
+def test_annotations_replace_what_a_record_held(spark):
+    info = lambda text: [([1, 2], ("a", "b"), text, "f")]
+    record = lambda i, held: (("o/r", i, "sv", [], "s", "c", "t"), held, tuple([""] * 8 + [[]]))
+    inputs = spark.createDataFrame([record(1, []), record(2, info("old")), record(3, info("old"))], schemas.INPUTS)
+    infos = spark.createDataFrame(
+        [("o/r", 1, info("first"), 1), ("o/r", 1, info("last"), 2), ("o/r", 3, info("new"), 1), ("o/q", 2, info("other"), 1)],
+        f"repo string, pr_id bigint, bug_info array<{schemas.BUG_INFO}>, attempt int")
+    rows = {r.input.pr_id: [b.bug_desc for b in r.bug_info] for r in outputs.with_bug_infos(inputs, infos, ["attempt"]).collect()}
+    assert rows == {1: ["last"], 2: ["old"], 3: ["new"]}
+
+
+def test_requests_about_hunks(spark):
+    found = spark.createDataFrame([_candidate(1, fix_patch=DIFF), _candidate(2, fix_patch=DIFF, commit_id="gone")], schemas.CANDIDATES)
+    base = spark.createDataFrame([("o/r", "b", "rtl/a.sv", "module before;"), ("o/r", "z", "rtl/a.sv", "no")], schemas.REPO_FILES)
+    asked = {r.pr_id: r.request for r in answering.shortlist_requests(found, base).collect()}
+    assert "module before;" in asked[1] and "module before;" not in asked[2] and '{"HUNK_2":"@@ -30 +31 @@' in asked[1] and "Title" in asked[1]
+    confirmed = spark.createDataFrame([("o/r", 1, 2), ("o/r", 1, 1), ("o/r", 9, 1)], "repo string, pr_id bigint, hunk_no bigint")
+    specs = spark.createDataFrame([("o/r", 1, "It must hold."), ("o/r", 2, "S")], schemas.SPECS)
+    rows = answering.annotation_requests(confirmed, found, specs, base).collect()
+    assert [r.pr_id for r in rows] == [1]
+    text = rows[0].request
+    assert "It must hold." in text and text.index('{"hunk_id":"HUNK_1"') < text.index('{"hunk_id":"HUNK_2","root_cause_code":"@@ -30 +31 @@')
+    assert all(f"- {a} / {b}" in text for a, b in fixed.BUG_TYPES)
+
+
+def test_a_finished_record_is_not_taken_up_again(spark, found, config, files):
+    ok = json.dumps({"passed": True, "checks": {c: True for c in fixed.REVIEW_CHECKS}})
+    landed = [("spec", "o/r", 1, 1, "Spec 1", None), ("review", "o/r", 1, 1, ok, None)]
+    table = lambda rows: spark.createDataFrame(rows, schemas.MODEL_ANSWERS)
+    first = construct(found, config, files, table(landed))
+    done = finished(first)
+    assert [tuple(r) for r in done.collect()] == [("o/r", 1)]
+    landed += [("spec", "o/r", 6, 1, "Spec 6", None), ("review", "o/r", 6, 1, ok, None)]
+    second = construct(found, config, files, table(landed), done=done)
+    assert [r.input.pr_id for r in second.inputs.collect()] == [6] and 1 not in {r.pr_id for r in second.materials.collect()}
+    assert 1 not in {r.pr_id for r in second.failures.collect()}
+    whole = construct(found, config, files, table(landed))
+    both = first.inputs.unionByName(second.inputs)
+    assert sorted(map(str, both.collect())) == sorted(map(str, whole.inputs.collect()))
+    third = construct(found, config, files, table(landed), done=done.unionByName(finished(second)))
+    assert third.inputs.count() == 0 and third.materials.count() == 0
 
 
 def test_leakage(spark):

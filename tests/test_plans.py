@@ -3,11 +3,14 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from patchloom import schemas
 from patchloom.catalog import QUERIES
-from patchloom.operators import issues, materials, patches, pulls, scoring
+from patchloom.operators import annotation, issues, materials, patches, pulls, scoring
+from patchloom.operators.sketch import key_sketch
+from patchloom.operators.summaries import StageCounts
 from patchloom.session import materialised
 
 
@@ -24,13 +27,30 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def _without_sketches(plan):
+    """A plan without the subqueries that build key sketches: these end in one row of fixed size."""
+    out, depth = [], None
+    for line in plan.split("\n"):
+        at = line.find("Subquery subquery#")
+        mark = re.search(r"[A-Za-z(*]", line)
+        here = mark.start() if mark else 0
+        if depth is not None and here > depth:
+            continue
+        depth = at if at >= 0 else None
+        if depth is None:
+            out.append(line)
+    return "\n".join(out)
+
+
 # Queries that write and read back are covered by the tables they are made of.
-_LAZY = sorted(set(QUERIES) - {"construct", "stream_dedup", "failures_sink", "final_structs", "route_by_review", "resume_append", "write_stage"})
+_LAZY = sorted(set(QUERIES) - {
+    "construct", "stream_dedup", "failures_sink", "final_structs", "route_by_review", "resume_append", "write_stage", "stage_funnel", "annotation_join",
+    "resumed_candidates", "repo_files_scan"})
 
 
 @pytest.mark.parametrize("name", _LAZY)
 def test_no_pair_join_no_python_no_single_partition(spark, sf_dir, no_broadcast, name):
-    plan = _plan(QUERIES[name](spark, sf_dir))
+    plan = _without_sketches(_plan(QUERIES[name](spark, sf_dir)))
     for node in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "BroadcastHashJoin"):
         assert node not in plan
     assert ("MapInPandas" in plan) == (name == "answer_requests")
@@ -59,16 +79,39 @@ def test_filters_and_columns_reach_the_scan(spark, landed):
 
 def test_diff_tables_do_not_shuffle(spark, landed):
     diffs = landed["COMPARE_DIFFS"]
-    for df in (patches.diff_files(diffs), patches.file_line_counts(diffs), patches.diff_hunks(diffs), patches.parse_diffs(diffs)):
-        assert "Exchange" not in _plan(df)
-    assert _plan(patches.diff_lines(diffs)).count("Exchange hashpartitioning") == 1
-    assert _plan(patches.change_blocks(diffs)).count("Exchange hashpartitioning") == 1
+    for df in (patches.diff_files(diffs), patches.file_line_counts(diffs), patches.diff_hunks(diffs), patches.parse_diffs(diffs),
+               patches.diff_lines(diffs), patches.change_blocks(diffs), patches.hunk_counts(diffs)):
+        plan = _plan(df)
+        assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+
+
+def test_diffs_stay_where_they_are_for_annotations(spark, landed, no_broadcast):
+    answers = materialised(spark.createDataFrame([], "org string, repo string, number bigint, content string"), "answers")
+    for df in (annotation.annotation_notes(answers, landed["COMPARE_DIFFS"]), annotation.hunk_shortlists(answers, landed["COMPARE_DIFFS"])):
+        moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", _formatted(df))
+        assert moved and not any(name in m for m in moved for name in ("diff_text#", "hunk#", "_lines#", "_runs#", "_told#"))
+
+
+def test_selected_texts_move_once(spark, landed, no_broadcast):
+    selected = materialised(spark.createDataFrame([], schemas.SELECTED_DOCS), "selected")
+    ready = materialised(spark.createDataFrame([], schemas.MATERIALS), "ready")
+    plan = _formatted(materials.official_specs(selected, ready, landed["REPO_FILES"]))
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    # the gathering of partial lists is the one exchange that holds texts
+    assert sum("buf#" in m or "content#" in m or "texts#" in m for m in moved) == 1, moved
 
 
-def test_line_text_stays_out_of_the_block_shuffle(spark, landed):
-    plan = _formatted(patches.change_blocks(landed["COMPARE_DIFFS"]))
-    exchange = re.search(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan).group(1)
-    assert "line#" not in exchange and "text#" not in exchange
+def test_a_stored_stage_is_read_once(spark):
+    rows = spark.range(100).select("id", F.when(F.col("id") % 4 == 0, "no").alias("error"))
+    counts = StageCounts()
+    stored = materialised(counts.seen("s", rows, loaded=F.lit(True), written=F.col("error").isNull(), failed=F.col("error").isNotNull()), "s")
+    lines = counts.seen("lines", spark.range(7), loaded=F.col("id") > 1, bad=F.col("id") <= 1)
+    materialised(lines.filter("id > 5"), "lines")
+    table = counts.table(spark)
+    assert {tuple(r) for r in table.collect()} == {("s", 100, 0, 75, 25), ("lines", 5, 2, 0, 0)} and stored.count() == 100
+    empty = StageCounts()
+    materialised(empty.seen("none", rows.limit(0), loaded=F.lit(True), failed=F.col("error").isNotNull()), "none")
+    assert [tuple(r) for r in empty.table(spark).collect()] == [("none", 0, 0, 0, 0)]
 
 
 def test_issue_join_moves_no_pull_text(spark, landed, no_broadcast):
@@ -79,8 +122,50 @@ def test_issue_join_moves_no_pull_text(spark, landed, no_broadcast):
 
 
 def test_file_contents_are_cut_down_before_they_move(spark, landed):
+    """With many files of which few are wanted, about the wanted ones leave the scan, and no title is made for other commits."""
+    sha = lambda i: F.md5(i.cast("string"))
+    files = spark.range(40_000).select(
+        F.lit("o/r").alias("repo"), sha(F.floor(F.col("id") / 4)).alias("commit_sha"),
+        F.when(F.col("id") % 4 < 2, F.concat(F.lit("rtl/a"), (F.col("id") % 4).cast("string"), F.lit(".sv"))).otherwise(
+            F.concat(F.lit("doc/d"), (F.col("id") % 4).cast("string"), F.lit(".md"))).alias("path"),
+        F.concat(F.lit("# T"), F.col("id").cast("string")).alias("content"))
+    wanted = spark.range(50).select(F.lit("o/r").alias("repo"), sha(F.col("id") * 100).alias("commit_sha"), F.lit("rtl/a0.sv").alias("path"))
+    keys = ["repo", "commit_sha", "path"]
+    passed = files.filter(key_sketch(wanted, keys)(*map(F.col, keys)))
+    assert passed.join(wanted, keys, "left_semi").count() == 50 and passed.count() <= 55
+    config = spark.createDataFrame([("o/r", "u", ["doc"], "rtl", [".sv"])], schemas.REPO_CONFIG)
+    entries = materials.doc_entries(files, config, wanted.select("repo", "commit_sha"))
+    assert 100 <= entries.count() <= 110
     ready, _ = materials.materials_join(landed["CANDIDATES"], landed["REPO_CONFIG"], landed["REPO_FILES"])
-    assert "LeftSemi" in _plan(ready)
+    assert "LeftSemi" not in _plan(ready)
+
+
+def test_sketches_hold_all_their_keys(spark):
+    keys = spark.range(30_000).select((F.col("id") * 3).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id").cast("string")).alias("b"))
+    rows = keys.unionAll(spark.range(30_000).select(F.col("id") * 3 + 1, F.lit("x")))
+    for words in (1 << 14, 16):
+        held = key_sketch(keys, ["a", "b"], words)
+        found = rows.filter(held(F.col("a"), F.col("b"))).agg(F.count_if(F.col("a") % 3 == 0), F.count("*")).first()
+        assert found[0] == 30_000 and (found[1] < 40_000 or words == 16)
+    assert rows.filter(key_sketch(keys.limit(0), ["a", "b"])(F.col("a"), F.col("b"))).count() == 0
+    mixed = key_sketch(keys.select(F.col("a").cast("int").alias("a"), "b"), ["a", "b"])
+    assert keys.filter(mixed(F.col("a"), F.col("b"))).count() == 30_000  # types may differ, texts count
+
+
+def test_a_document_is_parsed_once_for_all_its_commits(spark):
+    """A hundred commits with one unchanged document: its text is read for a title at one commit only."""
+    files = spark.range(300).select(
+        F.lit("o/r").alias("repo"), F.format_string("%03d", F.floor(F.col("id") / 3)).alias("commit_sha"),
+        F.element_at(F.array(F.lit("doc/a.md"), F.lit("doc/b.md"), F.lit("doc/c.md")), (F.col("id") % 3 + 1).cast("int")).alias("path"),
+        F.when(F.col("id") % 3 == 0, "# Same").when(F.col("id") % 3 == 1, F.concat(F.lit("# Changes "), (F.col("id") % 4).cast("string"))).alias("content"))
+    named = files.withColumn("blob_sha", F.md5("content"))
+    config = spark.createDataFrame([("o/r", "u", ["doc"], "rtl", [".sv"])], schemas.REPO_CONFIG)
+    plain = sorted(map(tuple, materials.doc_entries(files, config).collect()))
+    assert sorted(map(tuple, materials.doc_entries(named, config).collect())) == plain and len(plain) == 200
+    # where the text is missing at all commits but the least, titles are still found: no other text is looked at
+    once = named.withColumn("least", F.min("commit_sha").over(Window.partitionBy("path", "blob_sha")))
+    once = once.withColumn("content", F.when(F.col("commit_sha") == F.col("least"), F.col("content"))).drop("least")
+    assert sorted(map(tuple, materials.doc_entries(materialised(once, "once"), config).collect())) == plain
 
 
 def test_documents_move_without_their_text(spark, landed, no_broadcast):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from patchloom import fixed, schemas
 from patchloom.session import fresh_path, shared_folder
 from patchloom.sources import dumps, files, jsonl, repos, sinks
-from patchloom.streaming.arrivals import stream_dedup
+from patchloom.streaming.arrivals import stream_dedup, take_new, taken_records
 
 SCHEMA = "id bigint, name string, tags array<string>"
 
@@ -70,12 +70,43 @@ def test_write_and_resume(spark):
     assert [r.number for r in spark.read.schema(rows.schema).parquet(path).collect()] == [2]
 
 
-def test_failures_only_grow(spark):
+def test_a_stage_done_again_leaves_its_failures_once(spark):
     path = fresh_path(spark, "f")
-    rows = spark.createDataFrame([("spec", "llm", "o/r", 1, None, "e")], schemas.FAILURES)
-    sinks.append_failures(rows, path)
-    sinks.append_failures(rows.withColumn("stage", F.lit("review")), path)
-    assert {r.stage for r in spark.read.parquet(path).collect()} == {"spec", "review"}
+    rows = spark.createDataFrame([("spec", "llm", "o/r", i, None, "e") for i in (1, 2)], schemas.FAILURES)
+    told = lambda: sorted((r.run, r.stage, r.pr_id) for r in sinks.read_failures(spark, path).collect())
+    for run in ("1", "2"):
+        sinks.append_failures(rows, path, run, "spec")
+    sinks.append_failures(rows, path, "1", "review")
+    once = told()
+    assert len(once) == 6
+    sinks.append_failures(rows, path, "1", "spec")
+    assert told() == once
+    sinks.append_failures(rows.limit(0), path, "1", "spec")  # nothing failed this time
+    assert told() == [t for t in once if t[:2] != ("1", "spec")]
+
+
+def test_a_run_done_again_replaces_its_own_rows(spark):
+    path = fresh_path(spark, "t")
+    rows = spark.createDataFrame([("o", "a", 1), ("o", "b", 2)], "org string, repo string, number bigint")
+    for run, part in (("1", rows), ("2", rows.filter("number = 2")), ("1", rows), ("2", rows.filter("number = 1"))):
+        sinks.write_stage(part, path, run=run)
+    read = spark.read.schema("org string, repo string, number bigint, run string").parquet(path)
+    assert sorted((r.run, r.number) for r in read.collect()) == [("1", 1), ("1", 2), ("2", 1)]
+
+
+def test_trees_are_written_and_read_by_commit(spark, tmp_path):
+    rows = [("o/r", "c1", "doc/a.md", "# A\n"), ("o/r", "c2", "doc/a.md", "é"), ("o/q", "c1", "x y/z", "z"), ("o/q", "c3", "n", None)]
+    table = spark.createDataFrame(rows, schemas.REPO_FILES)
+    root = str(tmp_path / "tree")
+    assert files.write_tree(table, root) == 3 and files.write_tree(table, root) == 3  # done again, the same files
+    read = lambda commits=None: {tuple(r) for r in files.repo_files_scan(spark, root, commits).collect()}
+    assert read() == set(rows[:3])
+    some = files.repo_files_scan(spark, root, [("o/r", "c2"), ("o/q", "c1"), ("o/q", "c1"), ("o/q", "c9")])
+    assert {tuple(r) for r in some.collect()} == set(rows[1:3])
+    assert not any("/o/r/c1/" in f for f in some.inputFiles())
+    assert read([]) == read([("none", "none")]) == set()
+    with pytest.raises(Exception, match="not below its commit"):
+        files.write_tree(spark.createDataFrame([("o/r", "c1", "../../up", "x")], schemas.REPO_FILES), root)
 
 
 def test_exported_tree(spark, tmp_path):
@@ -116,13 +147,33 @@ def test_names_from_files(spark):
 
 def test_arrivals_take_each_key_once(spark):
     folder, sink, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "cp"))
-    store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     for name, text in (("1.json", '{"id": 1, "name": "a"}\noops\n{"id": 1, "name": "b"}\n'), ("2.json", '{"id": 1, "name": "late"}\n{"id": 2, "name": "c"}\n')):
         _write(folder, name, text)
         stream_dedup(spark, folder, SCHEMA, ["id"], sink, checkpoint).awaitTermination()
     rows = {r.id: r.name for r in spark.read.parquet(sink).collect()}
     assert set(rows) == {1, 2} and rows[1] in ("a", "b")
-    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == store
+
+
+def test_arrivals_keep_no_state(spark):
+    """Many arrivals: the sink holds each key once, and no query keeps state."""
+    folder, sink, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "cp"))
+    for k in range(6):
+        _write(folder, f"{k}.json", "".join(f'{{"id": {i}, "name": "n{k}"}}\n' for i in range(k * 10, k * 10 + 30)) + '{"name": "no id"}\n')
+        query = stream_dedup(spark, folder, SCHEMA, ["id"], sink, checkpoint)
+        query.awaitTermination()
+        assert not any(p["stateOperators"] for p in query.recentProgress)
+    rows = [(r.id, r.name) for r in spark.read.parquet(sink).collect()]
+    assert sorted(r[0] for r in rows if r[0] is not None) == list(range(80)) and len(rows) == 81
+    assert dict(rows)[35] == "n1" and not os.path.isdir(os.path.join(checkpoint, "state"))
+
+
+def test_a_batch_done_again_leaves_its_rows_once(spark):
+    sink = fresh_path(spark, "out")
+    batch = lambda *ids: spark.createDataFrame([(i, "x", None) for i in ids], SCHEMA)
+    take_new(batch(1, 2, None), 0, sink, SCHEMA, ["id"])
+    for _ in range(2):
+        take_new(batch(2, 3, 3, None), 1, sink, SCHEMA, ["id"])
+    assert sorted((r.batch, r.id or 0) for r in taken_records(spark, sink, SCHEMA).collect()) == [(0, 0), (0, 1), (0, 2), (1, 3)]
 
 
 def test_shared_folder_is_the_named_one(spark):
