@@ -9,6 +9,10 @@ Index: every capture is a line keyed by its reversed-host URL. Lines are range-p
 sorted by key, cut into blocks, and each block is compressed: the first level. The second level is
 a sparse directory with the first key of each block. A look-up searches the directory by bisection,
 unpacks one block, searches it by bisection, and reads one range of one archive.
+
+Whole tables are read back that way: the keys of all pages find their blocks in the directory (its size is bounded, since blocks grow with the
+index), meet them in tasks by block, and the captures found there are read by range in tasks by archive file, where every record is held against
+its line. Archives are bounded by their number of records.
 """
 
 from __future__ import annotations
@@ -18,8 +22,10 @@ import bisect
 import hashlib
 import json
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -28,10 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.llm.rows import col
-from patchloom.session import fresh_path
+from patchloom.operators.sketch import key_sketch
+from patchloom.session import fresh_path, materialised
 
-#: Captures in one index block.
-BLOCK_LINES = 3000
+#: Captures in one index block, the most blocks of an index (blocks of a larger one hold more), and the most records of an archive file.
+BLOCK_LINES, MOST_BLOCKS, ARCHIVE_RECORDS = 3000, 200_000, 4096
 _LEVEL = 3
 _CHUNK = 1 << 16
 
@@ -80,11 +87,13 @@ def _header_safe(url: str) -> str:
     return re.sub(r"[\x00-\x20\x7f%]", lambda m: quote(m[0], safe=""), url)
 
 
-def warc_record(page_id, url: str | None, payload: bytes, digest: str, refers_to) -> bytes:
-    """One response record, or a revisit record (without payload) where ``refers_to`` is an id."""
-    head = [b"WARC/1.1", b"WARC-Type: " + (b"response" if refers_to is None else b"revisit")]
+def warc_record(page_id, url: str | None, payload: bytes, digest: str, refers_to, date: str = "1970-01-01T00:00:00Z") -> bytes:
+    """One response record, or a revisit record (without payload) where ``refers_to`` is an id. Every record has an id of its own; page ids
+    stand in headers beside it."""
+    head = [b"WARC/1.1", b"WARC-Type: " + (b"response" if refers_to is None else b"revisit"),
+            f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>".encode(), f"WARC-Date: {date}".encode()]
     if page_id is not None:
-        head.append(f"WARC-Record-ID: <urn:page:{page_id}>".encode())
+        head.append(f"X-Page-Id: {page_id}".encode())
     if url is not None:
         head.append(b"WARC-Target-URI: " + _header_safe(url).encode("utf-8", "surrogatepass"))
     head += [b"WARC-Payload-Digest: sha1:" + digest.encode(), f"X-Payload-Length: {len(payload)}".encode()]
@@ -92,7 +101,7 @@ def warc_record(page_id, url: str | None, payload: bytes, digest: str, refers_to
     if refers_to is None:
         block = http + f"Content-Length: {len(payload)}\r\n\r\n".encode() + payload
     else:
-        head += [f"WARC-Refers-To: <urn:page:{refers_to}>".encode(),
+        head += [f"X-Refers-To-Page: {refers_to}".encode(),
                  b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
         block = http + b"\r\n"
     head += [b"Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}".encode()]
@@ -108,11 +117,10 @@ def parsed(record: bytes) -> dict:
         fields[name.decode()] = value.decode("utf-8", "surrogatepass")
     block = rest[: int(fields["Content-Length"])]
     kind = fields["WARC-Type"]
-    identity = lambda name: fields[name][len("<urn:page:"):-1] if name in fields else None
     url = fields.get("WARC-Target-URI")
     return {
-        "page_id": identity("WARC-Record-ID"), "url": None if url is None else unquote(url),
-        "record_type": kind, "refers_to": identity("WARC-Refers-To"),
+        "page_id": fields.get("X-Page-Id"), "url": None if url is None else unquote(url),
+        "record_type": kind, "refers_to": fields.get("X-Refers-To-Page"),
         "digest": fields["WARC-Payload-Digest"][len("sha1:"):], "payload_bytes": int(fields["X-Payload-Length"]),
         "payload": block.partition(b"\r\n\r\n")[2] if kind == "response" else None,
     }
@@ -146,8 +154,9 @@ def write_archives(
     referred to: where all ids of a payload are null, all are responses. Null URLs are left out of the header.
     An empty table writes an empty archive.
 
-    Payloads are compared by SHA-1 and length. Which payloads repeat is counted on digests alone, before anything wide moves; the
-    few rows per digest that this gives join the pages, and a digest shared by very many pages is split by skew-join handling.
+    Payloads are compared by SHA-1 and length. Which payloads repeat is counted on digests alone, before anything wide moves. A sketch of
+    the repeated digests parts the pages in their scan: payloads that stand alone are never shuffled, the others join the few rows per
+    digest, and a digest shared by very many pages is split by skew-join handling. A payload is written whole, however long.
     """
     spark = pages.sparkSession
     payload = F.coalesce(col(html).cast("string"), F.lit(""))
@@ -157,9 +166,14 @@ def write_archives(
         rows.select("page_id", *key).filter(F.col("size") >= least_bytes).groupBy("sha", "size")
         .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 and refers_to is not null").drop("n")
     )
-    told = rows.select("*", *key).join(first, ["sha", "size"], "left").select(
+    first = materialised(first, "repeated")
+    may_repeat = key_sketch(first, ["sha", "size"])(F.col("sha"), F.col("size"))
+    marked = rows.select("*", *key)
+    alone = marked.filter(~may_repeat).select(F.col("page_id").cast("string").alias("page_id"), "url", "html", F.lit(None).cast("string").alias("refers_to"))
+    shared = marked.filter(may_repeat).join(first, ["sha", "size"], "left").select(
         F.col("page_id").cast("string").alias("page_id"), "url", "html",
         F.when(F.col("page_id").eqNullSafe(F.col("refers_to")), None).otherwise(F.col("refers_to").cast("string")).alias("refers_to"))
+    told, date = alone.unionAll(shared), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches):
         for batch in batches:
@@ -168,11 +182,11 @@ def write_archives(
                 out = []
                 for p, u, t, r in zip(*(c.slice(i, 256).to_pylist() for c in (ids, urls, texts, refers))):
                     data = t.encode("utf-8", "surrogatepass")
-                    out.append(packed(warc_record(p, u, data, base32_sha1(data), r))[:-1])
+                    out.append(packed(warc_record(p, u, data, base32_sha1(data), r, date))[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     told.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value")) \
-        .write.option("lineSep", _LAST.decode()).text(path)
+        .write.option("lineSep", _LAST.decode()).option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
     return path
 
 
@@ -211,10 +225,13 @@ def _line(row: dict) -> str:
         {k: v for k, v in row.items() if k != "key"}, ensure_ascii=True)
 
 
+def _unkey(line: str) -> str:
+    key = line.partition("\t")[0]
+    return re.sub(r"\\(.)", lambda m: {"n": "\n", "t": "\t"}.get(m[1], m[1]), key) if "\\" in key else key
+
+
 def _unline(line: str) -> dict:
-    key, _, rest = line.partition("\t")
-    key = re.sub(r"\\(.)", lambda m: {"n": "\n", "t": "\t"}.get(m[1], m[1]), key)
-    return {"key": key} | json.loads(rest)
+    return {"key": _unkey(line)} | json.loads(line.partition("\t")[2])
 
 
 _BLOCK = T.StructType([
@@ -223,11 +240,15 @@ _BLOCK = T.StructType([
 ])
 
 
-def write_index(captures: DataFrame, path: str, block_lines: int = BLOCK_LINES) -> str:
+def write_index(captures: DataFrame, path: str, block_lines: int | None = None) -> str:
     """Writes the two levels: ``path``/blocks (compressed blocks of sorted capture lines) and ``path``/directory (the first and
     last key, file and place of each block), and returns ``path``. Captures with equal keys (repeats of a URL) are sorted by
-    archive place and may run over several blocks; a key that very many captures share is cut into as many."""
+    archive place and may run over several blocks; a key that very many captures share is cut into as many. Blocks hold ``BLOCK_LINES``
+    lines unless told otherwise, more where there would be over ``MOST_BLOCKS`` of them."""
     spark = captures.sparkSession
+    if block_lines is None:
+        captures = materialised(captures, "captures")
+        block_lines = max(BLOCK_LINES, -(-captures.count() // MOST_BLOCKS))
     rows = captures.select(_CAPTURE.names).repartitionByRange("key", "file", "offset").sortWithinPartitions("key", "file", "offset")
 
     def run(batches):
@@ -259,23 +280,120 @@ def index_captures(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                rows = [_unline(x) for x in zlib.decompress(data).decode().split("\n")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[n] for r in rows], pa.int64() if n in ("payload_bytes", "offset", "length") else pa.string())
-                     for n in _CAPTURE.names], names=_CAPTURE.names)
+                yield _captures([_unline(x) for x in zlib.decompress(data).decode().split("\n")])
 
     return spark.read.parquet(f"{path}/blocks").select("block").mapInArrow(run, _CAPTURE)
 
 
+def _directory(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """First key, last key and id of every block, by key; about ``MOST_BLOCKS`` rows at most."""
+    return sorted(tuple(r) for r in spark.read.parquet(f"{path}/directory").select("first_key", "last_key", "block_id").collect())
+
+
+def looked_up(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """All captures whose key is one of ``keys`` (column ``key``, each key once, no nulls), by the index under ``path``.
+
+    A key is searched in the directory by bisection, which names the blocks that may hold it; keys meet those blocks, one block at a
+    time, and are searched in there by bisection. Blocks that no key asks for are read but not unpacked.
+    """
+    directory = _directory(spark, path)
+    firsts = [d[0] for d in directory]
+
+    def find(batches):
+        for batch in batches:
+            names, blocks = [], []
+            for key in batch.column(0).to_pylist():
+                at = max(bisect.bisect_left(firsts, key) - 1, 0)  # an equal key may begin in the block before
+                while at < len(directory) and firsts[at] <= key:
+                    if key <= directory[at][1]:
+                        names.append(key)
+                        blocks.append(directory[at][2])
+                    at += 1
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(names, pa.string())], names=["block_id", "key"])
+
+    def search(batches):
+        data, names, lines = None, None, None
+        for batch in batches:
+            found = []
+            for key, block in zip(batch.column(1).to_pylist(), batch.column(2)):
+                if key is None:
+                    data, names = block, None
+                    continue
+                if names is None:
+                    lines = zlib.decompress(data.as_py()).decode().split("\n")
+                    names = [_unkey(x) for x in lines]
+                for i in range(bisect.bisect_left(names, key), bisect.bisect_right(names, key)):
+                    found.append(_unline(lines[i]))
+            yield _captures(found)
+
+    asked = keys.select("key").mapInArrow(find, "block_id long, key string").select("block_id", "key", F.lit(None).cast("binary").alias("block"))
+    held = spark.read.parquet(f"{path}/blocks").select("block_id", F.lit(None).cast("string").alias("key"), "block")
+    return (
+        asked.unionAll(held).repartition("block_id").sortWithinPartitions("block_id", F.col("key").asc_nulls_first())
+        .mapInArrow(search, _CAPTURE)
+    )
+
+
+def _captures(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[n] for r in rows], pa.int64() if n in ("payload_bytes", "offset", "length") else pa.string()) for n in _CAPTURE.names],
+        names=_CAPTURE.names)
+
+
+def range_read(spark: SparkSession, captures: DataFrame, archive: str) -> DataFrame:
+    """The captures as their records tell them, each read by its range, in tasks by archive file, and held against its index line.
+
+    Tasks read ranges themselves where the archives lie in a mounted folder; on other file systems, which only Spark's reader knows, a
+    whole archive file (``ARCHIVE_RECORDS`` records at most) meets its captures instead.
+    """
+    mounted = re.match(r"(file:|/)", archive) is not None
+    lines = captures.select(*_CAPTURE.names, F.lit(None).cast("binary").alias("content"))
+    if not mounted:
+        files = spark.read.format("binaryFile").load(archive)
+        lines = files.select(*[F.col("path").alias("file") if f.name == "file" else F.lit(None).cast(f.dataType).alias(f.name) for f in _CAPTURE],
+                             "content").unionAll(lines)
+
+    def run(batches):
+        name, held, stream = None, None, None
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if row["file"] != name:
+                    name = row["file"]
+                    if mounted:
+                        if stream:
+                            stream.close()
+                        stream = open(unquote(re.sub(r"^file:(//)?", "", name)), "rb")
+                if row["offset"] is None:
+                    held = row["content"]
+                    continue
+                if mounted:
+                    stream.seek(row["offset"])
+                    data = stream.read(row["length"])
+                else:
+                    data = held[row["offset"]: row["offset"] + row["length"]]
+                x = parsed(next(records(data))[2])
+                if x["payload"] is not None and (len(x["payload"]), base32_sha1(x["payload"])) != (x["payload_bytes"], x["digest"]):
+                    raise ValueError(f"{name}: the record at {row['offset']} does not hold the payload it names")
+                read = {"key": url_key(x["url"]), "page_id": x["page_id"], "url": x["url"], "record_type": x["record_type"], "refers_to": x["refers_to"],
+                        "payload_bytes": x["payload_bytes"], "payload_digest": x["digest"],
+                        "file": name, "offset": row["offset"], "length": row["length"]}
+                if any(read[n] != row[n] for n in _CAPTURE.names):
+                    raise ValueError(f"{name}: the record at {row['offset']} is not the one its index line tells")
+                out.append(read)
+            yield _captures(out)
+        if stream:
+            stream.close()
+
+    return lines.repartition("file").sortWithinPartitions("file", F.col("offset").asc_nulls_first()).mapInArrow(run, _CAPTURE)
+
+
 class CaptureIndex:
     """Point look-ups. The directory is sparse (a row for ``BLOCK_LINES`` captures) and held sorted; blocks are read on demand."""
 
-    def __init__(self, spark: SparkSession, path: str, most_blocks: int = 5_000_000):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        directory = spark.read.parquet(f"{path}/directory").select("first_key", "last_key", "block_id")
-        if directory.count() > most_blocks:
-            raise ValueError("the directory is too large for one machine; write the index with larger blocks")
-        self.directory = sorted(tuple(r) for r in directory.collect())
+        self.directory = _directory(spark, path)
         self.firsts = [d[0] for d in self.directory]
 
     def captures(self, url: str) -> list[dict]:
@@ -311,10 +429,22 @@ class CaptureIndex:
         return parsed(next(records(data))[2])
 
 
-def archived(pages: DataFrame, page_id: str = "page_id", **settings) -> DataFrame:
-    """Writes the archives and their index under the shared folder, and returns the captures that the index holds."""
+def url_keys(pages: DataFrame, url: str = "url") -> DataFrame:
+    """The keys of all URLs of a table, each once."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(list({url_key(u) for u in batch.column(0).to_pylist()}), pa.string())], names=["key"])
+
+    return pages.select(col(url).cast("string").alias("url")).mapInArrow(run, "key string").distinct()
+
+
+def archived(pages: DataFrame, page_id: str = "page_id", url: str = "url", **settings) -> DataFrame:
+    """Writes the archives and their index under the shared folder, looks the URLs of all pages up in the index, and returns the captures
+    found, as their records tell them (``range_read``). Nulls, repeated rows and empty tables: see ``write_archives``."""
     spark = pages.sparkSession
-    archive = write_archives(pages, fresh_path(spark, "warc"), page_id, **settings)
+    archive = write_archives(pages, fresh_path(spark, "warc"), page_id, url, **settings)
     index = write_index(read_archives(spark, archive), fresh_path(spark, "cdx"))
+    found = range_read(spark, looked_up(spark, index, url_keys(pages, url)), archive)
     kind = pages.schema[page_id].dataType
-    return index_captures(spark, index).withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
+    return found.withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})

@@ -83,6 +83,38 @@ def test_look_ups(spark):
     assert found.captures("http://none.example.com/") == [] and found.captures("http://zz.example.com/") == []
 
 
+def test_whole_tables_are_read_by_range(spark, monkeypatch):
+    """Many small blocks and archives, keys that fill several blocks, and the way for file systems that tasks cannot open."""
+    monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 9)
+    urls = [f"http://h{i % 13}.example.com/{i}" for i in range(150)] + ["http://hot.example.com/"] * 60 + [None] * 20
+    rows = [(i, u, f"<p>{i % 100}</p>" * 3, None) for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, PAGES)
+    archive = warc.write_archives(df, fresh_path(spark, "w"))
+    captures = warc.read_archives(spark, archive)
+    index = warc.write_index(captures, fresh_path(spark, "c"), block_lines=7)
+    found = warc.looked_up(spark, index, warc.url_keys(df))
+    told = sorted(map(str, captures.collect()))
+    assert sorted(map(str, found.collect())) == told and captures.select("file").distinct().count() > 20
+    assert sorted(map(str, warc.range_read(spark, found, archive).collect())) == told
+    monkeypatch.setattr(warc.re, "match", lambda *a: None)
+    elsewhere = warc.range_read(spark, found, archive)
+    monkeypatch.undo()
+    assert sorted(map(str, elsewhere.collect())) == told
+    some = spark.createDataFrame([(warc.url_key(u),) for u in ("http://hot.example.com/x/..", urls[3], "http://none/", "http://hot.example.com")], "key string")
+    assert sorted(int(r.page_id) for r in warc.looked_up(spark, index, some).collect()) == [3, *range(150, 210)]
+    wrong = found.withColumn("payload_digest", warc.F.lit("x"))
+    with pytest.raises(Exception, match="not the one its index line tells"):
+        warc.range_read(spark, wrong, archive).collect()
+
+
+def test_records_are_valid():
+    records = [warc.warc_record(1, "http://a/", b"x", "D", r, "2024-05-06T07:08:09Z") for r in (None, None, 7)]
+    heads = [dict(line.split(b": ", 1) for line in r.partition(b"\r\n\r\n")[0].split(b"\r\n")[1:]) for r in records]
+    assert len({h[b"WARC-Record-ID"] for h in heads}) == 3
+    assert all({b"WARC-Type", b"WARC-Date", b"WARC-Record-ID", b"Content-Length"} <= set(h) for h in heads)
+    assert warc.parsed(records[2])["refers_to"] == "7" and warc.parsed(records[0])["page_id"] == "1"
+
+
 def test_url_keys():
     assert warc.url_key("http://www.Example.com:80/a?b#c") == "com,example)/a?b"
     assert warc.url_key("https://u@x.example.org:444") == "org,example,x:444)/"
