@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,9 +55,31 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[app].name
 
 
+#: Paths handed out inside each open scope, the innermost last.
+_scopes: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path in the shared folder that no other run uses; inside a ``run_scope`` it goes when the scope ends."""
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[None]:
+    """A run whose stored tables are of no use after it: whatever the library put into the shared folder inside is removed at the end,
+    also after a failure. Results that are still lazy read these tables, so they belong written elsewhere, or collected, before the scope ends.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        files = spark._jvm.org.apache.hadoop.fs
+        for path in _scopes.pop():
+            place = files.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialised(df, name: str):

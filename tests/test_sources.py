@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patchloom import fixed, schemas
-from patchloom.session import fresh_path, shared_folder
+from patchloom.session import fresh_path, materialised, run_scope, shared_folder
 from patchloom.sources import dumps, files, jsonl, repos, sinks
 from patchloom.streaming.arrivals import stream_dedup, take_new, taken_records
 
@@ -181,3 +181,17 @@ def test_shared_folder_is_the_named_one(spark):
     if named:
         assert shared_folder(spark) == named.rstrip("/")
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
+
+
+def test_a_run_leaves_nothing_behind(spark):
+    outer = materialised(spark.range(3), "outer")
+    seen = []
+    with pytest.raises(ValueError), run_scope(spark):
+        seen.append(materialised(spark.range(5), "inner"))
+        with run_scope(spark):
+            seen.append(materialised(spark.range(7), "innermost"))
+            assert seen[1].count() == 7
+        assert seen[0].count() == 5
+        raise ValueError
+    folders = [os.path.dirname(f.removeprefix("file://")) for df in (outer, *seen) for f in df.inputFiles()[:1]]
+    assert [os.path.isdir(f) for f in folders] == [True, False, False] and outer.count() == 3
