@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from patchloom.llm.lattice import Lattice, code_points, hashed
 from patchloom.llm.rows import col, with_text_columns
 from patchloom.llm.vocabulary import DEFAULT_VOCABULARY, SPACE, Vocabulary, load_vocabulary, plain_pieces
-from patchloom.llm.words import CACHE_BYTES, kept, told_apart, word_bytes
+from patchloom.llm.words import CACHE_BYTES, Remembered, kept, told_apart
 from patchloom.session import materialised
 
 UNDETERMINED = "und"
@@ -130,43 +130,24 @@ class _Scores:
     """Log probabilities of words under every language, remembered within ``room`` bytes."""
 
     def __init__(self, model: LanguageModel, room: int = CACHE_BYTES):
-        self.vocabulary, self.room = model.vocabulary, room
+        self.vocabulary = model.vocabulary
         self.logs = np.ascontiguousarray(model.logs.T)
         lengths = np.fromiter(map(len, model.vocabulary.pieces), np.int64, len(model.vocabulary.pieces))
         self.lifted = np.exp(self.logs + (_LIFT * lengths)[:, None])
         self.at_once = max(min(AT_ONCE, AT_ONCE_BYTES // (64 * max(len(model.languages), 1))), 64)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.rows, self.held = np.empty((1024, self.logs.shape[1])), 0
+        self.known = Remembered(self.learn, lambda row: 33 + len(row), room)
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for i in range(0, len(words), self.at_once):
+            rows = LanguageLattice(words[i: i + self.at_once], self.vocabulary).chances(self.logs, self.lifted)
+            data, size = np.ascontiguousarray(rows, dtype=np.float64).tobytes(), 8 * rows.shape[1]
+            out += [data[k: k + size] for k in range(0, len(data), size)]
+        return out
 
     def of(self, words: list[str]) -> np.ndarray:
         """A row for each of some distinct words."""
-        out = np.empty((len(words), self.logs.shape[1]))
-        places = list(map(self.places.get, words))
-        known = [i for i, p in enumerate(places) if p is not None]
-        out[known] = self.rows[[places[i] for i in known]]
-        new = [i for i, p in enumerate(places) if p is None]
-        for i in range(0, len(new), self.at_once):
-            part = new[i: i + self.at_once]
-            some = [words[j] for j in part]
-            out[part] = LanguageLattice(some, self.vocabulary).chances(self.logs, self.lifted)
-            self._remember(some, out[part])
-        return out
-
-    def _remember(self, words: list[str], rows: np.ndarray) -> None:
-        size = sum(map(word_bytes, words)) + 2 * rows.nbytes  # the table grows by doubling
-        if self.held + size > self.room:
-            self._forget()
-            if size > self.room:
-                return
-        n = len(self.places)
-        while len(self.rows) < n + len(words):
-            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-        self.rows[n: n + len(words)] = rows
-        self.places.update(zip(words, range(n, n + len(words))))
-        self.held += size
+        return np.frombuffer(b"".join(self.known.of(words)), dtype=np.float64).reshape(len(words), -1)
 
 
 def _scored(model: LanguageModel):

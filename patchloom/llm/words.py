@@ -80,30 +80,40 @@ def word_bytes(word: str) -> int:
     return 180 + (1 if word.isascii() else 2) * len(word)
 
 
-class Remembered(dict):
-    """What is known of words; forgotten when it would take more than ``room`` bytes. ``cost`` tells the bytes of a value."""
+class Remembered:
+    """What is known of words, in two generations of half of ``room`` bytes each: where the young one is full it becomes the old one, whose words
+    are forgotten unless they were met again. ``cost`` tells the bytes of a value."""
 
     def __init__(self, learn: Callable[[list[str]], list], cost: Callable[[Any], int], room: int = CACHE_BYTES):
-        super().__init__()
         self.learn, self.cost, self.room, self.held = learn, cost, room, 0
+        self.young: dict[str, Any] = {}
+        self.old: dict[str, Any] = {}
 
     def of(self, words: list[str]) -> list:
         """What is known of some distinct words, in their order."""
-        out = list(map(self.get, words))
-        new = [i for i, found in enumerate(out) if found is None]
+        out = list(map(self.young.get, words))
+        new = []
+        for i in [i for i, found in enumerate(out) if found is None]:
+            found = out[i] = self.old.get(words[i])
+            if found is None:
+                new.append(i)
+            else:
+                self._keep(words[i], found)
         for j in range(0, len(new), AT_ONCE):
             part = new[j: j + AT_ONCE]
             for i, found in zip(part, self.learn([words[i] for i in part])):
                 out[i] = found
-                size = word_bytes(words[i]) + self.cost(found)
-                if self.held + size > self.room:
-                    self.clear()
-                    self.held = 0
-                if size <= self.room:
-                    self[words[i]] = found
-                    self.held += size
+                self._keep(words[i], found)
         return out
 
+    def _keep(self, word: str, found: Any) -> None:
+        size = word_bytes(word) + self.cost(found)
+        if self.held + size > self.room // 2:
+            self.young, self.old, self.held = {}, self.young, 0
+        if size <= self.room // 2:
+            self.young[word] = found
+            self.held += size
+
 
 _kept: dict[str, Any] = {}
 

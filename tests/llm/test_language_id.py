@@ -52,7 +52,7 @@ def test_remembered_scores_are_the_same(pieces, monkeypatch):
     parts = [many(texts.slice(i, 2)) for i in range(0, len(texts), 2)]
     assert sum((p[0] for p in parts), []) == once[0] and np.allclose(sum((p[1] for p in parts), []), once[1])
     assert once[0][2:4] == ["und", "und"] and once[1][2:4] == [0.0, 0.0]
-    assert few.held <= 900 and len(few.places) <= 3
+    assert few.known.held <= 450 and len(few.known.young) + len(few.known.old) <= 4
 
 
 def test_words_with_one_hash_stay_apart(pieces):

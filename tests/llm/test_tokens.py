@@ -168,4 +168,5 @@ def test_memory_is_bounded_in_bytes(pieces):
         texts = [" ".join(f"word{k}x{i}" for i in range(300)), "q" * 30_000, f"w{k}"]
         assert counter.counts(texts).tolist() == token_counts.TokenCounter(pieces).counts(texts).tolist()
         assert segmenter.encode(texts).ids.tolist() == segmentation.Segmenter(pieces).encode(texts).ids.tolist()
-        assert counter.known.held <= 40_000 and segmenter.known.held <= 40_000 and len(segmenter.known) < 400
+        assert counter.known.held <= 20_000 and segmenter.known.held <= 20_000
+        assert all(len(known.young) + len(known.old) < 400 for known in (counter.known, segmenter.known))
