@@ -83,12 +83,14 @@ def test_links_connect_what_all_pairs_connect(spark, block):
     assert len(set(expected.values())) < len(values)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("crowd", [1000, 4])  # at 4, hubs are joined apart
+def test_components(spark, crowd):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(200, 260)] + [(500, i) for i in range(501, 700)] + [(rng.randrange(100), rng.randrange(100)) for _ in range(60)]
+    pairs += [(1900, i) for i in range(1000, 1200)] + [(1500, i) for i in [*range(1300, 1400), *range(1600, 1700)]]
     pairs += [(7, 7), pairs[0], (None, 3)]
     real = [p for p in pairs if None not in p and p[0] != p[1]]
-    out = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    out = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long"), crowd=crowd).collect()}
     assert out == plain_components(real, {n for p in real for n in p})
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
