@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from patchloom.llm.hashing import mixed, run_hashes
 from patchloom.llm.rows import col, slices, utf8
+from patchloom.llm.words import let_go
 from patchloom.session import materialised
 
 #: The largest Bloom filter of benchmark windows, in bytes; beyond 64 bits a window more documents pass it, and the join decides as before.
@@ -154,6 +155,7 @@ def _met(sketch_of, sizes: list[int], window: int, gram: int):
     """Documents to their number of words and those of their windows that the sketch lets through, each with its places."""
 
     def run(batches):
+        let_go()
         sketch = sketch_of.value
         bits = 64 * len(sketch)
         for batch in batches:

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from patchloom.llm.components import components
 from patchloom.llm.rows import col, with_text_columns
+from patchloom.llm.words import let_go
 from patchloom.session import materialised
 
 #: Fingerprints of one anchor that are compared in one place; more are dealt out in blocks of this size.
@@ -75,7 +76,11 @@ def _fingerprint_column(shingle: int):
     def work(texts: pa.Array) -> list:
         return [pa.array(np.array([fingerprint(t, shingle) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64))]
 
-    return lambda: work
+    def make():
+        let_go()
+        return work
+
+    return make
 
 
 # The Hamming code on 31 bits: position p (1 to 31) adds p to the syndrome; code words have syndrome 0.

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.llm.rows import with_text_columns
+from patchloom.llm.words import let_go
 
 
 def luhn(digits: str) -> bool:
@@ -236,6 +237,8 @@ def personal_data(df: DataFrame, keep: list[str], text: str = "text", threshold:
         fields.append(T.StructField("masked", T.StringType()))
 
     def make():
+        let_go()
+
         def work(texts: pa.Array) -> list:
             base, spans, masked = [], [], []
             for t in texts.to_pylist():

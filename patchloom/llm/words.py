@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 
 from patchloom.llm.hashing import run_hashes
 from patchloom.llm.lattice import code_points
@@ -122,6 +124,15 @@ def kept(name: str, make: Callable[[], Any]) -> Any:
     """What this worker keeps under a name, so that tasks that follow each other share it. Only one thing is kept: the next operator
     that runs in the worker lets go of the last one's."""
     if name not in _kept:
-        _kept.clear()
+        let_go()
         _kept[name] = make()
     return _kept[name]
+
+
+def let_go() -> None:
+    """Forgets what this worker kept and hands free memory back to the system. An operator that keeps nothing calls it as its tasks begin, so that
+    it doesn't run beside what an earlier one left in a reused worker."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)

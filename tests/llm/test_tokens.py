@@ -170,3 +170,13 @@ def test_memory_is_bounded_in_bytes(pieces):
         assert segmenter.encode(texts).ids.tolist() == segmentation.Segmenter(pieces).encode(texts).ids.tolist()
         assert counter.known.held <= 20_000 and segmenter.known.held <= 20_000
         assert all(len(known.young) + len(known.old) < 400 for known in (counter.known, segmenter.known))
+
+
+def test_a_worker_lets_go():
+    from patchloom.llm import words
+
+    first = words.kept("a", lambda: [1])
+    assert words.kept("a", lambda: [2]) is first
+    words.let_go()
+    assert words.kept("a", lambda: [2]) == [2]
+    words.let_go()
