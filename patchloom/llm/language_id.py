@@ -39,7 +39,9 @@ MOST_DOCUMENTS = 1500
 #: The languages a model learns: of more labels the commonest ones, of equally common ones the first by name.
 MOST_LANGUAGES = 500
 #: Words scored in one go (fewer where languages are many), and bytes of their scores at every character.
-AT_ONCE, AT_ONCE_BYTES = 20_000, 32 << 20
+AT_ONCE, AT_ONCE_BYTES = 4_000, 32 << 20
+#: Text bytes cut into words in one go.
+TEXT_BYTES = 1 << 20
 _LIFT = 2.5
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -185,7 +187,8 @@ def identified(df: DataFrame, model: LanguageModel, keep: list[str], text: str =
     score 0. Of equal languages the first by name wins. Repeated rows give repeated results, an empty table an empty one. A text is scored whole,
     however long."""
     return with_text_columns(
-        df, text, keep, [T.StructField("language", T.StringType()), T.StructField("score", T.DoubleType())], lambda: _scored(model))
+        df, text, keep, [T.StructField("language", T.StringType()), T.StructField("score", T.DoubleType())],
+        lambda: _scored(model), TEXT_BYTES)
 
 
 def training_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", language: str = "lang",

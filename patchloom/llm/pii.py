@@ -270,10 +270,15 @@ def digest(found: DataFrame) -> DataFrame:
 def masked_documents(df: DataFrame, text: str = "text", length: str | None = "n_chars", **settings) -> DataFrame:
     """The rows with personal data masked in ``text``; ``length``, where it is a column, is set to the new number of
     code points in rows whose text changed."""
-    found = personal_data(df, df.columns, text, mask=True, **settings)
+    if text not in df.columns:  # a name that Spark resolves in another case
+        text = next((c for c in df.columns if c.lower() == text.lower()), text)
+    found = personal_data(df, [c for c in df.columns if c != text], text, mask=True, **settings)
     changed = F.size("spans") > 0
-    row = F.col("row").withField("`" + text + "`", F.col("masked"))
-    if length in df.columns:
-        kind = df.schema[length].dataType
-        row = row.withField("`" + length + "`", F.when(changed, F.length("masked")).otherwise(F.col("row")[length]).cast(kind))
-    return found.select(row.alias("row")).select("row.*")
+
+    def column(name):
+        if name == text:
+            return F.col("masked")
+        kept = F.col("row")[name]
+        return F.when(changed, F.length("masked")).otherwise(kept).cast(df.schema[name].dataType) if name == length else kept
+
+    return found.select(*[column(c).alias(c) for c in df.columns])

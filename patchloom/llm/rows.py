@@ -39,16 +39,21 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 def with_text_columns(
     df: DataFrame, text: str, keep: Sequence[str], fields: Sequence[T.StructField],
-    make: Callable[[], Callable[[pa.Array], list]],
+    make: Callable[[], Callable[[pa.Array], list]], at_once: int = SLICE_BYTES,
 ) -> DataFrame:
     """``df`` as a struct column ``row`` of the kept columns, followed by ``fields``.
 
     ``make()`` runs once per task and returns a function from an Arrow array of texts
     (nulls included) to one list or array per field. The kept columns ride in a struct,
-    so that they never clash with the new ones. No shuffle; rows keep their order.
+    so that they never clash with the new ones; a text among them travels there alone. It gets texts
+    of about ``at_once`` bytes at a time. No shuffle; rows keep their order.
     """
     source = df.select(F.struct(*[col(c).alias(c) for c in keep]).alias("row"), col(text).cast("string").alias("text"))
     schema = T.StructType([source.schema["row"], *fields])
+    kept = source.schema["row"].dataType
+    place = kept.names.index(text) if text in kept.names and kept[text].dataType == T.StringType() else None
+    if place is not None:
+        source = source.select("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -58,9 +63,10 @@ def with_text_columns(
                 from pyspark.sql.pandas.types import to_arrow_type
 
                 kinds = [to_arrow_type(f.dataType) for f in fields]
-            for start, length in slices(batch.column(1)):
+            texts = batch.column(1) if place is None else batch.column(0).field(place)
+            for start, length in slices(texts, at_once):
                 part = batch.slice(start, length)
-                made = work(part.column(1))
+                made = work(texts.slice(start, length))
                 arrays = [m if isinstance(m, pa.Array) else pa.array(m, type=k) for m, k in zip(made, kinds)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *arrays], names=["row", *[f.name for f in fields]])
