@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.llm.hashing import mixed, run_hashes
-from patchloom.llm.rows import col, slices, utf8
+from patchloom.llm.rows import bounded_batches, col, slices, utf8
 from patchloom.llm.words import let_go
 from patchloom.session import materialised
 
@@ -211,6 +211,7 @@ def _overlap(
     (``id``, ``k``, ``at``, ``items``)."""
     if not 1 <= gram <= window:
         raise ValueError("a gram must fit into a window")
+    bounded_batches(documents.sparkSession)
     items = benchmark.select(
         col(item_id).cast("string").alias("item_id"), F.coalesce(col(item_text).cast("string"), F.lit("")).alias("text")).distinct()
     windows = materialised(items.mapInArrow(_windows(window, gram), _WINDOWS), "benchmark-windows")

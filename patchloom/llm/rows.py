@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 #: Text bytes worked on at once inside a task; a longer text is worked on alone.
 SLICE_BYTES = 2 << 20
+#: Bytes of rows that travel to a Python worker at once, where the session names no bound of its own.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +27,13 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session by their bytes, unless its user did: a batch stands outside the heap of the executor and in its
+    worker at once, and ten thousand rows of text are tens of megabytes. A row larger than the bound travels alone."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges (start, length) whose texts hold about ``limit`` bytes."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -48,6 +58,7 @@ def with_text_columns(
     so that they never clash with the new ones; a text among them travels there alone. It gets texts
     of about ``at_once`` bytes at a time. No shuffle; rows keep their order.
     """
+    bounded_batches(df.sparkSession)
     source = df.select(F.struct(*[col(c).alias(c) for c in keep]).alias("row"), col(text).cast("string").alias("text"))
     schema = T.StructType([source.schema["row"], *fields])
     kept = source.schema["row"].dataType
