@@ -123,3 +123,10 @@ def test_account_numbers_end_where_their_country_says():
     body = "1234567890123"  # no country of the table
     check = 98 - int(body + "".join(str(int(c, 36)) for c in "ZZ") + "00") % 97
     assert found(f"ZZ{check:02d}{body} AND MORE") == [f"ZZ{check:02d}{body}"]
+
+
+def test_masking_keeps_columns_in_order(spark):
+    rows = spark.createDataFrame([(32, "mail x@y.org", 1), (0, None, 2)], "n_chars int, Text string, doc_id long")
+    out = pii.masked_documents(rows)
+    assert out.schema.names == rows.schema.names and out.schema["n_chars"].dataType == rows.schema["n_chars"].dataType
+    assert sorted(map(tuple, out.collect())) == [(0, None, 2), (12, "mail [EMAIL]", 1)]
