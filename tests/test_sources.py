@@ -109,6 +109,17 @@ def test_trees_are_written_and_read_by_commit(spark, tmp_path):
         files.write_tree(spark.createDataFrame([("o/r", "c1", "../../up", "x")], schemas.REPO_FILES), root)
 
 
+def test_trees_are_listed_in_tasks(spark, tmp_path):
+    """No file index on the driver; empty and hidden files and folders are passed over as by file scans."""
+    for at, name in (("o/r/c", "a.md"), ("o/r/c/_x=1", "b.md"), ("o/r/c/_h", "c.md"), ("o/r/.c", "d.md"), ("o/r/c", "_e.md"), ("o", "top.md")):
+        _write(tmp_path / "tree" / at, name, "x")
+    _write(tmp_path / "tree/o/r/c", "empty.md", "")
+    found = files.repo_files_scan(spark, str(tmp_path / "tree"))
+    assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.path for r in found.collect()) == ["_x=1/b.md", "a.md"]
+    assert [r.path for r in files.misplaced_files(spark, str(tmp_path / "tree")).collect()] == ["o/top.md"]
+
+
 def test_exported_tree(spark, tmp_path):
     sha = "a1" * 20
     _write(tmp_path / "tree/o/r" / sha / "doc/my dir", "a b.md", "# T\nx\n")
