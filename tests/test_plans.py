@@ -195,3 +195,9 @@ def test_lines_and_blocks_are_cut_in_batches(spark, landed):
     for cut in (patches.diff_lines, patches.change_blocks):
         plan = _plan(cut(landed["COMPARE_DIFFS"]))
         assert "MapInArrow" in plan and "Generate" not in plan and "Exchange" not in plan
+
+
+def test_lines_are_dealt_out_once_by_pull_request(spark, sf_dir, no_broadcast):
+    """Commits and diffs meet the pull requests where the narrow lines already are."""
+    for name, dealt in (("drop_unfetched_merged", 2), ("fix_test_split", 3)):
+        assert len(re.findall(r"Exchange hashpartitioning", _plan(QUERIES[name](spark, sf_dir)))) == dealt
