@@ -1,4 +1,4 @@
-"""Lines and change blocks of diffs, a batch of diffs at a time.
+"""Lines of diffs, a batch of diffs at a time.
 
 A diff is cut in its own cell: line starts, kinds and running line numbers are arrays over the bytes of a batch, so nothing
 is shuffled or sorted and a line costs the same however long its hunk is. Sections, paths and hunks are those of
@@ -188,25 +188,3 @@ def unfolded_lines(diffs: DataFrame) -> DataFrame:
                 pa.array(hunks.new_start[hunk] + new, mask=kind == 2), _texts(lines.data, begin, end)]
 
     return _unfolded(diffs, "pos bigint, kind string, old_line bigint, new_line bigint, text string", work)
-
-
-def unfolded_blocks(diffs: DataFrame) -> DataFrame:
-    """One row per maximal stretch of changed lines of every hunk: line_start, line_end (old side), added, removed."""
-
-    def work(hunks: Hunks, lines: Lines):
-        changed = lines.kind > 0
-        at = np.flatnonzero(changed)
-        goes_on = np.zeros(len(changed), bool)
-        goes_on[1:] = changed[:-1] & (lines.hunk[1:] == lines.hunk[:-1])
-        begins = np.flatnonzero(~goes_on[at])
-        if not len(begins):
-            return
-        added, removed = (np.add.reduceat((lines.kind[at] == k).astype(np.int64), begins) for k in (1, 2))
-        hunk = lines.hunk[at[begins]]
-        place = hunks.old_start[hunk] + lines.old[at[begins]]
-        before = np.maximum(place - 1, 0)
-        low, high = np.where(removed > 0, place, before), np.where(removed > 0, place + removed - 1, before)
-        for lo in range(0, len(begins), ROWS):
-            yield hunk[lo: lo + ROWS], [pa.array(x[lo: lo + ROWS]) for x in (low, high, added, removed)]
-
-    return _unfolded(diffs, "line_start bigint, line_end bigint, added bigint, removed bigint", work)
