@@ -10,9 +10,9 @@ from patchloom.functions import answers as A
 from patchloom.functions import diffs, gates
 from patchloom.functions.text import once
 from patchloom.operators.candidates import repo_slug
-from patchloom.operators.materials import RECORD_KEY
+from patchloom.operators.materials import RECORD_JOIN, RECORD_KEY
 from patchloom.operators.patches import change_blocks, hunk_counts
-from patchloom.operators.pulls import PULL_KEY
+from patchloom.operators.pulls import PULL_JOIN, PULL_KEY
 from patchloom.operators.sketch import key_sketch
 
 
@@ -27,7 +27,7 @@ def patch_leakage(specs: DataFrame, candidates: DataFrame) -> DataFrame:
     ))
     return (
         specs.select(*RECORD_KEY, "spec")
-        .join(candidates.select(*RECORD_KEY, "fix_patch"), RECORD_KEY, "inner")
+        .join(candidates.select(*RECORD_KEY, "fix_patch"), RECORD_JOIN, "inner")
         .select(*RECORD_KEY, leaked.alias("leaked"))
         .withColumn("no_patch_leakage", F.size("leaked") == 0)
     )
@@ -100,7 +100,7 @@ def hunk_shortlists(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
     """
     counts = hunk_counts(_asked_diffs(answers, compare_diffs))
     error = F.coalesce("problem", F.when(~_exists(F.col("hunk_id"), F.col("hunks")), _NO_HUNK))
-    return parse_hunk_shortlists(answers).join(counts, PULL_KEY, "left").withColumn("error", error).drop("problem", "hunks")
+    return parse_hunk_shortlists(answers).join(counts, PULL_JOIN, "left").withColumn("error", error).drop("problem", "hunks")
 
 
 def shortlisted_hunks(rows: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def annotation_notes(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
     annotated = _asked_diffs(answers, compare_diffs)
     ranges = (
         change_blocks(annotated)
-        .groupBy(*PULL_KEY, "hunk_id")
+        .groupBy(*PULL_JOIN, "hunk_id")
         .agg(F.array_sort(F.collect_list(F.struct("line_start", "line_end"))).alias("blocks"))
         .select(
             *PULL_KEY, "hunk_id",
@@ -148,8 +148,8 @@ def annotation_notes(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
         .when(~_exists(F.col("hunk_id"), F.col("hunks")), _NO_HUNK).when(F.col("bug_lineno").isNull(), _NO_LINE)
     )
     return (
-        bug_type_valid(parse_annotations(answers)).join(hunk_counts(annotated), PULL_KEY, "left")
-        .join(ranges, [*PULL_KEY, "hunk_id"], "left").withColumn("error", error).drop("problem", "valid", "hunks")
+        bug_type_valid(parse_annotations(answers)).join(hunk_counts(annotated), PULL_JOIN, "left")
+        .join(ranges, [*PULL_JOIN, "hunk_id"], "left").withColumn("error", error).drop("problem", "valid", "hunks")
     )
 
 
@@ -160,7 +160,7 @@ def annotation_join(notes: DataFrame) -> DataFrame:
     )
     return (
         notes.filter("error is null")
-        .groupBy(*PULL_KEY)
+        .groupBy(*PULL_JOIN)
         .agg(F.array_sort(F.collect_list(F.struct("pos", entry.alias("entry")))).alias("entries"))
         .select(*PULL_KEY, F.transform("entries", lambda e: e["entry"]).alias("bug_info"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patchloom.operators import answering
 from patchloom.operators.incremental import resume_anti
-from patchloom.operators.materials import RECORD_KEY, material_checks, parted_materials
+from patchloom.operators.materials import RECORD_JOIN, RECORD_KEY, material_checks, parted_materials
 from patchloom.operators.outputs import assemble_outputs, route_by_review, with_bug_infos
 from patchloom.operators.pulls import dedup_last_wins
 from patchloom.session import materialised
@@ -49,10 +49,10 @@ def construct(
     again.
     """
     if candidate_order:
-        candidates = materialised(dedup_last_wins(candidates, RECORD_KEY, candidate_order), "candidates")
+        candidates = materialised(dedup_last_wins(candidates, RECORD_JOIN, candidate_order), "candidates")
     if done is not None:
         candidates = materialised(resume_anti(candidates, done, RECORD_KEY), "candidates")
-        answers = answers.join(done.select(*RECORD_KEY), RECORD_KEY, "left_anti")
+        answers = answers.join(done.select(*RECORD_KEY), RECORD_JOIN, "left_anti")
     checked = materialised(material_checks(candidates, repo_config, repo_files), "checked")
     ready, material_failures = parted_materials(checked, candidates, repo_config, repo_files)
     materials = materialised(ready, "materials")
@@ -72,7 +72,7 @@ def construct(
     known = materialised(all_failures(
         [material_failures, select_failures, without_materials, spec_failures, orphans, review_failures]), "failures")
     accounted = assembled.select(*RECORD_KEY).unionByName(known.select(*RECORD_KEY))
-    silent = candidates.select(*RECORD_KEY).join(accounted, RECORD_KEY, "left_anti")
+    silent = candidates.select(*RECORD_KEY).join(accounted, RECORD_JOIN, "left_anti")
     failures = known.unionByName(answering.failure_rows(silent, "spec", "llm", F.lit("a step was never answered")))
     return Construction(materials, selected, specs, reviews, inputs, queue, failures)
 
