@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchloom import fixed
@@ -11,7 +11,7 @@ from patchloom.functions import diffs, gates
 from patchloom.functions.text import once
 from patchloom.operators.candidates import repo_slug
 from patchloom.operators.materials import RECORD_JOIN, RECORD_KEY
-from patchloom.operators.patches import change_blocks, hunk_counts
+from patchloom.operators.patches import blocks_by_hunk, hunk_counts
 from patchloom.operators.pulls import PULL_JOIN, PULL_KEY
 from patchloom.operators.sketch import key_sketch
 
@@ -108,49 +108,67 @@ def shortlisted_hunks(rows: DataFrame) -> DataFrame:
     return rows.filter("error is null and verdict = 'candidate'").select(*PULL_KEY, _hunk_number(F.col("hunk_id")).alias("hunk_no")).distinct()
 
 
-def parse_annotations(answers: DataFrame) -> DataFrame:
-    """One row per annotated hunk: position, hunk_id, level1, level2, bug_desc, fix_hint; and one row with a ``problem`` per unreadable answer.
-
-    An answer with a list that holds no note gives no row.
-    """
+def _annotated(answers: DataFrame) -> DataFrame:
+    """Every answer in one row: ``problem`` where it is unreadable, and ``_notes``, an array of hunk_id, level1, level2, bug_desc, fix_hint."""
+    path = "$.bug_info"
     rows = answers.select(*PULL_KEY, once("_value", A.parsed(A.unfenced(F.col("content")))))
-    blocks = F.flatten(F.transform(A.items(F.col("_value"), "$.bug_info"), lambda b: F.when(A.is_array(b), A.items(b)).otherwise(F.array(b))))
+    rows = rows.select("*", once("_listed", A.array_at(F.col("_value"), path)))
+    blocks = F.flatten(F.transform("_listed", lambda b: F.coalesce(A.array_at(b), F.array(b))))
     fields = {
         "hunk_id": "$.hunk_id", "level1": "$.bug_type.level1", "level2": "$.bug_type.level2",
         "bug_desc": "$.bug_desc", "fix_hint": "$.fix_hint",
     }
-    texts = [A.string_at(F.col("_block"), path).alias(name) for name, path in fields.items()]
-    listed = A.is_array(A.at(F.col("_value"), "$.bug_info"))
-    problem = F.when(~F.coalesce(A.is_object(F.col("_value")), F.lit(False)), _NO_OBJECT).when(~listed, _NO_LIST)
-    return rows.select(*PULL_KEY, problem.alias("problem"), F.posexplode_outer(blocks).alias("pos", "_block")).filter(
-        "pos is not null or problem is not null").select(*PULL_KEY, "pos", "problem", once("_note", F.struct(*texts))).select(
-        *PULL_KEY, "pos", "_note.*", "problem")
+    notes = F.transform(blocks, lambda b: F.struct(*[A.string_at(b, path).alias(name) for name, path in fields.items()]))
+    # What holds a list at a path is an object: the shape of the whole is asked for only where there is none.
+    problem = F.when(F.col("_listed").isNull(), F.when(A.is_object(F.col("_value")), _NO_LIST).otherwise(_NO_OBJECT))
+    return rows.select(*PULL_KEY, problem.alias("problem"), once("_notes", notes))
+
+
+def _unpacked(annotated: DataFrame, *kept: str) -> DataFrame:
+    """A row per note, with its place in the answer, and one per unreadable answer."""
+    return annotated.select(*PULL_KEY, "problem", *kept, F.posexplode_outer("_notes").alias("pos", "_note")).filter(
+        "pos is not null or problem is not null").select(*PULL_KEY, "pos", "_note.*", "problem", *kept)
+
+
+def parse_annotations(answers: DataFrame) -> DataFrame:
+    """One row per annotated hunk: position, hunk_id, level1, level2, bug_desc, fix_hint; and one row with a ``problem`` per unreadable answer.
+
+    An answer with a list that holds no note gives no row.
+    """
+    return _unpacked(_annotated(answers))
+
+
+def _ranges_of(number: Column, told: Column) -> Column:
+    """The changed line ranges of one hunk, one after the other, by its number; null where it changes no line. ``told`` holds the blocks by hunk
+    of every diff that landed for a pull request: as a rule of one, whose blocks are in order."""
+    def of(blocks: Column) -> Column:
+        return F.get(blocks, F.when(number <= F.size(blocks), (number - 1).cast("int")))
+
+    of_several = F.array_sort(F.flatten(F.filter(F.transform(told, of), lambda b: b.isNotNull())))
+    found = F.when(F.size(told) == 1, of(F.get(told, 0))).otherwise(of_several)
+    return F.get(F.transform(F.filter(F.array(found), lambda b: F.size(b) > 0), lambda b: F.flatten(
+        F.transform(b, lambda r: F.array(r["line_start"], r["line_end"])))), 0)
 
 
 def annotation_notes(answers: DataFrame, compare_diffs: DataFrame) -> DataFrame:
     """Every note of the annotation answers with the changed line ranges of its hunk (``bug_lineno``) and ``error``: null where it can be
     used, else why not. Good notes and failures are one table, to be written once and then parted.
 
-    Diffs are cut down in their scan and parsed in place; only hunk counts and line ranges move.
+    Diffs are cut down in their scan and parsed in place, once: a row per diff holds the blocks of its hunks, and an answer meets it in a row. Notes
+    are unpacked after that. Several diffs of a pull request give their blocks to one another.
     """
-    annotated = _asked_diffs(answers, compare_diffs)
-    ranges = (
-        change_blocks(annotated)
-        .groupBy(*PULL_JOIN, "hunk_id")
-        .agg(F.array_sort(F.collect_list(F.struct("line_start", "line_end"))).alias("blocks"))
-        .select(
-            *PULL_KEY, "hunk_id",
-            F.flatten(F.transform("blocks", lambda b: F.array(b["line_start"], b["line_end"]))).alias("bug_lineno"),
-        )
-    )
+    landed = Window.partitionBy(*PULL_JOIN)
+    told = blocks_by_hunk(_asked_diffs(answers, compare_diffs)).select(
+        *PULL_KEY, F.size("blocks").alias("hunks"), F.collect_list("blocks").over(landed).alias("_told"))
+    rows = _unpacked(_annotated(answers).join(told, PULL_JOIN, "left"), "hunks", "_told")
+    rows = bug_type_valid(rows.select("*", once("_number", _hunk_number(F.col("hunk_id")))))
+    rows = rows.select("*", once("bug_lineno", _ranges_of(F.col("_number"), F.col("_told"))))
     error = (
         F.when(F.col("problem").isNotNull(), F.col("problem")).when(~F.col("valid"), _NO_TYPE)
         .when(~_exists(F.col("hunk_id"), F.col("hunks")), _NO_HUNK).when(F.col("bug_lineno").isNull(), _NO_LINE)
     )
-    return (
-        bug_type_valid(parse_annotations(answers)).join(hunk_counts(annotated), PULL_JOIN, "left")
-        .join(ranges, [*PULL_JOIN, "hunk_id"], "left").withColumn("error", error).drop("problem", "valid", "hunks")
-    )
+    return rows.select(
+        *PULL_JOIN, "hunk_id", "pos", "level1", "level2", "bug_desc", "fix_hint", "bug_lineno", error.alias("error"))
 
 
 def annotation_join(notes: DataFrame) -> DataFrame:
