@@ -4,6 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from patchloom.catalog.registry import Tables
+from patchloom.functions import diffs
 from patchloom.operators import annotation
 from patchloom.operators.patches import blocks_by_hunk, change_blocks, hunk_counts
 
@@ -75,8 +76,8 @@ def test_notes_of_diffs_that_landed_twice(spark):
     answers = [("o", "r", n, content) for n in (1, 2, 2, 3, 4, 5)] + [
         ("o", None, 6, content), ("o", "r", 7, "[]"), ("o", "r", 8, "{}"), ("o", "r", 9, None), ("o", "r", 10, '{"bug_info": []}')]
     one, two = ("diff --git a/f b/f\n" + "".join(f"@@ -{at} +1 @@\n-a\n" for at in starts) for starts in ((9, 4), (2,)))
-    diffs = [("o", "r", 1, one), ("o", "r", 2, one), ("o", "r", 3, one), ("o", "r", 3, two), ("o", "r", 4, None), ("o", None, 6, one)]
-    notes = annotation.annotation_notes(spark.createDataFrame(answers, _DIFFS.replace("diff_text", "content")), spark.createDataFrame(diffs, _DIFFS))
+    landed = [("o", "r", 1, one), ("o", "r", 2, one), ("o", "r", 3, one), ("o", "r", 3, two), ("o", "r", 4, None), ("o", None, 6, one)]
+    notes = annotation.annotation_notes(spark.createDataFrame(answers, _DIFFS.replace("diff_text", "content")), spark.createDataFrame(landed, _DIFFS))
     assert notes.columns == ["number", "org", "repo", "hunk_id", "pos", "level1", "level2", "bug_desc", "fix_hint", "bug_lineno", "error"]
     named = notes.filter("hunk_id is not null").select("number", "pos", "hunk_id", F.array_join("bug_lineno", ","), "error", "bug_desc").collect()
     gone = "hunk not in the diff"
@@ -98,3 +99,15 @@ def test_a_scan_with_a_sketch_is_compiled(spark, sf_dir):
     code = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(notes._jdf.queryExecution(), "codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) < 8000
+
+
+def test_paths_are_told_from_plain_texts(spark):
+    """Whether a diff is looked at at all is told of every diff; functions over arrays of structs cost several times what they do over texts."""
+    made = {
+        "": [], "x": [], "diff --git a/p b/p\nnew mode": ["p"], "diff --git nothing\n@@ -1 +1 @@\n": [""],
+        "pre\ndiff --git a/p b/q\n--- a/p\n+++ /dev/null\n@@ -1 +0,0 @@\n-x\ndiff --git a/q b/q\n--- /dev/null\n+++ \"b/r s\"\t1\n": ["p", "r s"],
+        "diff --git a/c b/c\n@@ -1 +1 @@\n+++ b/zz\n+y\ndiff --git --- a/k b/m\n+++ /dev/null\ndiff --git a/c b/c\n": ["c", "m"]}
+    rows = spark.createDataFrame([("o", "r", n, text) for n, text in enumerate(made)] + [("o", "r", -1, None)], _DIFFS)
+    found = rows.select("number", diffs.paths(F.col("diff_text")).alias("paths"))
+    assert {r["number"]: r["paths"] for r in found.collect()} == {-1: None} | dict(enumerate(made.values()))
+    assert "struct" not in found._jdf.queryExecution().optimizedPlan().toString()
